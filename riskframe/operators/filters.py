@@ -117,8 +117,8 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     casted = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
                        *[F.col(f.name).alias(f"__raw_{f.name}") for f in schema.fields])
     reasons = [F.when(F.col(f.name).isNull(),
-                      F.lit(f"{f.name}: ") + F.when(F.col(f"__raw_{f.name}").isNull(), F.lit("required"))
-                      .otherwise(F.lit("bad type")))
+                      F.concat(F.lit(f"{f.name}: "), F.when(F.col(f"__raw_{f.name}").isNull(), F.lit("required"))
+                               .otherwise(F.lit("bad type"))))
                for f in schema.fields if not f.nullable]
     reason = F.concat_ws("; ", *reasons) if reasons else F.lit("")
     tagged = casted.withColumn("reject_reason", F.nullif(reason, F.lit("")))

@@ -38,3 +38,217 @@ def q_age_x_size(spark, sf_dir):
     df = D.add_band(filtered_loans(spark, sf_dir), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS, "grupo_edad")
     df = D.add_band(df, "capital_prestado", P.SIZE_EDGES, P.SIZE_LABELS, "tamano_credito")
     return A.event_rate_pivot(df, "grupo_edad", "tamano_credito", P.SIZE_LABELS, P.TARGET, P.EVENT)
+
+
+# =========================================================================== shared inputs
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from riskframe.operators import filters as FL  # noqa: E402
+from riskframe.operators import projection as PR  # noqa: E402
+from riskframe.operators import quality as Q  # noqa: E402
+from riskframe.operators.ranking import quantile_table  # noqa: E402
+
+LOAN_COLUMNS = ["loan_id", "tipo_credito", "fecha_prestamo", "capital_prestado", "plazo_meses", "cuota_pactada",
+                "edad_cliente", "tipo_laboral", "salario_cliente", "puntaje", "puntaje_datacredito",
+                "promedio_ingresos_datacredito", "tendencia_ingresos", "huella_consulta", "total_otros_prestamos",
+                "cant_creditosvigentes", "creditos_sectorFinanciero", "creditos_sectorCooperativo",
+                "creditos_sectorReal", "saldo_total", "saldo_principal", "saldo_mora", "saldo_mora_codeudor",
+                "Pago_atiempo"]
+CLEAN_NUMERIC = ["capital_prestado", "plazo_meses", "edad_cliente", "salario_cliente", "puntaje_datacredito",
+                 "huella_consulta", "total_otros_prestamos", "creditos_sectorFinanciero",
+                 "creditos_sectorCooperativo", "creditos_sectorReal", "saldo_total", "tiene_mora",
+                 "ratio_capital_salario"]
+RAW_NUMERIC = ["capital_prestado", "plazo_meses", "cuota_pactada", "edad_cliente", "salario_cliente", "puntaje",
+               "puntaje_datacredito", "promedio_ingresos_datacredito", "huella_consulta", "total_otros_prestamos",
+               "cant_creditosvigentes", "creditos_sectorFinanciero", "creditos_sectorCooperativo",
+               "creditos_sectorReal", "saldo_total", "saldo_principal", "saldo_mora", "saldo_mora_codeudor"]
+
+
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def eda_frame(spark, sf_dir):
+    """The EDA's working frame: raw loans, trend whitelisted, flag on raw balances."""
+    df = FL.whitelist_column(loan_table(spark, sf_dir), "tendencia_ingresos", P.TREND_LEVELS)
+    return D.add_flag(df)
+
+
+# =========================================================================== sources / projections
+
+@register("s_loan_table")
+def q_loan_table(spark, sf_dir):
+    """The 23-column loan table read and derived from the driver tables."""
+    return loan_table(spark, sf_dir)
+
+
+@register("p_table_info")
+def q_table_info(spark, sf_dir):
+    """Column position, Spark type and non-null count of the loan table."""
+    return PR.table_info(loan_table(spark, sf_dir)).drop("dtype")
+
+
+@register("p_head")
+def q_head(spark, sf_dir):
+    """First five loans by key (a top-k report)."""
+    return PR.head(loan_table(spark, sf_dir).select("loan_id", "tipo_credito", "capital_prestado", "Pago_atiempo"),
+                   5, by=["loan_id"])
+
+
+@register("p_trend_ordinal")
+def q_trend_ordinal(spark, sf_dir):
+    """F8 + P4: whitelist the ordered trend (junk -> NULL) and rank it."""
+    df = PR.with_ordinal(FL.whitelist_column(loan_table(spark, sf_dir), "tendencia_ingresos", P.TREND_LEVELS),
+                         "tendencia_ingresos", P.TREND_LEVELS, "tendencia_rank")
+    return df.groupBy("tendencia_ingresos", "tendencia_rank").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("p_label_map")
+def q_label_map(spark, sf_dir):
+    """Map the target codes to labels and count them."""
+    df = PR.map_labels(loan_table(spark, sf_dir), "Pago_atiempo", P.LABELS, out="etiqueta")
+    return df.groupBy("etiqueta").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("p_cast_columns")
+def q_cast_columns(spark, sf_dir):
+    """Int -> double casts and a lenient cast of the dirty trend column."""
+    df = PR.cast_columns(loan_table(spark, sf_dir), {"salario_cliente": "double", "plazo_meses": "double",
+                                                     "tendencia_ingresos": "int"}, lenient=True)
+    return df.agg(F.sum("plazo_meses").alias("sum_plazo"), F.count("tendencia_ingresos").alias("n_numeric_trend"),
+                  F.max("tendencia_ingresos").alias("max_numeric_trend"))
+
+
+# =========================================================================== filters
+
+@register("f_range_filter_report")
+def q_range_filter_report(spark, sf_dir):
+    """rows before/after the null-keeping range filter."""
+    return FL.range_filter_report(loan_table(spark, sf_dir), P.RANGE_BOUNDS)
+
+
+@register("f_range_filtered_rows")
+def q_range_filtered_rows(spark, sf_dir):
+    """F1: the filtered rows themselves (key, age, score)."""
+    return filtered_loans(spark, sf_dir).select("loan_id", "edad_cliente", "puntaje_datacredito")
+
+
+@register("f_complete_case")
+def q_complete_case(spark, sf_dir):
+    """F2 + P1: the complete-case preset (drop seven columns, drop incomplete rows)."""
+    return D.complete_case(loan_table(spark, sf_dir)).drop("fecha_prestamo")
+
+
+@register("f_arrears_rows")
+def q_arrears_rows(spark, sf_dir):
+    """threshold filter (loans with an arrears balance)."""
+    return loan_table(spark, sf_dir).where(F.col("saldo_mora") > 0).select("loan_id", "saldo_mora",
+                                                                          "puntaje_datacredito")
+
+
+@register("f_clip_tail_p99")
+def q_clip_tail(spark, sf_dir):
+    """keep rows at or below each column's exact p99 (one column at a time)."""
+    df = loan_table(spark, sf_dir)
+    cols = ["salario_cliente", "total_otros_prestamos", "saldo_total", "saldo_mora"]
+    out = None
+    for c in cols:
+        kept = FL.clip_tail(df, [c], 0.99).agg(F.count(F.lit(1)).alias("n_kept"), F.max(c).alias("max_kept"))
+        kept = kept.select(F.lit(c).alias("variable"), "n_kept", r6("max_kept").alias("max_kept"))
+        out = kept if out is None else out.unionByName(kept)
+    return out
+
+
+@register("f_defaulters_by_type")
+def q_defaulters_by_type(spark, sf_dir):
+    """membership filter (defaulted loans of the main credit types)."""
+    df = FL.is_in(FL.is_in(loan_table(spark, sf_dir), "Pago_atiempo", [0]), "tipo_credito", [1, 2, 3])
+    return df.groupBy("tipo_credito").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("f_domain_rules")
+def q_domain_rules(spark, sf_dir):
+    """domain-rule violation counts."""
+    return FL.check_rules(loan_table(spark, sf_dir), P.DOMAIN_RULES).withColumn(
+        "pct_violations", r6("pct_violations"))
+
+
+@register("f_enforce_schema")
+def q_enforce_schema(spark, sf_dir):
+    """enforce the scoring schema on the loans; accepted vs rejected rows."""
+    from riskframe.plans.scoring import SCORING_SCHEMA
+
+    acc, rej = FL.enforce_schema(D.base_pipeline(filtered_loans(spark, sf_dir)).drop("Pago_atiempo")
+                                 .withColumn("edad_cliente", F.col("edad_cliente").cast("double")), SCORING_SCHEMA)
+    return (acc.agg(F.count(F.lit(1)).alias("n")).select(F.lit("accepted").alias("status"), "n")
+            .unionByName(rej.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected").alias("status"), "n")))
+
+
+# =========================================================================== quality
+
+@register("q_null_counts")
+def q_null_counts(spark, sf_dir):
+    """Q1: null count for every column of the loan table."""
+    return Q.null_counts(loan_table(spark, sf_dir))
+
+
+@register("q_null_pct")
+def q_null_pct(spark, sf_dir):
+    """Q2: null share per column, highest first."""
+    return Q.null_pct(loan_table(spark, sf_dir)).withColumn("pct_null", r6("pct_null"))
+
+
+@register("q_high_null_columns")
+def q_high_null(spark, sf_dir):
+    """Q3: columns with more than 15% nulls (after whitelisting the trend)."""
+    df = FL.whitelist_column(loan_table(spark, sf_dir), "tendencia_ingresos", P.TREND_LEVELS)
+    return Q.high_null_columns(df, 0.15).withColumn("pct_null", r6("pct_null"))
+
+
+@register("q_zero_counts")
+def q_zero_counts(spark, sf_dir):
+    """Q4: zero count per numeric column."""
+    return Q.zero_counts(loan_table(spark, sf_dir), RAW_NUMERIC)
+
+
+@register("q_sentinel_scan")
+def q_sentinel_scan(spark, sf_dir):
+    """Q5: disguised-null markers per column (all columns reported)."""
+    cols = [c for c in LOAN_COLUMNS if c != "fecha_prestamo"]
+    out = Q.sentinel_scan(loan_table(spark, sf_dir), cols, only_hits=False)
+    return out.select("variable", "n_hits", F.array_join("hits", ",").alias("hits"))
+
+
+@register("q_distinct_values")
+def q_distinct_values(spark, sf_dir):
+    """Q6: distinct values of the discrete columns."""
+    cols = ["tipo_credito", "tipo_laboral", "tendencia_ingresos", "plazo_meses", "huella_consulta", "Pago_atiempo"]
+    return Q.distinct_values(loan_table(spark, sf_dir), cols)
+
+
+@register("q_distinct_counts")
+def q_distinct_counts(spark, sf_dir):
+    """Q6: number of distinct non-null values per column."""
+    return Q.distinct_counts(loan_table(spark, sf_dir), [c for c in LOAN_COLUMNS if c != "fecha_prestamo"])
+
+
+@register("q_value_counts")
+def q_value_counts(spark, sf_dir):
+    """Q7: value counts with shares of the categorical columns (nulls kept)."""
+    df = FL.whitelist_column(loan_table(spark, sf_dir), "tendencia_ingresos", P.TREND_LEVELS)
+    out = Q.value_counts(df, ["tipo_credito", "tipo_laboral", "tendencia_ingresos", "Pago_atiempo"],
+                         dropna=False, normalize=True)
+    return out.withColumn("share", r6("share"))
+
+
+@register("q_fit_medians")
+def q_fit_medians(spark, sf_dir):
+    """Q8 fit: exact medians of the four imputed columns on the filtered loans."""
+    return Q.fit_medians(filtered_loans(spark, sf_dir), P.IMPUTE_COLUMNS)
+
+
+@register("d_base_pipeline")
+def q_base_pipeline(spark, sf_dir):
+    """Q8 + D1 + D2 + D9 + P1: filter, drop, impute, derive, drop."""
+    return clean_loans(spark, sf_dir).withColumn("ratio_capital_salario", r6("ratio_capital_salario"))

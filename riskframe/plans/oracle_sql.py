@@ -110,3 +110,188 @@ SELECT grupo_edad,
   CAST(avg(CASE WHEN tamano_credito = 'Mediano' THEN {rate()} END) * 100 AS DOUBLE) AS "Mediano",
   CAST(avg(CASE WHEN tamano_credito = 'Grande' THEN {rate()} END) * 100 AS DOUBLE) AS "Grande"
 FROM banded WHERE grupo_edad IS NOT NULL GROUP BY grupo_edad""")
+
+
+# ----------------------------------------------------------------- shared fragments
+
+SEED = 42
+
+
+def mix(key: str = "loan_id", seed: int = SEED, salt: str | None = None) -> str:
+    s = f"({key} * 2654435761 + {seed}" + (f" + {salt} * 40503" if salt else "") + ")"
+    return f"({s} % 4294967296)"
+
+
+SPLIT = f""",
+ranked AS (
+  SELECT c.*, row_number() OVER (PARTITION BY Pago_atiempo ORDER BY {mix()}, loan_id) - 1 AS __r,
+         count(*) OVER (PARTITION BY Pago_atiempo) AS __n
+  FROM clean c
+),
+split AS (SELECT * EXCLUDE (__r, __n), CASE WHEN __r < round(__n * 0.2) THEN 'test' ELSE 'train' END AS split
+          FROM ranked),
+train AS (SELECT * EXCLUDE (split) FROM split WHERE split = 'train'),
+test AS (SELECT * EXCLUDE (split) FROM split WHERE split = 'test')"""
+
+
+def rules_sql(t: dict | None = None) -> tuple[str, str, str]:
+    """(prediction, rule_hit, rule_count) CASE expressions of the rule model."""
+    t = t or {"puntaje_muy_bajo": 600.0, "puntaje_moderado": 750.0, "puntaje_independiente": 700.0,
+              "edad_joven": 30, "ratio_alto": 3.0, "huella_alta": 8}
+    r = [
+        "coalesce(tiene_mora = 1, false)",
+        f"coalesce(puntaje_datacredito < {t['puntaje_muy_bajo']}, false)",
+        f"coalesce(edad_cliente < {t['edad_joven']} AND ratio_capital_salario > {t['ratio_alto']}, false)",
+        f"coalesce(huella_consulta > {t['huella_alta']} AND puntaje_datacredito < {t['puntaje_moderado']}, false)",
+        f"coalesce(tipo_laboral = 'Independiente' AND puntaje_datacredito < {t['puntaje_independiente']}, false)",
+    ]
+    pred = "CAST(CASE WHEN " + " OR ".join(r) + " THEN 0 ELSE 1 END AS INTEGER)"
+    hit = "CAST(CASE " + " ".join(f"WHEN {c} THEN {i + 1}" for i, c in enumerate(r)) + " ELSE 0 END AS INTEGER)"
+    cnt = "CAST(" + " + ".join(f"CAST({c} AS INTEGER)" for c in r) + " AS INTEGER)"
+    return pred, hit, cnt
+
+
+PRED, HIT, CNT = rules_sql()
+
+
+# ----------------------------------------------------------------- part 1: sources, filters, quality
+
+LOAN_COLUMNS = ["loan_id", "tipo_credito", "fecha_prestamo", "capital_prestado", "plazo_meses", "cuota_pactada",
+                "edad_cliente", "tipo_laboral", "salario_cliente", "puntaje", "puntaje_datacredito",
+                "promedio_ingresos_datacredito", "tendencia_ingresos", "huella_consulta", "total_otros_prestamos",
+                "cant_creditosvigentes", "creditos_sectorFinanciero", "creditos_sectorCooperativo",
+                "creditos_sectorReal", "saldo_total", "saldo_principal", "saldo_mora", "saldo_mora_codeudor",
+                "Pago_atiempo"]
+STRING_COLUMNS = {"tipo_laboral", "tendencia_ingresos"}
+RAW_NUMERIC = ["capital_prestado", "plazo_meses", "cuota_pactada", "edad_cliente", "salario_cliente", "puntaje",
+               "puntaje_datacredito", "promedio_ingresos_datacredito", "huella_consulta", "total_otros_prestamos",
+               "cant_creditosvigentes", "creditos_sectorFinanciero", "creditos_sectorCooperativo",
+               "creditos_sectorReal", "saldo_total", "saldo_principal", "saldo_mora", "saldo_mora_codeudor"]
+TREND = "CASE WHEN tendencia_ingresos IN ('Decreciente', 'Estable', 'Creciente') THEN tendencia_ingresos END"
+WL = f""",
+wl AS (SELECT * REPLACE ({TREND} AS tendencia_ingresos) FROM loans)"""
+
+
+def union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["s_loan_table"] = with_loans("SELECT * FROM loans")
+
+SQL["p_table_info"] = with_loans("\n" + union(
+    f"SELECT {i} AS position, '{c}' AS \"column\", count({c}) AS non_null FROM loans"
+    for i, c in enumerate(LOAN_COLUMNS)))
+
+SQL["p_head"] = with_loans("SELECT loan_id, tipo_credito, capital_prestado, Pago_atiempo FROM loans "
+                           "ORDER BY loan_id LIMIT 5")
+
+SQL["p_trend_ordinal"] = with_loans(WL + """
+SELECT tendencia_ingresos,
+  CAST(CASE tendencia_ingresos WHEN 'Decreciente' THEN 1 WHEN 'Estable' THEN 2 WHEN 'Creciente' THEN 3 END AS INTEGER)
+    AS tendencia_rank, count(*) AS n
+FROM wl GROUP BY 1, 2""")
+
+SQL["p_label_map"] = with_loans("""
+SELECT CASE Pago_atiempo WHEN 1 THEN 'Paga a tiempo' WHEN 0 THEN 'Mora' END AS etiqueta, count(*) AS n
+FROM loans GROUP BY 1""")
+
+SQL["p_cast_columns"] = with_loans("""
+SELECT sum(CAST(plazo_meses AS DOUBLE)) AS sum_plazo,
+       count(TRY_CAST(tendencia_ingresos AS INTEGER)) AS n_numeric_trend,
+       max(TRY_CAST(tendencia_ingresos AS INTEGER)) AS max_numeric_trend
+FROM loans""")
+
+SQL["f_range_filter_report"] = with_loans("""
+SELECT count(*) AS n_before, (SELECT count(*) FROM filtered) AS n_after,
+       count(*) - (SELECT count(*) FROM filtered) AS n_removed
+FROM loans""")
+
+SQL["f_range_filtered_rows"] = with_loans("SELECT loan_id, edad_cliente, puntaje_datacredito FROM filtered")
+
+_CC = [c for c in LOAN_COLUMNS if c not in ("fecha_prestamo", "puntaje", "cuota_pactada", "saldo_principal",
+                                            "cant_creditosvigentes", "promedio_ingresos_datacredito",
+                                            "tendencia_ingresos")]
+SQL["f_complete_case"] = with_loans(f"SELECT {', '.join(_CC)} FROM loans WHERE "
+                                    + " AND ".join(f"{c} IS NOT NULL" for c in _CC + ["fecha_prestamo"]))
+
+SQL["f_arrears_rows"] = with_loans("SELECT loan_id, saldo_mora, puntaje_datacredito FROM loans WHERE saldo_mora > 0")
+
+SQL["f_clip_tail_p99"] = with_loans("\n" + union(
+    f"SELECT '{c}' AS variable, count(*) AS n_kept, round(max({c}), 6) AS max_kept FROM loans "
+    f"WHERE {c} <= (SELECT quantile_cont({c}, 0.99) FROM loans)"
+    for c in ["salario_cliente", "total_otros_prestamos", "saldo_total", "saldo_mora"]))
+
+SQL["f_defaulters_by_type"] = with_loans("""
+SELECT tipo_credito, count(*) AS n FROM loans WHERE Pago_atiempo IN (0) AND tipo_credito IN (1, 2, 3)
+GROUP BY tipo_credito""")
+
+_RULES = [("age_18_100", "edad_cliente", "edad_cliente BETWEEN 18 AND 100"),
+          ("score_150_950", "puntaje_datacredito", "puntaje_datacredito BETWEEN 150 AND 950"),
+          ("salary_positive", "salario_cliente", "salario_cliente > 0"),
+          ("capital_300k_50m", "capital_prestado", "capital_prestado BETWEEN 300000 AND 50000000"),
+          ("term_1_90", "plazo_meses", "plazo_meses BETWEEN 1 AND 90")]
+SQL["f_domain_rules"] = with_loans("\n" + union(
+    f"SELECT '{r}' AS rule, '{c}' AS variable, count({c}) AS n_checked, "
+    f"CAST(sum(CASE WHEN {c} IS NOT NULL AND NOT ({cond}) THEN 1 ELSE 0 END) AS BIGINT) AS n_violations, "
+    f"count(*) - count({c}) AS n_null, "
+    f"round(sum(CASE WHEN {c} IS NOT NULL AND NOT ({cond}) THEN 1 ELSE 0 END) * 100.0 / nullif(count({c}), 0), 6)"
+    f" AS pct_violations FROM loans" for r, c, cond in _RULES))
+
+_SCORING = ["tipo_credito", "capital_prestado", "plazo_meses", "edad_cliente", "tipo_laboral", "salario_cliente",
+            "total_otros_prestamos", "puntaje_datacredito", "huella_consulta", "saldo_total",
+            "creditos_sectorFinanciero", "creditos_sectorCooperativo", "creditos_sectorReal", "tiene_mora",
+            "ratio_capital_salario"]
+SQL["f_enforce_schema"] = with_loans(f"""
+SELECT 'accepted' AS status, count(*) AS n FROM clean WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _SCORING)}
+UNION ALL
+SELECT 'rejected' AS status, count(*) AS n FROM clean WHERE NOT ({' AND '.join(f'{c} IS NOT NULL' for c in _SCORING)})""")
+
+SQL["q_null_counts"] = with_loans("\n" + union(
+    f"SELECT '{c}' AS variable, count(*) - count({c}) AS n_null FROM loans" for c in LOAN_COLUMNS))
+
+SQL["q_null_pct"] = with_loans("\n" + union(
+    f"SELECT '{c}' AS variable, count(*) - count({c}) AS n_null, count(*) AS n_rows, "
+    f"round((count(*) - count({c})) * 100.0 / count(*), 6) AS pct_null FROM loans" for c in LOAN_COLUMNS))
+
+SQL["q_high_null_columns"] = with_loans(WL + ",\nnp AS (" + union(
+    f"SELECT '{c}' AS variable, count(*) - count({c}) AS n_null, count(*) AS n_rows, "
+    f"round((count(*) - count({c})) * 100.0 / count(*), 6) AS pct_null FROM wl" for c in LOAN_COLUMNS)
+    + ")\nSELECT * FROM np WHERE pct_null > 15")
+
+SQL["q_zero_counts"] = with_loans("\n" + union(
+    f"SELECT '{c}' AS variable, CAST(sum(CASE WHEN {c} = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_zero FROM loans"
+    for c in RAW_NUMERIC))
+
+_SENT_S = "('', ' ', 'NA', 'N/A', 'n/a', 'na', 'NULL', 'null', 'None', 'none', '-', '--', '?', 'unknown', 'Unknown')"
+_SENT_N = "(-1, -999, -9999, 99999)"
+
+
+def _sentinel(c: str) -> str:
+    cond = f"{c} IN {_SENT_S if c in STRING_COLUMNS else _SENT_N}"
+    return (f"SELECT '{c}' AS variable, CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS n_hits, "
+            f"coalesce(array_to_string(list_sort(list_distinct(list(CAST({c} AS VARCHAR)) FILTER (WHERE {cond}))), ','), '')"
+            f" AS hits FROM loans")
+
+
+SQL["q_sentinel_scan"] = with_loans("\n" + union(_sentinel(c) for c in LOAN_COLUMNS if c != "fecha_prestamo"))
+
+SQL["q_distinct_values"] = with_loans("\n" + union(
+    f"SELECT DISTINCT '{c}' AS variable, CAST({c} AS VARCHAR) AS value FROM loans"
+    for c in ["tipo_credito", "tipo_laboral", "tendencia_ingresos", "plazo_meses", "huella_consulta", "Pago_atiempo"]))
+
+SQL["q_distinct_counts"] = with_loans("\n" + union(
+    f"SELECT '{c}' AS variable, count(DISTINCT {c}) AS n_distinct FROM loans"
+    for c in LOAN_COLUMNS if c != "fecha_prestamo"))
+
+SQL["q_value_counts"] = with_loans(WL + ",\nvc AS (" + union(
+    f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM wl GROUP BY 2"
+    for c in ["tipo_credito", "tipo_laboral", "tendencia_ingresos", "Pago_atiempo"]) + """)
+SELECT variable, value, count, round(count / sum(count) OVER (PARTITION BY variable), 6) AS share FROM vc""")
+
+SQL["q_fit_medians"] = with_loans("""
+SELECT quantile_cont(saldo_mora, 0.5) AS saldo_mora, quantile_cont(saldo_total, 0.5) AS saldo_total,
+       quantile_cont(saldo_mora_codeudor, 0.5) AS saldo_mora_codeudor,
+       quantile_cont(puntaje_datacredito, 0.5) AS puntaje_datacredito
+FROM filtered""")
+
+SQL["d_base_pipeline"] = with_loans("SELECT * REPLACE (round(ratio_capital_salario, 6) AS ratio_capital_salario) FROM clean")
