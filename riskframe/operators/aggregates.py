@@ -16,6 +16,46 @@ from riskframe.operators.projection import columns_of_type
 from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, exact_quantiles, unpivot_numeric
 
 
+def _keys_present(keys: Sequence[str]) -> F.Column:
+    """All group keys non-null (pandas ``groupby`` drops null keys)."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(var_a, var_b, corr): Pearson r of each pair over the rows where both are
+    present (pandas' pairwise-complete ``corr``).
+
+    Each row is expanded to one (pair, x, y) triple per pair and reduced with
+    plain sums grouped by pair: partial aggregation leaves one row per pair per
+    task before the shuffle, and the generated code stays small (one wide
+    aggregate with hundreds of moments compiles slowly and falls out of codegen).
+    Values are centred by the fitted column means, so the moment formula does
+    not cancel on large money values. A zero variance gives NaN, as in pandas
+    (Spark's ``corr`` raises under ANSI there)."""
+    names = sorted({c for p in pairs for c in p})
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first().asDict()  # fitted
+    cen = df.select(*[(F.col(c).cast("double") - F.lit(means[c] if means[c] is not None else 0.0)).alias(c)
+                      for c in names])
+    arr = F.array(*[F.struct(F.lit(k).alias("p"), F.col(a).alias("x"), F.col(b).alias("y"))
+                    for k, (a, b) in enumerate(pairs)])
+    x, y = F.col("x"), F.col("y")
+    trip = cen.select(F.inline(arr)).where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y))
+    g = trip.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
+                              F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    vx, vy = F.col("sxx") - sx * sx / n, F.col("syy") - sy * sy / n
+    cxy = F.col("sxy") - sx * sy / n
+    r = (F.when(n < 2, F.lit(None).cast("double"))
+         .when((vx <= 0) | (vy <= 0), F.lit(float("nan")))
+         .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cxy / F.sqrt(vx * vy)))))
+    names_tbl = df.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)],
+                                                "p int, var_a string, var_b string")
+    return names_tbl.join(g.select("p", r.alias("corr")), "p", "left").select("var_a", "var_b", "corr")
+
+
 def _event(target: str, event) -> F.Column:
     return F.when(F.col(target) == event, 1.0).otherwise(0.0)
 
@@ -30,7 +70,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, group_by:
     cols = list(cols) if cols is not None else columns_of_type(df, "numeric", exclude=keys)
     long = unpivot_numeric(df, cols, keys)
     if keys:
-        long = long.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False))
+        long = long.where(_keys_present(keys))
     gk = keys + ["variable"]
     moments = long.groupBy(*gk).agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
@@ -79,28 +119,22 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], group_by:
 # ---------------------------------------------------------------- correlation
 
 def corr_with(df: DataFrame, target: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """A5: Pearson correlation of each numeric column with ``target`` (pairwise
-    complete), one aggregate."""
+    """A5: Pearson correlation of each numeric column with ``target`` (pairwise complete)."""
     cols = list(cols) if cols is not None else columns_of_type(df, "numeric", exclude=[target])
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"c{i}")
-                   for i, c in enumerate(cols)])
-    packed = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"c{i}").alias("corr")) for i, c in enumerate(cols)])
-    return one.select(F.inline(packed))
+    return pairwise_corr(df, [(c, target) for c in cols]).select(F.col("var_a").alias("variable"), "corr")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Full Pearson matrix as (var_a, var_b, corr), pairwise complete, from
-    n(n+1)/2 ``corr`` aggregates in ONE pass; mirrored rows are projections."""
+    """Full Pearson matrix as (var_a, var_b, corr), pairwise complete, from the
+    n(n+1)/2 distinct pairs in one pass; mirrored cells are a projection."""
     cols = list(cols) if cols is not None else columns_of_type(df, "numeric")
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    one = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r{i}_{j}")
-                   for i, j in pairs])
-    structs = []
-    for i, j in pairs:
-        structs.append(F.struct(F.lit(cols[i]).alias("var_a"), F.lit(cols[j]).alias("var_b"), F.col(f"r{i}_{j}").alias("corr")))
-        if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("var_a"), F.lit(cols[i]).alias("var_b"), F.col(f"r{i}_{j}").alias("corr")))
-    return one.select(F.inline(F.array(*structs)))
+    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i, len(cols))]
+    half = pairwise_corr(df, pairs)
+    a, b, r = F.col("var_a"), F.col("var_b"), F.col("corr")
+    cells = F.when(a == b, F.array(F.struct(a.alias("var_a"), b.alias("var_b"), r.alias("corr")))).otherwise(
+        F.array(F.struct(a.alias("var_a"), b.alias("var_b"), r.alias("corr")),
+                F.struct(b.alias("var_a"), a.alias("var_b"), r.alias("corr"))))
+    return half.select(F.inline(cells))
 
 
 def redundant_pairs(df: DataFrame, cols: Sequence[str] | None = None, threshold: float = 0.7) -> DataFrame:
@@ -130,7 +164,7 @@ def event_rate(df: DataFrame, keys: Sequence[str], target: str, event=0) -> Data
     """Share of ``target == event`` x100 with counts; no keys = overall.
     Null keys are dropped, as pandas ``groupby`` does."""
     keys = list(keys)
-    src = df.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False)) if keys else df
+    src = df.where(_keys_present(keys)) if keys else df
     return src.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total"),
         F.sum(_event(target, event)).cast("long").alias("n_event"),
@@ -197,7 +231,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), whis
     keys = list(keys)
     long = unpivot_numeric(df, cols, keys)
     if keys:
-        long = long.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False))
+        long = long.where(_keys_present(keys))
     gk = keys + ["variable"]
     qs = exact_quantiles(long, gk, "value", [0.25, 0.5, 0.75], n_buckets)
     qw = qs.groupBy(*gk).agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(n)

@@ -11,12 +11,19 @@ instead:
    known range of a hash);
 2. count rows per (group, bucket): a partial/final hash aggregate whose output
    is bounded by groups x buckets;
-3. turn those counts into exclusive offsets with a window over that small
-   table;
+3. turn those counts into exclusive offsets (a window over that small table);
 4. run the per-row window only inside (group, bucket), which spreads a hot group
    over ``n_buckets`` tasks, and add the bucket's offset.
 
-Quantiles only rank the rows of the few buckets that contain the wanted ranks.
+Quantiles only look at the buckets that hold the wanted ranks, and there they
+first collapse rows to (value, count), so a value repeated a billion times is
+one row.
+
+Small intermediate tables (bounds, bucket counts) are materialised once, like
+an estimator's ``fit``: collected when bounded (at most ``SMALL_ROWS`` rows) or
+else written with a reliable ``checkpoint`` to the cluster's checkpoint folder.
+This keeps every final plan to a single reference of the input (a DataFrame
+referenced twice is planned, and scanned, twice).
 """
 
 from __future__ import annotations
@@ -29,10 +36,22 @@ from pyspark.sql import functions as F
 from riskframe.functions.exprs import col_of
 
 DEFAULT_BUCKETS = 1024
+SMALL_ROWS = 50_000
 
 _TMP = "__rf_"
 
 
+def materialize_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Compute a small table once. Bounded results come back as a local relation
+    (its size is known to the planner, so joins with it broadcast); larger ones
+    are checkpointed to the shared checkpoint folder instead of the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    from riskframe.session import cut_lineage
+    return cut_lineage(df)
+
+
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = (), broadcast: bool = False) -> DataFrame:
     """Attach per-group statistics to every row of ``df``.
 
@@ -55,6 +74,11 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = (), broadcast:
     return df.join(right, cond, "inner").drop(*renamed.values())
 
 
+def attach_values(df: DataFrame, values: dict[str, object]) -> DataFrame:
+    """Attach already-computed scalars (a fitted state) as literal columns."""
+    return df.select("*", *[F.lit(v).alias(k) for k, v in values.items()])
+
+
 def _bucket_expr(t: Column, lo: Column, hi: Column, n_buckets: int) -> Column:
     width = hi - lo
     raw = F.floor((t - lo) / width * n_buckets)
@@ -67,8 +91,8 @@ def bucketize(df: DataFrame, keys: Sequence[str], lead, n_buckets: int = DEFAULT
               known_range: tuple[float, float] | None = None, out: str = f"{_TMP}b") -> DataFrame:
     """Add an order-preserving bucket id of ``lead`` within each group of ``keys``.
 
-    ``known_range`` (for hashes) skips the per-group min/max pass.
-    """
+    ``known_range`` (for hashes) skips the per-group min/max pass; otherwise the
+    bounds (one row per group) are computed once and joined back."""
     lead = col_of(lead).cast("double")
     if known_range is not None:
         lo, hi = known_range
@@ -76,20 +100,24 @@ def bucketize(df: DataFrame, keys: Sequence[str], lead, n_buckets: int = DEFAULT
     t_name, lo_name, hi_name = f"{_TMP}t", f"{_TMP}lo", f"{_TMP}hi"
     t = F.asinh(lead)
     df = df.withColumn(t_name, F.when(~F.isnan(t), t))
-    bounds = df.groupBy(*keys).agg(F.min(t_name).alias(lo_name), F.max(t_name).alias(hi_name))
-    df = attach(df, bounds, keys)
+    bounds = materialize_small(df.groupBy(*keys).agg(F.min(t_name).alias(lo_name), F.max(t_name).alias(hi_name)))
+    df = attach(df, bounds, keys) if keys else attach_values(df, bounds.first().asDict())
     return (df.withColumn(out, _bucket_expr(F.col(t_name), F.col(lo_name), F.col(hi_name), n_buckets))
             .drop(t_name, lo_name, hi_name))
 
 
 def _offsets(bucketed: DataFrame, keys: Sequence[str], bucket: str, sums: dict[str, Column]) -> DataFrame:
-    """Exclusive running totals per bucket (a groups x buckets table)."""
-    totals = bucketed.groupBy(*keys, bucket).agg(*[agg.alias(name) for name, agg in sums.items()])
+    """Exclusive running totals per bucket: a groups x buckets table, computed once."""
+    totals = materialize_small(bucketed.groupBy(*keys, bucket).agg(*[agg.alias(name) for name, agg in sums.items()]))
     w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(*keys, bucket, *[F.coalesce(F.sum(name).over(w), F.lit(0)).alias(f"{name}_off")
                                           for name in sums] + [F.col(name) for name in sums])
 
 
+def _join_offsets(df: DataFrame, offs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return attach(df, offs, keys, broadcast=offs.isLocal())
+
+
 def with_row_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
                   rank_col: str = "row_rank", n_buckets: int = DEFAULT_BUCKETS,
                   known_range: tuple[float, float] | None = None) -> DataFrame:
@@ -103,7 +131,7 @@ def with_row_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     offs = _offsets(bucketed, keys, b, {f"{_TMP}n": F.count(F.lit(1))})
     local = bucketed.withColumn(
         rank_col, F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)) - 1)
-    joined = attach(local, offs.select(*keys, b, f"{_TMP}n_off"), keys + [b])
+    joined = _join_offsets(local, offs.select(*keys, b, f"{_TMP}n_off"), keys + [b])
     return joined.withColumn(rank_col, (F.col(rank_col) + F.col(f"{_TMP}n_off")).cast("long")).drop(
         b, f"{_TMP}n_off")
 
@@ -120,7 +148,7 @@ def running_totals(df: DataFrame, partition_by: Sequence[str], order_col: str, s
     offs = _offsets(bucketed, keys, b, sums)
     w = Window.partitionBy(*keys, b).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     local = bucketed.select("*", *[F.sum(c).over(w).alias(f"{_TMP}l{i}") for i, c in enumerate(sum_cols)])
-    joined = attach(local, offs.select(*keys, b, *[f"{n}_off" for n in sums]), keys + [b])
+    joined = _join_offsets(local, offs.select(*keys, b, *[f"{n}_off" for n in sums]), keys + [b])
     out = joined.select("*", *[(F.col(f"{_TMP}l{i}") + F.col(f"{_TMP}s{i}_off")).alias(f"{prefix}{c}")
                                for i, c in enumerate(sum_cols)])
     return out.drop(b, *[f"{_TMP}l{i}" for i in range(len(sum_cols))], *[f"{n}_off" for n in sums])
@@ -142,7 +170,8 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequen
     ``percentile``, DuckDB ``quantile_cont``) of ``value`` per group of ``keys``.
 
     Returns (keys..., q double, quantile double, n long). Nulls must already be
-    removed. Only the buckets containing the wanted ranks are ranked.
+    removed. Only the buckets containing the wanted ranks are read back, and
+    there rows collapse to (value, count) before any window.
     """
     keys = list(keys)
     b = f"{_TMP}b"
@@ -157,21 +186,30 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequen
                .withColumn("r_hi", F.ceil("pos").cast("long"))
                .withColumn("frac", F.col("pos") - F.col("r_lo")))
     ranks = targets.select(*keys, "q", F.explode(F.array_distinct(F.array("r_lo", "r_hi"))).alias("r"))
-    # which bucket holds rank r: off <= r < off + cnt (join on the group, bounded by buckets x 2|qs|)
-    located = (attach(ranks, offs, keys)
-               .where((F.col("r") >= F.col(f"{n_col}_off")) & (F.col("r") < F.col(f"{n_col}_off") + F.col(n_col)))
-               .select(*keys, "q", "r", b, F.col(f"{n_col}_off").alias("off")))
+    # which bucket holds rank r: off <= r < off + cnt (small x small, per group)
+    located = materialize_small(
+        attach(ranks, offs, keys)
+        .where((F.col("r") >= F.col(f"{n_col}_off")) & (F.col("r") < F.col(f"{n_col}_off") + F.col(n_col)))
+        .select(*keys, "q", "r", b, F.col(f"{n_col}_off").alias("off")))
     needed = located.select(*keys, b).distinct()
-    rows = attach(bucketed, needed.withColumn(f"{_TMP}hit", F.lit(True)), keys + [b])
-    ranked = rows.withColumn("lr", F.row_number().over(Window.partitionBy(*keys, b).orderBy(value)) - 1)
-    picked = attach(ranked.select(*keys, b, "lr", value), located, keys + [b]).where(
-        F.col("lr") + F.col("off") == F.col("r"))
+    rows = _semi(bucketed, needed, keys + [b])
+    dv = rows.groupBy(*keys, b, value).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(*keys, b).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    dv = dv.withColumn("hi_r", F.sum("c").over(w)).withColumn("lo_r", F.col("hi_r") - F.col("c"))
+    picked = _join_offsets(dv, located, keys + [b]).where(
+        (F.col("r") >= F.col("off") + F.col("lo_r")) & (F.col("r") < F.col("off") + F.col("hi_r")))
     vals = picked.groupBy(*keys, "q").agg(F.map_from_entries(F.collect_list(F.struct("r", value))).alias("m"))
     res = attach(targets, vals, keys + ["q"])
     lo_v, hi_v = F.element_at("m", F.col("r_lo")), F.element_at("m", F.col("r_hi"))
     return res.select(*keys, "q", (lo_v + (hi_v - lo_v) * F.col("frac")).alias("quantile"), "n")
 
 
+def _semi(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose (non-null) keys appear in ``small``."""
+    right = F.broadcast(small) if small.isLocal() else small
+    return df.join(right, list(keys), "left_semi")
+
+
 def quantile_table(df: DataFrame, cols: Sequence[str], qs: Sequence[float], group_by: Sequence[str] = (),
                    n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Long table (group..., variable, q, quantile, n) for several columns in one plan."""
@@ -179,9 +217,18 @@ def quantile_table(df: DataFrame, cols: Sequence[str], qs: Sequence[float], grou
     return exact_quantiles(long, list(group_by) + ["variable"], "value", qs, n_buckets)
 
 
+def quantile_values(df: DataFrame, cols: Sequence[str], q: float, n_buckets: int = DEFAULT_BUCKETS) -> dict:
+    """Fit-style: the exact ``q`` quantile of each column as Python floats
+    (None for an all-null column)."""
+    t = quantile_table(df, cols, [q], n_buckets=n_buckets).select("variable", "quantile").collect()
+    got = {r["variable"]: r["quantile"] for r in t}
+    return {c: got.get(c) for c in cols}
+
+
 def quantile_row(df: DataFrame, cols: Sequence[str], q: float, prefix: str = "",
                  n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One-row wide DataFrame ``{prefix}{col}`` = exact quantile ``q`` of each column."""
-    t = quantile_table(df, cols, [q], n_buckets=n_buckets)
-    wide = t.groupBy().pivot("variable", list(cols)).agg(F.first("quantile"))
-    return wide.select(*[F.col(c).cast("double").alias(f"{prefix}{c}") for c in cols])
+    """One-row DataFrame ``{prefix}{col}`` = exact quantile ``q`` of each column,
+    computed now (a fitted state) and held as a local relation."""
+    vals = quantile_values(df, cols, q, n_buckets)
+    schema = ", ".join(f"`{prefix}{c}` double" for c in cols)
+    return df.sparkSession.createDataFrame([tuple(vals[c] for c in cols)], schema)

@@ -252,3 +252,186 @@ def q_fit_medians(spark, sf_dir):
 def q_base_pipeline(spark, sf_dir):
     """Q8 + D1 + D2 + D9 + P1: filter, drop, impute, derive, drop."""
     return clean_loans(spark, sf_dir).withColumn("ratio_capital_salario", r6("ratio_capital_salario"))
+
+
+# =========================================================================== aggregates
+
+def _round_cols(df, cols):
+    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("a_describe_numeric")
+def q_describe_numeric(spark, sf_dir):
+    """A1: describe every numeric feature of the cleaned loans (exact quantiles)."""
+    out = A.describe_numeric(clean_loans(spark, sf_dir), CLEAN_NUMERIC)
+    return _round_cols(out, ["mean", "std", "p25", "p50", "p75"])
+
+
+@register("a_describe_categorical")
+def q_describe_categorical(spark, sf_dir):
+    """A2: count / unique / top / freq of the categorical columns."""
+    df = eda_frame(spark, sf_dir).withColumn("tipo_credito", F.col("tipo_credito").cast("string"))
+    return A.describe_categorical(df, ["tipo_credito", "tipo_laboral", "tendencia_ingresos"])
+
+
+@register("a_describe_by")
+def q_describe_by(spark, sf_dir):
+    """A3: score distribution by arrears flag (computed on raw balances)."""
+    out = A.describe_by(eda_frame(spark, sf_dir), "tiene_mora", "puntaje_datacredito")
+    return _round_cols(out, ["mean", "std", "p25", "p50", "p75"])
+
+
+@register("a_quantiles")
+def q_quantiles(spark, sf_dir):
+    """A4: exact quantiles of money columns."""
+    out = A.quantiles(clean_loans(spark, sf_dir), ["capital_prestado", "salario_cliente", "saldo_total"],
+                      [0.01, 0.1, 0.5, 0.9, 0.99])
+    return _round_cols(out, ["quantile"])
+
+
+@register("a_quantiles_approx")
+def q_quantiles_approx(spark, sf_dir):
+    """A4 at-scale option: one-pass ``percentile_approx`` (no exact oracle)."""
+    return A.quantiles(clean_loans(spark, sf_dir), ["capital_prestado", "salario_cliente", "saldo_total"],
+                       [0.01, 0.1, 0.5, 0.9, 0.99], approx=True)
+
+
+@register("a_corr_with_target")
+def q_corr_with_target(spark, sf_dir):
+    """A5: Pearson correlation of each raw numeric column with the target."""
+    return _round_cols(A.corr_with(loan_table(spark, sf_dir), P.TARGET, RAW_NUMERIC), ["corr"])
+
+
+@register("a_corr_matrix")
+def q_corr_matrix(spark, sf_dir):
+    """Pairwise-complete correlation matrix of the cleaned numeric features."""
+    return _round_cols(A.corr_matrix(clean_loans(spark, sf_dir), CLEAN_NUMERIC), ["corr"])
+
+
+@register("a_redundant_pairs")
+def q_redundant_pairs(spark, sf_dir):
+    """Raw column pairs with |r| >= 0.7."""
+    return _round_cols(A.redundant_pairs(loan_table(spark, sf_dir), RAW_NUMERIC, 0.7), ["corr"])
+
+
+@register("a_leakage")
+def q_leakage(spark, sf_dir):
+    """Columns with |corr with target| > 0.9 (leakage)."""
+    return _round_cols(A.leakage_candidates(loan_table(spark, sf_dir), P.TARGET, RAW_NUMERIC, 0.9), ["corr"])
+
+
+@register("a_count_pivot_quadrant")
+def q_count_pivot(spark, sf_dir):
+    """A8 + D6: counts by median quadrant x target."""
+    return A.count_pivot(D.add_quadrant(eda_frame(spark, sf_dir)), "grupo_riesgo", P.TARGET, [0, 1])
+
+
+@register("a_rate_by_job")
+def q_rate_by_job(spark, sf_dir):
+    """Default rate by employment type."""
+    return _round_cols(A.event_rate(eda_frame(spark, sf_dir), ["tipo_laboral"], P.TARGET, P.EVENT), ["rate"])
+
+
+@register("a_rate_job_x_inquiry")
+def q_rate_job_inquiry(spark, sf_dir):
+    """A10: default rate by employment type x inquiry band."""
+    df = D.add_band(eda_frame(spark, sf_dir), "huella_consulta", P.INQUIRY_EDGES, P.INQUIRY_LABELS, "huella_cat")
+    out = A.event_rate_pivot(df, "tipo_laboral", "huella_cat", P.INQUIRY_LABELS, P.TARGET, P.EVENT)
+    return _round_cols(out, P.INQUIRY_LABELS)
+
+
+@register("a_rate_age_x_job")
+def q_rate_age_job(spark, sf_dir):
+    """A10: default rate by age band x employment type."""
+    df = D.add_band(eda_frame(spark, sf_dir), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS, "grupo_edad")
+    out = A.event_rate_pivot(df, "grupo_edad", "tipo_laboral", ["Empleado", "Independiente"], P.TARGET, P.EVENT)
+    return _round_cols(out, ["Empleado", "Independiente"])
+
+
+@register("a_overall_rate")
+def q_overall_rate(spark, sf_dir):
+    """Overall default rate."""
+    return _round_cols(A.event_rate(loan_table(spark, sf_dir), [], P.TARGET, P.EVENT), ["rate"])
+
+
+@register("a_crosstab")
+def q_crosstab(spark, sf_dir):
+    """Credit type x target, absolute."""
+    return A.crosstab(loan_table(spark, sf_dir), "tipo_credito", P.TARGET, [0, 1], prefix="y_")
+
+
+@register("a_crosstab_pct")
+def q_crosstab_pct(spark, sf_dir):
+    """Credit type x target, row percent."""
+    out = A.crosstab_pct(loan_table(spark, sf_dir), "tipo_credito", P.TARGET, [0, 1], prefix="pct_")
+    return _round_cols(out, ["pct_0", "pct_1"])
+
+
+@register("a_histogram")
+def q_histogram(spark, sf_dir):
+    """40-bin equal-width histograms of every cleaned numeric feature."""
+    return A.histogram(clean_loans(spark, sf_dir), CLEAN_NUMERIC, 40)
+
+
+@register("a_histogram_by_class")
+def q_histogram_by_class(spark, sf_dir):
+    """50-bin histograms split by target."""
+    out = A.histogram(clean_loans(spark, sf_dir), ["capital_prestado", "edad_cliente", "puntaje_datacredito"], 50,
+                      by=P.TARGET)
+    return _round_cols(out, ["bin_lo", "bin_hi"])
+
+
+@register("a_box_stats")
+def q_box_stats(spark, sf_dir):
+    """Box-plot numbers of every cleaned feature by target."""
+    out = A.box_stats(clean_loans(spark, sf_dir), CLEAN_NUMERIC, [P.TARGET])
+    return _round_cols(out, ["q1", "median", "q3", "iqr"])
+
+
+@register("a_class_ratio")
+def q_class_ratio(spark, sf_dir):
+    """Majority / minority ratio."""
+    return A.class_ratio(clean_loans(spark, sf_dir), P.TARGET)
+
+
+@register("a_class_weights")
+def q_class_weights(spark, sf_dir):
+    """Balanced class weights."""
+    return _round_cols(A.class_weights(clean_loans(spark, sf_dir), P.TARGET), ["weight"])
+
+
+@register("a_shape")
+def q_shape(spark, sf_dir):
+    """Rows x columns of the cleaned table."""
+    return A.shape(clean_loans(spark, sf_dir))
+
+
+# =========================================================================== features
+
+@register("d_age_bands")
+def q_age_bands(spark, sf_dir):
+    """D4 + D8 + A9: default rate per age band, with the band order."""
+    df = D.add_band(eda_frame(spark, sf_dir), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS, "grupo_edad", "grupo_edad_ord")
+    return _round_cols(A.event_rate(df, ["grupo_edad", "grupo_edad_ord"], P.TARGET, P.EVENT), ["rate"])
+
+
+@register("d_ratio_segments")
+def q_ratio_segments(spark, sf_dir):
+    """D3 + D5 + A9: default rate by capital/salary segment, last edge = column max."""
+    df = D.ratio_segments(eda_frame(spark, sf_dir))
+    return _round_cols(A.event_rate(df, ["segmento_ratio", "segmento_ratio_ord"], P.TARGET, P.EVENT), ["rate"])
+
+
+@register("d_quadrant_rates")
+def q_quadrant_rates(spark, sf_dir):
+    """D6 + A9: default rate by median quadrant (score x inquiries)."""
+    df = D.add_quadrant(eda_frame(spark, sf_dir))
+    return _round_cols(A.event_rate(df, ["grupo_riesgo"], P.TARGET, P.EVENT), ["rate"])
+
+
+@register("d_three_sectors")
+def q_three_sectors(spark, sf_dir):
+    """D7 + A9: default rate of clients with credits in all three sectors."""
+    df = D.add_all_positive(eda_frame(spark, sf_dir), ["creditos_sectorFinanciero", "creditos_sectorCooperativo",
+                                                        "creditos_sectorReal"], "en_3_sectores")
+    return _round_cols(A.event_rate(df, ["en_3_sectores"], P.TARGET, P.EVENT), ["rate"])

@@ -295,3 +295,205 @@ SELECT quantile_cont(saldo_mora, 0.5) AS saldo_mora, quantile_cont(saldo_total,
 FROM filtered""")
 
 SQL["d_base_pipeline"] = with_loans("SELECT * REPLACE (round(ratio_capital_salario, 6) AS ratio_capital_salario) FROM clean")
+
+
+# ----------------------------------------------------------------- part 2: aggregates and features
+
+CLEAN_NUMERIC = ["capital_prestado", "plazo_meses", "edad_cliente", "salario_cliente", "puntaje_datacredito",
+                 "huella_consulta", "total_otros_prestamos", "creditos_sectorFinanciero",
+                 "creditos_sectorCooperativo", "creditos_sectorReal", "saldo_total", "tiene_mora",
+                 "ratio_capital_salario"]
+EDA = WL + """,
+eda AS (SELECT *, CAST(coalesce(saldo_mora > 0, false) AS INTEGER) AS tiene_mora FROM wl)"""
+
+
+def long_of(src: str, cols, extra: str = "") -> str:
+    sel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    ex = f"{extra}, " if extra else ""
+    return f"(UNPIVOT (SELECT {ex}{sel} FROM {src}) ON {', '.join(cols)} INTO NAME variable VALUE value)"
+
+
+SQL["a_describe_numeric"] = with_loans(f""",
+lng AS (SELECT * FROM {long_of('clean', CLEAN_NUMERIC)})
+SELECT variable, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       min(value) AS min, round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50,
+       round(quantile_cont(value, 0.75), 6) AS p75, max(value) AS max
+FROM lng GROUP BY variable""")
+
+SQL["a_describe_categorical"] = with_loans(EDA + ",\nvc AS (" + union(
+    f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM eda WHERE {c} IS NOT NULL GROUP BY 2"
+    for c in ["tipo_credito", "tipo_laboral", "tendencia_ingresos"]) + """)
+SELECT variable, CAST(sum(n) AS BIGINT) AS count, count(*) AS unique, first(value ORDER BY n DESC, value DESC) AS top,
+       max(n) AS freq
+FROM vc GROUP BY variable""")
+
+SQL["a_describe_by"] = with_loans(EDA + """
+SELECT tiene_mora, count(puntaje_datacredito) AS count, round(avg(puntaje_datacredito), 6) AS mean,
+       round(stddev_samp(puntaje_datacredito), 6) AS std, min(puntaje_datacredito) AS min,
+       round(quantile_cont(puntaje_datacredito, 0.25), 6) AS p25, round(quantile_cont(puntaje_datacredito, 0.5), 6) AS p50,
+       round(quantile_cont(puntaje_datacredito, 0.75), 6) AS p75, max(puntaje_datacredito) AS max
+FROM eda WHERE tiene_mora IS NOT NULL AND puntaje_datacredito IS NOT NULL GROUP BY tiene_mora""")
+
+SQL["a_quantiles"] = with_loans("\n" + union(
+    f"SELECT '{c}' AS variable, CAST({q} AS DOUBLE) AS q, round(quantile_cont({c}, {q}), 6) AS quantile FROM clean"
+    for c in ["capital_prestado", "salario_cliente", "saldo_total"] for q in [0.01, 0.1, 0.5, 0.9, 0.99]))
+
+SQL["a_corr_with_target"] = with_loans("\n" + union(
+    f"SELECT '{c}' AS variable, round(corr(CAST({c} AS DOUBLE), CAST(Pago_atiempo AS DOUBLE)), 6) AS corr FROM loans"
+    for c in RAW_NUMERIC))
+
+
+def _corr_pairs(src: str, cols, where: str = "") -> str:
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    aggs = ", ".join(f"corr(CAST({cols[i]} AS DOUBLE), CAST({cols[j]} AS DOUBLE)) AS r{i}_{j}" for i, j in pairs)
+    structs = []
+    for i, j in pairs:
+        structs.append(f"{{'var_a': '{cols[i]}', 'var_b': '{cols[j]}', 'ia': {i}, 'ib': {j}, 'corr': r{i}_{j}}}")
+        if i != j:
+            structs.append(f"{{'var_a': '{cols[j]}', 'var_b': '{cols[i]}', 'ia': {j}, 'ib': {i}, 'corr': r{i}_{j}}}")
+    return (f"m AS (SELECT {aggs} FROM {src}),\n"
+            f"pairs AS (SELECT unnest([{', '.join(structs)}], recursive := true) FROM m)")
+
+
+SQL["a_corr_matrix"] = with_loans(",\n" + _corr_pairs("clean", CLEAN_NUMERIC)
+                                  + "\nSELECT var_a, var_b, round(corr, 6) AS corr FROM pairs")
+
+SQL["a_redundant_pairs"] = with_loans(",\n" + _corr_pairs("loans", RAW_NUMERIC)
+                                      + "\nSELECT var_a, var_b, round(corr, 6) AS corr FROM pairs "
+                                        "WHERE ia < ib AND abs(corr) >= 0.7")
+
+SQL["a_leakage"] = with_loans(",\nc AS (" + union(
+    f"SELECT '{c}' AS variable, corr(CAST({c} AS DOUBLE), CAST(Pago_atiempo AS DOUBLE)) AS corr FROM loans"
+    for c in RAW_NUMERIC) + ")\nSELECT variable, round(corr, 6) AS corr FROM c WHERE abs(corr) > 0.9")
+
+QUAD = EDA + """,
+qm AS (SELECT quantile_cont(puntaje_datacredito, 0.5) AS ms, quantile_cont(huella_consulta, 0.5) AS mh FROM eda),
+quad AS (
+  SELECT e.*, CASE
+    WHEN puntaje_datacredito >= ms AND huella_consulta >= mh THEN 'Score alto + muchas consultas'
+    WHEN puntaje_datacredito >= ms AND huella_consulta < mh THEN 'Score alto + pocas consultas'
+    WHEN puntaje_datacredito < ms AND huella_consulta >= mh THEN 'Score bajo + muchas consultas'
+    WHEN puntaje_datacredito < ms AND huella_consulta < mh THEN 'Score bajo + pocas consultas'
+    ELSE 'Otro' END AS grupo_riesgo
+  FROM eda e, qm)"""
+
+SQL["a_count_pivot_quadrant"] = with_loans(QUAD + """
+SELECT grupo_riesgo, CAST(nullif(count(*) FILTER (WHERE Pago_atiempo = 0), 0) AS BIGINT) AS n_0,
+       CAST(nullif(count(*) FILTER (WHERE Pago_atiempo = 1), 0) AS BIGINT) AS n_1
+FROM quad GROUP BY grupo_riesgo""")
+
+
+def rate_by(src: str, keys: str, where: str = "") -> str:
+    w = f"WHERE {where}" if where else ""
+    return (f"SELECT {keys}, count(*) AS total, CAST(sum({rate()}) AS BIGINT) AS n_event, "
+            f"round(CAST(avg({rate()}) AS DOUBLE) * 100, 6) AS rate FROM {src} {w} GROUP BY ALL")
+
+
+SQL["a_rate_by_job"] = with_loans(EDA + "\n" + rate_by("eda", "tipo_laboral", "tipo_laboral IS NOT NULL"))
+
+
+def pivot_rate(src: str, row: str, col: str, levels) -> str:
+    cells = ", ".join(
+        f"round(CAST(avg(CASE WHEN {col} = '{v}' THEN {rate()} END) AS DOUBLE) * 100, 6) AS \"{v}\"" for v in levels)
+    return f"SELECT {row}, {cells} FROM {src} WHERE {row} IS NOT NULL GROUP BY {row}"
+
+
+SQL["a_rate_job_x_inquiry"] = with_loans(EDA + f""",
+b AS (SELECT *, {inquiry_band()} AS huella_cat FROM eda)
+{pivot_rate('b', 'tipo_laboral', 'huella_cat', ['Baja', 'Media', 'Alta'])}""")
+
+SQL["a_rate_age_x_job"] = with_loans(EDA + f""",
+b AS (SELECT *, {age_band()} AS grupo_edad FROM eda)
+{pivot_rate('b', 'grupo_edad', 'tipo_laboral', ['Empleado', 'Independiente'])}""")
+
+SQL["a_overall_rate"] = with_loans(f"""
+SELECT count(*) AS total, CAST(sum({rate()}) AS BIGINT) AS n_event, round(CAST(avg({rate()}) AS DOUBLE) * 100, 6) AS rate
+FROM loans""")
+
+SQL["a_crosstab"] = with_loans("""
+SELECT tipo_credito, count(*) FILTER (WHERE Pago_atiempo = 0) AS y_0, count(*) FILTER (WHERE Pago_atiempo = 1) AS y_1
+FROM loans WHERE tipo_credito IS NOT NULL GROUP BY tipo_credito""")
+
+SQL["a_crosstab_pct"] = with_loans("""
+SELECT tipo_credito, round(count(*) FILTER (WHERE Pago_atiempo = 0) * 100.0 /
+         (count(*) FILTER (WHERE Pago_atiempo = 0) + count(*) FILTER (WHERE Pago_atiempo = 1)), 6) AS pct_0,
+       round(count(*) FILTER (WHERE Pago_atiempo = 1) * 100.0 /
+         (count(*) FILTER (WHERE Pago_atiempo = 0) + count(*) FILTER (WHERE Pago_atiempo = 1)), 6) AS pct_1
+FROM loans WHERE tipo_credito IS NOT NULL GROUP BY tipo_credito""")
+
+
+def histogram_sql(src: str, cols, bins: int, by: str | None = None) -> str:
+    byc = f"{by}, " if by else ""
+    ext = by or ""
+    where = f"WHERE {by} IS NOT NULL" if by else ""
+    base = ("(SELECT DISTINCT variable, " + by + " FROM lng)") if by else "rng"
+    return f""",
+lng AS (SELECT * FROM {long_of(src, cols, ext)} {where}),
+rng AS (SELECT variable, min(value) AS lo, max(value) AS hi FROM lng GROUP BY variable),
+b AS (SELECT l.variable, {('l.' + by + ', ') if by else ''}
+        CAST(CASE WHEN hi = lo THEN {bins // 2} ELSE least(floor((value - lo) / ((hi - lo) / {bins})), {bins - 1}) END
+             AS INTEGER) AS bin
+      FROM lng l JOIN rng r ON l.variable = r.variable),
+cnt AS (SELECT variable, {byc}bin, count(*) AS count FROM b GROUP BY ALL),
+grid AS (SELECT variable, {byc}CAST(unnest(range(0, {bins})) AS INTEGER) AS bin FROM {base} g)
+SELECT g.variable, {('g.' + by + ', ') if by else ''}g.bin, {'round(' if by else ''}lo + g.bin * (hi - lo) / {bins}{', 6)' if by else ''} AS bin_lo,
+       {'round(' if by else ''}lo + (g.bin + 1) * (hi - lo) / {bins}{', 6)' if by else ''} AS bin_hi, coalesce(c.count, 0) AS count
+FROM grid g JOIN rng r ON g.variable = r.variable
+LEFT JOIN cnt c ON c.variable = g.variable AND c.bin = g.bin {('AND c.' + by + ' = g.' + by) if by else ''}"""
+
+
+SQL["a_histogram"] = with_loans(histogram_sql("clean", CLEAN_NUMERIC, 40))
+SQL["a_histogram_by_class"] = with_loans(histogram_sql(
+    "clean", ["capital_prestado", "edad_cliente", "puntaje_datacredito"], 50, "Pago_atiempo"))
+
+SQL["a_box_stats"] = with_loans(f""",
+lng AS (SELECT * FROM {long_of('clean', CLEAN_NUMERIC, 'Pago_atiempo')} WHERE Pago_atiempo IS NOT NULL),
+q AS (SELECT Pago_atiempo, variable, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM lng GROUP BY ALL),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT f.Pago_atiempo, f.variable, count(*) AS n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(iqr, 6) AS iqr, min(value) FILTER (WHERE value >= lo AND value <= hi) AS whisker_lo,
+       max(value) FILTER (WHERE value >= lo AND value <= hi) AS whisker_hi,
+       count(*) FILTER (WHERE NOT (value >= lo AND value <= hi)) AS n_outliers
+FROM lng l JOIN f ON l.Pago_atiempo = f.Pago_atiempo AND l.variable = f.variable
+GROUP BY f.Pago_atiempo, f.variable, q1, median, q3, iqr""")
+
+SQL["a_class_ratio"] = with_loans("""
+SELECT count(*) FILTER (WHERE Pago_atiempo = 1) AS n_majority, count(*) FILTER (WHERE Pago_atiempo = 0) AS n_minority,
+       round(count(*) FILTER (WHERE Pago_atiempo = 1) / count(*) FILTER (WHERE Pago_atiempo = 0), 2) AS ratio
+FROM clean""")
+
+SQL["a_class_weights"] = with_loans("""
+SELECT Pago_atiempo, count(*) AS n_c,
+       round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+FROM clean WHERE Pago_atiempo IS NOT NULL GROUP BY Pago_atiempo""")
+
+SQL["a_shape"] = with_loans("SELECT count(*) AS n_rows, CAST(17 AS BIGINT) AS n_cols FROM clean")
+
+SQL["d_age_bands"] = with_loans(EDA + f""",
+b AS (SELECT *, {age_band()} AS grupo_edad,
+        CASE WHEN edad_cliente > 0 AND edad_cliente <= 30 THEN 0 WHEN edad_cliente > 30 AND edad_cliente <= 45 THEN 1
+             WHEN edad_cliente > 45 AND edad_cliente <= 60 THEN 2 WHEN edad_cliente > 60 AND edad_cliente <= 150 THEN 3
+        END AS grupo_edad_ord FROM eda)
+{rate_by('b', 'grupo_edad, grupo_edad_ord', 'grupo_edad IS NOT NULL')}""")
+
+SQL["d_ratio_segments"] = with_loans(EDA + """,
+r AS (SELECT *, CASE WHEN salario_cliente = 0 THEN (CASE WHEN capital_prestado > 0 THEN 'inf'::DOUBLE
+                                                          WHEN capital_prestado < 0 THEN '-inf'::DOUBLE END)
+                     ELSE capital_prestado / salario_cliente END AS ratio FROM eda),
+mx AS (SELECT max(ratio) AS m FROM r),
+b AS (SELECT r.*, CASE WHEN ratio > 0 AND ratio <= 1 THEN 'Bajo (≤1)' WHEN ratio > 1 AND ratio <= 3 THEN 'Medio (1-3)'
+                       WHEN ratio > 3 AND ratio <= 6 THEN 'Alto (3-6)' WHEN ratio > 6 AND ratio <= m THEN 'Muy alto (>6)'
+                  END AS segmento_ratio,
+             CASE WHEN ratio > 0 AND ratio <= 1 THEN 0 WHEN ratio > 1 AND ratio <= 3 THEN 1
+                  WHEN ratio > 3 AND ratio <= 6 THEN 2 WHEN ratio > 6 AND ratio <= m THEN 3 END AS segmento_ratio_ord
+      FROM r, mx)
+""" + rate_by("b", "segmento_ratio, segmento_ratio_ord", "segmento_ratio IS NOT NULL"))
+
+SQL["d_quadrant_rates"] = with_loans(QUAD + "\n" + rate_by("quad", "grupo_riesgo"))
+
+SQL["d_three_sectors"] = with_loans(EDA + """,
+b AS (SELECT *, CASE WHEN coalesce(creditos_sectorFinanciero > 0, false) AND coalesce(creditos_sectorCooperativo > 0, false)
+                      AND coalesce(creditos_sectorReal > 0, false) THEN 'En los 3 sectores'
+                     ELSE 'No en los 3 sectores' END AS en_3_sectores FROM eda)
+""" + rate_by("b", "en_3_sectores"))
