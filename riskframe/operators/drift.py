@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.projection import columns_of_type, common_columns
-from riskframe.operators.ranking import DEFAULT_BUCKETS, running_totals, unpivot_numeric
+from riskframe.operators.ranking import DEFAULT_BUCKETS, materialize_small, running_totals, unpivot_numeric
+from riskframe.session import cut_lineage
 from riskframe.plans.presets import DRIFT_P
 
 REPORT_SCHEMA = ("variable string, ks_statistic double, p_value double, drift_detectado boolean, "
@@ -46,14 +47,15 @@ def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str],
     present on both sides, nulls/NaN dropped per column."""
     long = (unpivot_numeric(reference, cols).withColumn("side", F.lit(0))
             .unionByName(unpivot_numeric(production, cols).withColumn("side", F.lit(1))))
-    counts = long.groupBy("variable", "value").agg(
+    # one shuffle: counts per distinct (variable, value) on each side; read three
+    # times below (bounds, bucket offsets, CDF walk), so it is checkpointed once
+    counts = cut_lineage(long.groupBy("variable", "value").agg(
         F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).cast("long").alias("c_ref"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("long").alias("c_prod"))
-    sides = long.groupBy("variable").agg(
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).cast("long").alias("n_ref"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("long").alias("n_prod"),
-        F.avg(F.when(F.col("side") == 0, F.col("value"))).alias("mean_ref"),
-        F.avg(F.when(F.col("side") == 1, F.col("value"))).alias("mean_prod"))
+        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("long").alias("c_prod")))
+    sides = materialize_small(counts.groupBy("variable").agg(
+        F.sum("c_ref").alias("n_ref"), F.sum("c_prod").alias("n_prod"),
+        (F.sum(F.col("value") * F.col("c_ref")) / F.sum("c_ref")).alias("mean_ref"),
+        (F.sum(F.col("value") * F.col("c_prod")) / F.sum("c_prod")).alias("mean_prod")))
     cum = running_totals(counts, ["variable"], "value", ["c_ref", "c_prod"], n_buckets=n_buckets)
     cum = cum.join(F.broadcast(sides), "variable")   # one row per column: proven bound
     gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_prod") / F.col("n_prod"))

@@ -435,3 +435,364 @@ def q_three_sectors(spark, sf_dir):
     df = D.add_all_positive(eda_frame(spark, sf_dir), ["creditos_sectorFinanciero", "creditos_sectorCooperativo",
                                                         "creditos_sectorReal"], "en_3_sectores")
     return _round_cols(A.event_rate(df, ["en_3_sectores"], P.TARGET, P.EVENT), ["rate"])
+
+
+# =========================================================================== splits
+
+from riskframe.operators import drift as K  # noqa: E402
+from riskframe.operators import evaluation as V  # noqa: E402
+from riskframe.operators import sampling as R  # noqa: E402
+from riskframe.operators.rules import rule_classifier  # noqa: E402
+
+SEED = 42
+STRICT = {"puntaje_muy_bajo": 650.0, "puntaje_moderado": 800.0, "puntaje_independiente": 750.0,
+          "edad_joven": 35, "ratio_alto": 2.0, "huella_alta": 6}
+LENIENT = {"puntaje_muy_bajo": 550.0, "puntaje_moderado": 700.0, "puntaje_independiente": 650.0,
+           "edad_joven": 25, "ratio_alto": 4.0, "huella_alta": 10}
+
+
+def split_loans(spark, sf_dir):
+    """R1 over the cleaned loans with the portable seeded order. The split table is
+    read by several later steps, so its lineage is cut once (reliable checkpoint)."""
+    from riskframe.session import cut_lineage
+
+    return cut_lineage(R.stratified_split(clean_loans(spark, sf_dir), P.TARGET, P.KEY, 0.2, SEED, order="mix"))
+
+
+def train_rows(spark, sf_dir):
+    return split_loans(spark, sf_dir).where(F.col("split") == "train").drop("split")
+
+
+def test_rows(spark, sf_dir):
+    return split_loans(spark, sf_dir).where(F.col("split") == "test").drop("split")
+
+
+@register("r_stratified_split")
+def q_stratified_split(spark, sf_dir):
+    """Exact stratified 80/20 split."""
+    return split_loans(spark, sf_dir).select(P.KEY, P.TARGET, "split")
+
+
+@register("r_sample_n")
+def q_sample_n(spark, sf_dir):
+    """R2: production sample max(50, 10%) of the test rows."""
+    return R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="mix").select(P.KEY)
+
+
+@register("r_kfold")
+def q_kfold(spark, sf_dir):
+    """10 contiguous unshuffled folds of the training rows."""
+    return R.kfold(train_rows(spark, sf_dir), [P.KEY], 10).select(P.KEY, "fold")
+
+
+@register("r_stratified_kfold")
+def q_stratified_kfold(spark, sf_dir):
+    """Shuffled stratified 5 folds of the training rows."""
+    return R.stratified_kfold(train_rows(spark, sf_dir), P.TARGET, P.KEY, 5, SEED, order="mix").select(
+        P.KEY, P.TARGET, "fold")
+
+
+def _shuffle(spark, sf_dir):
+    return R.shuffle_splits(train_rows(spark, sf_dir).select(P.KEY, P.TARGET, *CLEAN_NUMERIC, "tipo_laboral"),
+                            P.KEY, 50, 0.2, 123, order="mix")
+
+
+@register("r_shuffle_splits")
+def q_shuffle_splits(spark, sf_dir):
+    """50 random 80/20 splits (seed 123): size and key checksum per split and role."""
+    return _shuffle(spark, sf_dir).groupBy("split_id", "role").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(P.KEY).alias("key_sum"))
+
+
+def _sizes(spark, sf_dir):
+    n = train_rows(spark, sf_dir).count()
+    n_train = n - int(-(-n * 0.2 // 1))   # n - ceil(0.2 n)
+    return R.train_size_grid(n_train, (0.1, 0.325, 0.55, 0.775, 1.0))
+
+
+@register("r_train_sizes")
+def q_train_sizes(spark, sf_dir):
+    """Nested training subsets (10% .. 100%) of every split."""
+    sizes = _sizes(spark, sf_dir)
+    tr = R.with_size_index(_shuffle(spark, sf_dir).where(F.col("role") == "train"), sizes)
+    per = tr.groupBy("split_id", "size_idx").agg(F.count(F.lit(1)).alias("n"), F.sum(P.KEY).alias("key_sum"))
+    w = W.partitionBy("split_id").orderBy("size_idx").rowsBetween(W.unboundedPreceding, 0)   # <= 5 rows per split
+    return per.select("split_id", "size_idx", F.sum("n").over(w).alias("n"), F.sum("key_sum").over(w).alias("key_sum"))
+
+
+@register("r_smote")
+def q_smote(spark, sf_dir):
+    """SMOTE on the encoded training rows (no SQL oracle: rows only)."""
+    from riskframe.operators.encoding import fit_preprocessor
+
+    train = train_rows(spark, sf_dir)
+    prep, names = fit_preprocessor(train, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES)
+    enc = prep.transform(train).select(P.KEY, P.TARGET, *names)
+    return R.smote(enc, P.TARGET, names, P.KEY, minority=0, k=3, seed=SEED)
+
+
+# =========================================================================== rule model and evaluation
+
+from pyspark.sql import Window as W  # noqa: E402
+
+
+def scored_test(spark, sf_dir, thresholds=None):
+    return rule_classifier(test_rows(spark, sf_dir), thresholds)
+
+
+@register("m_rule_predictions")
+def q_rule_predictions(spark, sf_dir):
+    """M1: rule classifier over the cleaned loans."""
+    return rule_classifier(clean_loans(spark, sf_dir)).select(P.KEY, "prediction", "rule_hit", "rule_count")
+
+
+@register("v_confusion_matrix")
+def q_confusion(spark, sf_dir):
+    """V1: confusion matrix of the rule model on the test rows."""
+    return V.confusion_matrix(scored_test(spark, sf_dir), P.TARGET, "prediction", [0, 1])
+
+
+METRIC_COLS = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "fbeta"]
+
+
+@register("v_binary_metrics")
+def q_binary_metrics(spark, sf_dir):
+    """V2: metrics of the rule model for the default class (pos_label 0)."""
+    return _round_cols(V.binary_metrics(scored_test(spark, sf_dir), P.TARGET, "prediction", 0, 2.0), METRIC_COLS)
+
+
+@register("v_roc_auc")
+def q_roc_auc(spark, sf_dir):
+    """V3: ROC-AUC with ties: rules fired (for default) and bureau score (for paying)."""
+    t = scored_test(spark, sf_dir)
+    a = V.roc_auc(t, P.TARGET, "rule_count", 0).select(F.lit("rule_count").alias("score"), "roc_auc")
+    b = V.roc_auc(t, P.TARGET, "puntaje_datacredito", 1).select(F.lit("puntaje_datacredito").alias("score"), "roc_auc")
+    return _round_cols(a.unionByName(b), ["roc_auc"])
+
+
+@register("v_classification_report")
+def q_classification_report(spark, sf_dir):
+    """V4: per-class precision/recall/F1/support with averages."""
+    return _round_cols(V.classification_report(scored_test(spark, sf_dir), P.TARGET, "prediction", [0, 1]),
+                       ["precision", "recall", "f1"])
+
+
+@register("v_roc_curve")
+def q_roc_curve(spark, sf_dir):
+    """V5: ROC points of the bureau score for the paying class."""
+    return _round_cols(V.roc_curve(scored_test(spark, sf_dir), P.TARGET, "puntaje_datacredito", 1), ["fpr", "tpr"])
+
+
+@register("v_pr_curve")
+def q_pr_curve(spark, sf_dir):
+    """V6: precision-recall points of the rules-fired count for the default class."""
+    return _round_cols(V.pr_curve(scored_test(spark, sf_dir), P.TARGET, "rule_count", 0), ["precision", "recall"])
+
+
+def _fold_counts(df, fold_col, pos_label):
+    """Per-fold held-out counts and the complementary training counts (total - fold)."""
+    c = V.confusion_counts(df, P.TARGET, "prediction", pos_label, [fold_col])
+    tot = c.agg(*[F.sum(x).alias(f"t_{x}") for x in ("tp", "fp", "fn", "tn", "n")])
+    both = attach(c, tot)
+    test = both.select(fold_col, F.lit("test").alias("part"), "tp", "fp", "fn", "tn")
+    train = both.select(fold_col, F.lit("train").alias("part"),
+                        *[(F.col(f"t_{x}") - F.col(x)).alias(x) for x in ("tp", "fp", "fn", "tn")])
+    return test.unionByName(train)
+
+
+from riskframe.operators.ranking import attach  # noqa: E402
+
+
+@register("v_cv_metrics")
+def q_cv_metrics(spark, sf_dir):
+    """V7: 10-fold (contiguous) metrics of the rule model, held-out and training part."""
+    folds = R.kfold(rule_classifier(train_rows(spark, sf_dir)), [P.KEY], 10)
+    m = V.metrics_from_counts(_fold_counts(folds, "fold", 0), ["accuracy", "precision", "recall", "f1"])
+    return _round_cols(m.select("fold", "part", "accuracy", "precision", "recall", "f1"),
+                       ["accuracy", "precision", "recall", "f1"])
+
+
+@register("v_fold_summary")
+def q_fold_summary(spark, sf_dir):
+    """V8: train mean, CV mean and CV sample std of each metric over the 10 folds."""
+    folds = R.kfold(rule_classifier(train_rows(spark, sf_dir)), [P.KEY], 10)
+    m = V.metrics_from_counts(_fold_counts(folds, "fold", 0), ["accuracy", "precision", "recall", "f1"])
+    s = V.fold_summary(m, ["accuracy", "precision", "recall", "f1"], ["part"], sample_std=True)
+    out = s.groupBy("metric").agg(F.max(F.when(F.col("part") == "train", F.col("mean"))).alias("train_score"),
+                                  F.max(F.when(F.col("part") == "test", F.col("mean"))).alias("cv_mean"),
+                                  F.max(F.when(F.col("part") == "test", F.col("std"))).alias("cv_std"))
+    return _round_cols(out, ["train_score", "cv_mean", "cv_std"])
+
+
+@register("v_learning_curve")
+def q_learning_curve(spark, sf_dir):
+    """V9: rule-model learning curve: recall (default class) on nested training
+    subsets and on the held-out part of 50 random splits; mean and population std."""
+    sizes = _sizes(spark, sf_dir)
+    sp = rule_classifier(_shuffle(spark, sf_dir))
+    sp = R.with_size_index(sp, sizes)
+    y0, p0 = F.col(P.TARGET) == 0, F.col("prediction") == 0
+    tr = (sp.where(F.col("role") == "train").groupBy("split_id", "size_idx")
+          .agg(F.sum(F.when(y0 & p0, 1).otherwise(0)).alias("tp"), F.sum(F.when(y0, 1).otherwise(0)).alias("pos")))
+    w = W.partitionBy("split_id").orderBy("size_idx").rowsBetween(W.unboundedPreceding, 0)   # <= 5 rows per split
+    tr = tr.select("split_id", "size_idx", V._div(F.sum("tp").over(w), F.sum("pos").over(w)).alias("train_recall"))
+    te = (sp.where(F.col("role") == "test").groupBy("split_id")
+          .agg(V._div(F.sum(F.when(y0 & p0, 1).otherwise(0)), F.sum(F.when(y0, 1).otherwise(0))).alias("test_recall")))
+    size_tbl = spark.createDataFrame([(i, s) for i, s in enumerate(sizes)], "size_idx int, train_size int")
+    j = tr.join(te, "split_id").join(size_tbl, "size_idx")
+    out = j.groupBy("train_size").agg(F.avg("train_recall").alias("train_mean"), F.stddev_pop("train_recall").alias("train_std"),
+                                      F.avg("test_recall").alias("test_mean"), F.stddev_pop("test_recall").alias("test_std"))
+    return _round_cols(out, ["train_mean", "train_std", "test_mean", "test_std"])
+
+
+def _candidates(spark, sf_dir):
+    """Rule-model variants evaluated by stratified 5-fold CV and on the test rows."""
+    train, test = train_rows(spark, sf_dir), test_rows(spark, sf_dir)
+    folds = R.stratified_kfold(train, P.TARGET, P.KEY, 5, SEED, order="mix")
+    out = None
+    for name, th in (("heuristic", None), ("heuristic_strict", STRICT), ("heuristic_lenient", LENIENT)):
+        cv = V.binary_metrics(rule_classifier(folds, th), P.TARGET, "prediction", 0, 2.0, ["fold"])
+        cvs = cv.agg(F.avg("fbeta").alias("cv_fbeta_mean"), F.stddev_pop("fbeta").alias("cv_fbeta_std"),
+                     F.lit(0.0).alias("cv_fit_time_mean"))
+        st = rule_classifier(test, th).withColumn("__s", (F.col("prediction") == 0).cast("int"))
+        tm = V.binary_metrics(st, P.TARGET, "prediction", 0, 2.0).select(
+            F.col("recall").alias("test_recall"), F.col("f1").alias("test_f1"), F.col("fbeta").alias("test_fbeta"),
+            F.col("n_pred_pos").alias("casos_mora_pred"))
+        auc = V.roc_auc(st, P.TARGET, "__s", 0).select(F.col("roc_auc").alias("test_roc_auc"))
+        row = attach(attach(cvs, tm), auc).select(F.lit(name).alias("modelo"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("v_selection")
+def q_selection(spark, sf_dir):
+    """V10 + V11 + J5: selection score and ranking of candidate models."""
+    ranked = V.rank_candidates(V.selection_score(_candidates(spark, sf_dir)))
+    return _round_cols(ranked, ["cv_fbeta_mean", "cv_fbeta_std", "test_recall", "test_f1", "test_fbeta", "test_roc_auc",
+                                "selection_score"])
+
+
+@register("v_stability")
+def q_stability(spark, sf_dir):
+    """Per-metric stability over stratified 5 folds (class 1, population std)."""
+    folds = rule_classifier(R.stratified_kfold(train_rows(spark, sf_dir), P.TARGET, P.KEY, 5, SEED, order="mix"))
+    m = V.binary_metrics(folds, P.TARGET, "prediction", 1, 2.0, ["fold"])
+    folds = folds.withColumn("__s", F.col("prediction").cast("double"))
+    auc = V.roc_auc(folds, P.TARGET, "__s", 1, ["fold"])
+    per = m.join(auc, "fold")
+    out = V.stability_verdict(per, ["accuracy", "f1", "roc_auc", "recall", "precision"])
+    return _round_cols(out.drop("n_folds"), ["mean", "std"])
+
+
+@register("v_compare")
+def q_compare(spark, sf_dir):
+    """V13 + J3: default vs strict rule model on the test rows, winner per metric."""
+    names = ["accuracy", "precision", "recall", "f1", "fbeta"]
+    a = V.metrics_long(V.binary_metrics(scored_test(spark, sf_dir), P.TARGET, "prediction", 0), names)
+    b = V.metrics_long(V.binary_metrics(scored_test(spark, sf_dir, STRICT), P.TARGET, "prediction", 0),
+                       names[:-1] + ["balanced_accuracy"])
+    return _round_cols(V.compare_metrics(a, b, "local", "other"), ["local", "other"])
+
+
+def _sweep(spark, sf_dir):
+    t = scored_test(spark, sf_dir).withColumn("score_mora", F.col("rule_count") / 5.0)
+    return V.threshold_sweep(t, P.TARGET, "score_mora", 0, 20, 2.0)
+
+
+@register("v_threshold_sweep")
+def q_threshold_sweep(spark, sf_dir):
+    """Metrics at 21 thresholds of the rules-fired share."""
+    return _round_cols(_sweep(spark, sf_dir), ["threshold", "accuracy", "precision", "recall", "f1", "fbeta"])
+
+
+@register("v_near_threshold")
+def q_near_threshold(spark, sf_dir):
+    """Metrics at the threshold nearest 0.5."""
+    return _round_cols(V.metrics_near_threshold(_sweep(spark, sf_dir), 0.5),
+                       ["threshold", "accuracy", "precision", "recall", "f1", "fbeta"])
+
+
+# =========================================================================== drift
+
+def _drift(spark, sf_dir):
+    ref = train_rows(spark, sf_dir)
+    prod = R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="mix")
+    return K.ks_report(ref, prod, CLEAN_NUMERIC)
+
+
+@register("k_ks_report")
+def q_ks_report(spark, sf_dir):
+    """K1 + J4: KS drift report, training rows vs a production sample of the test rows."""
+    return _drift(spark, sf_dir)
+
+
+def events_periods(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    cut = F.lit("2024-01-15").cast("timestamp")
+    return ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
+
+
+@register("k_ks_events")
+def q_ks_events(spark, sf_dir):
+    """K1 on the event stream: first two weeks vs the rest, for value and props.k."""
+    ref, prod = events_periods(spark, sf_dir)
+    return K.ks_report(ref, prod, ["value", "k"])
+
+
+@register("k_drift_status")
+def q_drift_status(spark, sf_dir):
+    """K3: overall drift status."""
+    return K.drift_status(_drift(spark, sf_dir))
+
+
+@register("k_drifted_variables")
+def q_drifted_variables(spark, sf_dir):
+    """K3: drifted variables."""
+    return K.drifted_variables(_drift(spark, sf_dir))
+
+
+@register("k_top_statistic")
+def q_top_statistic(spark, sf_dir):
+    """K4: top-10 variables by KS statistic."""
+    return K.top_by_statistic(_drift(spark, sf_dir), 10).select("variable", "ks_statistic")
+
+
+@register("k_top_mean_shift")
+def q_top_mean_shift(spark, sf_dir):
+    """K5: top-8 variables by absolute mean difference."""
+    return _round_cols(K.top_mean_shift(_drift(spark, sf_dir), 8), ["mean_diff"])
+
+
+@register("k_prediction_mix")
+def q_prediction_mix(spark, sf_dir):
+    """K6: labelled prediction mix of the production sample."""
+    prod = rule_classifier(R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="mix"))
+    prod = PR.map_labels(prod, "prediction", P.LABELS, out="etiqueta")
+    return Q.value_counts(prod, ["etiqueta"]).select(F.col("value").alias("etiqueta"), "count")
+
+
+@register("k_monitoring_cycle")
+def q_monitoring_cycle(spark, sf_dir):
+    """K7: sample -> score -> drift -> report with the overall status attached."""
+    from riskframe.plans.monitoring import monitoring_cycle
+
+    res = monitoring_cycle(train_rows(spark, sf_dir), test_rows(spark, sf_dir), P.KEY, CLEAN_NUMERIC)
+    return res["report"].select("variable", "ks_statistic", "p_value", "drift_detectado", "n_muestra", "hay_drift")
+
+
+@register("k_check_batch")
+def q_check_batch(spark, sf_dir):
+    """K8: on-demand check of a batch (the Independiente test loans) against training."""
+    batch = test_rows(spark, sf_dir).where(F.col("tipo_laboral") == "Independiente")
+    return K.check_batch(train_rows(spark, sf_dir), batch.select(*CLEAN_NUMERIC))
+
+
+@register("k_period_stats")
+def q_period_stats(spark, sf_dir):
+    """K9 (batch form): 7-day tumbling-window counts and mean value per event type,
+    the same aggregation the streaming job maintains."""
+    from riskframe.streaming.monitor import period_stats
+
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return _round_cols(period_stats(ev, "7 days"), ["mean_value"])

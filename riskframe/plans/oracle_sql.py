@@ -497,3 +497,297 @@ b AS (SELECT *, CASE WHEN coalesce(creditos_sectorFinanciero > 0, false) AND coa
                       AND coalesce(creditos_sectorReal > 0, false) THEN 'En los 3 sectores'
                      ELSE 'No en los 3 sectores' END AS en_3_sectores FROM eda)
 """ + rate_by("b", "en_3_sectores"))
+
+
+# ----------------------------------------------------------------- part 3: splits, rules, evaluation, drift
+
+SAMPLE = f""",
+__ts AS (SELECT *, row_number() OVER (ORDER BY {mix()}, loan_id) - 1 AS __q, count(*) OVER () AS __m FROM test),
+sample AS (SELECT * EXCLUDE (__q, __m) FROM __ts WHERE __q < least(__m, greatest(50, floor(__m * 0.1))))"""
+
+SQL["r_stratified_split"] = with_loans(SPLIT + "\nSELECT loan_id, Pago_atiempo, split FROM split")
+SQL["r_sample_n"] = with_loans(SPLIT + SAMPLE + "\nSELECT loan_id FROM sample")
+
+KFOLD = """,
+kf AS (SELECT *, row_number() OVER (ORDER BY loan_id) - 1 AS __r, count(*) OVER () AS __n FROM train),
+folds AS (SELECT * EXCLUDE (__r, __n), CAST(CASE WHEN __r < (__n % 10) * (__n // 10 + 1) THEN __r // (__n // 10 + 1)
+          ELSE (__n % 10) + (__r - (__n % 10) * (__n // 10 + 1)) // (__n // 10) END AS INTEGER) AS fold FROM kf)"""
+SQL["r_kfold"] = with_loans(SPLIT + KFOLD + "\nSELECT loan_id, fold FROM folds")
+
+SKFOLD = f""",
+__sk AS (SELECT *, row_number() OVER (PARTITION BY Pago_atiempo ORDER BY {mix()}, loan_id) - 1 AS __r FROM train),
+__st AS (SELECT Pago_atiempo, coalesce(sum(count(*)) OVER (ORDER BY Pago_atiempo ROWS BETWEEN UNBOUNDED PRECEDING
+                AND 1 PRECEDING), 0) AS __start FROM train GROUP BY Pago_atiempo),
+sfolds AS (SELECT __sk.* EXCLUDE (__r), CAST((__start + __r) % 5 AS INTEGER) AS fold
+           FROM __sk JOIN __st ON __sk.Pago_atiempo = __st.Pago_atiempo)"""
+SQL["r_stratified_kfold"] = with_loans(SPLIT + SKFOLD + "\nSELECT loan_id, Pago_atiempo, fold FROM sfolds")
+
+SHUFFLE = f""",
+__ex AS (SELECT t.*, s.split_id FROM train t, (SELECT CAST(range AS INTEGER) AS split_id FROM range(50)) s),
+__rk AS (SELECT *, row_number() OVER (PARTITION BY split_id ORDER BY {mix(seed=123, salt='split_id')}, loan_id) - 1 AS __r
+         FROM __ex),
+__nt AS (SELECT count(*) AS __n, CAST(ceil(count(*) * 0.2) AS BIGINT) AS __nte FROM train),
+roles AS (SELECT __rk.* EXCLUDE (__r), CASE WHEN __r < __nte THEN 'test' ELSE 'train' END AS role,
+                 CASE WHEN __r >= __nte THEN __r - __nte END AS train_rank FROM __rk, __nt),
+sz AS (SELECT DISTINCT CAST(floor(CAST(f AS DOUBLE) * (__n - __nte)) AS BIGINT) AS size FROM __nt,
+       (VALUES (0.1), (0.325), (0.55), (0.775), (1.0)) v(f)),
+szi AS (SELECT CAST(row_number() OVER (ORDER BY size) - 1 AS INTEGER) AS size_idx, size FROM sz WHERE size > 0)"""
+SQL["r_shuffle_splits"] = with_loans(SPLIT + SHUFFLE + """
+SELECT split_id, role, count(*) AS n, CAST(sum(loan_id) AS BIGINT) AS key_sum FROM roles GROUP BY ALL""")
+SQL["r_train_sizes"] = with_loans(SPLIT + SHUFFLE + """
+SELECT split_id, size_idx, count(*) AS n, CAST(sum(loan_id) AS BIGINT) AS key_sum
+FROM roles JOIN szi ON role = 'train' AND train_rank < size GROUP BY ALL""")
+
+SQL["m_rule_predictions"] = with_loans(f"SELECT loan_id, {PRED} AS prediction, {HIT} AS rule_hit, {CNT} AS rule_count FROM clean")
+
+PT = f""",
+pt AS (SELECT *, {PRED} AS prediction, {HIT} AS rule_hit, {CNT} AS rule_count FROM test)"""
+
+SQL["v_confusion_matrix"] = with_loans(SPLIT + PT + """
+SELECT a AS actual, b AS predicted, (SELECT count(*) FROM pt WHERE Pago_atiempo = a AND prediction = b) AS count
+FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(a, b)""")
+
+
+def div(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+def counts(src: str, pos: int, keys: str = "", pred: str = "prediction") -> str:
+    k = f"{keys}, " if keys else ""
+    g = f" GROUP BY {keys}" if keys else ""
+    return (f"SELECT {k}count(*) FILTER (WHERE Pago_atiempo = {pos} AND {pred} = {pos}) AS tp, "
+            f"count(*) FILTER (WHERE Pago_atiempo <> {pos} AND {pred} = {pos}) AS fp, "
+            f"count(*) FILTER (WHERE Pago_atiempo = {pos} AND {pred} <> {pos}) AS fn, "
+            f"count(*) FILTER (WHERE Pago_atiempo <> {pos} AND {pred} <> {pos}) AS tn, count(*) AS n FROM {src}{g}")
+
+
+def metrics(r: bool = True) -> str:
+    rd = (lambda e: f"round({e}, 6)") if r else (lambda e: e)
+    bal = (f"{div(f'{div('tp', 'tp + fn')} + {div('tn', 'tn + fp')}',
+                  '(CASE WHEN tp + fn > 0 THEN 1 ELSE 0 END + CASE WHEN tn + fp > 0 THEN 1 ELSE 0 END)')}")
+    return (f"{rd(div('tp + tn', 'tp + fp + fn + tn'))} AS accuracy, {rd(bal)} AS balanced_accuracy, "
+            f"{rd(div('tp', 'tp + fp'))} AS precision, {rd(div('tp', 'tp + fn'))} AS recall, "
+            f"{rd(div('2 * tp', '2 * tp + fp + fn'))} AS f1, {rd(div('5.0 * tp', '5.0 * tp + 4.0 * fn + fp'))} AS fbeta, "
+            f"tp + fp AS n_pred_pos")
+
+
+SQL["v_binary_metrics"] = with_loans(SPLIT + PT + f",\nc AS ({counts('pt', 0)})\nSELECT *, {metrics()} FROM c")
+
+
+def auc_sql(src: str, score: str, pos: int, keys: str = "") -> str:
+    """Mann-Whitney AUC with ties, per ``keys``."""
+    k = f"{keys}, " if keys else ""
+    part = f"PARTITION BY {keys} " if keys else ""
+    g = f" GROUP BY {keys}" if keys else ""
+    return (f"(SELECT {k}sum(pos * (below + neg * 0.5)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS roc_auc FROM "
+            f"(SELECT *, sum(neg) OVER ({part}ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg"
+            f" AS below FROM (SELECT {k}{score} AS score, sum(CASE WHEN Pago_atiempo = {pos} THEN 1 ELSE 0 END) AS pos,"
+            f" sum(CASE WHEN Pago_atiempo = {pos} THEN 0 ELSE 1 END) AS neg FROM {src} WHERE {score} IS NOT NULL"
+            f" GROUP BY ALL) s) c{g})")
+
+
+SQL["v_roc_auc"] = with_loans(SPLIT + PT + f"""
+SELECT 'rule_count' AS score, round(roc_auc, 6) AS roc_auc FROM {auc_sql('pt', 'rule_count', 0)} a
+UNION ALL
+SELECT 'puntaje_datacredito' AS score, round(roc_auc, 6) AS roc_auc FROM {auc_sql('pt', 'puntaje_datacredito', 1)} b""")
+
+SQL["v_classification_report"] = with_loans(SPLIT + PT + f""",
+c0 AS ({counts('pt', 0)}), c1 AS ({counts('pt', 1)}),
+per AS (
+  SELECT '0' AS class, {div('tp', 'tp + fp')} AS precision, {div('tp', 'tp + fn')} AS recall,
+         {div('2 * tp', '2 * tp + fp + fn')} AS f1, tp + fn AS support, {div('tp + tn', 'n')} AS acc FROM c0
+  UNION ALL
+  SELECT '1', {div('tp', 'tp + fp')}, {div('tp', 'tp + fn')}, {div('2 * tp', '2 * tp + fp + fn')}, tp + fn,
+         {div('tp + tn', 'n')} FROM c1)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM per
+UNION ALL SELECT 'accuracy', NULL, NULL, round(first(acc), 6), sum(support) FROM per
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM per
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+                 round(sum(f1 * support) / sum(support), 6), sum(support) FROM per""")
+
+
+def curve_sql(src: str, score: str, pos: int) -> str:
+    return f"""
+st AS (SELECT {score} AS s, sum(CASE WHEN Pago_atiempo = {pos} THEN 1 ELSE 0 END) AS pos,
+              sum(CASE WHEN Pago_atiempo = {pos} THEN 0 ELSE 1 END) AS neg FROM {src} WHERE {score} IS NOT NULL GROUP BY 1),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM st),
+cum AS (SELECT CAST(s AS DOUBLE) AS threshold,
+               CAST(sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
+               CAST(sum(neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp
+        FROM st)"""
+
+
+SQL["v_roc_curve"] = with_loans(SPLIT + PT + "," + curve_sql("pt", "puntaje_datacredito", 1) + f"""
+SELECT threshold, round({div('fp', 'N')}, 6) AS fpr, round({div('tp', 'P')}, 6) AS tpr, tp, fp FROM cum, tot
+UNION ALL SELECT 'inf'::DOUBLE, 0.0, 0.0, 0, 0""")
+
+SQL["v_pr_curve"] = with_loans(SPLIT + PT + "," + curve_sql("pt", "rule_count", 0) + f"""
+SELECT threshold, round({div('tp', 'tp + fp')}, 6) AS precision, round({div('tp', 'P')}, 6) AS recall FROM cum, tot""")
+
+CVF = KFOLD + f""",
+pf AS (SELECT *, {PRED} AS prediction FROM folds),
+fc AS ({counts('pf', 0, 'fold')}),
+tc AS (SELECT sum(tp) AS t_tp, sum(fp) AS t_fp, sum(fn) AS t_fn, sum(tn) AS t_tn FROM fc),
+parts AS (SELECT fold, 'test' AS part, tp, fp, fn, tn FROM fc
+          UNION ALL SELECT fold, 'train', t_tp - tp, t_fp - fp, t_fn - fn, t_tn - tn FROM fc, tc),
+cvm AS (SELECT fold, part, {div('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {div('tp', 'tp + fp')} AS precision,
+               {div('tp', 'tp + fn')} AS recall, {div('2 * tp', '2 * tp + fp + fn')} AS f1 FROM parts)"""
+SQL["v_cv_metrics"] = with_loans(SPLIT + CVF + """
+SELECT fold, part, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1 FROM cvm""")
+
+SQL["v_fold_summary"] = with_loans(SPLIT + CVF + """,
+lm AS (UNPIVOT cvm ON accuracy, precision, recall, f1 INTO NAME metric VALUE value)
+SELECT metric, round(avg(value) FILTER (WHERE part = 'train'), 6) AS train_score,
+       round(avg(value) FILTER (WHERE part = 'test'), 6) AS cv_mean,
+       round(stddev_samp(value) FILTER (WHERE part = 'test'), 6) AS cv_std
+FROM lm GROUP BY metric""")
+
+SQL["v_learning_curve"] = with_loans(SPLIT + SHUFFLE + f""",
+pr AS (SELECT *, {PRED} AS prediction FROM roles),
+trc AS (SELECT split_id, size, {div('count(*) FILTER (WHERE Pago_atiempo = 0 AND prediction = 0)',
+                                   'count(*) FILTER (WHERE Pago_atiempo = 0)')} AS train_recall
+        FROM pr JOIN szi ON role = 'train' AND train_rank < size GROUP BY ALL),
+tec AS (SELECT split_id, {div('count(*) FILTER (WHERE Pago_atiempo = 0 AND prediction = 0)',
+                             'count(*) FILTER (WHERE Pago_atiempo = 0)')} AS test_recall
+        FROM pr WHERE role = 'test' GROUP BY split_id)
+SELECT CAST(size AS INTEGER) AS train_size, round(avg(train_recall), 6) AS train_mean,
+       round(stddev_pop(train_recall), 6) AS train_std, round(avg(test_recall), 6) AS test_mean,
+       round(stddev_pop(test_recall), 6) AS test_std
+FROM trc JOIN tec USING (split_id) GROUP BY size""")
+
+
+def candidate_sql(name: str, th: dict | None) -> str:
+    pred = rules_sql(th)[0]
+    return f"""
+SELECT '{name}' AS modelo, cv.*, te.*, au.* FROM
+  (SELECT avg(f) AS cv_fbeta_mean, stddev_pop(f) AS cv_fbeta_std, 0.0 AS cv_fit_time_mean FROM
+     (SELECT {div('5.0 * tp', '5.0 * tp + 4.0 * fn + fp')} AS f FROM
+        ({counts(f'(SELECT *, {pred} AS prediction FROM sfolds)', 0, 'fold')}))) cv,
+  (SELECT {div('tp', 'tp + fn')} AS test_recall, {div('2 * tp', '2 * tp + fp + fn')} AS test_f1,
+          {div('5.0 * tp', '5.0 * tp + 4.0 * fn + fp')} AS test_fbeta, tp + fp AS casos_mora_pred FROM
+     ({counts(f'(SELECT *, {pred} AS prediction FROM test)', 0)})) te,
+  (SELECT roc_auc AS test_roc_auc FROM
+     {auc_sql(f'(SELECT *, CAST({pred} = 0 AS INTEGER) AS __s FROM test)', '__s', 0)}) au"""
+
+
+STRICT_TH = {"puntaje_muy_bajo": 650.0, "puntaje_moderado": 800.0, "puntaje_independiente": 750.0,
+             "edad_joven": 35, "ratio_alto": 2.0, "huella_alta": 6}
+LENIENT_TH = {"puntaje_muy_bajo": 550.0, "puntaje_moderado": 700.0, "puntaje_independiente": 650.0,
+              "edad_joven": 25, "ratio_alto": 4.0, "huella_alta": 10}
+
+SQL["v_selection"] = with_loans(SPLIT + SKFOLD + ",\ncands AS (" + union(
+    [candidate_sql("heuristic", None), candidate_sql("heuristic_strict", STRICT_TH),
+     candidate_sql("heuristic_lenient", LENIENT_TH)]) + """),
+sc AS (SELECT *, 0.6 * cv_fbeta_mean + 0.25 / (1 + cv_fbeta_std) + 0.15 / (1 + cv_fit_time_mean) AS selection_score
+       FROM cands)
+SELECT modelo, round(cv_fbeta_mean, 6) AS cv_fbeta_mean, round(cv_fbeta_std, 6) AS cv_fbeta_std, cv_fit_time_mean,
+       round(test_recall, 6) AS test_recall, round(test_f1, 6) AS test_f1, round(test_fbeta, 6) AS test_fbeta,
+       casos_mora_pred, round(test_roc_auc, 6) AS test_roc_auc, round(selection_score, 6) AS selection_score,
+       CAST(row_number() OVER (ORDER BY selection_score DESC, modelo) AS INTEGER) AS rank
+FROM sc""")
+
+SQL["v_stability"] = with_loans(SPLIT + SKFOLD + f""",
+pf AS (SELECT *, {PRED} AS prediction FROM sfolds),
+fc AS ({counts('pf', 1, 'fold')}),
+fm AS (SELECT fold, {div('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {div('2 * tp', '2 * tp + fp + fn')} AS f1,
+              {div('tp', 'tp + fn')} AS recall, {div('tp', 'tp + fp')} AS precision FROM fc),
+fa AS {auc_sql('(SELECT *, CAST(prediction AS DOUBLE) AS __s FROM pf)', '__s', 1, 'fold')},
+per AS (SELECT * FROM fm JOIN fa USING (fold)),
+lm AS (UNPIVOT per ON accuracy, f1, roc_auc, recall, precision INTO NAME metric VALUE value),
+s AS (SELECT metric, avg(value) AS mean, stddev_pop(value) AS std FROM lm GROUP BY metric),
+v AS (SELECT *, coalesce(std < 0.05, false) AS stable FROM s)
+SELECT metric, round(mean, 6) AS mean, round(std, 6) AS std, stable,
+       CASE WHEN stable THEN 'ESTABLE' ELSE 'INESTABLE' END AS verdict, bool_and(stable) OVER () AS all_stable FROM v""")
+
+
+def _metric_rows(src: str, names) -> str:
+    return f"(UNPIVOT (SELECT {metrics(False)} FROM ({counts(src, 0)})) ON {', '.join(names)} INTO NAME metric VALUE value)"
+
+
+SQL["v_compare"] = with_loans(SPLIT + f""",
+a AS (SELECT metric, value AS local FROM {_metric_rows(f'(SELECT *, {PRED} AS prediction FROM test)',
+                                                       ['accuracy', 'precision', 'recall', 'f1', 'fbeta'])}),
+b AS (SELECT metric, value AS other FROM {_metric_rows(f"(SELECT *, {rules_sql(STRICT_TH)[0]} AS prediction FROM test)",
+                                                       ['accuracy', 'precision', 'recall', 'f1', 'balanced_accuracy'])})
+SELECT coalesce(a.metric, b.metric) AS metric, round(local, 6) AS local, round(other, 6) AS other,
+       CASE WHEN local IS NULL OR other IS NULL THEN '-' WHEN local >= other THEN 'local' ELSE 'other' END AS winner
+FROM a FULL OUTER JOIN b ON a.metric = b.metric""")
+
+SWEEP = PT + f""",
+cells AS (SELECT CAST(least(greatest(floor(rule_count / 5.0 * 20), 0), 20) AS INTEGER) AS cell,
+                 sum(CASE WHEN Pago_atiempo = 0 THEN 1 ELSE 0 END) AS pos,
+                 sum(CASE WHEN Pago_atiempo = 0 THEN 0 ELSE 1 END) AS neg FROM pt GROUP BY 1),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM cells),
+grid AS (SELECT CAST(range AS INTEGER) AS i FROM range(0, 21)),
+per AS (SELECT g.i, coalesce(c.pos, 0) AS pos, coalesce(c.neg, 0) AS neg FROM grid g LEFT JOIN cells c ON c.cell = g.i),
+cm AS (SELECT i, CAST(sum(pos) OVER (ORDER BY i DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
+              CAST(sum(neg) OVER (ORDER BY i DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp
+       FROM per),
+sw AS (SELECT i / 20 AS threshold, tp, fp, CAST(P - tp AS BIGINT) AS fn, CAST(N - fp AS BIGINT) AS tn FROM cm, tot),
+swm AS (SELECT round(threshold, 6) AS threshold, tp, fp, fn, tn, round({div('tp + tn', 'tp + fp + fn + tn')}, 6) AS accuracy,
+               round({div('tp', 'tp + fp')}, 6) AS precision, round({div('tp', 'tp + fn')}, 6) AS recall,
+               round({div('2 * tp', '2 * tp + fp + fn')}, 6) AS f1,
+               round({div('5.0 * tp', '5.0 * tp + 4.0 * fn + fp')}, 6) AS fbeta FROM sw)"""
+SQL["v_threshold_sweep"] = with_loans(SPLIT + SWEEP + "\nSELECT * FROM swm")
+SQL["v_near_threshold"] = with_loans(SPLIT + SWEEP + "\nSELECT * FROM swm ORDER BY abs(threshold - 0.5), threshold LIMIT 1")
+
+
+def ks_sql(ref: str, prod: str, cols, digits: int = 4) -> str:
+    return f""",
+__lr AS (SELECT *, 0 AS side FROM {long_of(ref, cols)}),
+__lp AS (SELECT *, 1 AS side FROM {long_of(prod, cols)}),
+__l AS (SELECT * FROM __lr UNION ALL SELECT * FROM __lp),
+__cnt AS (SELECT variable, value, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c_ref,
+                 sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c_prod FROM __l GROUP BY variable, value),
+__sides AS (SELECT variable, count(*) FILTER (WHERE side = 0) AS n_ref, count(*) FILTER (WHERE side = 1) AS n_prod,
+                   avg(value) FILTER (WHERE side = 0) AS mean_ref, avg(value) FILTER (WHERE side = 1) AS mean_prod
+            FROM __l GROUP BY variable),
+__cum AS (SELECT variable,
+            sum(c_ref) OVER (PARTITION BY variable ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cr,
+            sum(c_prod) OVER (PARTITION BY variable ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp
+          FROM __cnt),
+__d AS (SELECT c.variable, max(abs(cr / n_ref - cp / n_prod)) AS d FROM __cum c JOIN __sides s ON c.variable = s.variable
+        GROUP BY c.variable),
+__rep AS (SELECT s.*, __d.d, sqrt(CAST(n_ref AS DOUBLE) * n_prod / (n_ref + n_prod)) AS en
+          FROM __sides s LEFT JOIN __d ON s.variable = __d.variable
+          WHERE n_prod >= 2 AND n_ref >= 1 AND (SELECT count(*) FROM {prod}) >= 2),
+__lam AS (SELECT *, (en + 0.12 + 0.11 / en) * d AS lam FROM __rep),
+__pv AS (SELECT *, CASE WHEN lam < 0.1 THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * list_reduce(list_transform(range(1, 101),
+            lambda j: (CASE WHEN j % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * j * j * lam * lam)), lambda a, b: a + b))) END AS p
+         FROM __lam),
+report AS (SELECT variable, round_even(d, {digits}) AS ks_statistic, round_even(p, {digits}) AS p_value,
+                  p < 0.05 AS drift_detectado, round_even(mean_ref, {digits}) AS media_referencia,
+                  round_even(mean_prod, {digits}) AS media_produccion FROM __pv)"""
+
+
+DRIFT = SPLIT + SAMPLE + ks_sql("train", "sample", CLEAN_NUMERIC)
+SQL["k_ks_report"] = with_loans(DRIFT + "\nSELECT * FROM report")
+
+EVENTS = """,
+ev AS (SELECT ts, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
+ev_ref AS (SELECT * FROM ev WHERE ts < TIMESTAMP '2024-01-15'),
+ev_prod AS (SELECT * FROM ev WHERE ts >= TIMESTAMP '2024-01-15')"""
+SQL["k_ks_events"] = "WITH __x AS (SELECT 1)" + EVENTS + ks_sql("ev_ref", "ev_prod", ["value", "k"]) + "\nSELECT * FROM report"
+
+SQL["k_drift_status"] = with_loans(DRIFT + """
+SELECT coalesce(bool_or(drift_detectado), false) AS hay_drift, CAST(coalesce(sum(CAST(drift_detectado AS INTEGER)), 0) AS BIGINT)
+       AS n_drift, count(*) AS n_variables FROM report""")
+SQL["k_drifted_variables"] = with_loans(DRIFT + "\nSELECT variable FROM report WHERE drift_detectado")
+SQL["k_top_statistic"] = with_loans(DRIFT + "\nSELECT variable, ks_statistic FROM report ORDER BY ks_statistic DESC, variable LIMIT 10")
+SQL["k_top_mean_shift"] = with_loans(DRIFT + """
+SELECT variable, round(abs(media_produccion - media_referencia), 6) AS mean_diff FROM report
+ORDER BY abs(media_produccion - media_referencia) DESC, variable LIMIT 8""")
+SQL["k_prediction_mix"] = with_loans(SPLIT + SAMPLE + f"""
+SELECT CASE {PRED} WHEN 1 THEN 'Paga a tiempo' WHEN 0 THEN 'Mora' END AS etiqueta, count(*) AS count FROM sample GROUP BY 1""")
+SQL["k_monitoring_cycle"] = with_loans(DRIFT + """
+SELECT variable, ks_statistic, p_value, drift_detectado, (SELECT count(*) FROM sample) AS n_muestra,
+       (SELECT coalesce(bool_or(drift_detectado), false) FROM report) AS hay_drift FROM report""")
+SQL["k_check_batch"] = with_loans(SPLIT + """,
+batch AS (SELECT * FROM test WHERE tipo_laboral = 'Independiente')""" + ks_sql("train", "batch", CLEAN_NUMERIC)
+                                  + "\nSELECT * FROM report")
+SQL["k_period_stats"] = """
+SELECT time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS period_start,
+       time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') + INTERVAL '7 days' AS period_end,
+       event_type, count(*) AS n, round(avg(value), 6) AS mean_value
+FROM events GROUP BY ALL"""
