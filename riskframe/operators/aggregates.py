@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.projection import columns_of_type
-from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, exact_quantiles, unpivot_numeric
+from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, exact_quantiles, local_frame, unpivot_numeric
 
 
 def _keys_present(keys: Sequence[str]) -> F.Column:
@@ -51,8 +51,8 @@ def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     r = (F.when(n < 2, F.lit(None).cast("double"))
          .when((vx <= 0) | (vy <= 0), F.lit(float("nan")))
          .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cxy / F.sqrt(vx * vy)))))
-    names_tbl = df.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)],
-                                                "p int, var_a string, var_b string")
+    names_tbl = local_frame(df.sparkSession, [(k, a, b) for k, (a, b) in enumerate(pairs)],
+                            "p int, var_a string, var_b string")
     return names_tbl.join(g.select("p", r.alias("corr")), "p", "left").select("var_a", "var_b", "corr")
 
 

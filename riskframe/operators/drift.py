@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.projection import columns_of_type, common_columns
-from riskframe.operators.ranking import DEFAULT_BUCKETS, materialize_small, running_totals, unpivot_numeric
+from riskframe.operators.ranking import DEFAULT_BUCKETS, local_frame, materialize_small, running_totals, unpivot_numeric
 from riskframe.session import cut_lineage
 from riskframe.plans.presets import DRIFT_P
 
@@ -78,7 +78,7 @@ def ks_report(reference: DataFrame, production: DataFrame, cols: Sequence[str] |
     else:
         cols = [c for c in cols if c in reference.columns and c in production.columns]
     if not cols:
-        return spark.createDataFrame([], REPORT_SCHEMA)
+        return local_frame(spark, [], REPORT_SCHEMA)
     t = ks_table(reference, production, cols, n_buckets)
     n_rows = production.agg(F.count(F.lit(1))).scalar()
     t = t.where((F.col("n_prod") >= min_rows) & (F.col("n_ref") >= 1) & (n_rows >= min_rows))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions.exprs import label_map as _label_map_expr
 from riskframe.functions.exprs import ordinal as _ordinal_expr
-from riskframe.operators.ranking import unpivot_numeric
+from riskframe.operators.ranking import local_frame, unpivot_numeric
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -79,9 +79,8 @@ def table_info(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
     long = counts.unpivot([], [f"c{i}" for i in range(len(fields))], "pos", "non_null")
-    meta = df.sparkSession.createDataFrame(
-        [(f"c{i}", i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
-        "pos string, position int, column string, dtype string")
+    meta = local_frame(df.sparkSession, [(f"c{i}", i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
+                       "pos string, position int, column string, dtype string")
     return meta.join(F.broadcast(long), "pos").select("position", "column", "dtype",
                                                        F.col("non_null").cast("long").alias("non_null"))
 

@@ -88,7 +88,7 @@ def sentinel_scan(df: DataFrame, cols: Sequence[str] | None = None,
                  F.array_sort(F.collect_set(F.when(hit, F.col(c).cast("string")))).alias(f"h{i}")]
         used.append((i, c))
     if not used:
-        return df.sparkSession.createDataFrame([], "variable string, n_hits long, hits array<string>")
+        return df.sparkSession.createDataFrame([], "variable string, n_hits long, hits array<string>")  # empty
     one = df.agg(*aggs)
     packed = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"n{i}").alias("n_hits"),
                                 F.col(f"h{i}").alias("hits")) for i, c in used])

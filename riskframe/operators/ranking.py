@@ -41,15 +41,38 @@ SMALL_ROWS = 50_000
 _TMP = "__rf_"
 
 
+def local_frame(spark, rows, schema) -> DataFrame:
+    """A DataFrame over driver-side rows as a true ``LocalRelation`` (via Arrow):
+    the planner knows its size, so joins with it broadcast without a job.
+    ``schema`` is a StructType or a DDL string; rows are tuples."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    st = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
+    names = st.fieldNames()
+    arrow_schema = to_arrow_schema(st)
+    cols = list(zip(*rows)) if rows else [[] for _ in names]
+    tbl = pa.Table.from_arrays([pa.array(list(c), type=arrow_schema.field(i).type) for i, c in enumerate(cols)],
+                               schema=arrow_schema)
+    return spark.createDataFrame(tbl, schema=st)
+
+
 def materialize_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Compute a small table once. Bounded results come back as a local relation
     (its size is known to the planner, so joins with it broadcast); larger ones
     are checkpointed to the shared checkpoint folder instead of the driver."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+    from pyspark import StorageLevel
+
     from riskframe.session import cut_lineage
-    return cut_lineage(df)
+
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)   # the size check and the read share one computation
+    try:
+        if df.count() <= max_rows:
+            return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
+        return cut_lineage(df)
+    finally:
+        df.unpersist()
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = (), broadcast: bool = False) -> DataFrame:
@@ -136,22 +159,55 @@ def with_row_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
         b, f"{_TMP}n_off")
 
 
+L1_RES = 64           # level-1 buckets per unit of asinh(x): data independent, no bounds pass
+L2_BUCKETS = 1024     # level-2 buckets inside a level-1 bucket, on that bucket's own [min, max]
+
+
+def _level1(df: DataFrame, keys: Sequence[str], value: str, sums: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """One aggregate pass: per (group, level-1 bucket) count/sums and min/max of
+    ``value``; returns (rows with ``b1``, materialised level-1 table with
+    exclusive offsets ``<sum>_off1``)."""
+    t = F.asinh(F.col(value).cast("double"))
+    rows = df.withColumn("__b1", F.floor(F.when(~F.isnan(t), t) * L1_RES).cast("long"))
+    lvl = materialize_small(rows.groupBy(*keys, "__b1").agg(
+        F.min(value).alias("__lo1"), F.max(value).alias("__hi1"),
+        *[agg.alias(name) for name, agg in sums.items()]))
+    w = Window.partitionBy(*keys).orderBy("__b1").rowsBetween(Window.unboundedPreceding, -1)
+    lvl = lvl.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"{n}_off1") for n in sums])
+    return rows, lvl
+
+
+def _level2(rows: DataFrame, lvl: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Attach the level-1 bounds/offsets and the level-2 bucket ``__b2``."""
+    j = _join_offsets(rows, lvl, list(keys) + ["__b1"])
+    lo, hi = F.col("__lo1").cast("double"), F.col("__hi1").cast("double")
+    b2 = F.when(hi > lo, F.least(F.floor((F.col(value).cast("double") - lo) / (hi - lo) * L2_BUCKETS),
+                                 F.lit(L2_BUCKETS - 1))).otherwise(F.lit(0))
+    return j.withColumn("__b2", b2.cast("int"))
+
+
 def running_totals(df: DataFrame, partition_by: Sequence[str], order_col: str, sum_cols: Sequence[str],
                    prefix: str = "cum_", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` within each group in ``order_col``
     order (``order_col`` is expected to be unique within the group, e.g. after a
-    ``groupBy(score)``)."""
+    ``groupBy(score)``). Rows are windowed only inside (group, level-1, level-2)
+    buckets; the preceding buckets' totals come from two small offset tables."""
     keys = list(partition_by)
-    b = f"{_TMP}b"
-    bucketed = bucketize(df, keys, order_col, n_buckets, out=b)
     sums = {f"{_TMP}s{i}": F.sum(c) for i, c in enumerate(sum_cols)}
-    offs = _offsets(bucketed, keys, b, sums)
-    w = Window.partitionBy(*keys, b).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    local = bucketed.select("*", *[F.sum(c).over(w).alias(f"{_TMP}l{i}") for i, c in enumerate(sum_cols)])
-    joined = _join_offsets(local, offs.select(*keys, b, *[f"{n}_off" for n in sums]), keys + [b])
-    out = joined.select("*", *[(F.col(f"{_TMP}l{i}") + F.col(f"{_TMP}s{i}_off")).alias(f"{prefix}{c}")
-                               for i, c in enumerate(sum_cols)])
-    return out.drop(b, *[f"{_TMP}l{i}" for i in range(len(sum_cols))], *[f"{n}_off" for n in sums])
+    rows, lvl = _level1(df.where(F.col(order_col).isNotNull()), keys, order_col, sums)
+    r2 = _level2(rows, lvl, keys, order_col)
+    sub = r2.groupBy(*keys, "__b1", "__b2").agg(*[F.sum(c).alias(f"{_TMP}t{i}") for i, c in enumerate(sum_cols)])
+    w_sub = Window.partitionBy(*keys, "__b1").orderBy("__b2").rowsBetween(Window.unboundedPreceding, -1)
+    sub = sub.select(*keys, "__b1", "__b2", *[F.coalesce(F.sum(f"{_TMP}t{i}").over(w_sub), F.lit(0))
+                                              .alias(f"{_TMP}o{i}") for i in range(len(sum_cols))])
+    w = Window.partitionBy(*keys, "__b1", "__b2").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    local = r2.select("*", *[F.sum(c).over(w).alias(f"{_TMP}l{i}") for i, c in enumerate(sum_cols)])
+    joined = attach(local, sub, keys + ["__b1", "__b2"])
+    out = joined.select("*", *[(F.col(f"{_TMP}l{i}") + F.col(f"{_TMP}o{i}") + F.col(f"{_TMP}s{i}_off1"))
+                               .alias(f"{prefix}{c}") for i, c in enumerate(sum_cols)])
+    drop = ["__b1", "__b2", "__lo1", "__hi1", *sums, *[f"{n}_off1" for n in sums],
+            *[f"{_TMP}l{i}" for i in range(len(sum_cols))], *[f"{_TMP}o{i}" for i in range(len(sum_cols))]]
+    return out.drop(*drop)
 
 
 def unpivot_numeric(df: DataFrame, value_cols: Sequence[str], id_cols: Sequence[str] = (),
@@ -170,15 +226,15 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequen
     ``percentile``, DuckDB ``quantile_cont``) of ``value`` per group of ``keys``.
 
     Returns (keys..., q double, quantile double, n long). Nulls must already be
-    removed. Only the buckets containing the wanted ranks are read back, and
-    there rows collapse to (value, count) before any window.
+    removed. One aggregate pass locates the level-1 bucket of every wanted rank;
+    the final plan reads only those buckets, collapses their rows to (value,
+    count) -- a value repeated a billion times is one row -- and walks them in
+    level-2 sub-buckets, so neither a hot value nor a narrow band is one task.
     """
     keys = list(keys)
-    b = f"{_TMP}b"
-    n_col = f"{_TMP}cnt"
-    bucketed = bucketize(long, keys, value, n_buckets, out=b)
-    offs = _offsets(bucketed, keys, b, {n_col: F.count(F.lit(1))})
-    sizes = offs.groupBy(*keys).agg(F.sum(n_col).alias("n"))
+    cnt = f"{_TMP}c"
+    rows, lvl = _level1(long, keys, value, {cnt: F.count(F.lit(1))})
+    sizes = lvl.groupBy(*keys).agg(F.sum(cnt).alias("n"))
     q_arr = F.array(*[F.lit(float(q)) for q in qs])
     targets = (sizes.select(*keys, "n", F.explode(q_arr).alias("q"))
                .withColumn("pos", (F.col("n") - 1) * F.col("q"))
@@ -186,18 +242,23 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequen
                .withColumn("r_hi", F.ceil("pos").cast("long"))
                .withColumn("frac", F.col("pos") - F.col("r_lo")))
     ranks = targets.select(*keys, "q", F.explode(F.array_distinct(F.array("r_lo", "r_hi"))).alias("r"))
-    # which bucket holds rank r: off <= r < off + cnt (small x small, per group)
-    located = materialize_small(
-        attach(ranks, offs, keys)
-        .where((F.col("r") >= F.col(f"{n_col}_off")) & (F.col("r") < F.col(f"{n_col}_off") + F.col(n_col)))
-        .select(*keys, "q", "r", b, F.col(f"{n_col}_off").alias("off")))
-    needed = located.select(*keys, b).distinct()
-    rows = _semi(bucketed, needed, keys + [b])
-    dv = rows.groupBy(*keys, b, value).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*keys, b).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    dv = dv.withColumn("hi_r", F.sum("c").over(w)).withColumn("lo_r", F.col("hi_r") - F.col("c"))
-    picked = _join_offsets(dv, located, keys + [b]).where(
-        (F.col("r") >= F.col("off") + F.col("lo_r")) & (F.col("r") < F.col("off") + F.col("hi_r")))
+    off1 = F.col(f"{cnt}_off1")
+    located = (attach(ranks, lvl, keys)
+               .where((F.col("r") >= off1) & (F.col("r") < off1 + F.col(cnt)))
+               .select(*keys, "q", "r", "__b1"))
+    needed = located.select(*keys, "__b1").distinct()
+    hit = _semi(rows, needed, keys + ["__b1"])
+    r2 = _level2(hit, lvl.drop(cnt), keys, value)
+    dv = r2.groupBy(*keys, "__b1", f"{cnt}_off1", "__b2", value).agg(F.count(F.lit(1)).alias("c"))
+    sub = dv.groupBy(*keys, "__b1", "__b2").agg(F.sum("c").alias("sc"))
+    w_sub = Window.partitionBy(*keys, "__b1").orderBy("__b2").rowsBetween(Window.unboundedPreceding, -1)
+    sub = sub.select(*keys, "__b1", "__b2", F.coalesce(F.sum("sc").over(w_sub), F.lit(0)).alias("off2"))
+    w = Window.partitionBy(*keys, "__b1", "__b2").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    dv = attach(dv.withColumn("hi_r", F.sum("c").over(w)), sub, keys + ["__b1", "__b2"])
+    base = F.col(f"{cnt}_off1") + F.col("off2")
+    dv = dv.withColumn("lo_abs", base + F.col("hi_r") - F.col("c")).withColumn("hi_abs", base + F.col("hi_r"))
+    picked = _join_offsets(dv, located, keys + ["__b1"]).where(
+        (F.col("r") >= F.col("lo_abs")) & (F.col("r") < F.col("hi_abs")))
     vals = picked.groupBy(*keys, "q").agg(F.map_from_entries(F.collect_list(F.struct("r", value))).alias("m"))
     res = attach(targets, vals, keys + ["q"])
     lo_v, hi_v = F.element_at("m", F.col("r_lo")), F.element_at("m", F.col("r_hi"))
@@ -231,4 +292,4 @@ def quantile_row(df: DataFrame, cols: Sequence[str], q: float, prefix: str = "",
     computed now (a fitted state) and held as a local relation."""
     vals = quantile_values(df, cols, q, n_buckets)
     schema = ", ".join(f"`{prefix}{c}` double" for c in cols)
-    return df.sparkSession.createDataFrame([tuple(vals[c] for c in cols)], schema)
+    return local_frame(df.sparkSession, [tuple(vals[c] for c in cols)], schema)

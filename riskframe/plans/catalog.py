@@ -24,8 +24,18 @@ def register(name: str):
     return deco
 
 
-def filtered_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return range_filter_keep_null(loan_table(spark, sf_dir), P.RANGE_BOUNDS)
+def loans_base(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """The loan table for multi-pass queries: derived once from the driver tables
+    and written to the checkpoint folder, so fit steps (medians, quantiles) and the
+    final pass read it instead of re-running the three-table join each time."""
+    from riskframe.session import cut_lineage
+
+    loans = loan_table(spark, sf_dir)
+    return cut_lineage(loans) if materialize else loans
+
+
+def filtered_loans(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    return range_filter_keep_null(loans_base(spark, sf_dir, materialize), P.RANGE_BOUNDS)
 
 
 def clean_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +45,8 @@ def clean_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("eda_default_rate_age_x_size")
 def q_age_x_size(spark, sf_dir):
     """Flagship: default rate (%) by age band x loan-size band over the cleaned loans (A10)."""
-    df = D.add_band(filtered_loans(spark, sf_dir), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS, "grupo_edad")
+    df = D.add_band(filtered_loans(spark, sf_dir, materialize=False), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS,
+                    "grupo_edad")
     df = D.add_band(df, "capital_prestado", P.SIZE_EDGES, P.SIZE_LABELS, "tamano_credito")
     return A.event_rate_pivot(df, "grupo_edad", "tamano_credito", P.SIZE_LABELS, P.TARGET, P.EVENT)
 
@@ -71,7 +82,7 @@ def r6(c):
 
 def eda_frame(spark, sf_dir):
     """The EDA's working frame: raw loans, trend whitelisted, flag on raw balances."""
-    df = FL.whitelist_column(loan_table(spark, sf_dir), "tendencia_ingresos", P.TREND_LEVELS)
+    df = FL.whitelist_column(loans_base(spark, sf_dir), "tendencia_ingresos", P.TREND_LEVELS)
     return D.add_flag(df)
 
 
@@ -600,7 +611,7 @@ def _fold_counts(df, fold_col, pos_label):
     return test.unionByName(train)
 
 
-from riskframe.operators.ranking import attach  # noqa: E402
+from riskframe.operators.ranking import attach, local_frame  # noqa: E402
 
 
 @register("v_cv_metrics")
@@ -638,7 +649,7 @@ def q_learning_curve(spark, sf_dir):
     tr = tr.select("split_id", "size_idx", V._div(F.sum("tp").over(w), F.sum("pos").over(w)).alias("train_recall"))
     te = (sp.where(F.col("role") == "test").groupBy("split_id")
           .agg(V._div(F.sum(F.when(y0 & p0, 1).otherwise(0)), F.sum(F.when(y0, 1).otherwise(0))).alias("test_recall")))
-    size_tbl = spark.createDataFrame([(i, s) for i, s in enumerate(sizes)], "size_idx int, train_size int")
+    size_tbl = local_frame(spark, [(i, s) for i, s in enumerate(sizes)], "size_idx int, train_size int")
     j = tr.join(te, "split_id").join(size_tbl, "size_idx")
     out = j.groupBy("train_size").agg(F.avg("train_recall").alias("train_mean"), F.stddev_pop("train_recall").alias("train_std"),
                                       F.avg("test_recall").alias("test_mean"), F.stddev_pop("test_recall").alias("test_std"))

@@ -57,5 +57,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+    from pyspark import StorageLevel
+
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)   # the checkpoint write re-reads this, not the lineage
+    out = cached.checkpoint(eager=eager)
+    if eager:
+        cached.unpersist()
+    return out
