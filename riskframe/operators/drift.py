@@ -31,7 +31,7 @@ REPORT_SCHEMA = ("variable string, ks_statistic double, p_value double, drift_de
 def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
     """Q_KS((sqrt(en) + 0.12 + 0.11 / sqrt(en)) * D), en = n1 n2 / (n1 + n2),
     Q_KS(l) = 2 sum_{j>=1} (-1)^(j-1) exp(-2 j^2 l^2), clamped to [0, 1]."""
-    en = F.sqrt(n1.cast("double") * n2 / (n1 + n2))
+    en = F.sqrt(F.try_divide(n1.cast("double") * n2, n1 + n2))
     lam = (en + 0.12 + 0.11 / en) * d
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
@@ -54,11 +54,11 @@ def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str],
         F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("long").alias("c_prod")))
     sides = materialize_small(counts.groupBy("variable").agg(
         F.sum("c_ref").alias("n_ref"), F.sum("c_prod").alias("n_prod"),
-        (F.sum(F.col("value") * F.col("c_ref")) / F.sum("c_ref")).alias("mean_ref"),
-        (F.sum(F.col("value") * F.col("c_prod")) / F.sum("c_prod")).alias("mean_prod")))
+        F.try_divide(F.sum(F.col("value") * F.col("c_ref")), F.sum("c_ref")).alias("mean_ref"),
+        F.try_divide(F.sum(F.col("value") * F.col("c_prod")), F.sum("c_prod")).alias("mean_prod")))
     cum = running_totals(counts, ["variable"], "value", ["c_ref", "c_prod"], n_buckets=n_buckets)
     cum = cum.join(F.broadcast(sides), "variable")   # one row per column: proven bound
-    gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_prod") / F.col("n_prod"))
+    gap = F.abs(F.try_divide(F.col("cum_c_ref"), F.col("n_ref")) - F.try_divide(F.col("cum_c_prod"), F.col("n_prod")))
     d = cum.groupBy("variable").agg(F.max(gap).alias("d"))
     return sides.join(d, "variable", "left")
 

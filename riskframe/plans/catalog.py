@@ -807,3 +807,91 @@ def q_period_stats(spark, sf_dir):
 
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     return _round_cols(period_stats(ev, "7 days"), ["mean_value"])
+
+
+# =========================================================================== Spark ML models (rows-only checks)
+
+def _fit_and_score(spark, sf_dir, name, **kw):
+    from riskframe.operators.models import fit_candidate
+    from riskframe.plans.training import evaluate, score_rows
+
+    train, test = train_rows(spark, sf_dir), test_rows(spark, sf_dir)
+    model = fit_candidate(train, name, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES, P.TARGET, key=P.KEY, **kw)
+    return evaluate(score_rows(model, test)).select(F.lit(name).alias("modelo"), "recall", "f1", "fbeta", "roc_auc",
+                                                    "n_pred_pos")
+
+
+@register("m_logreg_batch_score")
+def q_logreg_batch_score(spark, sf_dir):
+    """M2 + M6 + M7 + M8: balanced logistic regression (with SMOTE on the encoded
+    training rows), batch-scored on the test rows."""
+    from riskframe.operators.models import batch_score, fit_candidate
+
+    model = fit_candidate(train_rows(spark, sf_dir), "logreg", P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES, P.TARGET,
+                          use_smote=True, key=P.KEY)
+    return batch_score(model, test_rows(spark, sf_dir), keep=[P.KEY])
+
+
+@register("m_random_forest")
+def q_random_forest(spark, sf_dir):
+    """M3: 100-tree balanced random forest, test metrics for the default class."""
+    return _fit_and_score(spark, sf_dir, "random_forest")
+
+
+@register("m_gradient_boosting")
+def q_gradient_boosting(spark, sf_dir):
+    """M4: 100-round gradient boosting, test metrics."""
+    return _fit_and_score(spark, sf_dir, "gradient_boosting")
+
+
+@register("m_xgboost")
+def q_xgboost(spark, sf_dir):
+    """M5: boosted trees with the class-1 weight = majority/minority ratio (the
+    original's setting, kept as an option)."""
+    tr = train_rows(spark, sf_dir)
+    ratio = A.class_ratio(tr, P.TARGET).first()["ratio"]
+    return _fit_and_score(spark, sf_dir, "xgboost", scale_pos_weight=ratio)
+
+
+@register("m_candidates")
+def q_candidates(spark, sf_dir):
+    """V9-V11 + J5 with Spark ML: 5-fold CV F-beta, fit time, test metrics and
+    selection score of the logistic-regression and random-forest candidates."""
+    from riskframe.plans.training import train_and_select
+
+    summary, _ = train_and_select(train_rows(spark, sf_dir), test_rows(spark, sf_dir), ["logreg", "random_forest"])
+    return summary
+
+
+# =========================================================================== encoding
+
+from riskframe.operators import encoding as EN  # noqa: E402
+
+SCALE_COLS = ["capital_prestado", "salario_cliente", "saldo_total", "puntaje_datacredito", "huella_consulta"]
+
+
+@register("e_scaler_params")
+def q_scaler_params(spark, sf_dir):
+    """E1 fit on the training rows only: mean and population std per column."""
+    p = EN.fit_scaler(train_rows(spark, sf_dir), SCALE_COLS)
+    packed = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"mean_{c}").alias("mean"),
+                                F.col(f"std_{c}").alias("std")) for c in SCALE_COLS])
+    return _round_cols(p.select(F.inline(packed)), ["mean", "std"])
+
+
+@register("e_scaled_test")
+def q_scaled_test(spark, sf_dir):
+    """E1 + E5: the training-fitted scaler applied to the test rows."""
+    params = EN.fit_scaler(train_rows(spark, sf_dir), SCALE_COLS)
+    out = EN.apply_scaler(test_rows(spark, sf_dir).select(P.KEY, *SCALE_COLS), params, SCALE_COLS)
+    return _round_cols(out, SCALE_COLS)
+
+
+@register("e_one_hot")
+def q_one_hot(spark, sf_dir):
+    """E2 + E3 + E5: one-hot of the test rows with the training levels
+    (unknown/null -> zeros), long format (key, feature, value)."""
+    levels = EN.collect_levels(EN.fit_levels(train_rows(spark, sf_dir), P.CATEGORICAL_FEATURES))
+    wide = EN.one_hot(test_rows(spark, sf_dir).select(P.KEY, *P.CATEGORICAL_FEATURES), levels)
+    names = [c for c in wide.columns if c.startswith("cat__")]
+    return wide.unpivot([P.KEY], names, "feature", "value")

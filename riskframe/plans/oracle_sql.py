@@ -791,3 +791,21 @@ SELECT time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS period_star
        time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') + INTERVAL '7 days' AS period_end,
        event_type, count(*) AS n, round(avg(value), 6) AS mean_value
 FROM events GROUP BY ALL"""
+
+
+# ----------------------------------------------------------------- part 4: encoding
+
+SCALE_COLS = ["capital_prestado", "salario_cliente", "saldo_total", "puntaje_datacredito", "huella_consulta"]
+SCALER = ",\nsp AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SCALE_COLS) + " FROM train)"
+SQL["e_scaler_params"] = with_loans(SPLIT + SCALER + "\n" + union(
+    f"SELECT '{c}' AS variable, round(m_{c}, 6) AS mean, round(s_{c}, 6) AS std FROM sp" for c in SCALE_COLS))
+SQL["e_scaled_test"] = with_loans(SPLIT + SCALER + "\nSELECT loan_id, " + ", ".join(
+    f"round(CASE WHEN s_{c} = 0 THEN {c} - m_{c} ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}" for c in SCALE_COLS)
+    + " FROM test, sp")
+SQL["e_one_hot"] = with_loans(SPLIT + """,
+lv AS (SELECT DISTINCT 'tipo_credito' AS v, CAST(tipo_credito AS VARCHAR) AS level FROM train WHERE tipo_credito IS NOT NULL
+       UNION SELECT DISTINCT 'tipo_laboral', tipo_laboral FROM train WHERE tipo_laboral IS NOT NULL)
+SELECT t.loan_id, 'cat__' || lv.v || '_' || lv.level AS feature,
+       CASE WHEN (CASE lv.v WHEN 'tipo_credito' THEN CAST(t.tipo_credito AS VARCHAR) ELSE t.tipo_laboral END) = lv.level
+            THEN 1.0 ELSE 0.0 END AS value
+FROM test t, lv""")

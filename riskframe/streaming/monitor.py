@@ -24,7 +24,9 @@ from riskframe.operators.drift import ks_report
 
 def period_stats(events: DataFrame, period: str = "7 days", ts: str = "ts", key: str = "event_type",
                  value: str = "value") -> DataFrame:
-    """K9 aggregation: per tumbling window and key: n and mean value."""
+    """K9 aggregation: per tumbling window and key: n and mean value. Event time
+    is normalised to TIMESTAMP (watermarks reject TIMESTAMP_NTZ)."""
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     w = F.window(ts, period)
     return (events.groupBy(w.alias("w"), key)
             .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_value"))
@@ -36,7 +38,8 @@ def stream_period_stats(stream: DataFrame, period: str = "7 days", ts: str = "ts
                         value: str = "value", watermark: str | None = None) -> DataFrame:
     """Watermarked streaming form of :func:`period_stats` (append mode emits each
     window once, when the watermark passes its end)."""
-    return period_stats(stream.withWatermark(ts, watermark or period), period, ts, key, value)
+    stream = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark or period)
+    return period_stats(stream, period, ts, key, value)
 
 
 def stream_drift(stream: DataFrame, reference: DataFrame, cols: Sequence[str],
