@@ -37,6 +37,11 @@ from riskframe.functions.exprs import col_of
 
 DEFAULT_BUCKETS = 1024
 SMALL_ROWS = 50_000
+# A group whose row count is checked to be at most this is handled by one task
+# (a plain window / exact percentile buffer of <= 2M values, ~32 MB); larger
+# groups take the bucketed path. The count comes from the pass the bucketed path
+# needs anyway, so the check is free.
+GROUP_TASK_ROWS = 2_000_000
 
 _TMP = "__rf_"
 
@@ -137,6 +142,12 @@ def _offsets(bucketed: DataFrame, keys: Sequence[str], bucket: str, sums: dict[s
                                           for name in sums] + [F.col(name) for name in sums])
 
 
+def _max_group(table: DataFrame, keys: Sequence[str], count_col: str) -> int:
+    """Largest group size from a materialised (local) count table."""
+    m = table.groupBy(*keys).agg(F.sum(count_col).alias("n")).agg(F.max("n")).first()[0]
+    return int(m or 0)
+
+
 def _join_offsets(df: DataFrame, offs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return attach(df, offs, keys, broadcast=offs.isLocal())
 
@@ -152,6 +163,9 @@ def with_row_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     b = f"{_TMP}b"
     bucketed = bucketize(df, keys, order[0], n_buckets, known_range, out=b)
     offs = _offsets(bucketed, keys, b, {f"{_TMP}n": F.count(F.lit(1))})
+    if _max_group(offs, keys, f"{_TMP}n") <= GROUP_TASK_ROWS:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
     local = bucketed.withColumn(
         rank_col, F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)) - 1)
     joined = _join_offsets(local, offs.select(*keys, b, f"{_TMP}n_off"), keys + [b])
@@ -194,7 +208,12 @@ def running_totals(df: DataFrame, partition_by: Sequence[str], order_col: str, s
     buckets; the preceding buckets' totals come from two small offset tables."""
     keys = list(partition_by)
     sums = {f"{_TMP}s{i}": F.sum(c) for i, c in enumerate(sum_cols)}
-    rows, lvl = _level1(df.where(F.col(order_col).isNotNull()), keys, order_col, sums)
+    src = df.where(F.col(order_col).isNotNull())
+    rows, lvl = _level1(src, keys, order_col, {**sums, f"{_TMP}rows": F.count(F.lit(1))})
+    if _max_group(lvl, keys, f"{_TMP}rows") <= GROUP_TASK_ROWS:
+        w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+        return src.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
+    lvl = lvl.drop(f"{_TMP}rows", f"{_TMP}rows_off1")
     r2 = _level2(rows, lvl, keys, order_col)
     sub = r2.groupBy(*keys, "__b1", "__b2").agg(*[F.sum(c).alias(f"{_TMP}t{i}") for i, c in enumerate(sum_cols)])
     w_sub = Window.partitionBy(*keys, "__b1").orderBy("__b2").rowsBetween(Window.unboundedPreceding, -1)
@@ -235,6 +254,13 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequen
     cnt = f"{_TMP}c"
     rows, lvl = _level1(long, keys, value, {cnt: F.count(F.lit(1))})
     sizes = lvl.groupBy(*keys).agg(F.sum(cnt).alias("n"))
+    if _max_group(lvl, keys, cnt) <= GROUP_TASK_ROWS:
+        # every group is checked small: one exact percentile aggregate
+        pct = F.percentile(F.col(value), [float(q) for q in qs])
+        got = long.groupBy(*keys).agg(pct.alias("__p"), F.count(F.lit(1)).alias("n"))
+        return got.select(*keys, F.posexplode("__p").alias("__i", "quantile"), "n").select(
+            *keys, F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("__i") + 1).alias("q"),
+            "quantile", "n")
     q_arr = F.array(*[F.lit(float(q)) for q in qs])
     targets = (sizes.select(*keys, "n", F.explode(q_arr).alias("q"))
                .withColumn("pos", (F.col("n") - 1) * F.col("q"))

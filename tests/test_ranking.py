@@ -6,9 +6,20 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import pytest
+
 from riskframe.operators import ranking as R
 
 
+@pytest.fixture(params=["bucketed", "single_task"], autouse=True)
+def path(request, monkeypatch):
+    """Run every test through both strategies: the bucketed path (forced by a zero
+    size threshold) and the checked-small single-task path."""
+    if request.param == "bucketed":
+        monkeypatch.setattr(R, "GROUP_TASK_ROWS", 0)
+    return request.param
+
+
 def _frame(spark, n=3000, seed=0):
     rng = np.random.default_rng(seed)
     x = np.round(rng.lognormal(10, 2, n), 0)
