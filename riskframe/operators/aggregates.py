@@ -28,23 +28,40 @@ def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(var_a, var_b, corr): Pearson r of each pair over the rows where both are
     present (pandas' pairwise-complete ``corr``).
 
-    Each row is expanded to one (pair, x, y) triple per pair and reduced with
-    plain sums grouped by pair: partial aggregation leaves one row per pair per
-    task before the shuffle, and the generated code stays small (one wide
-    aggregate with hundreds of moments compiles slowly and falls out of codegen).
-    Values are centred by the fitted column means, so the moment formula does
-    not cancel on large money values. A zero variance gives NaN, as in pandas
-    (Spark's ``corr`` raises under ANSI there)."""
+    Each task reduces its rows to the pairwise moment matrices with numpy
+    (count, sums, sums of squares and cross products under the pairwise
+    presence mask: four small Gram products per Arrow batch) and emits one row
+    per pair; a tiny ``groupBy(pair)`` sums the tasks. Values are centred by
+    the fitted column means, so the moment formula does not cancel on large
+    money values. A zero variance gives NaN, as in pandas (Spark's ``corr``
+    raises under ANSI there)."""
+    import numpy as np
+    import pandas as pd
+
     names = sorted({c for p in pairs for c in p})
+    idx = {c: i for i, c in enumerate(names)}
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first().asDict()  # fitted
-    cen = df.select(*[(F.col(c).cast("double") - F.lit(means[c] if means[c] is not None else 0.0)).alias(c)
-                      for c in names])
-    arr = F.array(*[F.struct(F.lit(k).alias("p"), F.col(a).alias("x"), F.col(b).alias("y"))
-                    for k, (a, b) in enumerate(pairs)])
-    x, y = F.col("x"), F.col("y")
-    trip = cen.select(F.inline(arr)).where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y))
-    g = trip.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
-                              F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
+    cen = df.select(*[(F.col(c).cast("double") - F.lit(means[c] if means[c] is not None else 0.0)).alias(f"v{i}")
+                      for i, c in enumerate(names)])
+    pi = np.array([idx[a] for a, _ in pairs], dtype=int)
+    pj = np.array([idx[b] for _, b in pairs], dtype=int)
+
+    def moments(batches):
+        k = len(names)
+        n = np.zeros((k, k)); sx = np.zeros((k, k)); sxx = np.zeros((k, k)); sxy = np.zeros((k, k))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float)
+            m = ~np.isnan(x)
+            x0, mf = np.where(m, x, 0.0), m.astype(float)
+            n += mf.T @ mf
+            sx += x0.T @ mf            # sx[i, j]: sum of x_i where x_i and x_j are present
+            sxx += (x0 * x0).T @ mf
+            sxy += x0.T @ x0
+        yield pd.DataFrame({"p": np.arange(len(pi)), "n": n[pi, pj], "sx": sx[pi, pj], "sy": sx[pj, pi],
+                            "sxx": sxx[pi, pj], "syy": sxx[pj, pi], "sxy": sxy[pi, pj]})
+
+    parts = cen.mapInPandas(moments, "p long, n double, sx double, sy double, sxx double, syy double, sxy double")
+    g = parts.groupBy("p").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
     vx, vy = F.col("sxx") - sx * sx / n, F.col("syy") - sy * sy / n
     cxy = F.col("sxy") - sx * sy / n
@@ -52,7 +69,7 @@ def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
          .when((vx <= 0) | (vy <= 0), F.lit(float("nan")))
          .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cxy / F.sqrt(vx * vy)))))
     names_tbl = local_frame(df.sparkSession, [(k, a, b) for k, (a, b) in enumerate(pairs)],
-                            "p int, var_a string, var_b string")
+                            "p long, var_a string, var_b string")
     return names_tbl.join(g.select("p", r.alias("corr")), "p", "left").select("var_a", "var_b", "corr")
 
 

@@ -16,22 +16,38 @@ from riskframe.sources.loans import loan_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Intermediates shared by several steps of ONE query (the checkpointed loan table
+# and split). Cleared when a registered query starts, so every query is computed
+# from the driver tables and no query reuses another's work.
+_SHARED: dict = {}
+
 
 def register(name: str):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark, sf_dir):
+            _SHARED.clear()
+            return fn(spark, sf_dir)
+        run.__doc__, run.__name__ = fn.__doc__, fn.__name__
+        QUERIES[name] = run
         return fn
     return deco
 
 
+def _shared(key, build):
+    if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
+
 def loans_base(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """The loan table for multi-pass queries: derived once from the driver tables
     and written to the checkpoint folder, so fit steps (medians, quantiles) and the
     final pass read it instead of re-running the three-table join each time."""
     from riskframe.session import cut_lineage
 
-    loans = loan_table(spark, sf_dir)
-    return cut_lineage(loans) if materialize else loans
+    if not materialize:
+        return loan_table(spark, sf_dir)
+    return _shared(("loans", sf_dir), lambda: cut_lineage(loan_table(spark, sf_dir)))
 
 
 def filtered_loans(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
@@ -39,7 +55,7 @@ def filtered_loans(spark: SparkSession, sf_dir: str, materialize: bool = True) -
 
 
 def clean_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.base_pipeline(filtered_loans(spark, sf_dir))
+    return _shared(("clean", sf_dir), lambda: D.base_pipeline(filtered_loans(spark, sf_dir)))
 
 
 @register("eda_default_rate_age_x_size")
@@ -467,7 +483,8 @@ def split_loans(spark, sf_dir):
     read by several later steps, so its lineage is cut once (reliable checkpoint)."""
     from riskframe.session import cut_lineage
 
-    return cut_lineage(R.stratified_split(clean_loans(spark, sf_dir), P.TARGET, P.KEY, 0.2, SEED, order="mix"))
+    return _shared(("split", sf_dir), lambda: cut_lineage(
+        R.stratified_split(clean_loans(spark, sf_dir), P.TARGET, P.KEY, 0.2, SEED, order="mix")))
 
 
 def train_rows(spark, sf_dir):
