@@ -80,7 +80,8 @@ def materialize_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
         df.unpersist()
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = (), broadcast: bool = False) -> DataFrame:
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = (), broadcast: bool = False,
+           how: str = "inner") -> DataFrame:
     """Attach per-group statistics to every row of ``df``.
 
     With no keys, ``stats`` is one row: it becomes a scalar subquery (one value,
@@ -99,7 +100,7 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = (), broadcast:
     if broadcast:
         right = F.broadcast(right)
     cond = [df[k].eqNullSafe(right[v]) for k, v in renamed.items()]
-    return df.join(right, cond, "inner").drop(*renamed.values())
+    return df.join(right, cond, how).drop(*renamed.values())
 
 
 def attach_values(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -200,6 +201,59 @@ def _level2(rows: DataFrame, lvl: DataFrame, keys: Sequence[str], value: str) ->
     return j.withColumn("__b2", b2.cast("int"))
 
 
+def rank_below(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, cuts: DataFrame,
+               out: str = "cut_idx", n_buckets: int = DEFAULT_BUCKETS,
+               known_range: tuple[float, float] | None = None) -> DataFrame:
+    """For every row, the smallest ``cut_idx`` whose ``k`` exceeds the row's exact
+    0-based rank in ``(PARTITION BY partition_by ORDER BY order_by)``; NULL when
+    the rank is at or above every cut. ``cuts`` is a small table
+    (partition_by..., cut_idx int, k long).
+
+    This answers "is the row among the first k" without ranking every row:
+    bucket counts are aggregated map-side, rows in buckets wholly below or above
+    every cut are decided by a broadcast lookup (no shuffle of the rows), and
+    only rows in the few buckets that straddle a cut are windowed. A split, a
+    sample or 50 shuffle splits of a 100 TB table therefore shuffle only the
+    boundary buckets, not the table.
+    """
+    g = f"{_TMP}g"
+    keys = list(partition_by) or [g]          # the whole table is one group
+    if not partition_by:
+        df = df.withColumn(g, F.lit(0))
+        cuts = cuts.withColumn(g, F.lit(0))
+    order = [col_of(c) for c in order_by]
+    cuts = cuts if cuts.isLocal() else materialize_small(cuts)
+    b, n, off = f"{_TMP}b", f"{_TMP}n", f"{_TMP}n_off"
+    bucketed = bucketize(df, keys, order[0], n_buckets, known_range, out=b)
+    offs = _offsets(bucketed, keys, b, {n: F.count(F.lit(1))})
+    if _max_group(offs, keys, n) <= GROUP_TASK_ROWS:
+        # every group is checked small: one window task per group
+        r = f"{_TMP}r"
+        ranked = df.withColumn(r, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+        per = cuts.groupBy(*keys).agg(F.collect_list(F.struct("cut_idx", "k")).alias(f"{_TMP}cuts"))
+        j = attach(ranked, per, keys, broadcast=True, how="left")
+        hit = F.filter(F.coalesce(F.col(f"{_TMP}cuts"), F.array()), lambda c: F.col(r) < c["k"])
+        out_df = j.withColumn(out, F.array_min(F.transform(hit, lambda c: c["cut_idx"]))).drop(r, f"{_TMP}cuts")
+        return out_df.drop(g) if not partition_by else out_df
+    bk = attach(offs, cuts, keys, broadcast=True)
+    full = F.col(off) + F.col(n) <= F.col("k")
+    partial = (F.col(off) < F.col("k")) & (F.col("k") < F.col(off) + F.col(n))
+    per_bucket = materialize_small(bk.groupBy(*keys, b).agg(
+        F.min(F.when(full, F.col("cut_idx"))).alias(f"{_TMP}full"),
+        F.filter(F.collect_list(F.when(partial, F.struct(F.col("cut_idx"), (F.col("k") - F.col(off)).alias("lk")))),
+                 lambda x: x.isNotNull()).alias(f"{_TMP}part")))
+    rows = attach(bucketed, per_bucket, keys + [b], broadcast=per_bucket.isLocal(), how="left")
+    straddle = F.coalesce(F.size(f"{_TMP}part"), F.lit(0)) > 0
+    clear = rows.where(~straddle).withColumn(out, F.col(f"{_TMP}full"))
+    lr = f"{_TMP}lr"
+    edge = rows.where(straddle).withColumn(lr, F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)) - 1)
+    hit = F.filter(f"{_TMP}part", lambda c: F.col(lr) < c["lk"])
+    edge = edge.withColumn(out, F.least(F.col(f"{_TMP}full"),
+                                        F.array_min(F.transform(hit, lambda c: c["cut_idx"])))).drop(lr)
+    res = clear.unionByName(edge).drop(b, f"{_TMP}full", f"{_TMP}part")
+    return res.drop(g) if not partition_by else res
+
+
 def running_totals(df: DataFrame, partition_by: Sequence[str], order_col: str, sum_cols: Sequence[str],
                    prefix: str = "cum_", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` within each group in ``order_col``

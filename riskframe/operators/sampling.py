@@ -9,13 +9,14 @@ repeatable, and nothing is sampled approximately.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import col_of, hash_order, mix_order
-from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, with_row_rank
+from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, local_frame, materialize_small, rank_below, with_row_rank
 
 HASH_RANGE = (-9.223372036854776e18, 9.223372036854776e18)
 MIX_RANGE = (0.0, 4294967296.0)
@@ -33,14 +34,15 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
                      order: Column | str | None = None, out: str = "split",
                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact stratified train/test split. In each class the ``round(n_c *
-    test_size)`` rows first in the seeded order are ``test``; the rest ``train``."""
+    test_size)`` rows first in the seeded order are ``test``; the rest ``train``.
+    Decided by :func:`rank_below`: only rows in the one boundary bucket of each
+    class are windowed; the rest of the table is never shuffled."""
     o = "__ord"
     df, rng = _order(df, key, seed, order, o)
-    ranked = with_row_rank(df, [target], [o, key], "__r", n_buckets, rng)
-    sizes = df.groupBy(target).agg(F.round(F.count(F.lit(1)) * test_size).cast("long").alias("__k"))
-    out_df = attach(ranked, sizes, [target])
-    return out_df.withColumn(out, F.when(F.col("__r") < F.col("__k"), "test").otherwise("train")).drop(
-        o, "__r", "__k")
+    cuts = materialize_small(df.groupBy(target).agg(
+        F.lit(0).alias("cut_idx"), F.round(F.count(F.lit(1)) * test_size).cast("long").alias("k")))
+    flagged = rank_below(df, [target], [o, key], cuts, "__c", n_buckets, rng)
+    return flagged.withColumn(out, F.when(F.col("__c") == 0, "test").otherwise("train")).drop(o, "__c")
 
 
 def sample_n(df: DataFrame, key: str, frac: float = 0.1, floor: int = 50, seed: int = 42,
@@ -49,10 +51,10 @@ def sample_n(df: DataFrame, key: str, frac: float = 0.1, floor: int = 50, seed:
     at ``n`` (the reference fails when the table is smaller than the floor)."""
     o = "__ord"
     df, rng = _order(df, key, seed, order, o)
-    n = df.agg(F.count(F.lit(1))).scalar()
-    m = F.least(n, F.greatest(F.lit(floor).cast("long"), F.floor(n * frac).cast("long")))
-    ranked = with_row_rank(df, [], [o, key], "__r", n_buckets, rng)
-    return ranked.where(F.col("__r") < m).drop(o, "__r")
+    n = df.count()
+    m = min(n, max(floor, int(n * frac)))
+    cuts = local_frame(df.sparkSession, [(0, m)], "cut_idx int, k long")
+    return rank_below(df, [], [o, key], cuts, "__c", n_buckets, rng).where(F.col("__c") == 0).drop(o, "__c")
 
 
 def kfold(df: DataFrame, order_by: Sequence[str], k: int = 10, out: str = "fold",
@@ -88,22 +90,33 @@ def stratified_kfold(df: DataFrame, target: str, key: str, k: int = 5, seed: int
 
 
 def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float = 0.2, seed: int = 123,
-                   order: str = "mix", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``n_splits`` independent random train/test splits (sklearn
+                   order: str = "mix", train_fractions: Sequence[float] | None = None,
+                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """R5 (+ R6): ``n_splits`` independent random train/test splits (sklearn
     ``ShuffleSplit``: ``ceil(test_size * n)`` test rows). One row per (split,
-    input row) with ``role`` and, for training rows, ``train_rank`` (the
-    position in that split's training permutation, used by R6)."""
+    input row) with ``role``; with ``train_fractions``, ``size_idx`` is the
+    smallest nested training subset holding the row (the first
+    ``int(frac * n_train)`` training rows of that split's permutation).
+
+    The split ids are generated in each task (``explode``); membership comes
+    from :func:`rank_below`, so the 50x expanded rows are never shuffled -- only
+    the boundary buckets of each split are."""
+    n = df.count()
+    n_test = int(math.ceil(n * test_size))
+    sizes = train_size_grid(n - n_test, train_fractions) if train_fractions else []
     ex = df.withColumn("split_id", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
     if order == "mix":
         ex, rng = ex.withColumn("__ord", mix_order(key, seed, F.col("split_id"))), MIX_RANGE
     else:
         ex, rng = ex.withColumn("__ord", F.xxhash64(F.col(key), F.lit(seed), F.col("split_id"))), HASH_RANGE
-    ranked = with_row_rank(ex, ["split_id"], ["__ord", key], "__r", n_buckets, rng)
-    n = df.agg(F.count(F.lit(1))).scalar()
-    n_test = F.ceil(n * test_size)
-    return (ranked.withColumn("role", F.when(F.col("__r") < n_test, "test").otherwise("train"))
-            .withColumn("train_rank", F.when(F.col("__r") >= n_test, F.col("__r") - n_test))
-            .drop("__ord", "__r"))
+    ks = [n_test] + [n_test + m for m in sizes]
+    cuts = local_frame(df.sparkSession, [(s_, i, k) for s_ in range(n_splits) for i, k in enumerate(ks)],
+                       "split_id int, cut_idx int, k long")
+    flagged = rank_below(ex, ["split_id"], ["__ord", key], cuts, "__c", n_buckets, rng)
+    out = flagged.withColumn("role", F.when(F.col("__c") == 0, "test").otherwise("train"))
+    if sizes:
+        out = out.withColumn("size_idx", F.when(F.col("__c") >= 1, F.col("__c") - 1))
+    return out.drop("__ord", "__c")
 
 
 def train_size_grid(n_train: int, fractions: Sequence[float]) -> list[int]:

@@ -520,9 +520,12 @@ def q_stratified_kfold(spark, sf_dir):
         P.KEY, P.TARGET, "fold")
 
 
+FRACTIONS = (0.1, 0.325, 0.55, 0.775, 1.0)
+
+
 def _shuffle(spark, sf_dir):
     return R.shuffle_splits(train_rows(spark, sf_dir).select(P.KEY, P.TARGET, *CLEAN_NUMERIC, "tipo_laboral"),
-                            P.KEY, 50, 0.2, 123, order="mix")
+                            P.KEY, 50, 0.2, 123, order="mix", train_fractions=FRACTIONS)
 
 
 @register("r_shuffle_splits")
@@ -535,14 +538,13 @@ def q_shuffle_splits(spark, sf_dir):
 def _sizes(spark, sf_dir):
     n = train_rows(spark, sf_dir).count()
     n_train = n - int(-(-n * 0.2 // 1))   # n - ceil(0.2 n)
-    return R.train_size_grid(n_train, (0.1, 0.325, 0.55, 0.775, 1.0))
+    return R.train_size_grid(n_train, FRACTIONS)
 
 
 @register("r_train_sizes")
 def q_train_sizes(spark, sf_dir):
     """Nested training subsets (10% .. 100%) of every split."""
-    sizes = _sizes(spark, sf_dir)
-    tr = R.with_size_index(_shuffle(spark, sf_dir).where(F.col("role") == "train"), sizes)
+    tr = _shuffle(spark, sf_dir).where(F.col("size_idx").isNotNull())
     per = tr.groupBy("split_id", "size_idx").agg(F.count(F.lit(1)).alias("n"), F.sum(P.KEY).alias("key_sum"))
     w = W.partitionBy("split_id").orderBy("size_idx").rowsBetween(W.unboundedPreceding, 0)   # <= 5 rows per split
     return per.select("split_id", "size_idx", F.sum("n").over(w).alias("n"), F.sum("key_sum").over(w).alias("key_sum"))
@@ -658,9 +660,8 @@ def q_learning_curve(spark, sf_dir):
     subsets and on the held-out part of 50 random splits; mean and population std."""
     sizes = _sizes(spark, sf_dir)
     sp = rule_classifier(_shuffle(spark, sf_dir))
-    sp = R.with_size_index(sp, sizes)
     y0, p0 = F.col(P.TARGET) == 0, F.col("prediction") == 0
-    tr = (sp.where(F.col("role") == "train").groupBy("split_id", "size_idx")
+    tr = (sp.where(F.col("size_idx").isNotNull()).groupBy("split_id", "size_idx")
           .agg(F.sum(F.when(y0 & p0, 1).otherwise(0)).alias("tp"), F.sum(F.when(y0, 1).otherwise(0)).alias("pos")))
     w = W.partitionBy("split_id").orderBy("size_idx").rowsBetween(W.unboundedPreceding, 0)   # <= 5 rows per split
     tr = tr.select("split_id", "size_idx", V._div(F.sum("tp").over(w), F.sum("pos").over(w)).alias("train_recall"))

@@ -59,3 +59,17 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert "grupo_edad" in df.columns
+
+
+BUCKETED = ["a_describe_numeric", "a_box_stats", "q_fit_medians", "f_clip_tail_p99", "r_stratified_split",
+            "r_sample_n", "r_kfold", "r_stratified_kfold", "r_train_sizes", "v_roc_curve", "v_roc_auc",
+            "v_learning_curve", "k_ks_report", "d_quadrant_rates"]
+
+
+@pytest.mark.parametrize("name", BUCKETED)
+def test_query_matches_oracle_on_bucketed_path(spark, sf_dir, con, name, monkeypatch):
+    """The same queries with the single-task fast path disabled: the strategy
+    used when groups are large."""
+    from riskframe.operators import ranking
+    monkeypatch.setattr(ranking, "GROUP_TASK_ROWS", 0)
+    test_query_matches_oracle(spark, sf_dir, con, name)

@@ -65,3 +65,27 @@ def test_running_totals_match_cumsum(spark):
 def test_small_tables_are_local(spark):
     df = spark.range(10).groupBy((F.col("id") % 2).alias("m")).count()
     assert R.materialize_small(df).isLocal()
+
+
+def test_rank_below_matches_row_number(spark):
+    pdf, df = _frame(spark)
+    cuts = R.local_frame(spark, [(g, i, k) for g in range(3) for i, k in enumerate([5, 100, 400, 700])],
+                         "g long, cut_idx int, k long")
+    got = R.rank_below(df, ["g"], ["x", "k"], cuts, n_buckets=8).toPandas().set_index("k")["cut_idx"]
+    rr = df.withColumn("rr", F.row_number().over(Window.partitionBy("g").orderBy("x", "k")) - 1).toPandas()
+    def exp(r):
+        for i, k in enumerate([5, 100, 400, 700]):
+            if r < k:
+                return i
+        return None
+    for _, row in rr.iterrows():
+        e = exp(row.rr)
+        gv = got[row.k]
+        assert (e is None and (gv is None or gv != gv)) or gv == e, (row.k, row.rr, gv, e)
+
+
+def test_rank_below_global(spark):
+    pdf, df = _frame(spark)
+    cuts = R.local_frame(spark, [(0, 250)], "cut_idx int, k long")
+    got = R.rank_below(df, [], ["k"], cuts, n_buckets=8, known_range=(0, 3000))
+    assert sorted(r.k for r in got.where("cut_idx = 0").collect()) == list(range(250))
