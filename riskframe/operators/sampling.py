@@ -60,15 +60,17 @@ def sample_n(df: DataFrame, key: str, frac: float = 0.1, floor: int = 50, seed:
 def kfold(df: DataFrame, order_by: Sequence[str], k: int = 10, out: str = "fold",
           n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Contiguous, unshuffled k folds in ``order_by`` order; the first
-    ``n % k`` folds get one extra row (sklearn ``KFold``). The global position
-    comes from the bucketed rank, not an unpartitioned window."""
-    ranked = with_row_rank(df, [], list(order_by), "__r", n_buckets)
-    n = df.agg(F.count(F.lit(1))).scalar()
-    q, rem = F.floor(n / k), n % k
-    big = rem * (q + 1)
-    r = F.col("__r")
-    fold = F.when(r < big, F.floor(r / (q + 1))).otherwise(rem + F.floor((r - big) / q))
-    return ranked.withColumn(out, fold.cast("int")).drop("__r")
+    ``n % k`` folds get one extra row (sklearn ``KFold``). Fold ``i`` holds the
+    ranks below the cumulative size of folds 0..i, so the fold is a
+    :func:`rank_below` cut index (no global window, no full shuffle)."""
+    n = df.count()
+    q, rem = divmod(n, k)
+    bounds, acc = [], 0
+    for i in range(k):
+        acc += q + (1 if i < rem else 0)
+        bounds.append((i, acc))
+    cuts = local_frame(df.sparkSession, bounds, "cut_idx int, k long")
+    return rank_below(df, [], list(order_by), cuts, out, n_buckets).withColumn(out, F.col(out).cast("int"))
 
 
 def stratified_kfold(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 42,

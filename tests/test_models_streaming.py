@@ -90,3 +90,10 @@ def test_run_log_stream(spark, tmp_path):
     q.stop()
     assert spark.read.parquet(str(tmp_path / "log")).count() == 1
     assert os.path.isdir(tmp_path / "log" / "experiment=exp")
+
+
+def test_learning_curve_ml_small(spark, sf_dir):
+    from riskframe.plans.training import learning_curve_ml
+
+    lc = learning_curve_ml(C.train_rows(spark, sf_dir), "logreg", n_splits=2, fractions=(0.5, 1.0)).collect()
+    assert len(lc) == 2 and all(0.0 <= r.test_mean <= 1.0 for r in lc)
