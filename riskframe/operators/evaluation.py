@@ -101,14 +101,26 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
                           labels: Sequence = (0, 1), group_by: Sequence[str] = ()) -> DataFrame:
     """V4: per-class precision/recall/F1/support plus accuracy, macro and weighted
-    averages, as rows (class, precision, recall, f1, support)."""
+    averages, as rows (class, precision, recall, f1, support). One pass: the
+    labels x labels confusion counts, then arithmetic on that tiny table."""
     keys = list(group_by)
-    per = None
+    cm = confusion_matrix(df, label, prediction, labels, keys)
+    c = F.col("count")
+    per_class = []
     for lab in labels:
-        m = binary_metrics(df, label, prediction, lab, group_by=keys).select(
-            *keys, F.lit(str(lab)).alias("class"), "precision", "recall", "f1", (F.col("tp") + F.col("fn")).alias("support"),
-            "accuracy", "n")
-        per = m if per is None else per.unionByName(m)
+        per_class.append(cm.groupBy(*keys).agg(
+            F.sum(F.when((F.col("actual") == lab) & (F.col("predicted") == lab), c).otherwise(0)).alias("tp"),
+            F.sum(F.when((F.col("actual") != lab) & (F.col("predicted") == lab), c).otherwise(0)).alias("fp"),
+            F.sum(F.when((F.col("actual") == lab) & (F.col("predicted") != lab), c).otherwise(0)).alias("fn"),
+            F.sum(F.when(F.col("actual") == F.col("predicted"), c).otherwise(0)).alias("hits"),
+            F.sum(c).alias("n")).select(*keys, F.lit(str(lab)).alias("class"), "tp", "fp", "fn", "hits", "n"))
+    per = per_class[0]
+    for extra in per_class[1:]:
+        per = per.unionByName(extra)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    per = per.select(*keys, "class", _div(tp, tp + fp).alias("precision"), _div(tp, tp + fn).alias("recall"),
+                     _div(2 * tp, 2 * tp + fp + fn).alias("f1"), (tp + fn).alias("support"),
+                     _div(F.col("hits"), F.col("n")).alias("accuracy"))
     agg = per.groupBy(*keys).agg(
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
         (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
