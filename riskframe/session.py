@@ -56,12 +56,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    from pyspark import StorageLevel
+    """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint
+    folder and reading it back. One job, replicated storage (survives executor
+    loss), and unlike an RDD checkpoint the later passes get column pruning and
+    filter push-down on the written table. Never a local checkpoint."""
+    import uuid
 
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)   # the checkpoint write re-reads this, not the lineage
-    out = cached.checkpoint(eager=eager)
-    if eager:
-        cached.unpersist()
-    return out
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/riskframe-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
