@@ -913,3 +913,25 @@ def q_one_hot(spark, sf_dir):
     wide = EN.one_hot(test_rows(spark, sf_dir).select(P.KEY, *P.CATEGORICAL_FEATURES), levels)
     names = [c for c in wide.columns if c.startswith("cat__")]
     return wide.unpivot([P.KEY], names, "feature", "value")
+
+
+# =========================================================================== more projections
+
+@register("p_drop_columns")
+def q_drop_columns(spark, sf_dir):
+    """Drop the high-null and irrelevant columns (absent names ignored)."""
+    return PR.drop_columns(loan_table(spark, sf_dir), P.HIGH_NULL_COLUMNS + P.IRRELEVANT_COLUMNS + ["no_such_column"])
+
+
+@register("p_numeric_columns")
+def q_numeric_columns(spark, sf_dir):
+    """The numeric columns of the loan table, chosen from its schema."""
+    return PR.select_type(loan_table(spark, sf_dir), "numeric")
+
+
+@register("p_round_half_even")
+def q_round_half_even(spark, sf_dir):
+    """Per-credit-type means rounded to 4 decimals half-to-even (numpy rounding)."""
+    means = loan_table(spark, sf_dir).groupBy("tipo_credito").agg(
+        F.avg("capital_prestado").alias("capital_prestado"), F.avg("salario_cliente").alias("salario_cliente"))
+    return PR.round_columns(means, ["capital_prestado", "salario_cliente"], 4, half_even=True)

@@ -809,3 +809,15 @@ SELECT t.loan_id, 'cat__' || lv.v || '_' || lv.level AS feature,
        CASE WHEN (CASE lv.v WHEN 'tipo_credito' THEN CAST(t.tipo_credito AS VARCHAR) ELSE t.tipo_laboral END) = lv.level
             THEN 1.0 ELSE 0.0 END AS value
 FROM test t, lv""")
+
+
+# ----------------------------------------------------------------- part 5: more projections
+
+_DROPPED = ["promedio_ingresos_datacredito", "tendencia_ingresos", "fecha_prestamo", "puntaje", "cuota_pactada",
+            "saldo_principal", "cant_creditosvigentes", "saldo_mora", "saldo_mora_codeudor"]
+SQL["p_drop_columns"] = with_loans(f"SELECT * EXCLUDE ({', '.join(_DROPPED)}) FROM loans")
+SQL["p_numeric_columns"] = with_loans("SELECT * EXCLUDE (fecha_prestamo, tipo_laboral, tendencia_ingresos) FROM loans")
+SQL["p_round_half_even"] = with_loans("""
+SELECT tipo_credito, round_even(avg(capital_prestado), 4) AS capital_prestado,
+       round_even(avg(salario_cliente), 4) AS salario_cliente
+FROM loans GROUP BY tipo_credito""")
