@@ -138,26 +138,81 @@ def with_size_index(df: DataFrame, sizes: Sequence[int], rank_col: str = "train_
     return df.withColumn(out, expr)
 
 
+def exact_knn(points: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42,
+              max_broadcast_rows: int = 200_000) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean) of every point among the others:
+    (key, nb_rank 0..k-1, nb_key), ties broken by the neighbour key.
+
+    The reference set is split into chunks of at most ``max_broadcast_rows``
+    points (size checked before each broadcast). For each chunk, every task
+    computes distances from its own points to the broadcast chunk with numpy in
+    bounded blocks and keeps only the k best per point, so no pair is ever a
+    row. The per-chunk candidates (at most k x chunks per point) are merged by a
+    window partitioned by point. Every candidate is examined: exact, no cap."""
+    import numpy as np
+    import pandas as pd
+
+    feats = list(features)
+    spark = points.sparkSession
+    pts = points.select(F.col(key).cast("long").alias(key), *[F.col(c).cast("double").alias(c) for c in feats])
+    n = pts.count()
+    n_chunks = max(1, math.ceil(n / max_broadcast_rows))
+    while True:
+        chunked = pts.withColumn("__chunk", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n_chunks)))
+        biggest = chunked.groupBy("__chunk").count().agg(F.max("count")).first()[0] or 0
+        if biggest <= max_broadcast_rows:
+            break
+        n_chunks *= 2
+    sc = spark.sparkContext
+    cand_schema = f"`{key}` long, nb_key long, d double"
+    parts = []
+    for c in range(n_chunks):
+        ref = chunked.where(F.col("__chunk") == c).select(key, *feats).toPandas()   # checked <= max_broadcast_rows
+        bc = sc.broadcast((ref[key].to_numpy(), ref[feats].to_numpy(dtype=float)))
+
+        def topk(batches, bc=bc):
+            rkeys, mat = bc.value
+            sq = (mat ** 2).sum(1)
+            kk = min(k, len(rkeys))
+            for pdf in batches:
+                if pdf.empty or kk == 0:
+                    continue
+                x = pdf[feats].to_numpy(dtype=float)
+                qk = pdf[key].to_numpy()
+                out_k, out_nb, out_d = [], [], []
+                for lo in range(0, len(pdf), 128):          # bounded (128 x chunk) distance block
+                    xb, kb = x[lo:lo + 128], qk[lo:lo + 128]
+                    d = (xb ** 2).sum(1)[:, None] - 2.0 * xb @ mat.T + sq[None, :]
+                    d = np.maximum(d, 0.0)
+                    d[kb[:, None] == rkeys[None, :]] = np.inf      # not its own neighbour
+                    order = np.lexsort((np.broadcast_to(rkeys, d.shape), d), axis=1)[:, :kk]
+                    dd = np.take_along_axis(d, order, axis=1)
+                    keep = np.isfinite(dd)
+                    out_k.append(np.repeat(kb, kk)[keep.ravel()])
+                    out_nb.append(rkeys[order].ravel()[keep.ravel()])
+                    out_d.append(dd.ravel()[keep.ravel()])
+                yield pd.DataFrame({key: np.concatenate(out_k), "nb_key": np.concatenate(out_nb),
+                                    "d": np.concatenate(out_d)})
+
+        parts.append(pts.mapInPandas(topk, cand_schema))
+    cand = parts[0]
+    for extra in parts[1:]:
+        cand = cand.unionByName(extra)
+    w = Window.partitionBy(key).orderBy("d", "nb_key")     # <= k x chunks rows per point
+    return (cand.withColumn("nb_rank", F.row_number().over(w) - 1).where(F.col("nb_rank") < k)
+            .select(key, F.col("nb_rank").cast("int"), "nb_key"))
+
+
 def smote(df: DataFrame, target: str, features: Sequence[str], key: str, minority=0, k: int = 3,
           seed: int = 42, max_broadcast_rows: int = 200_000) -> DataFrame:
     """SMOTE oversampling of the minority class to parity.
 
-    Synthetic row = x + u * (nb - x) where nb is one of x's ``k`` nearest
-    minority neighbours (Euclidean, on the given numeric features) and ``u`` in
-    [0, 1) - both chosen by a hash of (source row, copy, seed). The i-th
-    synthetic row comes from minority row ``i % n_min``.
-
-    Neighbour search: the minority class is broadcast as one dense matrix only
-    after checking its size (``n_min <= max_broadcast_rows``); each task then
-    finds exact neighbours for its own minority rows with numpy
-    (``mapInPandas``), so no pairs are ever materialised as rows. Larger
-    minorities raise: there is no exact distributed k-NN fallback yet.
-    """
-    import numpy as np
-    import pandas as pd
-
+    Synthetic row ``j`` (0..need-1) comes from the minority row at position
+    ``j % n_min`` (key order), copy ``j // n_min``; it is x + u * (nb - x) where
+    ``nb`` is one of x's ``k`` exact nearest minority neighbours and ``u`` in
+    [0, 1), both chosen by ``xxhash64(key, copy, seed)``. Neighbours come from
+    :func:`exact_knn`; generation is joins and JVM arithmetic."""
     feats = list(features)
-    minority_df = df.where(F.col(target) == minority)
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()   # one row per class
     by_class = {r[target]: r["n"] for r in counts}
     n_min = by_class.get(minority, 0)
@@ -165,53 +220,31 @@ def smote(df: DataFrame, target: str, features: Sequence[str], key: str, minorit
     need = n_max - n_min
     if need <= 0 or n_min < 2:
         return df.withColumn("synthetic", F.lit(False))
-    if n_min > max_broadcast_rows:
-        raise ValueError(f"minority class has {n_min} rows > max_broadcast_rows={max_broadcast_rows}")
-    pts = minority_df.select(key, *[F.col(c).cast("double").alias(c) for c in feats]).orderBy(key).toPandas()
-    sc = df.sparkSession.sparkContext
-    bc = sc.broadcast((pts[key].to_numpy(), pts[feats].to_numpy(dtype=float)))
     kk = min(k, n_min - 1)
-
-    # copies: synthetic row j (0..need-1) uses source row j % n_min (its position
-    # in the broadcast key order) and copy j // n_min; the filter runs in the task
+    mino = df.where(F.col(target) == minority).select(key, *feats)
+    nn = exact_knn(mino, key, feats, kk, seed, max_broadcast_rows)
     copies = (need + n_min - 1) // n_min
-    src = (minority_df.select(key, *feats)
-           .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))))
-
-    out_schema = df.select(*[c for c in df.columns]).schema
-
-    def gen(batches):
-        keys, mat = bc.value
-        sq = (mat ** 2).sum(1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            self_pos = np.searchsorted(keys, pdf[key].to_numpy())
-            keep = pdf["__copy"].to_numpy() * n_min + self_pos < need
-            pdf, self_pos = pdf[keep], self_pos[keep]
-            if pdf.empty:
-                continue
-            x = pdf[feats].to_numpy(dtype=float)
-            nn = np.empty((len(pdf), kk), dtype=np.int64)
-            for lo in range(0, len(pdf), 128):       # bounded (128 x n_min) distance block
-                xb = x[lo:lo + 128]
-                d = (xb ** 2).sum(1)[:, None] - 2.0 * xb @ mat.T + sq[None, :]
-                d[np.arange(len(xb)), self_pos[lo:lo + 128]] = np.inf
-                nn[lo:lo + 128] = np.argsort(d, axis=1, kind="stable")[:, :kk]
-            h = pd.util.hash_pandas_object(pd.DataFrame({"k": pdf[key].to_numpy(), "c": pdf["__copy"].to_numpy()}),
-                                           index=False).to_numpy() ^ np.uint64(seed)
-            pick = nn[np.arange(len(pdf)), (h % np.uint64(kk)).astype(int)]
-            u = ((h >> np.uint64(11)) % np.uint64(1 << 40)).astype(float) / float(1 << 40)
-            syn = x + u[:, None] * (mat[pick] - x)
-            res = pd.DataFrame(syn, columns=feats)
-            res[key] = pdf[key].to_numpy()
-            res["__copy"] = pdf["__copy"].to_numpy()
-            yield res
-
-    gen_schema = ", ".join([f"`{c}` double" for c in feats] + [f"`{key}` long", "`__copy` int"])
-    synth = src.select(key, "__copy", *feats).mapInPandas(gen, gen_schema)
-    synth = synth.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in feats else
-                           (F.lit(minority).cast(f.dataType).alias(f.name) if f.name == target else
-                            F.col(key).alias(key) if f.name == key else F.lit(None).cast(f.dataType).alias(f.name))
-                           for f in out_schema.fields])
+    src = (with_row_rank(mino.select(key), [], [key], "__pos")
+           .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+           .where(F.col("__copy") * n_min + F.col("__pos") < need))
+    h = F.xxhash64(F.col(key), F.col("__copy"), F.lit(seed))
+    src = (src.withColumn("nb_rank", F.pmod(h, F.lit(kk)).cast("int"))
+           .withColumn("__u", F.pmod(F.shiftright(h, 11), F.lit(1 << 40)).cast("double") / float(1 << 40)))
+    pairs = src.join(nn, [key, "nb_rank"])
+    x = mino.select(key, *[F.col(c).cast("double").alias(f"__x_{c}") for c in feats])
+    nb = mino.select(F.col(key).alias("nb_key"), *[F.col(c).cast("double").alias(f"__n_{c}") for c in feats])
+    gen = pairs.join(x, key).join(nb, "nb_key")
+    out_schema = df.schema
+    cols = []
+    for f in out_schema.fields:
+        if f.name in feats:
+            v = F.col(f"__x_{f.name}") + F.col("__u") * (F.col(f"__n_{f.name}") - F.col(f"__x_{f.name}"))
+            cols.append(v.cast(f.dataType).alias(f.name))
+        elif f.name == target:
+            cols.append(F.lit(minority).cast(f.dataType).alias(f.name))
+        elif f.name == key:
+            cols.append(F.col(key))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    synth = gen.select(*cols)
     return df.withColumn("synthetic", F.lit(False)).unionByName(synth.withColumn("synthetic", F.lit(True)))

@@ -61,3 +61,19 @@ def test_smote_points_on_segments(spark, sf_dir):
                     if -1e-9 <= u <= 1 + 1e-9 and abs(ay + u * (by - ay) - r.b) < 1e-6:
                         ok = True
         assert ok, r
+
+
+def test_exact_knn_chunked_matches_brute_force(spark):
+    import numpy as np
+
+    from riskframe.operators.sampling import exact_knn
+    rng = np.random.default_rng(3)
+    pts = rng.normal(size=(120, 3))
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "k long, a double, b double, c double")
+    for bound in (1000, 25):                         # one chunk, and several chunks
+        got = {(r.k, r.nb_rank): r.nb_key for r in exact_knn(df, "k", ["a", "b", "c"], 3, max_broadcast_rows=bound).collect()}
+        for i in range(120):
+            d = ((pts - pts[i]) ** 2).sum(1)
+            d[i] = np.inf
+            exp = sorted(range(120), key=lambda j: (d[j], j))[:3]
+            assert [got[(i, r)] for r in range(3)] == exp
