@@ -67,17 +67,12 @@ def materialize_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Compute a small table once. Bounded results come back as a local relation
     (its size is known to the planner, so joins with it broadcast); larger ones
     are checkpointed to the shared checkpoint folder instead of the driver."""
-    from pyspark import StorageLevel
-
     from riskframe.session import cut_lineage
 
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)   # the size check and the read share one computation
-    try:
-        if df.count() <= max_rows:
-            return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
-        return cut_lineage(df)
-    finally:
-        df.unpersist()
+    tbl = df.limit(max_rows + 1).toArrow()     # at most max_rows + 1 rows ever reach the driver
+    if tbl.num_rows <= max_rows:
+        return df.sparkSession.createDataFrame(tbl, schema=df.schema)
+    return cut_lineage(df)
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = (), broadcast: bool = False,
