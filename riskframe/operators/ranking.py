@@ -196,13 +196,15 @@ def _level2(rows: DataFrame, lvl: DataFrame, keys: Sequence[str], value: str) ->
     return j.withColumn("__b2", b2.cast("int"))
 
 
-def rank_below(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, cuts: DataFrame,
+def rank_below(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, cuts,
                out: str = "cut_idx", n_buckets: int = DEFAULT_BUCKETS,
                known_range: tuple[float, float] | None = None) -> DataFrame:
     """For every row, the smallest ``cut_idx`` whose ``k`` exceeds the row's exact
     0-based rank in ``(PARTITION BY partition_by ORDER BY order_by)``; NULL when
     the rank is at or above every cut. ``cuts`` is a small table
-    (partition_by..., cut_idx int, k long).
+    (partition_by..., cut_idx int, k long), or a function that builds it from the
+    exact group sizes (a local (partition_by..., n) table) -- the sizes come out
+    of the bucket-count pass, so sizing the cuts costs no extra pass.
 
     This answers "is the row among the first k" without ranking every row:
     bucket counts are aggregated map-side, rows in buckets wholly below or above
@@ -215,12 +217,16 @@ def rank_below(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, c
     keys = list(partition_by) or [g]          # the whole table is one group
     if not partition_by:
         df = df.withColumn(g, F.lit(0))
-        cuts = cuts.withColumn(g, F.lit(0))
     order = [col_of(c) for c in order_by]
-    cuts = cuts if cuts.isLocal() else materialize_small(cuts)
     b, n, off = f"{_TMP}b", f"{_TMP}n", f"{_TMP}n_off"
     bucketed = bucketize(df, keys, order[0], n_buckets, known_range, out=b)
     offs = _offsets(bucketed, keys, b, {n: F.count(F.lit(1))})
+    if callable(cuts):
+        sizes = offs.groupBy(*keys).agg(F.sum(n).alias("n"))
+        cuts = cuts(sizes.drop(g) if not partition_by else sizes)
+    if not partition_by:
+        cuts = cuts.withColumn(g, F.lit(0))
+    cuts = cuts if cuts.isLocal() else materialize_small(cuts)
     if _max_group(offs, keys, n) <= GROUP_TASK_ROWS:
         # every group is checked small: one window task per group
         r = f"{_TMP}r"

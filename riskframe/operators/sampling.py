@@ -39,8 +39,8 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
     class are windowed; the rest of the table is never shuffled."""
     o = "__ord"
     df, rng = _order(df, key, seed, order, o)
-    cuts = materialize_small(df.groupBy(target).agg(
-        F.lit(0).alias("cut_idx"), F.round(F.count(F.lit(1)) * test_size).cast("long").alias("k")))
+    def cuts(sizes):       # per class: the first round(n_c * test_size) rows
+        return sizes.select(target, F.lit(0).alias("cut_idx"), F.round(F.col("n") * test_size).cast("long").alias("k"))
     flagged = rank_below(df, [target], [o, key], cuts, "__c", n_buckets, rng)
     return flagged.withColumn(out, F.when(F.col("__c") == 0, "test").otherwise("train")).drop(o, "__c")
 
@@ -51,9 +51,9 @@ def sample_n(df: DataFrame, key: str, frac: float = 0.1, floor: int = 50, seed:
     at ``n`` (the reference fails when the table is smaller than the floor)."""
     o = "__ord"
     df, rng = _order(df, key, seed, order, o)
-    n = df.count()
-    m = min(n, max(floor, int(n * frac)))
-    cuts = local_frame(df.sparkSession, [(0, m)], "cut_idx int, k long")
+    def cuts(sizes):       # m = min(n, max(floor, int(n * frac)))
+        m = F.least(F.col("n"), F.greatest(F.lit(floor).cast("long"), F.floor(F.col("n") * frac).cast("long")))
+        return sizes.select(F.lit(0).alias("cut_idx"), m.cast("long").alias("k"))
     return rank_below(df, [], [o, key], cuts, "__c", n_buckets, rng).where(F.col("__c") == 0).drop(o, "__c")
 
 
@@ -63,13 +63,10 @@ def kfold(df: DataFrame, order_by: Sequence[str], k: int = 10, out: str = "fold"
     ``n % k`` folds get one extra row (sklearn ``KFold``). Fold ``i`` holds the
     ranks below the cumulative size of folds 0..i, so the fold is a
     :func:`rank_below` cut index (no global window, no full shuffle)."""
-    n = df.count()
-    q, rem = divmod(n, k)
-    bounds, acc = [], 0
-    for i in range(k):
-        acc += q + (1 if i < rem else 0)
-        bounds.append((i, acc))
-    cuts = local_frame(df.sparkSession, bounds, "cut_idx int, k long")
+    def cuts(sizes):       # cumulative fold sizes: the first n % k folds get q + 1 rows
+        n_, q, rem = F.col("n"), F.floor(F.col("n") / k), F.col("n") % k
+        return sizes.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cut_idx"), n_, q, rem).select(
+            "cut_idx", ((F.col("cut_idx") + 1) * q + F.least(F.col("cut_idx") + 1, rem)).cast("long").alias("k"))
     return rank_below(df, [], list(order_by), cuts, out, n_buckets).withColumn(out, F.col(out).cast("int"))
 
 
@@ -103,20 +100,25 @@ def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float
     The split ids are generated in each task (``explode``); membership comes
     from :func:`rank_below`, so the 50x expanded rows are never shuffled -- only
     the boundary buckets of each split are."""
-    n = df.count()
-    n_test = int(math.ceil(n * test_size))
-    sizes = train_size_grid(n - n_test, train_fractions) if train_fractions else []
     ex = df.withColumn("split_id", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
     if order == "mix":
         ex, rng = ex.withColumn("__ord", mix_order(key, seed, F.col("split_id"))), MIX_RANGE
     else:
         ex, rng = ex.withColumn("__ord", F.xxhash64(F.col(key), F.lit(seed), F.col("split_id"))), HASH_RANGE
-    ks = [n_test] + [n_test + m for m in sizes]
-    cuts = local_frame(df.sparkSession, [(s_, i, k) for s_ in range(n_splits) for i, k in enumerate(ks)],
-                       "split_id int, cut_idx int, k long")
+    fracs = list(train_fractions or [])
+
+    def cuts(sizes):       # per split: n_test, then n_test + int(frac * n_train) (distinct, > 0, ascending)
+        n_test = F.ceil(F.col("n") * test_size).cast("long")
+        n_train = F.col("n") - n_test
+        grid = F.array_sort(F.filter(F.array_distinct(F.array(
+            *[F.floor(F.lit(float(f)) * n_train).cast("long") for f in fracs])), lambda x: x > 0)) \
+            if fracs else F.array().cast("array<long>")
+        ks = F.concat(F.array(n_test), F.transform(grid, lambda m: n_test + m))
+        return sizes.select("split_id", F.posexplode(ks).alias("cut_idx", "k"))
+
     flagged = rank_below(ex, ["split_id"], ["__ord", key], cuts, "__c", n_buckets, rng)
     out = flagged.withColumn("role", F.when(F.col("__c") == 0, "test").otherwise("train"))
-    if sizes:
+    if fracs:
         out = out.withColumn("size_idx", F.when(F.col("__c") >= 1, F.col("__c") - 1))
     return out.drop("__ord", "__c")
 

@@ -630,7 +630,7 @@ def _fold_counts(df, fold_col, pos_label):
     return test.unionByName(train)
 
 
-from riskframe.operators.ranking import attach, local_frame  # noqa: E402
+from riskframe.operators.ranking import attach, local_frame, materialize_small  # noqa: E402
 
 
 @register("v_cv_metrics")
@@ -657,17 +657,19 @@ def q_fold_summary(spark, sf_dir):
 @register("v_learning_curve")
 def q_learning_curve(spark, sf_dir):
     """V9: rule-model learning curve: recall (default class) on nested training
-    subsets and on the held-out part of 50 random splits; mean and population std."""
+    subsets and on the held-out part of 50 random splits; mean and population std.
+    One pass over the expanded split rows: counts per (split, role, size) -- a
+    50 x 7 table -- from which both curves are derived."""
     sizes = _sizes(spark, sf_dir)
     sp = rule_classifier(_shuffle(spark, sf_dir))
     y0, p0 = F.col(P.TARGET) == 0, F.col("prediction") == 0
-    tr = (sp.where(F.col("size_idx").isNotNull()).groupBy("split_id", "size_idx")
-          .agg(F.sum(F.when(y0 & p0, 1).otherwise(0)).alias("tp"), F.sum(F.when(y0, 1).otherwise(0)).alias("pos")))
+    cnt = materialize_small(sp.groupBy("split_id", "role", "size_idx").agg(
+        F.sum(F.when(y0 & p0, 1).otherwise(0)).alias("tp"), F.sum(F.when(y0, 1).otherwise(0)).alias("pos")))
     w = W.partitionBy("split_id").orderBy("size_idx").rowsBetween(W.unboundedPreceding, 0)   # <= 5 rows per split
-    tr = tr.select("split_id", "size_idx", V._div(F.sum("tp").over(w), F.sum("pos").over(w)).alias("train_recall"))
-    te = (sp.where(F.col("role") == "test").groupBy("split_id")
-          .agg(V._div(F.sum(F.when(y0 & p0, 1).otherwise(0)), F.sum(F.when(y0, 1).otherwise(0))).alias("test_recall")))
-    size_tbl = local_frame(spark, [(i, s) for i, s in enumerate(sizes)], "size_idx int, train_size int")
+    tr = cnt.where(F.col("size_idx").isNotNull()).select(
+        "split_id", "size_idx", V._div(F.sum("tp").over(w), F.sum("pos").over(w)).alias("train_recall"))
+    te = cnt.where(F.col("role") == "test").select("split_id", V._div(F.col("tp"), F.col("pos")).alias("test_recall"))
+    size_tbl = local_frame(spark, [(i, s_) for i, s_ in enumerate(sizes)], "size_idx int, train_size int")
     j = tr.join(te, "split_id").join(size_tbl, "size_idx")
     out = j.groupBy("train_size").agg(F.avg("train_recall").alias("train_mean"), F.stddev_pop("train_recall").alias("train_std"),
                                       F.avg("test_recall").alias("test_mean"), F.stddev_pop("test_recall").alias("test_std"))
