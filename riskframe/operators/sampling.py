@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import col_of, hash_order, mix_order
-from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, local_frame, materialize_small, rank_below, with_row_rank
+from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, rank_below, with_row_rank
 
 HASH_RANGE = (-9.223372036854776e18, 9.223372036854776e18)
 MIX_RANGE = (0.0, 4294967296.0)
@@ -129,17 +129,6 @@ def train_size_grid(n_train: int, fractions: Sequence[float]) -> list[int]:
     return [s for s in sizes if s > 0]
 
 
-def with_size_index(df: DataFrame, sizes: Sequence[int], rank_col: str = "train_rank",
-                    out: str = "size_idx") -> DataFrame:
-    """Index of the smallest nested training subset containing the row
-    (``rank < sizes[i]``); the row belongs to every subset ``i' >= i``."""
-    expr = None
-    for i, s in enumerate(sizes):
-        cond = F.col(rank_col) < s
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return df.withColumn(out, expr)
-
-
 def exact_knn(points: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42,
               max_broadcast_rows: int = 200_000) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every point among the others:

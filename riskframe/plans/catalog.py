@@ -74,7 +74,6 @@ from pyspark.sql import functions as F  # noqa: E402
 from riskframe.operators import filters as FL  # noqa: E402
 from riskframe.operators import projection as PR  # noqa: E402
 from riskframe.operators import quality as Q  # noqa: E402
-from riskframe.operators.ranking import quantile_table  # noqa: E402
 
 LOAN_COLUMNS = ["loan_id", "tipo_credito", "fecha_prestamo", "capital_prestado", "plazo_meses", "cuota_pactada",
                 "edad_cliente", "tipo_laboral", "salario_cliente", "puntaje", "puntaje_datacredito",
