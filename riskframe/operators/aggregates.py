@@ -235,8 +235,10 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40, by: str | None
         grid = base.select("variable", *ids, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
         counts = grid.join(counts, ["variable", *ids, "bin"], "left").na.fill(0, ["count"])
     counts = attach(counts, rng, ["variable"], broadcast=True)
-    # numpy edges: lo + i * (hi - lo) / bins
-    edge = lambda i: F.col("lo") + i * (F.col("hi") - F.col("lo")) / bins
+    # numpy edges: lo + i * (hi - lo) / bins; a constant column spans (v - 0.5, v + 0.5)
+    flat = F.col("hi") == F.col("lo")
+    edge = lambda i: F.when(flat, F.col("lo") - 0.5 + i / bins).otherwise(
+        F.col("lo") + i * (F.col("hi") - F.col("lo")) / bins)
     return counts.select("variable", *ids, "bin", edge(F.col("bin")).alias("bin_lo"),
                          edge(F.col("bin") + 1).alias("bin_hi"), F.col("count").cast("long"))
 

@@ -436,8 +436,10 @@ b AS (SELECT l.variable, {('l.' + by + ', ') if by else ''}
       FROM lng l JOIN rng r ON l.variable = r.variable),
 cnt AS (SELECT variable, {byc}bin, count(*) AS count FROM b GROUP BY ALL),
 grid AS (SELECT variable, {byc}CAST(unnest(range(0, {bins})) AS INTEGER) AS bin FROM {base} g)
-SELECT g.variable, {('g.' + by + ', ') if by else ''}g.bin, {'round(' if by else ''}lo + g.bin * (hi - lo) / {bins}{', 6)' if by else ''} AS bin_lo,
-       {'round(' if by else ''}lo + (g.bin + 1) * (hi - lo) / {bins}{', 6)' if by else ''} AS bin_hi, coalesce(c.count, 0) AS count
+SELECT g.variable, {('g.' + by + ', ') if by else ''}g.bin,
+       {'round(' if by else ''}CASE WHEN hi = lo THEN lo - 0.5 + g.bin / {bins} ELSE lo + g.bin * (hi - lo) / {bins} END{', 6)' if by else ''} AS bin_lo,
+       {'round(' if by else ''}CASE WHEN hi = lo THEN lo - 0.5 + (g.bin + 1) / {bins} ELSE lo + (g.bin + 1) * (hi - lo) / {bins} END{', 6)' if by else ''} AS bin_hi,
+       coalesce(c.count, 0) AS count
 FROM grid g JOIN rng r ON g.variable = r.variable
 LEFT JOIN cnt c ON c.variable = g.variable AND c.bin = g.bin {('AND c.' + by + ' = g.' + by) if by else ''}"""
 

@@ -102,3 +102,20 @@ def test_whisker_and_outliers(spark):
     b = A.box_stats(df, ["x"]).first()
     assert (b.q1, b.median, b.q3) == (2.0, 3.0, 4.0)
     assert b.whisker_hi == 4.0 and b.n_outliers == 1
+
+
+def test_histogram_constant_column_like_numpy(spark):
+    import numpy as np
+    df = spark.createDataFrame([(3.0,), (3.0,), (3.0,)], "x double")
+    h = {r.bin: r for r in A.histogram(df, ["x"], bins=4).collect()}
+    counts, edges = np.histogram([3.0, 3.0, 3.0], bins=4)
+    assert [h[i]["count"] for i in range(4)] == list(counts)
+    assert [h[i].bin_lo for i in range(4)] == list(edges[:-1])
+
+
+def test_histogram_max_in_last_bin_like_numpy(spark):
+    import numpy as np
+    vals = [0.0, 1.0, 2.5, 7.0, 10.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    h = {r.bin: r["count"] for r in A.histogram(df, ["x"], bins=5).collect()}
+    assert [h[i] for i in range(5)] == list(np.histogram(vals, bins=5)[0])
