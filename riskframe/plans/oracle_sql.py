@@ -172,6 +172,10 @@ WL = f""",
 wl AS (SELECT * REPLACE ({TREND} AS tendencia_ingresos) FROM loans)"""
 
 
+# Signed values are written ``round(x, 6) + 0.0``: DuckDB's round can give -0.0,
+# which Spark's decimal rounding never does; adding +0.0 normalises the sign of zero.
+
+
 def union(parts) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -339,7 +343,7 @@ SQL["a_quantiles"] = with_loans("\n" + union(
     for c in ["capital_prestado", "salario_cliente", "saldo_total"] for q in [0.01, 0.1, 0.5, 0.9, 0.99]))
 
 SQL["a_corr_with_target"] = with_loans("\n" + union(
-    f"SELECT '{c}' AS variable, round(corr(CAST({c} AS DOUBLE), CAST(Pago_atiempo AS DOUBLE)), 6) AS corr FROM loans"
+    f"SELECT '{c}' AS variable, round(corr(CAST({c} AS DOUBLE), CAST(Pago_atiempo AS DOUBLE)), 6) + 0.0 AS corr FROM loans"
     for c in RAW_NUMERIC))
 
 
@@ -356,15 +360,15 @@ def _corr_pairs(src: str, cols, where: str = "") -> str:
 
 
 SQL["a_corr_matrix"] = with_loans(",\n" + _corr_pairs("clean", CLEAN_NUMERIC)
-                                  + "\nSELECT var_a, var_b, round(corr, 6) AS corr FROM pairs")
+                                  + "\nSELECT var_a, var_b, round(corr, 6) + 0.0 AS corr FROM pairs")
 
 SQL["a_redundant_pairs"] = with_loans(",\n" + _corr_pairs("loans", RAW_NUMERIC)
-                                      + "\nSELECT var_a, var_b, round(corr, 6) AS corr FROM pairs "
+                                      + "\nSELECT var_a, var_b, round(corr, 6) + 0.0 AS corr FROM pairs "
                                         "WHERE ia < ib AND abs(corr) >= 0.7")
 
 SQL["a_leakage"] = with_loans(",\nc AS (" + union(
     f"SELECT '{c}' AS variable, corr(CAST({c} AS DOUBLE), CAST(Pago_atiempo AS DOUBLE)) AS corr FROM loans"
-    for c in RAW_NUMERIC) + ")\nSELECT variable, round(corr, 6) AS corr FROM c WHERE abs(corr) > 0.9")
+    for c in RAW_NUMERIC) + ")\nSELECT variable, round(corr, 6) + 0.0 AS corr FROM c WHERE abs(corr) > 0.9")
 
 QUAD = EDA + """,
 qm AS (SELECT quantile_cont(puntaje_datacredito, 0.5) AS ms, quantile_cont(huella_consulta, 0.5) AS mh FROM eda),
@@ -802,7 +806,7 @@ SCALER = ",\nsp AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS
 SQL["e_scaler_params"] = with_loans(SPLIT + SCALER + "\n" + union(
     f"SELECT '{c}' AS variable, round(m_{c}, 6) AS mean, round(s_{c}, 6) AS std FROM sp" for c in SCALE_COLS))
 SQL["e_scaled_test"] = with_loans(SPLIT + SCALER + "\nSELECT loan_id, " + ", ".join(
-    f"round(CASE WHEN s_{c} = 0 THEN {c} - m_{c} ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}" for c in SCALE_COLS)
+    f"round(CASE WHEN s_{c} = 0 THEN {c} - m_{c} ELSE ({c} - m_{c}) / s_{c} END, 6) + 0.0 AS {c}" for c in SCALE_COLS)
     + " FROM test, sp")
 SQL["e_one_hot"] = with_loans(SPLIT + """,
 lv AS (SELECT DISTINCT 'tipo_credito' AS v, CAST(tipo_credito AS VARCHAR) AS level FROM train WHERE tipo_credito IS NOT NULL
