@@ -606,10 +606,10 @@ per AS (
   SELECT '1', {div('tp', 'tp + fp')}, {div('tp', 'tp + fn')}, {div('2 * tp', '2 * tp + fp + fn')}, tp + fn,
          {div('tp + tn', 'n')} FROM c1)
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM per
-UNION ALL SELECT 'accuracy', NULL, NULL, round(first(acc), 6), sum(support) FROM per
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM per
+UNION ALL SELECT 'accuracy', NULL, NULL, round(first(acc), 6), CAST(sum(support) AS BIGINT) FROM per
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM per
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-                 round(sum(f1 * support) / sum(support), 6), sum(support) FROM per""")
+                 round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM per""")
 
 
 def curve_sql(src: str, score: str, pos: int) -> str:
@@ -667,7 +667,7 @@ def candidate_sql(name: str, th: dict | None) -> str:
     pred = rules_sql(th)[0]
     return f"""
 SELECT '{name}' AS modelo, cv.*, te.*, au.* FROM
-  (SELECT avg(f) AS cv_fbeta_mean, stddev_pop(f) AS cv_fbeta_std, 0.0 AS cv_fit_time_mean FROM
+  (SELECT avg(f) AS cv_fbeta_mean, stddev_pop(f) AS cv_fbeta_std, CAST(0.0 AS DOUBLE) AS cv_fit_time_mean FROM
      (SELECT {div('5.0 * tp', '5.0 * tp + 4.0 * fn + fp')} AS f FROM
         ({counts(f'(SELECT *, {pred} AS prediction FROM sfolds)', 0, 'fold')}))) cv,
   (SELECT {div('tp', 'tp + fn')} AS test_recall, {div('2 * tp', '2 * tp + fp + fn')} AS test_f1,
@@ -813,7 +813,7 @@ lv AS (SELECT DISTINCT 'tipo_credito' AS v, CAST(tipo_credito AS VARCHAR) AS lev
        UNION SELECT DISTINCT 'tipo_laboral', tipo_laboral FROM train WHERE tipo_laboral IS NOT NULL)
 SELECT t.loan_id, 'cat__' || lv.v || '_' || lv.level AS feature,
        CASE WHEN (CASE lv.v WHEN 'tipo_credito' THEN CAST(t.tipo_credito AS VARCHAR) ELSE t.tipo_laboral END) = lv.level
-            THEN 1.0 ELSE 0.0 END AS value
+            THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS value
 FROM test t, lv""")
 
 

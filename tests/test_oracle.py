@@ -10,6 +10,8 @@ import __spark_entry__ as E
 from riskframe.sources.io import TABLES
 
 QUERIES = E.queries()
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
 ORACLE = E.oracle_sql()
 
 
@@ -50,6 +52,9 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
     srows = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=repr)
     rel = con.sql(ORACLE[name])
     assert sorted(rel.columns) == cols
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert spark_types == duck_types
     idx = [rel.columns.index(c) for c in cols]
     orows = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
     assert srows == orows
