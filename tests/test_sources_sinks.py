@@ -52,3 +52,18 @@ def test_write_report_partitioned(spark, tmp_path):
     rep = spark.createDataFrame([("a", 0.1, True), ("b", 0.2, False)], "variable string, ks double, drift boolean")
     IO.write_report(rep, str(tmp_path / "rep"), partition_by=["drift"])
     assert spark.read.parquet(str(tmp_path / "rep")).count() == 2
+
+
+def test_range_filter_is_pushed_to_parquet(spark, sf_dir, tmp_path):
+    """F1 on a landed raw table: the null-keeping range predicate reaches the scan."""
+    from riskframe.operators.filters import range_filter_keep_null
+    from riskframe.plans.presets import RANGE_BOUNDS
+
+    loan_table(spark, sf_dir).write.parquet(str(tmp_path / "raw"))
+    raw = IO.read_table(spark, str(tmp_path / "raw"))
+    df = range_filter_keep_null(raw, RANGE_BOUNDS).select("loan_id", "edad_cliente")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(edad_cliente,18),LessThanOrEqual(edad_cliente,100))," \
+           "IsNull(edad_cliente))" in plan
+    assert "ReadSchema: struct<loan_id:bigint,edad_cliente:int,puntaje_datacredito:double>" in plan
