@@ -55,6 +55,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_WRITTEN: dict[int, list[str]] = {}
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the lineage tables this session wrote with :func:`cut_lineage`
+    (through the Hadoop FileSystem of the checkpoint folder). Call it once the
+    DataFrames that read them are no longer needed; returns how many were removed."""
+    paths = _WRITTEN.pop(id(spark), [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint
     folder and reading it back. One job, replicated storage (survives executor
@@ -65,4 +81,5 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/riskframe-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(id(df.sparkSession), []).append(path)
     return df.sparkSession.read.parquet(path)

@@ -67,3 +67,14 @@ def test_range_filter_is_pushed_to_parquet(spark, sf_dir, tmp_path):
     assert "PushedFilters: [Or(And(GreaterThanOrEqual(edad_cliente,18),LessThanOrEqual(edad_cliente,100))," \
            "IsNull(edad_cliente))" in plan
     assert "ReadSchema: struct<loan_id:bigint,edad_cliente:int,puntaje_datacredito:double>" in plan
+
+
+def test_release_tables_removes_lineage_tables(spark):
+    import os
+
+    from riskframe.session import cut_lineage, release_tables
+    df = cut_lineage(spark.range(10))
+    path = df.inputFiles()[0].replace("file:", "").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and df.count() == 10
+    assert release_tables(spark) >= 1
+    assert not os.path.exists(path)
