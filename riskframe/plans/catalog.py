@@ -95,9 +95,10 @@ def r6(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
-def eda_frame(spark, sf_dir):
-    """The EDA's working frame: raw loans, trend whitelisted, flag on raw balances."""
-    df = FL.whitelist_column(loans_base(spark, sf_dir), "tendencia_ingresos", P.TREND_LEVELS)
+def eda_frame(spark, sf_dir, materialize: bool = True):
+    """The EDA's working frame: raw loans, trend whitelisted, flag on raw balances.
+    Single-pass queries pass ``materialize=False`` (nothing to reuse)."""
+    df = FL.whitelist_column(loans_base(spark, sf_dir, materialize), "tendencia_ingresos", P.TREND_LEVELS)
     return D.add_flag(df)
 
 
@@ -157,7 +158,7 @@ def q_range_filter_report(spark, sf_dir):
 @register("f_range_filtered_rows")
 def q_range_filtered_rows(spark, sf_dir):
     """F1: the filtered rows themselves (key, age, score)."""
-    return filtered_loans(spark, sf_dir).select("loan_id", "edad_cliente", "puntaje_datacredito")
+    return filtered_loans(spark, sf_dir, materialize=False).select("loan_id", "edad_cliente", "puntaje_datacredito")
 
 
 @register("f_complete_case")
@@ -296,7 +297,7 @@ def q_describe_numeric(spark, sf_dir):
 @register("a_describe_categorical")
 def q_describe_categorical(spark, sf_dir):
     """A2: count / unique / top / freq of the categorical columns."""
-    df = eda_frame(spark, sf_dir).withColumn("tipo_credito", F.col("tipo_credito").cast("string"))
+    df = eda_frame(spark, sf_dir, materialize=False).withColumn("tipo_credito", F.col("tipo_credito").cast("string"))
     return A.describe_categorical(df, ["tipo_credito", "tipo_laboral", "tendencia_ingresos"])
 
 
@@ -355,13 +356,13 @@ def q_count_pivot(spark, sf_dir):
 @register("a_rate_by_job")
 def q_rate_by_job(spark, sf_dir):
     """Default rate by employment type."""
-    return _round_cols(A.event_rate(eda_frame(spark, sf_dir), ["tipo_laboral"], P.TARGET, P.EVENT), ["rate"])
+    return _round_cols(A.event_rate(eda_frame(spark, sf_dir, materialize=False), ["tipo_laboral"], P.TARGET, P.EVENT), ["rate"])
 
 
 @register("a_rate_job_x_inquiry")
 def q_rate_job_inquiry(spark, sf_dir):
     """A10: default rate by employment type x inquiry band."""
-    df = D.add_band(eda_frame(spark, sf_dir), "huella_consulta", P.INQUIRY_EDGES, P.INQUIRY_LABELS, "huella_cat")
+    df = D.add_band(eda_frame(spark, sf_dir, materialize=False), "huella_consulta", P.INQUIRY_EDGES, P.INQUIRY_LABELS, "huella_cat")
     out = A.event_rate_pivot(df, "tipo_laboral", "huella_cat", P.INQUIRY_LABELS, P.TARGET, P.EVENT)
     return _round_cols(out, P.INQUIRY_LABELS)
 
@@ -369,7 +370,7 @@ def q_rate_job_inquiry(spark, sf_dir):
 @register("a_rate_age_x_job")
 def q_rate_age_job(spark, sf_dir):
     """A10: default rate by age band x employment type."""
-    df = D.add_band(eda_frame(spark, sf_dir), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS, "grupo_edad")
+    df = D.add_band(eda_frame(spark, sf_dir, materialize=False), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS, "grupo_edad")
     out = A.event_rate_pivot(df, "grupo_edad", "tipo_laboral", ["Empleado", "Independiente"], P.TARGET, P.EVENT)
     return _round_cols(out, ["Empleado", "Independiente"])
 
@@ -437,7 +438,7 @@ def q_shape(spark, sf_dir):
 @register("d_age_bands")
 def q_age_bands(spark, sf_dir):
     """D4 + D8 + A9: default rate per age band, with the band order."""
-    df = D.add_band(eda_frame(spark, sf_dir), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS, "grupo_edad", "grupo_edad_ord")
+    df = D.add_band(eda_frame(spark, sf_dir, materialize=False), "edad_cliente", P.AGE_EDGES, P.AGE_LABELS, "grupo_edad", "grupo_edad_ord")
     return _round_cols(A.event_rate(df, ["grupo_edad", "grupo_edad_ord"], P.TARGET, P.EVENT), ["rate"])
 
 
@@ -458,7 +459,7 @@ def q_quadrant_rates(spark, sf_dir):
 @register("d_three_sectors")
 def q_three_sectors(spark, sf_dir):
     """D7 + A9: default rate of clients with credits in all three sectors."""
-    df = D.add_all_positive(eda_frame(spark, sf_dir), ["creditos_sectorFinanciero", "creditos_sectorCooperativo",
+    df = D.add_all_positive(eda_frame(spark, sf_dir, materialize=False), ["creditos_sectorFinanciero", "creditos_sectorCooperativo",
                                                         "creditos_sectorReal"], "en_3_sectores")
     return _round_cols(A.event_rate(df, ["en_3_sectores"], P.TARGET, P.EVENT), ["rate"])
 
