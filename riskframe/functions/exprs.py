@@ -19,7 +19,7 @@ def col_of(c) -> Column:
 
 
 def nan_to_null(c) -> Column:
-    """Missing = NaN in the reference; Spark orders NaN above every number and
+    """Missing = NaN in pandas; Spark orders NaN above every number and
     ``NaN = NaN`` is true, so NaN is mapped to NULL at the source."""
     c = col_of(c)
     return F.when(~F.isnan(c), c)

@@ -50,7 +50,7 @@ def drop_incomplete(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 def clip_tail(df: DataFrame, cols: Sequence[str], q: float = 0.99) -> DataFrame:
     """keep rows where every listed column is at or below its exact ``q``
-    quantile (nulls dropped, as the reference's ``data[data <= p99]``). The
+    quantile (nulls dropped, as pandas' ``data[data <= p99]``). The
     quantiles come from one bucketed selection plan and are attached as a
     scalar subquery."""
     cuts = quantile_row(df, cols, q, prefix="__cut_")

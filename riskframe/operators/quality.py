@@ -61,7 +61,7 @@ def zero_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return _per_column(df, cols, lambda c: F.sum(F.when(F.col(c) == 0, 1).otherwise(0)), "n_zero")
 
 
-# The disguised-null markers scanned by the reference's profiling step.
+# The disguised-null markers scanned by the original profiling step.
 SENTINEL_STRINGS = ("", " ", "NA", "N/A", "n/a", "na", "NULL", "null", "None", "none",
                     "-", "--", "?", "unknown", "Unknown")
 SENTINEL_NUMBERS = (-1, -999, -9999, 99999)

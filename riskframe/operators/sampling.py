@@ -48,7 +48,7 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
 def sample_n(df: DataFrame, key: str, frac: float = 0.1, floor: int = 50, seed: int = 42,
              order: Column | str | None = None, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """R2: fixed-size random sample of ``max(floor, int(n * frac))`` rows, capped
-    at ``n`` (the reference fails when the table is smaller than the floor)."""
+    at ``n`` (the original fails when the table is smaller than the floor)."""
     o = "__ord"
     df, rng = _order(df, key, seed, order, o)
     def cuts(sizes):       # m = min(n, max(floor, int(n * frac)))
