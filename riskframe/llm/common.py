@@ -121,3 +121,28 @@ def slices(batches, rows: int = 1000, size: int = 4_000_000, column: str = "text
             held += n
         yield batch.slice(start)
 
+
+
+#: Bits of a :func:`bloom_filter`: a fixed size, whatever it holds.
+BLOOM_BITS = 1 << 23
+
+
+def bloom_filter(df: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of a long column of hashes, of fixed size (1 MB), so it may be sent to
+    every task ahead of an exact join. With more values it lets more pass; it never loses one."""
+    at = [F.shiftrightunsigned(F.col(column), 20 * k).bitwiseAND(F.lit(BLOOM_BITS - 1)) for k in range(3)]
+    bits = df.select(F.explode(F.array(*at)).alias("bit")).select(
+        F.shiftright("bit", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("bits"))
+    got = bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def bloom_holds(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    h = hashes.view(np.uint64) if hashes.dtype == np.int64 else hashes
+    out = np.ones(len(h), dtype=bool)
+    for k in range(3):
+        bit = (h >> np.uint64(20 * k)) & np.uint64(BLOOM_BITS - 1)
+        out &= (bloom[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out

@@ -4,13 +4,40 @@ whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, chat_format, exact_dedup
+import corpus_pipeline
+from riskframe.llm import (
+    bpe,
+    chat_format,
+    embedding_dedup,
+    exact_dedup,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality,
+    suffix_dedup,
+    toxicity,
+)
 from riskframe.llm.common import read_table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(read_table(spark, sf_dir, "documents"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.digest_columns(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = toxicity.toxicity_of(read_table(spark, sf_dir, "documents"), sf_dir)
+    return got.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -20,17 +47,34 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest_columns(chat_format.format_conversations(events))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest_columns(line_dedup.line_dedup(read_table(spark, sf_dir, "documents")))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
+    return bpe.digest_columns(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
-    docs = read_table(spark, sf_dir, "documents")
-    return bpe.digest_columns(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = quality.quality_of(read_table(spark, sf_dir, "documents"), sf_dir)
+    return got.select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op4_chat_format, op6_exact_dedup, op8_bpe)}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_join, op2_packing, op3_toxicity, op4_chat_format, op5_suffix_dedup, op6_exact_dedup, op7_line_dedup, op8_bpe,
+    op9_quality, op10_embedding_dedup)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 SQL = {"op4_chat_format": chat_format.SQL, "op6_exact_dedup": exact_dedup.SQL}
