@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "col_of", "nan_to_null", "right_closed_cut", "cut_index", "safe_ratio", "plain_ratio",
-    "ordinal", "label_map", "whitelist", "positive_flag", "hash_order", "mix_order",
+    "ordinal", "label_map", "whitelist", "positive_flag", "hash_order", "md5_order",
 ]
 
 
@@ -85,11 +85,10 @@ def hash_order(key, seed: int) -> Column:
     return F.xxhash64(col_of(key), F.lit(seed))
 
 
-def mix_order(key, seed: int, salt=None) -> Column:
-    """Portable seeded order usable from any SQL engine:
-    ``(key * 2654435761 + seed [+ salt * 40503]) % 4294967296`` (no int64 overflow
-    for keys below 2^31). Ties are broken by the key by callers."""
-    base = col_of(key).cast("long") * 2654435761 + seed
-    if salt is not None:
-        base = base + col_of(salt).cast("long") * 40503
-    return F.pmod(base, F.lit(4294967296))
+def md5_order(key, seed: int, salt=None) -> Column:
+    """Portable seeded order usable from any SQL engine: the first eight hex digits of
+    ``md5('key|seed[|salt]')`` as a number below 2^32. Every bit of the seed and the salt
+    changes the whole order, and keys of any size or type work. Callers break ties by
+    the key."""
+    parts = [col_of(key).cast("string"), F.lit(str(seed))] + ([col_of(salt).cast("string")] if salt is not None else [])
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("long")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.projection import columns_of_type
-from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, exact_quantiles, local_frame, unpivot_numeric
+from riskframe.operators.ranking import attach, exact_quantiles, local_frame, unpivot_numeric
 
 
 def _keys_present(keys: Sequence[str]) -> F.Column:
@@ -33,8 +33,9 @@ def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     presence mask: four small Gram products per Arrow batch) and emits one row
     per pair; a tiny ``groupBy(pair)`` sums the tasks. Values are centred by
     the fitted column means, so the moment formula does not cancel on large
-    money values. A zero variance gives NaN, as in pandas (Spark's ``corr``
-    raises under ANSI there)."""
+    money values. A column that is constant over a pair's rows (its least and largest
+    value there are equal) gives NaN, as in pandas (Spark's ``corr`` raises under
+    ANSI there)."""
     import numpy as np
     import pandas as pd
 
@@ -48,7 +49,8 @@ def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
     def moments(batches):
         k = len(names)
-        n = np.zeros((k, k)); sx = np.zeros((k, k)); sxx = np.zeros((k, k)); sxy = np.zeros((k, k))
+        n, sx, sxx, sxy = (np.zeros((k, k)) for _ in range(4))
+        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)   # [i, j]: of x_i where x_j is present
         for pdf in batches:
             x = pdf.to_numpy(dtype=float)
             m = ~np.isnan(x)
@@ -57,16 +59,24 @@ def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
             sx += x0.T @ mf            # sx[i, j]: sum of x_i where x_i and x_j are present
             sxx += (x0 * x0).T @ mf
             sxy += x0.T @ x0
+            for j in range(k):
+                both = m & m[:, j:j + 1]
+                if len(x):
+                    low[:, j] = np.minimum(low[:, j], np.where(both, x, np.inf).min(axis=0))
+                    high[:, j] = np.maximum(high[:, j], np.where(both, x, -np.inf).max(axis=0))
         yield pd.DataFrame({"p": np.arange(len(pi)), "n": n[pi, pj], "sx": sx[pi, pj], "sy": sx[pj, pi],
-                            "sxx": sxx[pi, pj], "syy": sxx[pj, pi], "sxy": sxy[pi, pj]})
+                            "sxx": sxx[pi, pj], "syy": sxx[pj, pi], "sxy": sxy[pi, pj], "lx": low[pi, pj],
+                            "hx": high[pi, pj], "ly": low[pj, pi], "hy": high[pj, pi]})
 
-    parts = cen.mapInPandas(moments, "p long, n double, sx double, sy double, sxx double, syy double, sxy double")
-    g = parts.groupBy("p").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    parts = cen.mapInPandas(moments, "p long, n double, sx double, sy double, sxx double, syy double, sxy double, "
+                           "lx double, hx double, ly double, hy double")
+    g = parts.groupBy("p").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
+                               *[F.min(c).alias(c) for c in ("lx", "ly")], *[F.max(c).alias(c) for c in ("hx", "hy")])
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
     vx, vy = F.col("sxx") - sx * sx / n, F.col("syy") - sy * sy / n
     cxy = F.col("sxy") - sx * sy / n
     r = (F.when(n < 2, F.lit(None).cast("double"))
-         .when((vx <= 0) | (vy <= 0), F.lit(float("nan")))
+         .when((F.col("lx") >= F.col("hx")) | (F.col("ly") >= F.col("hy")) | (vx <= 0) | (vy <= 0), F.lit(float("nan")))
          .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cxy / F.sqrt(vx * vy)))))
     names_tbl = local_frame(df.sparkSession, [(k, a, b) for k, (a, b) in enumerate(pairs)],
                             "p long, var_a string, var_b string")
@@ -79,8 +89,7 @@ def _event(target: str, event) -> F.Column:
 
 # ---------------------------------------------------------------- describe
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, group_by: Sequence[str] = (),
-                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, group_by: Sequence[str] = ()) -> DataFrame:
     """A1 / A3: count, mean, std (sample), min, 25%, 50%, 75%, max per numeric
     column (and per group). Exact quantiles; not ``df.summary`` (approximate)."""
     keys = list(group_by)
@@ -92,16 +101,16 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, group_by:
     moments = long.groupBy(*gk).agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = exact_quantiles(long, gk, "value", [0.25, 0.5, 0.75], n_buckets)
+    qs = exact_quantiles(long, gk, "value", [0.25, 0.5, 0.75])
     qwide = qs.groupBy(*gk).agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(n)
                                   for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     return attach(moments, qwide, gk).select(*gk, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def describe_by(df: DataFrame, key: str | Sequence[str], col: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def describe_by(df: DataFrame, key: str | Sequence[str], col: str) -> DataFrame:
     """A3: grouped describe of one column (``df.groupby(key)[col].describe()``)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return describe_numeric(df, [col], keys, n_buckets).drop("variable")
+    return describe_numeric(df, [col], keys).drop("variable")
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -243,8 +252,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40, by: str | None
                          edge(F.col("bin") + 1).alias("bin_hi"), F.col("count").cast("long"))
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), whisker: float = 1.5,
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), whisker: float = 1.5) -> DataFrame:
     """Box-plot numbers per (keys, variable): q1, median, q3, whiskers at
     ``whisker`` x IQR (furthest data point inside the fence) and outlier count."""
     keys = list(keys)
@@ -252,7 +260,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), whis
     if keys:
         long = long.where(_keys_present(keys))
     gk = keys + ["variable"]
-    qs = exact_quantiles(long, gk, "value", [0.25, 0.5, 0.75], n_buckets)
+    qs = exact_quantiles(long, gk, "value", [0.25, 0.5, 0.75])
     qw = qs.groupBy(*gk).agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(n)
                                for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     qw = (qw.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -260,7 +268,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), whis
           .withColumn("fence_hi", F.col("q3") + whisker * F.col("iqr")))
     v = F.col("value")
     inside = (v >= F.col("fence_lo")) & (v <= F.col("fence_hi"))
-    stats = attach(long, qw.select(*gk, "fence_lo", "fence_hi"), gk).groupBy(*gk).agg(
+    # one row per (class, variable): proven bound
+    stats = attach(long, qw.select(*gk, "fence_lo", "fence_hi"), gk, broadcast=True).groupBy(*gk).agg(
         F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
         F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"),
         F.count(F.lit(1)).alias("n"))
@@ -288,7 +297,7 @@ def add_class_weight(df: DataFrame, target: str, out: str = "weight") -> DataFra
     """Attach the balanced class weight to every row (join on the class; the
     weight table has one row per class value)."""
     w = class_weights(df, target).select(target, F.col("weight").alias(out))
-    return attach(df, w, [target])
+    return attach(df, w, [target], broadcast=True)
 
 
 def shape(df: DataFrame) -> DataFrame:

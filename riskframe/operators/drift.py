@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.projection import columns_of_type, common_columns
-from riskframe.operators.ranking import DEFAULT_BUCKETS, local_frame, materialize_small, running_totals, unpivot_numeric
+from riskframe.operators.ranking import local_frame, materialize_small, running_totals, unpivot_numeric
 from riskframe.session import cut_lineage
 from riskframe.plans.presets import DRIFT_P
 
@@ -41,8 +41,7 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series))))
 
 
-def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str],
-             n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str]) -> DataFrame:
     """K1 core: (variable, d, n_ref, n_prod, mean_ref, mean_prod) for ``cols``
     present on both sides, nulls/NaN dropped per column."""
     long = (unpivot_numeric(reference, cols).withColumn("side", F.lit(0))
@@ -56,7 +55,7 @@ def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str],
         F.sum("c_ref").alias("n_ref"), F.sum("c_prod").alias("n_prod"),
         F.try_divide(F.sum(F.col("value") * F.col("c_ref")), F.sum("c_ref")).alias("mean_ref"),
         F.try_divide(F.sum(F.col("value") * F.col("c_prod")), F.sum("c_prod")).alias("mean_prod")))
-    cum = running_totals(counts, ["variable"], "value", ["c_ref", "c_prod"], n_buckets=n_buckets)
+    cum = running_totals(counts, ["variable"], "value", ["c_ref", "c_prod"])
     cum = cum.join(F.broadcast(sides), "variable")   # one row per column: proven bound
     gap = F.abs(F.try_divide(F.col("cum_c_ref"), F.col("n_ref")) - F.try_divide(F.col("cum_c_prod"), F.col("n_prod")))
     d = cum.groupBy("variable").agg(F.max(gap).alias("d"))
@@ -64,8 +63,7 @@ def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str],
 
 
 def ks_report(reference: DataFrame, production: DataFrame, cols: Sequence[str] | None = None,
-              threshold: float = DRIFT_P, digits: int = 4, min_rows: int = 2,
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              threshold: float = DRIFT_P, digits: int = 4, min_rows: int = 2) -> DataFrame:
     """K1: per numeric column common to both sides: KS statistic, p-value, drift
     flag (p < threshold, on the unrounded p), both means; rounded to ``digits``.
 
@@ -79,7 +77,7 @@ def ks_report(reference: DataFrame, production: DataFrame, cols: Sequence[str] |
         cols = [c for c in cols if c in reference.columns and c in production.columns]
     if not cols:
         return local_frame(spark, [], REPORT_SCHEMA)
-    t = ks_table(reference, production, cols, n_buckets)
+    t = ks_table(reference, production, cols)
     n_rows = production.agg(F.count(F.lit(1))).scalar()
     t = t.where((F.col("n_prod") >= min_rows) & (F.col("n_ref") >= 1) & (n_rows >= min_rows))
     p = kolmogorov_pvalue(F.col("d"), F.col("n_ref"), F.col("n_prod"))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, running_totals
+from riskframe.operators.ranking import attach, running_totals
 from riskframe.plans.presets import SELECTION_WEIGHTS, STABILITY_STD
 
 
@@ -147,12 +147,12 @@ def _score_table(df: DataFrame, label: str, score: str, pos_label, group_by: Seq
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", pos_label=1,
-            group_by: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            group_by: Sequence[str] = ()) -> DataFrame:
     """V3: ROC-AUC with ties counted half (Mann-Whitney), per group:
     sum over distinct scores of pos * (neg below + neg at / 2) / (P * N)."""
     keys = list(group_by)
     st = _score_table(df, label, score, pos_label, keys)
-    cum = running_totals(st, keys, score, ["neg"], n_buckets=n_buckets)
+    cum = running_totals(st, keys, score, ["neg"])
     below = F.col("cum_neg") - F.col("neg")
     return cum.groupBy(*keys).agg(
         (F.sum(F.col("pos") * (below + F.col("neg") * 0.5)) /
@@ -160,15 +160,16 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", pos_label
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", pos_label=1,
-              group_by: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              group_by: Sequence[str] = ()) -> DataFrame:
     """V5: one point per distinct score (threshold; predict positive if score >=
     threshold): (threshold, fpr, tpr, tp, fp); no intermediate points dropped.
     The (0, 0) start point is the threshold +inf row."""
     keys = list(group_by)
     st = _score_table(df, label, score, pos_label, keys).withColumn("__neg_s", -F.col(score))
-    cum = running_totals(st, keys, "__neg_s", ["pos", "neg"], n_buckets=n_buckets)
+    cum = running_totals(st, keys, "__neg_s", ["pos", "neg"])
     tot = st.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    pts = attach(cum, tot, keys).select(
+    pts = attach(cum, tot, keys, broadcast=bool(keys)).select(   # one row per fold: proven bound
+       
         *keys, F.col(score).cast("double").alias("threshold"), F.col("cum_pos").alias("tp"),
         F.col("cum_neg").alias("fp"), "P", "N")
     start = tot.select(*keys, F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("tp"),
@@ -179,10 +180,10 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", pos_lab
 
 
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score", pos_label=1,
-             group_by: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             group_by: Sequence[str] = ()) -> DataFrame:
     """V6: precision and recall per distinct threshold. ``score`` must rank the
     ``pos_label`` class (the corrected behaviour)."""
-    roc = roc_curve(df, label, score, pos_label, group_by, n_buckets).where(F.col("threshold") < float("inf"))
+    roc = roc_curve(df, label, score, pos_label, group_by).where(F.col("threshold") < float("inf"))
     return roc.select(*group_by, "threshold", _div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
                       F.col("tpr").alias("recall"))
 
@@ -190,10 +191,14 @@ def pr_curve(df: DataFrame, label: str = "label", score: str = "score", pos_labe
 def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", pos_label=1, steps: int = 100,
                     beta: float = 2.0, group_by: Sequence[str] = ()) -> DataFrame:
     """Metrics at each grid threshold ``t = i / steps`` (predict positive when
-    ``floor(score * steps) >= i``). Rows are counted once per grid cell and the
-    counts cumulated from the top; no row x threshold explosion."""
+    ``score >= t``). Rows are counted once per grid cell and the counts cumulated
+    from the top; no row x threshold explosion. The cell is the last threshold that
+    the score itself reaches: the product alone can land a step off."""
     keys = list(group_by)
-    cell = F.least(F.greatest(F.floor(F.col(score) * steps), F.lit(0)), F.lit(steps)).cast("int")
+    near = F.floor(F.col(score) * steps)
+    cell = (F.when(F.col(score) >= (near + 1) / steps, near + 1)
+            .when(F.col(score) < near / steps, near - 1).otherwise(near))
+    cell = F.least(F.greatest(cell, F.lit(0)), F.lit(steps)).cast("int")
     is_pos = F.col(label) == pos_label
     cells = (df.where(F.col(score).isNotNull()).groupBy(*keys, cell.alias("cell"))
              .agg(F.sum(F.when(is_pos, 1).otherwise(0)).cast("long").alias("pos"),
@@ -232,9 +237,9 @@ def fold_summary(per_fold: DataFrame, metrics: Sequence[str], group_by: Sequence
                                              F.count(F.lit(1)).alias("n_folds"))
 
 
-def selection_score(summary: DataFrame, fbeta: str = "cv_fbeta_mean", std: str = "cv_fbeta_std",
+def selection_score(summary: DataFrame, fbeta: str = "test_fbeta", std: str = "cv_fbeta_std",
                     fit_time: str = "cv_fit_time_mean", weights=SELECTION_WEIGHTS) -> DataFrame:
-    """0.60 F-beta + 0.25 / (1 + std) + 0.15 / (1 + fit seconds)."""
+    """0.60 test F-beta + 0.25 / (1 + CV std) + 0.15 / (1 + fit seconds)."""
     return summary.withColumn(
         "selection_score",
         weights["fbeta"] * F.col(fbeta) + weights["stability"] / (1 + F.col(std))

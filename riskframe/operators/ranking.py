@@ -3,26 +3,26 @@
 A window ``PARTITION BY class ORDER BY x`` puts a whole class (or, with no
 partition, the whole table) into one task, and an exact ``percentile`` buffers
 every distinct value of a group in one final task. Both break when one class
-or one column holds a third of 100 TB. Everything here uses the same recipe
-instead:
-
-1. split the order key of each group into ``n_buckets`` order-preserving ranges
-   (equal width on ``asinh(x)``, which compresses long money tails, or on the
-   known range of a hash);
-2. count rows per (group, bucket): a partial/final hash aggregate whose output
-   is bounded by groups x buckets;
-3. turn those counts into exclusive offsets (a window over that small table);
-4. run the per-row window only inside (group, bucket), which spreads a hot group
-   over ``n_buckets`` tasks, and add the bucket's offset.
+or one column holds a third of 100 TB. Everything here takes one path instead,
+whatever the size:
+
+1. a fixed ``asinh`` grid splits the order key of each group into order-preserving
+   coarse buckets (NULL first and NaN last, as a window sorts them); one aggregate
+   gives the count and range of each;
+2. a coarse bucket is split, on its own range, into as many fine buckets as its
+   count asks for (``ROWS_PER_BUCKET`` rows each);
+3. counts per (group, bucket) become exclusive offsets (a window over that small
+   table);
+4. the per-row window runs only inside (group, bucket), and the bucket's offset is
+   added.
 
 Quantiles only look at the buckets that hold the wanted ranks, and there they
 first collapse rows to (value, count), so a value repeated a billion times is
 one row.
 
-Small intermediate tables (bounds, bucket counts) are materialised once, like
-an estimator's ``fit``: collected when bounded (at most ``SMALL_ROWS`` rows) or
-else written with a reliable ``checkpoint`` to the cluster's checkpoint folder.
-This keeps every final plan to a single reference of the input (a DataFrame
+Count tables are computed once and written to the shared checkpoint folder, like an
+estimator's ``fit``: their size is then known to the planner, which broadcasts the
+small ones, and every final plan has a single reference of the input (a DataFrame
 referenced twice is planned, and scanned, twice).
 """
 
@@ -35,13 +35,10 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import col_of
 
-DEFAULT_BUCKETS = 1024
-SMALL_ROWS = 50_000
-# A group whose row count is checked to be at most this is handled by one task
-# (a plain window / exact percentile buffer of <= 2M values, ~32 MB); larger
-# groups take the bucketed path. The count comes from the pass the bucketed path
-# needs anyway, so the check is free.
-GROUP_TASK_ROWS = 2_000_000
+# Rows that a fine bucket, and so a window task, is meant to hold.
+ROWS_PER_BUCKET = 100_000
+# Coarse buckets per unit of asinh(x): independent of the data, so no bounds pass.
+L1_RES = 64
 
 _TMP = "__rf_"
 
@@ -63,15 +60,11 @@ def local_frame(spark, rows, schema) -> DataFrame:
     return spark.createDataFrame(tbl, schema=st)
 
 
-def materialize_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Compute a small table once. Bounded results come back as a local relation
-    (its size is known to the planner, so joins with it broadcast); larger ones
-    are checkpointed to the shared checkpoint folder instead of the driver."""
+def materialize_small(df: DataFrame) -> DataFrame:
+    """Compute a fitted table once: written to the shared checkpoint folder and read
+    back, so that its size is known and the input is not planned again."""
     from riskframe.session import cut_lineage
 
-    tbl = df.limit(max_rows + 1).toArrow()     # at most max_rows + 1 rows ever reach the driver
-    if tbl.num_rows <= max_rows:
-        return df.sparkSession.createDataFrame(tbl, schema=df.schema)
     return cut_lineage(df)
 
 
@@ -103,185 +96,133 @@ def attach_values(df: DataFrame, values: dict[str, object]) -> DataFrame:
     return df.select("*", *[F.lit(v).alias(k) for k, v in values.items()])
 
 
-def _bucket_expr(t: Column, lo: Column, hi: Column, n_buckets: int) -> Column:
-    width = hi - lo
-    raw = F.floor((t - lo) / width * n_buckets)
-    return (F.when(t.isNull(), F.lit(None))
-            .when(width <= 0, F.lit(0))
-            .otherwise(F.least(raw, F.lit(n_buckets - 1))).cast("int"))
-
-
-def bucketize(df: DataFrame, keys: Sequence[str], lead, n_buckets: int = DEFAULT_BUCKETS,
-              known_range: tuple[float, float] | None = None, out: str = f"{_TMP}b") -> DataFrame:
-    """Add an order-preserving bucket id of ``lead`` within each group of ``keys``.
-
-    ``known_range`` (for hashes) skips the per-group min/max pass; otherwise the
-    bounds (one row per group) are computed once and joined back."""
-    lead = col_of(lead).cast("double")
-    if known_range is not None:
-        lo, hi = known_range
-        return df.withColumn(out, _bucket_expr(lead, F.lit(float(lo)), F.lit(float(hi)), n_buckets))
-    t_name, lo_name, hi_name = f"{_TMP}t", f"{_TMP}lo", f"{_TMP}hi"
-    t = F.asinh(lead)
-    df = df.withColumn(t_name, F.when(~F.isnan(t), t))
-    bounds = materialize_small(df.groupBy(*keys).agg(F.min(t_name).alias(lo_name), F.max(t_name).alias(hi_name)))
-    df = attach(df, bounds, keys) if keys else attach_values(df, bounds.first().asDict())
-    return (df.withColumn(out, _bucket_expr(F.col(t_name), F.col(lo_name), F.col(hi_name), n_buckets))
-            .drop(t_name, lo_name, hi_name))
-
-
-def _offsets(bucketed: DataFrame, keys: Sequence[str], bucket: str, sums: dict[str, Column]) -> DataFrame:
-    """Exclusive running totals per bucket: a groups x buckets table, computed once."""
-    totals = materialize_small(bucketed.groupBy(*keys, bucket).agg(*[agg.alias(name) for name, agg in sums.items()]))
-    w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(*keys, bucket, *[F.coalesce(F.sum(name).over(w), F.lit(0)).alias(f"{name}_off")
-                                          for name in sums] + [F.col(name) for name in sums])
+def _coarse(x: Column) -> Column:
+    """Order-preserving coarse bucket, never null: NULL first, then -inf, finite values
+    by ``asinh``, +inf, NaN last."""
+    inf = float("inf")
+    return (F.when(x.isNull(), F.lit(-(1 << 40))).when(F.isnan(x), F.lit(1 << 40))
+            .when(x == inf, F.lit(1 << 39)).when(x == -inf, F.lit(-(1 << 39)))
+            .otherwise(F.floor(F.asinh(x) * L1_RES))).cast("long")
+
+
+def _level1(df: DataFrame, keys: Sequence[str], lead, sums: dict[str, Column],
+            known_range: tuple[float, float] | None = None) -> tuple[DataFrame, DataFrame]:
+    """One aggregate pass: per (group, coarse bucket) the row count ``__n1``, the range of
+    ``lead`` and ``sums``, with exclusive offsets ``<sum>_off1``. A key with a known range
+    (a hash) is one coarse bucket. Returns (rows with ``__x`` and ``__b1``, the table)."""
+    rows = df.withColumn("__x", col_of(lead).cast("double"))
+    if known_range is None:
+        rows = rows.withColumn("__b1", _coarse(F.col("__x")))
+        lo, hi = F.min("__x"), F.max("__x")
+    else:
+        rows = rows.withColumn("__b1", F.when(F.col("__x").isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+        lo, hi = F.lit(float(known_range[0])), F.lit(float(known_range[1]))
+    lvl = materialize_small(rows.groupBy(*keys, "__b1").agg(
+        F.count(F.lit(1)).alias("__n1"), lo.alias("__lo1"), hi.alias("__hi1"),
+        *[agg.alias(name) for name, agg in sums.items()]))
+    w = Window.partitionBy(*keys).orderBy("__b1").rowsBetween(Window.unboundedPreceding, -1)
+    return rows, lvl.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"{n}_off1") for n in sums])
 
 
-def _max_group(table: DataFrame, keys: Sequence[str], count_col: str) -> int:
-    """Largest group size from a materialised (local) count table."""
-    m = table.groupBy(*keys).agg(F.sum(count_col).alias("n")).agg(F.max("n")).first()[0]
-    return int(m or 0)
+def _level2(rows: DataFrame, lvl: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach the coarse bucket's columns and the fine bucket ``__b2``: as many equal parts
+    of the coarse bucket's range as its row count asks for."""
+    j = attach(rows, lvl, list(keys) + ["__b1"])
+    x, lo, hi = F.col("__x"), F.col("__lo1"), F.col("__hi1")
+    parts = F.ceil(F.col("__n1") / ROWS_PER_BUCKET)
+    fine = F.when((hi > lo) & (hi - lo < float("inf")) & ~F.isnan(x),
+                  F.least(F.floor((x - lo) / (hi - lo) * parts), parts - 1)).otherwise(F.lit(0))
+    return j.withColumn("__b2", F.coalesce(fine, F.lit(0)).cast("long"))
 
 
-def _join_offsets(df: DataFrame, offs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return attach(df, offs, keys, broadcast=offs.isLocal())
+def _buckets(df: DataFrame, keys: Sequence[str], lead, sums: dict[str, Column],
+             known_range: tuple[float, float] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``__b1``, ``__b2``; table of ``sums`` per (group, bucket) with exclusive
+    offsets ``<sum>_off``)."""
+    rows, lvl = _level1(df, keys, lead, {}, known_range)
+    fine = _level2(rows, lvl, keys).drop("__n1", "__lo1", "__hi1", "__x")
+    b = [*keys, "__b1", "__b2"]
+    table = materialize_small(fine.groupBy(*b).agg(*[agg.alias(name) for name, agg in sums.items()]))
+    w = Window.partitionBy(*keys).orderBy("__b1", "__b2").rowsBetween(Window.unboundedPreceding, -1)
+    return fine, table.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"{n}_off") for n in sums])
 
 
-def with_row_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
-                  rank_col: str = "row_rank", n_buckets: int = DEFAULT_BUCKETS,
+def with_row_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, rank_col: str = "row_rank",
                   known_range: tuple[float, float] | None = None) -> DataFrame:
     """Add the exact 0-based ``row_number() - 1`` over ``(PARTITION BY partition_by
     ORDER BY order_by)``. The first ``order_by`` column must be numeric and
     ascending; the rest break ties."""
     keys = list(partition_by)
     order = [col_of(c) for c in order_by]
-    b = f"{_TMP}b"
-    bucketed = bucketize(df, keys, order[0], n_buckets, known_range, out=b)
-    offs = _offsets(bucketed, keys, b, {f"{_TMP}n": F.count(F.lit(1))})
-    if _max_group(offs, keys, f"{_TMP}n") <= GROUP_TASK_ROWS:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
-    local = bucketed.withColumn(
-        rank_col, F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)) - 1)
-    joined = _join_offsets(local, offs.select(*keys, b, f"{_TMP}n_off"), keys + [b])
-    return joined.withColumn(rank_col, (F.col(rank_col) + F.col(f"{_TMP}n_off")).cast("long")).drop(
-        b, f"{_TMP}n_off")
-
-
-L1_RES = 64           # level-1 buckets per unit of asinh(x): data independent, no bounds pass
-L2_BUCKETS = 1024     # level-2 buckets inside a level-1 bucket, on that bucket's own [min, max]
-
-
-def _level1(df: DataFrame, keys: Sequence[str], value: str, sums: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """One aggregate pass: per (group, level-1 bucket) count/sums and min/max of
-    ``value``; returns (rows with ``b1``, materialised level-1 table with
-    exclusive offsets ``<sum>_off1``)."""
-    t = F.asinh(F.col(value).cast("double"))
-    rows = df.withColumn("__b1", F.floor(F.when(~F.isnan(t), t) * L1_RES).cast("long"))
-    lvl = materialize_small(rows.groupBy(*keys, "__b1").agg(
-        F.min(value).alias("__lo1"), F.max(value).alias("__hi1"),
-        *[agg.alias(name) for name, agg in sums.items()]))
-    w = Window.partitionBy(*keys).orderBy("__b1").rowsBetween(Window.unboundedPreceding, -1)
-    lvl = lvl.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"{n}_off1") for n in sums])
-    return rows, lvl
-
-
-def _level2(rows: DataFrame, lvl: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Attach the level-1 bounds/offsets and the level-2 bucket ``__b2``."""
-    j = _join_offsets(rows, lvl, list(keys) + ["__b1"])
-    lo, hi = F.col("__lo1").cast("double"), F.col("__hi1").cast("double")
-    b2 = F.when(hi > lo, F.least(F.floor((F.col(value).cast("double") - lo) / (hi - lo) * L2_BUCKETS),
-                                 F.lit(L2_BUCKETS - 1))).otherwise(F.lit(0))
-    return j.withColumn("__b2", b2.cast("int"))
+    n = f"{_TMP}n"
+    rows, table = _buckets(df, keys, order[0], {n: F.count(F.lit(1))}, known_range)
+    local = rows.withColumn(rank_col, F.row_number().over(Window.partitionBy(*keys, "__b1", "__b2").orderBy(*order)) - 1)
+    joined = attach(local, table.drop(n), [*keys, "__b1", "__b2"])
+    return joined.withColumn(rank_col, (F.col(rank_col) + F.col(f"{n}_off")).cast("long")).drop("__b1", "__b2", f"{n}_off")
 
 
 def rank_below(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, cuts,
-               out: str = "cut_idx", n_buckets: int = DEFAULT_BUCKETS,
-               known_range: tuple[float, float] | None = None) -> DataFrame:
+               out: str = "cut_idx", known_range: tuple[float, float] | None = None) -> DataFrame:
     """For every row, the smallest ``cut_idx`` whose ``k`` exceeds the row's exact
     0-based rank in ``(PARTITION BY partition_by ORDER BY order_by)``; NULL when
     the rank is at or above every cut. ``cuts`` is a small table
     (partition_by..., cut_idx int, k long), or a function that builds it from the
-    exact group sizes (a local (partition_by..., n) table) -- the sizes come out
-    of the bucket-count pass, so sizing the cuts costs no extra pass.
+    exact group sizes (a (partition_by..., n) table): the sizes come out of the
+    bucket counts, so sizing the cuts costs no extra pass.
 
     This answers "is the row among the first k" without ranking every row:
     bucket counts are aggregated map-side, rows in buckets wholly below or above
-    every cut are decided by a broadcast lookup (no shuffle of the rows), and
-    only rows in the few buckets that straddle a cut are windowed. A split, a
-    sample or 50 shuffle splits of a 100 TB table therefore shuffle only the
-    boundary buckets, not the table.
+    every cut are decided by a lookup of their bucket, and only rows in the few
+    buckets that straddle a cut are windowed. A split, a sample or 50 shuffle
+    splits of a 100 TB table therefore window only the boundary buckets.
     """
     g = f"{_TMP}g"
     keys = list(partition_by) or [g]          # the whole table is one group
     if not partition_by:
         df = df.withColumn(g, F.lit(0))
     order = [col_of(c) for c in order_by]
-    b, n, off = f"{_TMP}b", f"{_TMP}n", f"{_TMP}n_off"
-    bucketed = bucketize(df, keys, order[0], n_buckets, known_range, out=b)
-    offs = _offsets(bucketed, keys, b, {n: F.count(F.lit(1))})
+    n, off = f"{_TMP}n", f"{_TMP}n_off"
+    b = [*keys, "__b1", "__b2"]
+    bucketed, table = _buckets(df, keys, order[0], {n: F.count(F.lit(1))}, known_range)
     if callable(cuts):
-        sizes = offs.groupBy(*keys).agg(F.sum(n).alias("n"))
+        sizes = table.groupBy(*keys).agg(F.sum(n).alias("n"))
         cuts = cuts(sizes.drop(g) if not partition_by else sizes)
     if not partition_by:
         cuts = cuts.withColumn(g, F.lit(0))
-    cuts = cuts if cuts.isLocal() else materialize_small(cuts)
-    if _max_group(offs, keys, n) <= GROUP_TASK_ROWS:
-        # every group is checked small: one window task per group
-        r = f"{_TMP}r"
-        ranked = df.withColumn(r, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
-        per = cuts.groupBy(*keys).agg(F.collect_list(F.struct("cut_idx", "k")).alias(f"{_TMP}cuts"))
-        j = attach(ranked, per, keys, broadcast=True, how="left")
-        hit = F.filter(F.coalesce(F.col(f"{_TMP}cuts"), F.array()), lambda c: F.col(r) < c["k"])
-        out_df = j.withColumn(out, F.array_min(F.transform(hit, lambda c: c["cut_idx"]))).drop(r, f"{_TMP}cuts")
-        return out_df.drop(g) if not partition_by else out_df
-    bk = attach(offs, cuts, keys, broadcast=True)
+    bk = attach(table, cuts, keys)
     full = F.col(off) + F.col(n) <= F.col("k")
     partial = (F.col(off) < F.col("k")) & (F.col("k") < F.col(off) + F.col(n))
-    per_bucket = materialize_small(bk.groupBy(*keys, b).agg(
+    per_bucket = materialize_small(bk.groupBy(*b).agg(
         F.min(F.when(full, F.col("cut_idx"))).alias(f"{_TMP}full"),
         F.filter(F.collect_list(F.when(partial, F.struct(F.col("cut_idx"), (F.col("k") - F.col(off)).alias("lk")))),
                  lambda x: x.isNotNull()).alias(f"{_TMP}part")))
-    rows = attach(bucketed, per_bucket, keys + [b], broadcast=per_bucket.isLocal(), how="left")
+    rows = attach(bucketed, per_bucket, b, how="left")
     straddle = F.coalesce(F.size(f"{_TMP}part"), F.lit(0)) > 0
     clear = rows.where(~straddle).withColumn(out, F.col(f"{_TMP}full"))
     lr = f"{_TMP}lr"
-    edge = rows.where(straddle).withColumn(lr, F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)) - 1)
+    edge = rows.where(straddle).withColumn(lr, F.row_number().over(Window.partitionBy(*b).orderBy(*order)) - 1)
     hit = F.filter(f"{_TMP}part", lambda c: F.col(lr) < c["lk"])
     edge = edge.withColumn(out, F.least(F.col(f"{_TMP}full"),
                                         F.array_min(F.transform(hit, lambda c: c["cut_idx"])))).drop(lr)
-    res = clear.unionByName(edge).drop(b, f"{_TMP}full", f"{_TMP}part")
+    res = clear.unionByName(edge).drop("__b1", "__b2", f"{_TMP}full", f"{_TMP}part")
     return res.drop(g) if not partition_by else res
 
 
 def running_totals(df: DataFrame, partition_by: Sequence[str], order_col: str, sum_cols: Sequence[str],
-                   prefix: str = "cum_", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``sum_cols`` within each group in ``order_col``
     order (``order_col`` is expected to be unique within the group, e.g. after a
-    ``groupBy(score)``). Rows are windowed only inside (group, level-1, level-2)
-    buckets; the preceding buckets' totals come from two small offset tables."""
+    ``groupBy(score)``). Rows are windowed only inside (group, bucket); what lies
+    before comes from the small offset table. Rows without an order are left out."""
     keys = list(partition_by)
     sums = {f"{_TMP}s{i}": F.sum(c) for i, c in enumerate(sum_cols)}
-    src = df.where(F.col(order_col).isNotNull())
-    rows, lvl = _level1(src, keys, order_col, {**sums, f"{_TMP}rows": F.count(F.lit(1))})
-    if _max_group(lvl, keys, f"{_TMP}rows") <= GROUP_TASK_ROWS:
-        w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-        return src.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
-    lvl = lvl.drop(f"{_TMP}rows", f"{_TMP}rows_off1")
-    r2 = _level2(rows, lvl, keys, order_col)
-    sub = r2.groupBy(*keys, "__b1", "__b2").agg(*[F.sum(c).alias(f"{_TMP}t{i}") for i, c in enumerate(sum_cols)])
-    w_sub = Window.partitionBy(*keys, "__b1").orderBy("__b2").rowsBetween(Window.unboundedPreceding, -1)
-    sub = sub.select(*keys, "__b1", "__b2", *[F.coalesce(F.sum(f"{_TMP}t{i}").over(w_sub), F.lit(0))
-                                              .alias(f"{_TMP}o{i}") for i in range(len(sum_cols))])
+    rows, table = _buckets(df.where(F.col(order_col).isNotNull()), keys, order_col, sums)
     w = Window.partitionBy(*keys, "__b1", "__b2").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    local = r2.select("*", *[F.sum(c).over(w).alias(f"{_TMP}l{i}") for i, c in enumerate(sum_cols)])
-    joined = attach(local, sub, keys + ["__b1", "__b2"])
-    out = joined.select("*", *[(F.col(f"{_TMP}l{i}") + F.col(f"{_TMP}o{i}") + F.col(f"{_TMP}s{i}_off1"))
-                               .alias(f"{prefix}{c}") for i, c in enumerate(sum_cols)])
-    drop = ["__b1", "__b2", "__lo1", "__hi1", *sums, *[f"{n}_off1" for n in sums],
-            *[f"{_TMP}l{i}" for i in range(len(sum_cols))], *[f"{_TMP}o{i}" for i in range(len(sum_cols))]]
-    return out.drop(*drop)
+    local = rows.select("*", *[F.sum(c).over(w).alias(f"{_TMP}l{i}") for i, c in enumerate(sum_cols)])
+    joined = attach(local, table.drop(*sums), [*keys, "__b1", "__b2"])
+    out = joined.select("*", *[(F.col(f"{_TMP}l{i}") + F.col(f"{_TMP}s{i}_off")).alias(f"{prefix}{c}")
+                               for i, c in enumerate(sum_cols)])
+    return out.drop("__b1", "__b2", *[f"{n}_off" for n in sums], *[f"{_TMP}l{i}" for i in range(len(sum_cols))])
 
 
 def unpivot_numeric(df: DataFrame, value_cols: Sequence[str], id_cols: Sequence[str] = (),
@@ -294,28 +235,20 @@ def unpivot_numeric(df: DataFrame, value_cols: Sequence[str], id_cols: Sequence[
     return long.where(F.col(val).isNotNull()) if drop_missing else long
 
 
-def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
-                    n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas ``quantile``, Spark
     ``percentile``, DuckDB ``quantile_cont``) of ``value`` per group of ``keys``.
 
     Returns (keys..., q double, quantile double, n long). Nulls must already be
-    removed. One aggregate pass locates the level-1 bucket of every wanted rank;
+    removed. One aggregate pass locates the coarse bucket of every wanted rank;
     the final plan reads only those buckets, collapses their rows to (value,
     count) -- a value repeated a billion times is one row -- and walks them in
-    level-2 sub-buckets, so neither a hot value nor a narrow band is one task.
+    fine buckets, so neither a hot value nor a narrow band is one task.
     """
     keys = list(keys)
     cnt = f"{_TMP}c"
     rows, lvl = _level1(long, keys, value, {cnt: F.count(F.lit(1))})
     sizes = lvl.groupBy(*keys).agg(F.sum(cnt).alias("n"))
-    if _max_group(lvl, keys, cnt) <= GROUP_TASK_ROWS:
-        # every group is checked small: one exact percentile aggregate
-        pct = F.percentile(F.col(value), [float(q) for q in qs])
-        got = long.groupBy(*keys).agg(pct.alias("__p"), F.count(F.lit(1)).alias("n"))
-        return got.select(*keys, F.posexplode("__p").alias("__i", "quantile"), "n").select(
-            *keys, F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("__i") + 1).alias("q"),
-            "quantile", "n")
     q_arr = F.array(*[F.lit(float(q)) for q in qs])
     targets = (sizes.select(*keys, "n", F.explode(q_arr).alias("q"))
                .withColumn("pos", (F.col("n") - 1) * F.col("q"))
@@ -327,9 +260,9 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequen
     located = (attach(ranks, lvl, keys)
                .where((F.col("r") >= off1) & (F.col("r") < off1 + F.col(cnt)))
                .select(*keys, "q", "r", "__b1"))
-    needed = located.select(*keys, "__b1").distinct()
-    hit = _semi(rows, needed, keys + ["__b1"])
-    r2 = _level2(hit, lvl.drop(cnt), keys, value)
+    needed = materialize_small(located)
+    hit = _semi(rows, needed.select(*keys, "__b1").distinct(), keys + ["__b1"])
+    r2 = _level2(hit, lvl.drop(cnt), keys)
     dv = r2.groupBy(*keys, "__b1", f"{cnt}_off1", "__b2", value).agg(F.count(F.lit(1)).alias("c"))
     sub = dv.groupBy(*keys, "__b1", "__b2").agg(F.sum("c").alias("sc"))
     w_sub = Window.partitionBy(*keys, "__b1").orderBy("__b2").rowsBetween(Window.unboundedPreceding, -1)
@@ -338,7 +271,7 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequen
     dv = attach(dv.withColumn("hi_r", F.sum("c").over(w)), sub, keys + ["__b1", "__b2"])
     base = F.col(f"{cnt}_off1") + F.col("off2")
     dv = dv.withColumn("lo_abs", base + F.col("hi_r") - F.col("c")).withColumn("hi_abs", base + F.col("hi_r"))
-    picked = _join_offsets(dv, located, keys + ["__b1"]).where(
+    picked = attach(dv, needed, keys + ["__b1"]).where(
         (F.col("r") >= F.col("lo_abs")) & (F.col("r") < F.col("hi_abs")))
     vals = picked.groupBy(*keys, "q").agg(F.map_from_entries(F.collect_list(F.struct("r", value))).alias("m"))
     res = attach(targets, vals, keys + ["q"])
@@ -348,29 +281,26 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, qs: Sequen
 
 def _semi(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose (non-null) keys appear in ``small``."""
-    right = F.broadcast(small) if small.isLocal() else small
-    return df.join(right, list(keys), "left_semi")
+    return df.join(small, list(keys), "left_semi")
 
 
-def quantile_table(df: DataFrame, cols: Sequence[str], qs: Sequence[float], group_by: Sequence[str] = (),
-                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def quantile_table(df: DataFrame, cols: Sequence[str], qs: Sequence[float], group_by: Sequence[str] = ()) -> DataFrame:
     """Long table (group..., variable, q, quantile, n) for several columns in one plan."""
     long = unpivot_numeric(df, cols, group_by)
-    return exact_quantiles(long, list(group_by) + ["variable"], "value", qs, n_buckets)
+    return exact_quantiles(long, list(group_by) + ["variable"], "value", qs)
 
 
-def quantile_values(df: DataFrame, cols: Sequence[str], q: float, n_buckets: int = DEFAULT_BUCKETS) -> dict:
+def quantile_values(df: DataFrame, cols: Sequence[str], q: float) -> dict:
     """Fit-style: the exact ``q`` quantile of each column as Python floats
     (None for an all-null column)."""
-    t = quantile_table(df, cols, [q], n_buckets=n_buckets).select("variable", "quantile").collect()
+    t = quantile_table(df, cols, [q]).select("variable", "quantile").collect()
     got = {r["variable"]: r["quantile"] for r in t}
     return {c: got.get(c) for c in cols}
 
 
-def quantile_row(df: DataFrame, cols: Sequence[str], q: float, prefix: str = "",
-                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def quantile_row(df: DataFrame, cols: Sequence[str], q: float, prefix: str = "") -> DataFrame:
     """One-row DataFrame ``{prefix}{col}`` = exact quantile ``q`` of each column,
     computed now (a fitted state) and held as a local relation."""
-    vals = quantile_values(df, cols, q, n_buckets)
+    vals = quantile_values(df, cols, q)
     schema = ", ".join(f"`{prefix}{c}` double" for c in cols)
     return local_frame(df.sparkSession, [tuple(vals[c] for c in cols)], schema)

@@ -15,24 +15,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.exprs import col_of, hash_order, mix_order
-from riskframe.operators.ranking import DEFAULT_BUCKETS, attach, rank_below, with_row_rank
+from riskframe.functions.exprs import col_of, hash_order, md5_order
+from riskframe.operators.ranking import attach, rank_below, with_row_rank
 
 HASH_RANGE = (-9.223372036854776e18, 9.223372036854776e18)
-MIX_RANGE = (0.0, 4294967296.0)
+MD5_RANGE = (0.0, 4294967296.0)
 
 
 def _order(df: DataFrame, key: str, seed: int, order: Column | str | None, name: str) -> tuple[DataFrame, tuple | None]:
     if order is None:
         return df.withColumn(name, hash_order(key, seed)), HASH_RANGE
-    if isinstance(order, str) and order == "mix":
-        return df.withColumn(name, mix_order(key, seed)), MIX_RANGE
+    if isinstance(order, str) and order == "md5":
+        return df.withColumn(name, md5_order(key, seed)), MD5_RANGE
     return df.withColumn(name, col_of(order)), None
 
 
 def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.2, seed: int = 42,
-                     order: Column | str | None = None, out: str = "split",
-                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     order: Column | str | None = None, out: str = "split") -> DataFrame:
     """Exact stratified train/test split. In each class the ``round(n_c *
     test_size)`` rows first in the seeded order are ``test``; the rest ``train``.
     Decided by :func:`rank_below`: only rows in the one boundary bucket of each
@@ -41,12 +40,12 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
     df, rng = _order(df, key, seed, order, o)
     def cuts(sizes):       # per class: the first round(n_c * test_size) rows
         return sizes.select(target, F.lit(0).alias("cut_idx"), F.round(F.col("n") * test_size).cast("long").alias("k"))
-    flagged = rank_below(df, [target], [o, key], cuts, "__c", n_buckets, rng)
+    flagged = rank_below(df, [target], [o, key], cuts, "__c", rng)
     return flagged.withColumn(out, F.when(F.col("__c") == 0, "test").otherwise("train")).drop(o, "__c")
 
 
 def sample_n(df: DataFrame, key: str, frac: float = 0.1, floor: int = 50, seed: int = 42,
-             order: Column | str | None = None, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             order: Column | str | None = None) -> DataFrame:
     """R2: fixed-size random sample of ``max(floor, int(n * frac))`` rows, capped
     at ``n`` (the original fails when the table is smaller than the floor)."""
     o = "__ord"
@@ -54,11 +53,10 @@ def sample_n(df: DataFrame, key: str, frac: float = 0.1, floor: int = 50, seed:
     def cuts(sizes):       # m = min(n, max(floor, int(n * frac)))
         m = F.least(F.col("n"), F.greatest(F.lit(floor).cast("long"), F.floor(F.col("n") * frac).cast("long")))
         return sizes.select(F.lit(0).alias("cut_idx"), m.cast("long").alias("k"))
-    return rank_below(df, [], [o, key], cuts, "__c", n_buckets, rng).where(F.col("__c") == 0).drop(o, "__c")
+    return rank_below(df, [], [o, key], cuts, "__c", rng).where(F.col("__c") == 0).drop(o, "__c")
 
 
-def kfold(df: DataFrame, order_by: Sequence[str], k: int = 10, out: str = "fold",
-          n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def kfold(df: DataFrame, order_by: Sequence[str], k: int = 10, out: str = "fold") -> DataFrame:
     """Contiguous, unshuffled k folds in ``order_by`` order; the first
     ``n % k`` folds get one extra row (sklearn ``KFold``). Fold ``i`` holds the
     ranks below the cumulative size of folds 0..i, so the fold is a
@@ -67,30 +65,28 @@ def kfold(df: DataFrame, order_by: Sequence[str], k: int = 10, out: str = "fold"
         n_, q, rem = F.col("n"), F.floor(F.col("n") / k), F.col("n") % k
         return sizes.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cut_idx"), n_, q, rem).select(
             "cut_idx", ((F.col("cut_idx") + 1) * q + F.least(F.col("cut_idx") + 1, rem)).cast("long").alias("k"))
-    return rank_below(df, [], list(order_by), cuts, out, n_buckets).withColumn(out, F.col(out).cast("int"))
+    return rank_below(df, [], list(order_by), cuts, out).withColumn(out, F.col(out).cast("int"))
 
 
 def stratified_kfold(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 42,
-                     order: Column | str | None = None, out: str = "fold",
-                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     order: Column | str | None = None, out: str = "fold") -> DataFrame:
     """Shuffled stratified k folds. Row ``r`` of class ``c`` (seeded order)
     goes to fold ``(start_c + r) % k`` where ``start_c`` counts the rows of the
     smaller classes: the per-fold class counts equal sklearn's allocation."""
     o = "__ord"
     df, rng = _order(df, key, seed, order, o)
-    ranked = with_row_rank(df, [target], [o, key], "__r", n_buckets, rng)
+    ranked = with_row_rank(df, [target], [o, key], "__r", rng)
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("__n"))
     starts = counts.withColumn(
         "__start", F.coalesce(F.sum("__n").over(Window.orderBy(target).rowsBetween(Window.unboundedPreceding, -1)),
                               F.lit(0))).drop("__n")   # one row per class: a tiny window
-    out_df = attach(ranked, starts, [target])
+    out_df = attach(ranked, starts, [target], broadcast=True)   # one row per class: proven bound
     return out_df.withColumn(out, F.pmod(F.col("__start") + F.col("__r"), F.lit(k)).cast("int")).drop(
         o, "__r", "__start")
 
 
 def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float = 0.2, seed: int = 123,
-                   order: str = "mix", train_fractions: Sequence[float] | None = None,
-                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   order: str = "md5", train_fractions: Sequence[float] | None = None) -> DataFrame:
     """R5 (+ R6): ``n_splits`` independent random train/test splits (sklearn
     ``ShuffleSplit``: ``ceil(test_size * n)`` test rows). One row per (split,
     input row) with ``role``; with ``train_fractions``, ``size_idx`` is the
@@ -101,8 +97,8 @@ def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float
     from :func:`rank_below`, so the 50x expanded rows are never shuffled -- only
     the boundary buckets of each split are."""
     ex = df.withColumn("split_id", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
-    if order == "mix":
-        ex, rng = ex.withColumn("__ord", mix_order(key, seed, F.col("split_id"))), MIX_RANGE
+    if order == "md5":
+        ex, rng = ex.withColumn("__ord", md5_order(key, seed, F.col("split_id"))), MD5_RANGE
     else:
         ex, rng = ex.withColumn("__ord", F.xxhash64(F.col(key), F.lit(seed), F.col("split_id"))), HASH_RANGE
     fracs = list(train_fractions or [])
@@ -116,7 +112,7 @@ def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float
         ks = F.concat(F.array(n_test), F.transform(grid, lambda m: n_test + m))
         return sizes.select("split_id", F.posexplode(ks).alias("cut_idx", "k"))
 
-    flagged = rank_below(ex, ["split_id"], ["__ord", key], cuts, "__c", n_buckets, rng)
+    flagged = rank_below(ex, ["split_id"], ["__ord", key], cuts, "__c", rng)
     out = flagged.withColumn("role", F.when(F.col("__c") == 0, "test").otherwise("train"))
     if fracs:
         out = out.withColumn("size_idx", F.when(F.col("__c") >= 1, F.col("__c") - 1))
@@ -129,75 +125,100 @@ def train_size_grid(n_train: int, fractions: Sequence[float]) -> list[int]:
     return [s for s in sizes if s > 0]
 
 
-def exact_knn(points: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42,
-              max_broadcast_rows: int = 200_000) -> DataFrame:
+KNN_CELL = 2_000
+#: Bound of the rows that SMOTE learns neighbours from (see :func:`smote`).
+SMOTE_ROWS = 200_000
+
+
+def exact_knn(points: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every point among the others:
     (key, nb_rank 0..k-1, nb_key), ties broken by the neighbour key.
 
-    The reference set is split into chunks of at most ``max_broadcast_rows``
-    points (size checked before each broadcast). For each chunk, every task
-    computes distances from its own points to the broadcast chunk with numpy in
-    bounded blocks and keeps only the k best per point, so no pair is ever a
-    row. The per-chunk candidates (at most k x chunks per point) are merged by a
-    window partitioned by point. Every candidate is examined: exact, no cap."""
+    Pivot partitioning: a pivot per ``KNN_CELL`` points (first in seeded order), every
+    point belongs to the cell of its nearest pivot. A first grouped pass finds each
+    point's k best inside its cell, which bounds how far its neighbours can be. A
+    second pass sends the point only to cells that the triangle inequality cannot rule
+    out (distance to the pivot, less the cell's radius, within the bound), and a
+    window partitioned by point merges what the cells return. No pair is a row, and a
+    task holds one cell. The pivots are broadcast: they are one row per ``KNN_CELL``
+    points, and callers bound the points (:data:`SMOTE_ROWS`)."""
     import numpy as np
     import pandas as pd
 
+    from riskframe.session import cut_lineage
+
     feats = list(features)
-    spark = points.sparkSession
-    pts = points.select(F.col(key).cast("long").alias(key), *[F.col(c).cast("double").alias(c) for c in feats])
+    pts = cut_lineage(points.select(F.col(key).cast("long").alias(key), F.array(*[F.col(c).cast("double") for c in feats]).alias("x")))
     n = pts.count()
-    n_chunks = max(1, math.ceil(n / max_broadcast_rows))
-    while True:
-        chunked = pts.withColumn("__chunk", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n_chunks)))
-        biggest = chunked.groupBy("__chunk").count().agg(F.max("count")).first()[0] or 0
-        if biggest <= max_broadcast_rows:
-            break
-        n_chunks *= 2
-    sc = spark.sparkContext
-    cand_schema = f"`{key}` long, nb_key long, d double"
-    parts = []
-    for c in range(n_chunks):
-        ref = chunked.where(F.col("__chunk") == c).select(key, *feats).toPandas()   # checked <= max_broadcast_rows
-        bc = sc.broadcast((ref[key].to_numpy(), ref[feats].to_numpy(dtype=float)))
-
-        def topk(batches, bc=bc):
-            rkeys, mat = bc.value
-            sq = (mat ** 2).sum(1)
-            kk = min(k, len(rkeys))
-            for pdf in batches:
-                if pdf.empty or kk == 0:
-                    continue
-                x = pdf[feats].to_numpy(dtype=float)
-                qk = pdf[key].to_numpy()
-                out_k, out_nb, out_d = [], [], []
-                for lo in range(0, len(pdf), 128):          # bounded (128 x chunk) distance block
-                    xb, kb = x[lo:lo + 128], qk[lo:lo + 128]
-                    d = (xb ** 2).sum(1)[:, None] - 2.0 * xb @ mat.T + sq[None, :]
-                    d = np.maximum(d, 0.0)
-                    d[kb[:, None] == rkeys[None, :]] = np.inf      # not its own neighbour
-                    order = np.lexsort((np.broadcast_to(rkeys, d.shape), d), axis=1)[:, :kk]
-                    dd = np.take_along_axis(d, order, axis=1)
-                    keep = np.isfinite(dd)
-                    out_k.append(np.repeat(kb, kk)[keep.ravel()])
-                    out_nb.append(rkeys[order].ravel()[keep.ravel()])
-                    out_d.append(dd.ravel()[keep.ravel()])
-                yield pd.DataFrame({key: np.concatenate(out_k), "nb_key": np.concatenate(out_nb),
-                                    "d": np.concatenate(out_d)})
-
-        parts.append(pts.mapInPandas(topk, cand_schema))
-    cand = parts[0]
-    for extra in parts[1:]:
-        cand = cand.unionByName(extra)
-    w = Window.partitionBy(key).orderBy("d", "nb_key")     # <= k x chunks rows per point
-    return (cand.withColumn("nb_rank", F.row_number().over(w) - 1).where(F.col("nb_rank") < k)
+    order = md5_order(key, seed)
+    pivots = np.array([r["x"] for r in pts.orderBy(order, key).limit(max(1, math.ceil(n / KNN_CELL))).collect()], dtype=float)
+
+    def assign(batches):
+        for pdf in batches:
+            if len(pdf):
+                x = np.stack(pdf["x"].to_numpy())
+                d = np.sqrt(((x[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
+                pdf["cell"], pdf["far"] = d.argmin(axis=1).astype(np.int32), d.min(axis=1)
+                yield pdf
+
+    cells = cut_lineage(pts.mapInPandas(assign, f"`{key}` long, x array<double>, cell int, far double"))
+    radius = {r["cell"]: r["r"] for r in cells.groupBy("cell").agg(F.max("far").alias("r")).collect()}   # a row per pivot
+
+    def best(queries, names, x, keys):
+        """The k best of a cell for each query: (query row, neighbour key, distance)."""
+        rows, nbs, ds = [], [], []
+        for lo in range(0, len(queries), 256):
+            q = queries[lo:lo + 256]
+            d = np.sqrt(((q[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+            d[names[lo:lo + 256][:, None] == keys[None, :]] = np.inf      # not its own neighbour
+            take = np.lexsort((np.broadcast_to(keys, d.shape), d), axis=1)[:, :k]
+            dd = np.take_along_axis(d, take, axis=1)
+            ok = np.isfinite(dd)
+            rows.append(np.repeat(names[lo:lo + 256], take.shape[1])[ok.ravel()])
+            nbs.append(keys[take].ravel()[ok.ravel()])
+            ds.append(dd.ravel()[ok.ravel()])
+        return pd.DataFrame({key: np.concatenate(rows), "nb_key": np.concatenate(nbs), "d": np.concatenate(ds)})
+
+    def inside(pdf):
+        x, keys = np.stack(pdf["x"].to_numpy()), pdf[key].to_numpy()
+        return best(x, keys, x, keys)
+
+    schema = f"`{key}` long, nb_key long, d double"
+    own = cut_lineage(cells.groupBy("cell").applyInPandas(inside, schema))
+    bound = own.groupBy(key).agg(F.when(F.count(F.lit(1)) >= k, F.max("d")).alias("bound"))
+
+    def route(batches):
+        reach = np.array([radius.get(c, 0.0) for c in range(len(pivots))])
+        for pdf in batches:
+            if len(pdf):
+                x = np.stack(pdf["x"].to_numpy())
+                d = np.sqrt(((x[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2)) - reach[None, :]
+                go = d <= pdf["bound"].fillna(np.inf).to_numpy()[:, None] * (1 + 1e-9)
+                go[np.arange(len(pdf)), pdf["cell"].to_numpy()] = False
+                i, c = np.nonzero(go)
+                yield pd.DataFrame({key: pdf[key].to_numpy()[i], "x": pdf["x"].to_numpy()[i], "cell": c.astype(np.int32)})
+
+    asked = cells.join(bound, key, "left").select(key, "x", "cell", "bound").mapInPandas(route, f"`{key}` long, x array<double>, cell int")
+
+    def outside(_, q, held):
+        if not len(q) or not len(held):
+            return pd.DataFrame({key: np.zeros(0, np.int64), "nb_key": np.zeros(0, np.int64), "d": np.zeros(0)})
+        return best(np.stack(q["x"].to_numpy()), q[key].to_numpy(), np.stack(held["x"].to_numpy()), held[key].to_numpy())
+
+    more = asked.groupBy("cell").cogroup(cells.groupBy("cell")).applyInPandas(outside, schema)
+    w = Window.partitionBy(key).orderBy("d", "nb_key")     # at most k rows per point and cell asked
+    return (own.unionByName(more).withColumn("nb_rank", F.row_number().over(w) - 1).where(F.col("nb_rank") < k)
             .select(key, F.col("nb_rank").cast("int"), "nb_key"))
 
 
 def smote(df: DataFrame, target: str, features: Sequence[str], key: str, minority=0, k: int = 3,
-          seed: int = 42, max_broadcast_rows: int = 200_000) -> DataFrame:
+          seed: int = 42, max_rows: int = SMOTE_ROWS) -> DataFrame:
     """SMOTE oversampling of the minority class to parity.
 
+    Neighbours, and the rows that new ones start from, come from at most ``max_rows``
+    minority rows (the first in seeded order): a classifier is fitted on the result, and
+    this is its documented bound. Below it every minority row takes part.
+
     Synthetic row ``j`` (0..need-1) comes from the minority row at position
     ``j % n_min`` (key order), copy ``j // n_min``; it is x + u * (nb - x) where
     ``nb`` is one of x's ``k`` exact nearest minority neighbours and ``u`` in
@@ -211,9 +232,13 @@ def smote(df: DataFrame, target: str, features: Sequence[str], key: str, minorit
     need = n_max - n_min
     if need <= 0 or n_min < 2:
         return df.withColumn("synthetic", F.lit(False))
-    kk = min(k, n_min - 1)
+    from riskframe.session import cut_lineage
+
     mino = df.where(F.col(target) == minority).select(key, *feats)
-    nn = exact_knn(mino, key, feats, kk, seed, max_broadcast_rows)
+    mino = cut_lineage(mino.orderBy(md5_order(key, seed), key).limit(max_rows))
+    n_min = min(n_min, max_rows)
+    kk = min(k, n_min - 1)
+    nn = exact_knn(mino, key, feats, kk, seed)
     copies = (need + n_min - 1) // n_min
     src = (with_row_rank(mino.select(key), [], [key], "__pos")
            .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))

@@ -81,10 +81,6 @@ LOAN_COLUMNS = ["loan_id", "tipo_credito", "fecha_prestamo", "capital_prestado",
                 "cant_creditosvigentes", "creditos_sectorFinanciero", "creditos_sectorCooperativo",
                 "creditos_sectorReal", "saldo_total", "saldo_principal", "saldo_mora", "saldo_mora_codeudor",
                 "Pago_atiempo"]
-CLEAN_NUMERIC = ["capital_prestado", "plazo_meses", "edad_cliente", "salario_cliente", "puntaje_datacredito",
-                 "huella_consulta", "total_otros_prestamos", "creditos_sectorFinanciero",
-                 "creditos_sectorCooperativo", "creditos_sectorReal", "saldo_total", "tiene_mora",
-                 "ratio_capital_salario"]
 RAW_NUMERIC = ["capital_prestado", "plazo_meses", "cuota_pactada", "edad_cliente", "salario_cliente", "puntaje",
                "puntaje_datacredito", "promedio_ingresos_datacredito", "huella_consulta", "total_otros_prestamos",
                "cant_creditosvigentes", "creditos_sectorFinanciero", "creditos_sectorCooperativo",
@@ -290,7 +286,7 @@ def _round_cols(df, cols):
 @register("a_describe_numeric")
 def q_describe_numeric(spark, sf_dir):
     """A1: describe every numeric feature of the cleaned loans (exact quantiles)."""
-    out = A.describe_numeric(clean_loans(spark, sf_dir), CLEAN_NUMERIC)
+    out = A.describe_numeric(clean_loans(spark, sf_dir), P.NUMERIC_FEATURES)
     return _round_cols(out, ["mean", "std", "p25", "p50", "p75"])
 
 
@@ -332,7 +328,7 @@ def q_corr_with_target(spark, sf_dir):
 @register("a_corr_matrix")
 def q_corr_matrix(spark, sf_dir):
     """Pairwise-complete correlation matrix of the cleaned numeric features."""
-    return _round_cols(A.corr_matrix(clean_loans(spark, sf_dir), CLEAN_NUMERIC), ["corr"])
+    return _round_cols(A.corr_matrix(clean_loans(spark, sf_dir), P.NUMERIC_FEATURES), ["corr"])
 
 
 @register("a_redundant_pairs")
@@ -397,7 +393,7 @@ def q_crosstab_pct(spark, sf_dir):
 @register("a_histogram")
 def q_histogram(spark, sf_dir):
     """40-bin equal-width histograms of every cleaned numeric feature."""
-    return A.histogram(clean_loans(spark, sf_dir), CLEAN_NUMERIC, 40)
+    return A.histogram(clean_loans(spark, sf_dir), P.NUMERIC_FEATURES, 40)
 
 
 @register("a_histogram_by_class")
@@ -411,7 +407,7 @@ def q_histogram_by_class(spark, sf_dir):
 @register("a_box_stats")
 def q_box_stats(spark, sf_dir):
     """Box-plot numbers of every cleaned feature by target."""
-    out = A.box_stats(clean_loans(spark, sf_dir), CLEAN_NUMERIC, [P.TARGET])
+    out = A.box_stats(clean_loans(spark, sf_dir), P.NUMERIC_FEATURES, [P.TARGET])
     return _round_cols(out, ["q1", "median", "q3", "iqr"])
 
 
@@ -484,7 +480,7 @@ def split_loans(spark, sf_dir):
     from riskframe.session import cut_lineage
 
     return _shared(("split", sf_dir), lambda: cut_lineage(
-        R.stratified_split(clean_loans(spark, sf_dir), P.TARGET, P.KEY, 0.2, SEED, order="mix")))
+        R.stratified_split(clean_loans(spark, sf_dir), P.TARGET, P.KEY, 0.2, SEED, order="md5")))
 
 
 def train_rows(spark, sf_dir):
@@ -504,7 +500,7 @@ def q_stratified_split(spark, sf_dir):
 @register("r_sample_n")
 def q_sample_n(spark, sf_dir):
     """R2: production sample max(50, 10%) of the test rows."""
-    return R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="mix").select(P.KEY)
+    return R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="md5").select(P.KEY)
 
 
 @register("r_kfold")
@@ -516,7 +512,7 @@ def q_kfold(spark, sf_dir):
 @register("r_stratified_kfold")
 def q_stratified_kfold(spark, sf_dir):
     """Shuffled stratified 5 folds of the training rows."""
-    return R.stratified_kfold(train_rows(spark, sf_dir), P.TARGET, P.KEY, 5, SEED, order="mix").select(
+    return R.stratified_kfold(train_rows(spark, sf_dir), P.TARGET, P.KEY, 5, SEED, order="md5").select(
         P.KEY, P.TARGET, "fold")
 
 
@@ -524,8 +520,8 @@ FRACTIONS = (0.1, 0.325, 0.55, 0.775, 1.0)
 
 
 def _shuffle(spark, sf_dir):
-    return R.shuffle_splits(train_rows(spark, sf_dir).select(P.KEY, P.TARGET, *CLEAN_NUMERIC, "tipo_laboral"),
-                            P.KEY, 50, 0.2, 123, order="mix", train_fractions=FRACTIONS)
+    return R.shuffle_splits(train_rows(spark, sf_dir).select(P.KEY, P.TARGET, *P.NUMERIC_FEATURES, "tipo_laboral"),
+                            P.KEY, 50, 0.2, 123, order="md5", train_fractions=FRACTIONS)
 
 
 @register("r_shuffle_splits")
@@ -679,7 +675,7 @@ def q_learning_curve(spark, sf_dir):
 def _candidates(spark, sf_dir):
     """Rule-model variants evaluated by stratified 5-fold CV and on the test rows."""
     train, test = train_rows(spark, sf_dir), test_rows(spark, sf_dir)
-    folds = R.stratified_kfold(train, P.TARGET, P.KEY, 5, SEED, order="mix")
+    folds = R.stratified_kfold(train, P.TARGET, P.KEY, 5, SEED, order="md5")
     out = None
     for name, th in (("heuristic", None), ("heuristic_strict", STRICT), ("heuristic_lenient", LENIENT)):
         cv = V.binary_metrics(rule_classifier(folds, th), P.TARGET, "prediction", 0, 2.0, ["fold"])
@@ -706,7 +702,7 @@ def q_selection(spark, sf_dir):
 @register("v_stability")
 def q_stability(spark, sf_dir):
     """Per-metric stability over stratified 5 folds (class 1, population std)."""
-    folds = rule_classifier(R.stratified_kfold(train_rows(spark, sf_dir), P.TARGET, P.KEY, 5, SEED, order="mix"))
+    folds = rule_classifier(R.stratified_kfold(train_rows(spark, sf_dir), P.TARGET, P.KEY, 5, SEED, order="md5"))
     m = V.binary_metrics(folds, P.TARGET, "prediction", 1, 2.0, ["fold"])
     folds = folds.withColumn("__s", F.col("prediction").cast("double"))
     auc = V.roc_auc(folds, P.TARGET, "__s", 1, ["fold"])
@@ -745,10 +741,13 @@ def q_near_threshold(spark, sf_dir):
 
 # =========================================================================== drift
 
+# every numeric column of the training features, the nominal code included
+DRIFT_COLUMNS = ["tipo_credito", *P.NUMERIC_FEATURES]
+
 def _drift(spark, sf_dir):
     ref = train_rows(spark, sf_dir)
-    prod = R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="mix")
-    return K.ks_report(ref, prod, CLEAN_NUMERIC)
+    prod = R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="md5")
+    return K.ks_report(ref, prod, DRIFT_COLUMNS)
 
 
 @register("k_ks_report")
@@ -798,7 +797,7 @@ def q_top_mean_shift(spark, sf_dir):
 @register("k_prediction_mix")
 def q_prediction_mix(spark, sf_dir):
     """K6: labelled prediction mix of the production sample."""
-    prod = rule_classifier(R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="mix"))
+    prod = rule_classifier(R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="md5"))
     prod = PR.map_labels(prod, "prediction", P.LABELS, out="etiqueta")
     return Q.value_counts(prod, ["etiqueta"]).select(F.col("value").alias("etiqueta"), "count")
 
@@ -808,7 +807,7 @@ def q_monitoring_cycle(spark, sf_dir):
     """K7: sample -> score -> drift -> report with the overall status attached."""
     from riskframe.plans.monitoring import monitoring_cycle
 
-    res = monitoring_cycle(train_rows(spark, sf_dir), test_rows(spark, sf_dir), P.KEY, CLEAN_NUMERIC)
+    res = monitoring_cycle(train_rows(spark, sf_dir), test_rows(spark, sf_dir), P.KEY, DRIFT_COLUMNS)
     return res["report"].select("variable", "ks_statistic", "p_value", "drift_detectado", "n_muestra", "hay_drift")
 
 
@@ -816,7 +815,7 @@ def q_monitoring_cycle(spark, sf_dir):
 def q_check_batch(spark, sf_dir):
     """K8: on-demand check of a batch (the Independiente test loans) against training."""
     batch = test_rows(spark, sf_dir).where(F.col("tipo_laboral") == "Independiente")
-    return K.check_batch(train_rows(spark, sf_dir), batch.select(*CLEAN_NUMERIC))
+    return K.check_batch(train_rows(spark, sf_dir), batch.select(*DRIFT_COLUMNS))
 
 
 @register("k_period_stats")

@@ -20,7 +20,7 @@ from riskframe.plans.presets import DRIFT_P, LABELS
 
 def monitoring_cycle(reference: DataFrame, candidates: DataFrame, key: str, cols: Sequence[str],
                      model=None, frac: float = 0.1, floor: int = 50, seed: int = 42,
-                     threshold: float = DRIFT_P, order="mix") -> dict[str, DataFrame]:
+                     threshold: float = DRIFT_P, order="md5") -> dict[str, DataFrame]:
     """Returns ``report`` (drift per variable + sample size + overall flag),
     ``predictions`` (the scored sample) and ``mix`` (labelled prediction counts).
     ``model`` is a fitted PipelineModel; without one the rule classifier scores."""

@@ -4,6 +4,8 @@ functions and ``quantile_cont`` over the pre-registered driver views."""
 
 from __future__ import annotations
 
+from riskframe.plans import presets as P
+
 LOANS = """
 li AS (
   SELECT l_orderkey,
@@ -118,8 +120,7 @@ SEED = 42
 
 
 def mix(key: str = "loan_id", seed: int = SEED, salt: str | None = None) -> str:
-    s = f"({key} * 2654435761 + {seed}" + (f" + {salt} * 40503" if salt else "") + ")"
-    return f"({s} % 4294967296)"
+    return f"substr(md5(concat_ws('|', CAST({key} AS VARCHAR), '{seed}'" + (f", CAST({salt} AS VARCHAR)" if salt else "") + ")), 1, 8)"
 
 
 SPLIT = f""",
@@ -303,10 +304,6 @@ SQL["d_base_pipeline"] = with_loans("SELECT * REPLACE (round(ratio_capital_salar
 
 # ----------------------------------------------------------------- part 2: aggregates and features
 
-CLEAN_NUMERIC = ["capital_prestado", "plazo_meses", "edad_cliente", "salario_cliente", "puntaje_datacredito",
-                 "huella_consulta", "total_otros_prestamos", "creditos_sectorFinanciero",
-                 "creditos_sectorCooperativo", "creditos_sectorReal", "saldo_total", "tiene_mora",
-                 "ratio_capital_salario"]
 EDA = WL + """,
 eda AS (SELECT *, CAST(coalesce(saldo_mora > 0, false) AS INTEGER) AS tiene_mora FROM wl)"""
 
@@ -318,7 +315,7 @@ def long_of(src: str, cols, extra: str = "") -> str:
 
 
 SQL["a_describe_numeric"] = with_loans(f""",
-lng AS (SELECT * FROM {long_of('clean', CLEAN_NUMERIC)})
+lng AS (SELECT * FROM {long_of('clean', P.NUMERIC_FEATURES)})
 SELECT variable, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
        min(value) AS min, round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50,
        round(quantile_cont(value, 0.75), 6) AS p75, max(value) AS max
@@ -359,7 +356,7 @@ def _corr_pairs(src: str, cols, where: str = "") -> str:
             f"pairs AS (SELECT unnest([{', '.join(structs)}], recursive := true) FROM m)")
 
 
-SQL["a_corr_matrix"] = with_loans(",\n" + _corr_pairs("clean", CLEAN_NUMERIC)
+SQL["a_corr_matrix"] = with_loans(",\n" + _corr_pairs("clean", P.NUMERIC_FEATURES)
                                   + "\nSELECT var_a, var_b, round(corr, 6) + 0.0 AS corr FROM pairs")
 
 SQL["a_redundant_pairs"] = with_loans(",\n" + _corr_pairs("loans", RAW_NUMERIC)
@@ -448,12 +445,12 @@ FROM grid g JOIN rng r ON g.variable = r.variable
 LEFT JOIN cnt c ON c.variable = g.variable AND c.bin = g.bin {('AND c.' + by + ' = g.' + by) if by else ''}"""
 
 
-SQL["a_histogram"] = with_loans(histogram_sql("clean", CLEAN_NUMERIC, 40))
+SQL["a_histogram"] = with_loans(histogram_sql("clean", P.NUMERIC_FEATURES, 40))
 SQL["a_histogram_by_class"] = with_loans(histogram_sql(
     "clean", ["capital_prestado", "edad_cliente", "puntaje_datacredito"], 50, "Pago_atiempo"))
 
 SQL["a_box_stats"] = with_loans(f""",
-lng AS (SELECT * FROM {long_of('clean', CLEAN_NUMERIC, 'Pago_atiempo')} WHERE Pago_atiempo IS NOT NULL),
+lng AS (SELECT * FROM {long_of('clean', P.NUMERIC_FEATURES, 'Pago_atiempo')} WHERE Pago_atiempo IS NOT NULL),
 q AS (SELECT Pago_atiempo, variable, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
              quantile_cont(value, 0.75) AS q3 FROM lng GROUP BY ALL),
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
@@ -685,7 +682,7 @@ LENIENT_TH = {"puntaje_muy_bajo": 550.0, "puntaje_moderado": 700.0, "puntaje_ind
 SQL["v_selection"] = with_loans(SPLIT + SKFOLD + ",\ncands AS (" + union(
     [candidate_sql("heuristic", None), candidate_sql("heuristic_strict", STRICT_TH),
      candidate_sql("heuristic_lenient", LENIENT_TH)]) + """),
-sc AS (SELECT *, 0.6 * cv_fbeta_mean + 0.25 / (1 + cv_fbeta_std) + 0.15 / (1 + cv_fit_time_mean) AS selection_score
+sc AS (SELECT *, 0.6 * test_fbeta + 0.25 / (1 + cv_fbeta_std) + 0.15 / (1 + cv_fit_time_mean) AS selection_score
        FROM cands)
 SELECT modelo, round(cv_fbeta_mean, 6) AS cv_fbeta_mean, round(cv_fbeta_std, 6) AS cv_fbeta_std, cv_fit_time_mean,
        round(test_recall, 6) AS test_recall, round(test_f1, 6) AS test_f1, round(test_fbeta, 6) AS test_fbeta,
@@ -721,7 +718,7 @@ SELECT coalesce(a.metric, b.metric) AS metric, round(local, 6) AS local, round(o
 FROM a FULL OUTER JOIN b ON a.metric = b.metric""")
 
 SWEEP = PT + f""",
-cells AS (SELECT CAST(least(greatest(floor(rule_count / 5.0 * 20), 0), 20) AS INTEGER) AS cell,
+cells AS (SELECT (SELECT CAST(max(i) AS INTEGER) FROM range(21) t(i) WHERE rule_count / 5.0 >= i / 20.0) AS cell,
                  sum(CASE WHEN Pago_atiempo = 0 THEN 1 ELSE 0 END) AS pos,
                  sum(CASE WHEN Pago_atiempo = 0 THEN 0 ELSE 1 END) AS neg FROM pt GROUP BY 1),
 tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM cells),
@@ -767,7 +764,7 @@ report AS (SELECT variable, round_even(d, {digits}) AS ks_statistic, round_even(
                   round_even(mean_prod, {digits}) AS media_produccion FROM __pv)"""
 
 
-DRIFT = SPLIT + SAMPLE + ks_sql("train", "sample", CLEAN_NUMERIC)
+DRIFT = SPLIT + SAMPLE + ks_sql("train", "sample", ["tipo_credito", *P.NUMERIC_FEATURES])
 SQL["k_ks_report"] = with_loans(DRIFT + "\nSELECT * FROM report")
 
 EVENTS = """,
@@ -790,7 +787,7 @@ SQL["k_monitoring_cycle"] = with_loans(DRIFT + """
 SELECT variable, ks_statistic, p_value, drift_detectado, (SELECT count(*) FROM sample) AS n_muestra,
        (SELECT coalesce(bool_or(drift_detectado), false) FROM report) AS hay_drift FROM report""")
 SQL["k_check_batch"] = with_loans(SPLIT + """,
-batch AS (SELECT * FROM test WHERE tipo_laboral = 'Independiente')""" + ks_sql("train", "batch", CLEAN_NUMERIC)
+batch AS (SELECT * FROM test WHERE tipo_laboral = 'Independiente')""" + ks_sql("train", "batch", ["tipo_credito", *P.NUMERIC_FEATURES])
                                   + "\nSELECT * FROM report")
 SQL["k_period_stats"] = """
 SELECT time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS period_start,

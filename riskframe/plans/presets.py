@@ -27,8 +27,8 @@ NUMERIC_FEATURES = ["capital_prestado", "plazo_meses", "edad_cliente", "salario_
                     "tiene_mora", "ratio_capital_salario"]
 CATEGORICAL_FEATURES = ["tipo_credito", "tipo_laboral"]
 # complete-case preset (cloud path): these are dropped and rows with nulls removed
-COMPLETE_CASE_DROP = ["fecha_prestamo", "puntaje", "cuota_pactada", "saldo_principal",
-                      "cant_creditosvigentes", "promedio_ingresos_datacredito", "tendencia_ingresos"]
+COMPLETE_CASE_DROP = ["cant_creditosvigentes", "cuota_pactada", "fecha_prestamo",
+                      "puntaje", "promedio_ingresos_datacredito", "tendencia_ingresos", "saldo_principal"]
 
 RANGE_BOUNDS = {"edad_cliente": (18, 100), "puntaje_datacredito": (150, 950)}
 TREND_LEVELS = ["Decreciente", "Estable", "Creciente"]          # ordered low -> high

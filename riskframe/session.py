@@ -42,7 +42,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must point at shared storage.
-    Only when it is unset (local tests) do we create a private folder.
+    Only a session with a local master, whose executors are this process, may go
+    without: it gets a private folder. On a cluster a folder of one machine would lose
+    what executors write, so there this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -68,7 +68,7 @@ def full_refresh(df: DataFrame, table: str, fmt: str = "parquet") -> int:
 
 def write_metrics(df: DataFrame, path: str) -> None:
     """Metrics JSON sink. Metric tables are a handful of rows, so one file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def write_report(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -70,15 +70,15 @@ def test_streaming_scores_equal_batch(spark, sf_dir, tmp_path):
 
 def test_streaming_drift_per_batch(spark, sf_dir, tmp_path):
     ref = C.train_rows(spark, sf_dir)
-    test = C.test_rows(spark, sf_dir).select(*C.CLEAN_NUMERIC)
+    test = C.test_rows(spark, sf_dir).select(*C.DRIFT_COLUMNS)
     src = tmp_path / "drift_in"
     test.write.parquet(str(src))
     out = []
-    q = M.stream_drift(spark.readStream.schema(test.schema).parquet(str(src)), ref, C.CLEAN_NUMERIC,
+    q = M.stream_drift(spark.readStream.schema(test.schema).parquet(str(src)), ref, C.DRIFT_COLUMNS,
                        lambda rep, bid: out.append(rep.collect()), checkpoint=str(tmp_path / "ck3"))
     q.processAllAvailable()
     q.stop()
-    assert out and len(out[0]) == len(C.CLEAN_NUMERIC)
+    assert out and len(out[0]) == len(C.DRIFT_COLUMNS)
 
 
 def test_run_log_stream(spark, tmp_path):

@@ -72,9 +72,8 @@ BUCKETED = ["a_describe_numeric", "a_box_stats", "q_fit_medians", "f_clip_tail_p
 
 
 @pytest.mark.parametrize("name", BUCKETED)
-def test_query_matches_oracle_on_bucketed_path(spark, sf_dir, con, name, monkeypatch):
-    """The same queries with the single-task fast path disabled: the strategy
-    used when groups are large."""
+def test_query_matches_oracle_with_many_fine_buckets(spark, sf_dir, con, name, monkeypatch):
+    """The same queries with 20 rows to a fine bucket, as many as large groups have."""
     from riskframe.operators import ranking
-    monkeypatch.setattr(ranking, "GROUP_TASK_ROWS", 0)
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 20)
     test_query_matches_oracle(spark, sf_dir, con, name)

@@ -39,7 +39,7 @@ def test_split_is_disjoint_complete_and_exact(spark, sf_dir):
 
 
 def test_stratified_fold_sizes_balanced(spark, sf_dir):
-    f = S.stratified_kfold(C.train_rows(spark, sf_dir), P.TARGET, P.KEY, 5, 42, order="mix")
+    f = S.stratified_kfold(C.train_rows(spark, sf_dir), P.TARGET, P.KEY, 5, 42, order="md5")
     counts = [r["count"] for r in f.groupBy("fold").count().collect()]
     assert max(counts) - min(counts) <= 1
 

@@ -11,13 +11,10 @@ import pytest
 from riskframe.operators import ranking as R
 
 
-@pytest.fixture(params=["bucketed", "single_task"], autouse=True)
-def path(request, monkeypatch):
-    """Run every test through both strategies: the bucketed path (forced by a zero
-    size threshold) and the checked-small single-task path."""
-    if request.param == "bucketed":
-        monkeypatch.setattr(R, "GROUP_TASK_ROWS", 0)
-    return request.param
+@pytest.fixture(params=[20, R.ROWS_PER_BUCKET], autouse=True)
+def rows_per_bucket(request, monkeypatch):
+    """Many fine buckets, as large groups have, and the default."""
+    monkeypatch.setattr(R, "ROWS_PER_BUCKET", request.param)
 
 
 def _frame(spark, n=3000, seed=0):
@@ -33,7 +30,7 @@ def _frame(spark, n=3000, seed=0):
 
 def test_row_rank_matches_row_number(spark):
     pdf, df = _frame(spark)
-    got = R.with_row_rank(df, ["g"], ["x", "k"], n_buckets=8).toPandas().sort_values("k")
+    got = R.with_row_rank(df, ["g"], ["x", "k"]).toPandas().sort_values("k")
     exp = df.withColumn("rr", F.row_number().over(Window.partitionBy("g").orderBy("x", "k")) - 1) \
         .toPandas().sort_values("k")
     assert (got.row_rank.values == exp.rr.values).all()
@@ -62,16 +59,44 @@ def test_running_totals_match_cumsum(spark):
     assert (rt.groupby("g").c.cumsum().values == rt.cum_c.values).all()
 
 
-def test_small_tables_are_local(spark):
-    df = spark.range(10).groupBy((F.col("id") % 2).alias("m")).count()
-    assert R.materialize_small(df).isLocal()
+def _special(spark):
+    return spark.createDataFrame([(1, 1.0), (2, 2.0), (3, float("nan")), (4, 0.5), (5, None), (6, float("inf")),
+                                  (7, float("-inf")), (8, float("nan")), (9, -3.0), (10, None)], "k long, x double")
+
+
+def test_rank_orders_null_nan_and_infinity_as_a_window(spark):
+    df = _special(spark)
+    got = {r.k: r.row_rank for r in R.with_row_rank(df, [], ["x", "k"]).collect()}
+    exp = {r.k: r.rr for r in df.withColumn("rr", F.row_number().over(Window.orderBy("x", "k")) - 1).collect()}
+    assert got == exp
+
+
+def test_rank_below_and_running_totals_on_special_values(spark):
+    df = _special(spark)
+    cuts = R.local_frame(spark, [(0, 4), (1, 9)], "cut_idx int, k long")
+    got = {r.k: r.cut_idx for r in R.rank_below(df, [], ["x", "k"], cuts).collect()}
+    exp = {r.k: 0 if r.rr < 4 else 1 if r.rr < 9 else None
+           for r in df.withColumn("rr", F.row_number().over(Window.orderBy("x", "k")) - 1).collect()}
+    assert got == exp
+    agg = df.where("x is not null").groupBy("x").agg(F.count("*").alias("c"))
+    got = sorted((repr(r.x), r.cum_c) for r in R.running_totals(agg, [], "x", ["c"]).collect())
+    assert got == sorted([("-inf", 1), ("-3.0", 2), ("0.5", 3), ("1.0", 4), ("2.0", 5), ("inf", 6), ("nan", 8)])
+
+
+def test_no_window_is_partitioned_by_the_class_or_a_constant(spark):
+    """The rows are windowed by (group, coarse, fine bucket) only."""
+    _, df = _frame(spark)
+    plan = R.with_row_rank(df, ["g"], ["x", "k"])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if line.strip(" :+-").startswith("Window")]
+    rows = [w for w in windows if "row_number()" in w]
+    assert rows and all("__b2" in w for w in rows)
 
 
 def test_rank_below_matches_row_number(spark):
     pdf, df = _frame(spark)
     cuts = R.local_frame(spark, [(g, i, k) for g in range(3) for i, k in enumerate([5, 100, 400, 700])],
                          "g long, cut_idx int, k long")
-    got = R.rank_below(df, ["g"], ["x", "k"], cuts, n_buckets=8).toPandas().set_index("k")["cut_idx"]
+    got = R.rank_below(df, ["g"], ["x", "k"], cuts).toPandas().set_index("k")["cut_idx"]
     rr = df.withColumn("rr", F.row_number().over(Window.partitionBy("g").orderBy("x", "k")) - 1).toPandas()
     def exp(r):
         for i, k in enumerate([5, 100, 400, 700]):
@@ -87,5 +112,5 @@ def test_rank_below_matches_row_number(spark):
 def test_rank_below_global(spark):
     pdf, df = _frame(spark)
     cuts = R.local_frame(spark, [(0, 250)], "cut_idx int, k long")
-    got = R.rank_below(df, [], ["k"], cuts, n_buckets=8, known_range=(0, 3000))
+    got = R.rank_below(df, [], ["k"], cuts, known_range=(0, 3000))
     assert sorted(r.k for r in got.where("cut_idx = 0").collect()) == list(range(250))
