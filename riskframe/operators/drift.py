@@ -8,8 +8,9 @@ variable; the p-value is the asymptotic Kolmogorov distribution with Stephens'
 small-sample correction, evaluated as a 100-term series inside the JVM.
 
 The original uses scipy's exact p-value when both sides have <= 10,000 rows;
-the asymptotic value agrees to about 1e-2 there and gives the same decision
-except for p-values within that distance of the threshold.
+the tests bound the difference against exact path counts: within 0.02 at sample
+sizes from 20 by 30, so a decision can only differ for p-values that close to the
+threshold.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.projection import columns_of_type, common_columns
+from riskframe.operators.projection import common_columns
 from riskframe.operators.ranking import local_frame, materialize_small, running_totals, unpivot_numeric
 from riskframe.session import cut_lineage
 from riskframe.plans.presets import DRIFT_P
@@ -41,16 +42,24 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series))))
 
 
-def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """K1 core: (variable, d, n_ref, n_prod, mean_ref, mean_prod) for ``cols``
-    present on both sides, nulls/NaN dropped per column."""
-    long = (unpivot_numeric(reference, cols).withColumn("side", F.lit(0))
-            .unionByName(unpivot_numeric(production, cols).withColumn("side", F.lit(1))))
-    # one shuffle: counts per distinct (variable, value) on each side; read three
-    # times below (bounds, bucket offsets, CDF walk), so it is checkpointed once
-    counts = cut_lineage(long.groupBy("variable", "value").agg(
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).cast("long").alias("c_ref"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("long").alias("c_prod")))
+def reference_snapshot(reference: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """K2: the reference side of every later test, computed and stored once: how often
+    each value of each column occurs, (variable, value, c_ref). Reports that are given
+    the snapshot do not read the reference again."""
+    return cut_lineage(unpivot_numeric(reference, cols).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("c_ref")))
+
+
+def _counts(reference: DataFrame, production: DataFrame) -> DataFrame:
+    """(variable, value, c_ref, c_prod) of a snapshot and long production rows. One
+    shuffle; it is read three times (range, bucket offsets, CDF walk), so it is written."""
+    zero = F.lit(0).cast("long")
+    both = reference.select("variable", "value", "c_ref", zero.alias("c_prod")).unionByName(
+        production.select("variable", "value", zero.alias("c_ref"), F.lit(1).cast("long").alias("c_prod")))
+    return cut_lineage(both.groupBy("variable", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_prod").alias("c_prod")))
+
+
+def _ks(counts: DataFrame) -> DataFrame:
+    """(variable, d, n_ref, n_prod, mean_ref, mean_prod) of a counts table."""
     sides = materialize_small(counts.groupBy("variable").agg(
         F.sum("c_ref").alias("n_ref"), F.sum("c_prod").alias("n_prod"),
         F.try_divide(F.sum(F.col("value") * F.col("c_ref")), F.sum("c_ref")).alias("mean_ref"),
@@ -62,29 +71,60 @@ def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str]) -
     return sides.join(d, "variable", "left")
 
 
+def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """K1 core: (variable, d, n_ref, n_prod, mean_ref, mean_prod) for ``cols``
+    present on both sides, nulls/NaN dropped per column. ``reference`` may be a
+    :func:`reference_snapshot`."""
+    if set(reference.columns) != {"variable", "value", "c_ref"}:
+        reference = unpivot_numeric(reference, cols).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("c_ref"))
+    return _ks(_counts(reference.where(F.col("variable").isin(list(cols))), unpivot_numeric(production, cols)))
+
+
+def _report(t: DataFrame, threshold: float, digits: int | None, min_rows: int) -> DataFrame:
+    t = t.where((F.col("n_prod") >= min_rows) & (F.col("n_ref") >= 1))
+    p = kolmogorov_pvalue(F.col("d"), F.col("n_ref"), F.col("n_prod"))
+    rnd = (lambda c: F.bround(c, digits)) if digits is not None else (lambda c: c)
+    return t.select("variable", rnd(F.col("d")).alias("ks_statistic"), rnd(p).alias("p_value"),
+                    (p < threshold).alias("drift_detectado"), rnd(F.col("mean_ref")).alias("media_referencia"),
+                    rnd(F.col("mean_prod")).alias("media_produccion"))
+
+
 def ks_report(reference: DataFrame, production: DataFrame, cols: Sequence[str] | None = None,
               threshold: float = DRIFT_P, digits: int = 4, min_rows: int = 2) -> DataFrame:
     """K1: per numeric column common to both sides: KS statistic, p-value, drift
     flag (p < threshold, on the unrounded p), both means; rounded to ``digits``.
 
-    Columns with fewer than ``min_rows`` production values are skipped; with no
-    common column an empty report (not an error) is returned. A production
-    batch with fewer than ``min_rows`` rows gives an empty report too."""
+    Columns with fewer than ``min_rows`` production values are skipped, so a batch of
+    fewer rows gives an empty report; with no common column the report is empty too."""
     spark = reference.sparkSession
     if cols is None:
         cols = common_columns(reference, production, "numeric")
+    elif "c_ref" in reference.columns:
+        cols = [c for c in cols if c in production.columns]
     else:
         cols = [c for c in cols if c in reference.columns and c in production.columns]
     if not cols:
         return local_frame(spark, [], REPORT_SCHEMA)
-    t = ks_table(reference, production, cols)
-    n_rows = production.agg(F.count(F.lit(1))).scalar()
-    t = t.where((F.col("n_prod") >= min_rows) & (F.col("n_ref") >= 1) & (n_rows >= min_rows))
-    p = kolmogorov_pvalue(F.col("d"), F.col("n_ref"), F.col("n_prod"))
-    rnd = (lambda c: F.bround(c, digits)) if digits is not None else (lambda c: c)
-    return t.select("variable", rnd(F.col("d")).alias("ks_statistic"), rnd(p).alias("p_value"),
-                    (p < threshold).alias("drift_detectado"), rnd(F.col("mean_ref")).alias("media_referencia"),
-                    rnd(F.col("mean_prod")).alias("media_produccion"))
+    return _report(ks_table(reference, production, cols), threshold, digits, min_rows)
+
+
+def drift_by_period(reference: DataFrame, events: DataFrame, cols: Sequence[str], ts: str = "ts", period: str = "7 days",
+                    threshold: float = DRIFT_P, digits: int = 4, min_rows: int = 2) -> DataFrame:
+    """K9: the report of every tumbling ``period`` of ``events`` against one reference:
+    (period_start, variable, ks_statistic, ...). All periods are one pass: a period and
+    a variable together are a variable of the test. The reference's value counts are
+    repeated per period, of which there are few."""
+    start = F.date_format(F.window(F.col(ts).cast("timestamp"), period)["start"], "yyyy-MM-dd HH:mm:ss")
+    rows = unpivot_numeric(events.withColumn("__start", start), cols, ["__start"])
+    name = F.concat_ws("|", "__start", "variable")
+    rows = cut_lineage(rows.select("__start", "variable", "value"))
+    snap = reference if "c_ref" in reference.columns else reference_snapshot(reference, cols)
+    named = rows.select("__start", "variable").distinct().join(snap, "variable").select(name.alias("variable"), "value", "c_ref")
+    t = _ks(_counts(named, rows.select(name.alias("variable"), "value")))
+    out = _report(t, threshold, digits, min_rows)
+    at = F.substring_index("variable", "|", 1).cast("timestamp")
+    return out.withColumn("period_start", at).withColumn("variable", F.substring_index("variable", "|", -1)).select(
+        "period_start", *out.columns)
 
 
 def drifted_variables(report: DataFrame) -> DataFrame:
@@ -116,5 +156,17 @@ def check_batch(reference: DataFrame, batch: DataFrame, threshold: float = DRIFT
     return ks_report(reference, batch, None, threshold, min_rows=min_rows)
 
 
-def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return columns_of_type(df, "numeric", exclude)
+STATUS = {"small": "Muestra insuficiente para análisis de drift (mínimo 2 registros).",
+          "schema": "No se encontraron columnas numéricas en común. Verifique el esquema de los datos enviados.",
+          "drift": "Drift detectado", "none": "Sin drift significativo"}
+
+
+def batch_status(reference: DataFrame, batch: DataFrame, threshold: float = DRIFT_P, min_rows: int = 2) -> DataFrame:
+    """K8: one row (status, hay_drift, n_variables) for a batch. Too small a batch is
+    told first, then a batch without common numeric columns, then the verdict."""
+    rows = batch.agg(F.count(F.lit(1))).scalar()
+    report = check_batch(reference, batch, threshold, min_rows)
+    one = report.agg(F.count(F.lit(1)).alias("n_variables"), F.coalesce(F.bool_or("drift_detectado"), F.lit(False)).alias("hay_drift"))
+    status = (F.when(rows < min_rows, STATUS["small"]).when(F.col("n_variables") == 0, STATUS["schema"])
+              .when(F.col("hay_drift"), STATUS["drift"]).otherwise(STATUS["none"]))
+    return one.select(status.alias("status"), "hay_drift", "n_variables")

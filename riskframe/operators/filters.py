@@ -61,6 +61,19 @@ def clip_tail(df: DataFrame, cols: Sequence[str], q: float = 0.99) -> DataFrame:
     return df.where(cond)
 
 
+def clip_tail_report(df: DataFrame, cols: Sequence[str], q: float = 0.99) -> DataFrame:
+    """F4 for several columns, each on its own: (variable, n_kept, max_kept) of the rows at
+    or below the column's exact ``q`` quantile. One quantile plan for all columns and one
+    aggregate pass."""
+    from riskframe.operators.ranking import quantile_values
+
+    cuts = quantile_values(df, cols, q)
+    kept = {c: F.col(c) <= F.lit(cuts[c]) for c in cols}
+    one = df.agg(*[x for c in cols for x in (F.count(F.when(kept[c], 1)).alias(f"n_{c}"), F.max(F.when(kept[c], F.col(c))).alias(f"m_{c}"))])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"n_{c}").alias("n_kept"),
+                                                  F.col(f"m_{c}").cast("double").alias("max_kept")) for c in cols])))
+
+
 def is_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """membership filter."""
     return df.where(F.col(col).isin(*values))

