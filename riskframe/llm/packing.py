@@ -8,10 +8,8 @@ used later. So every window is full but the shard's last, whose ids are dealt to
 sequences of power-of-two lengths, which need no padding. Nothing is shuffled, and a
 task's memory is bounded by a shard and one record batch.
 
-Token ids come from the ``tokenizers`` library, whose file's path is a parameter. A
-text is cut at single spaces between visible characters: the pre-tokenizer always
-breaks there, so pieces can be encoded alone and kept in a bounded cache; any other
-text goes to the library whole.
+Token ids are those of a byte-level BPE file of the ``tokenizers`` library, whose path is
+a parameter (see :class:`TextEncoder`).
 
 Defined cases: a null text is empty and gives the end id alone; rows without an id are
 ignored; repeated rows are packed each; ties in score go to the earlier row; other
@@ -20,57 +18,53 @@ columns are not read; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from riskframe.llm.bpe import byte_letters
 from riskframe.llm.common import slices, texts_of
 
-CACHE_PIECES = 300_000
+#: Fixed pattern of the vocabulary's pre-tokenizer.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG = 500_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-class PieceEncoder:
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+class TextEncoder:
+    """Ids of whole texts, as the ``tokenizers`` library gives for a byte-level BPE file.
+
+    The file's own vocabulary is handed to ``tiktoken``, which applies the same merges
+    several times faster; texts above ``LONG`` characters go to the library itself, whose
+    pattern matching has no limits."""
 
+    def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        known = self.known
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        cut: list = []
-        new: set[str] = set()
-        for t in texts:
-            pieces = t.split(" ")
-            fresh = [p for p in pieces if p not in known]
-            if all(p and not p[0].isspace() and not p[-1].isspace() for p in fresh):
-                new.update(fresh)
-                cut.append(pieces)
-            else:
-                cut.append(None)
-        order = list(new)
-        known.update(zip(order, self._ids([" " + p for p in order])))
-        whole = iter(self._ids([t for t, c in zip(texts, cut) if c is None]))
-        first = iter(self._ids([c[0] for c in cut if c is not None]))
-        return [next(whole) if c is None else b"".join([next(first), *map(known.__getitem__, c[1:])]) for c in cut]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        byte = {c: b for b, c in enumerate(byte_letters())}
+        special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        ranks = {bytes(map(byte.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in special}
+        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def encode(self, text: str) -> np.ndarray:
+        if len(text) > LONG:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def encoder(path: str) -> TextEncoder:
+    return TextEncoder(path)
 
 
 class Bm25Index:
@@ -169,13 +163,13 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_
     """Pieces ``(doc_id, start, length, ids, doc_tokens, sequence_id, offset)``: ids are the
     piece's as little-endian unsigned 32-bit integers; the pieces of a sequence, in order
     of offset, are its contents. A sequence shorter than the window is a power of two."""
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
     def run(batches):
         enc = encoder(path)
         sequence = TaskContext.get().partitionId() << 32
         for batch in slices(batches, rows=shard_rows):
-            ids = [np.frombuffer(x + end, dtype="<u4") for x in enc.encode(batch.column("text").to_pylist())]
+            ids = [np.concatenate([enc.encode(t), end]) for t in batch.column("text").to_pylist()]
             name = batch.column("doc_id").to_numpy()
             rows = []
             for seq in pack_shard(ids, window):
