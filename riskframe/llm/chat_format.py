@@ -52,14 +52,15 @@ def fold(events: DataFrame) -> DataFrame:
     msg = Window.partitionBy("conv_id", "msg")
     reset = F.when(F.col("op").isin("message", "edit", "regenerate"), F.col("seq"))
     rewind = F.when(F.col("op").isin("edit", "regenerate"), F.col("seq"))
-    e = events.withColumn("pos", F.min("seq").over(msg)).withColumn("reset", F.max(reset).over(msg))
+    e = events.withColumn("pos", F.min("seq").over(msg)).withColumn("reset", F.max(reset).over(msg)).withColumn(
+        "role", F.min(F.when(F.col("role").isNotNull(), F.struct("seq", "role"))).over(msg)["role"])
     # a rewind of an earlier message drops every message opened before that rewind and after it in place:
     # the latest rewind among the messages in front of this one
     ahead = conv.orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
     e = e.withColumn("cut", F.max(rewind).over(ahead)).where("cut IS NULL OR pos > cut")
     e = e.where("seq >= reset").withColumn("text", F.when(F.col("op") == "regenerate", "").otherwise(F.coalesce("text", F.lit(""))))
     return e.groupBy("conv_id", "pos").agg(
-        F.min_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).alias("role"),
+        F.first("role").alias("role"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), "").alias("text"))
 
 
