@@ -34,6 +34,9 @@ def register(name: str):
 
 
 def _shared(key, build):
+    from riskframe.session import generation
+
+    key = (generation(SparkSession.active()), key)
     if key not in _SHARED:
         _SHARED[key] = build()
     return _SHARED[key]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,21 +61,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _WRITTEN: dict[int, list[str]] = {}
+_GENERATION: dict[int, int] = {}
 
 
-def release_tables(spark: SparkSession) -> int:
-    """Delete the lineage tables this session wrote with :func:`cut_lineage`
-    (through the Hadoop FileSystem of the checkpoint folder). Call it once the
-    DataFrames that read them are no longer needed; returns how many were removed."""
-    paths = _WRITTEN.pop(id(spark), [])
+def generation(spark: SparkSession) -> tuple[int, int]:
+    """Changes with the session and whenever its lineage tables are released: what is
+    kept about them elsewhere is only valid for the generation it was made in."""
+    return id(spark), _GENERATION.get(id(spark), 0)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the lineage tables this session wrote with :func:`cut_lineage`
+    (through the Hadoop FileSystem of the checkpoint folder). Call it once the
+    DataFrames that read them are no longer needed; returns how many were removed."""
+    paths = _WRITTEN.pop(id(spark), [])
+    _GENERATION[id(spark)] = _GENERATION.get(id(spark), 0) + 1
+    _delete(spark, paths)
     return len(paths)
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Delete, at the end of the block, the lineage tables written inside it."""
+    before = len(_WRITTEN.setdefault(id(spark), []))
+    try:
+        yield
+    finally:
+        written = _WRITTEN.get(id(spark), [])
+        _delete(spark, written[before:])
+        del written[before:]
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint
     folder and reading it back. One job, replicated storage (survives executor

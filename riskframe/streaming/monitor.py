@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.drift import ks_report
+from riskframe.session import scratch_tables
 
 
 def period_stats(events: DataFrame, period: str = "7 days", ts: str = "ts", key: str = "event_type",
                  value: str = "value") -> DataFrame:
     """K9 aggregation: per tumbling window and key: n and mean value. Event time
     is normalised to TIMESTAMP (watermarks reject TIMESTAMP_NTZ)."""
-    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    if events.schema[ts].dataType.simpleString() != "timestamp":     # a new column would lose the stream's watermark
+        events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     w = F.window(ts, period)
     return (events.groupBy(w.alias("w"), key)
             .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_value"))
@@ -46,10 +48,12 @@ def stream_drift(stream: DataFrame, reference: DataFrame, cols: Sequence[str],
                  sink: Callable[[DataFrame, int], None], threshold: float = 0.05, checkpoint: str | None = None,
                  trigger: dict | None = None):
     """Start a query that, for every micro-batch, computes the KS drift report of
-    the batch against ``reference`` and hands (report, batch_id) to ``sink``."""
+    the batch against ``reference`` (best a stored snapshot) and hands (report, batch_id)
+    to ``sink``, which must read it before it returns."""
     def each(batch: DataFrame, batch_id: int):
-        rep = ks_report(reference, batch, list(cols), threshold).withColumn("batch_id", F.lit(batch_id))
-        sink(rep, batch_id)
+        with scratch_tables(batch.sparkSession):     # the report is read in the sink, nothing stays behind
+            rep = ks_report(reference, batch, list(cols), threshold).withColumn("batch_id", F.lit(batch_id))
+            sink(rep, batch_id)
 
     w = stream.writeStream.foreachBatch(each)
     if checkpoint:

@@ -9,10 +9,10 @@ import pytest
 import __spark_entry__ as E
 from riskframe.sources.io import TABLES
 
-QUERIES = E.queries()
+from riskframe.plans.catalog import QUERIES
 _TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
           "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
-ORACLE = E.oracle_sql()
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 def _norm(v):
