@@ -57,25 +57,28 @@ def _run(work: DataFrame, shards: int, link: Linker) -> DataFrame:
                 b.append(node[j])
         return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
 
-    return work.withColumn("shard", F.pmod(F.xxhash64("grp"), F.lit(shards))).groupBy("shard").applyInPandas(apply, EDGES)
+    # little data, much work: a partition per shard, whatever its bytes
+    work = work.withColumn("shard", F.pmod(F.xxhash64("grp"), F.lit(shards))).repartition(shards, "shard")
+    return work.groupBy("shard").applyInPandas(apply, EDGES)
 
 
-def link_components(tables: Tables, nodes: DataFrame, link: Linker, shard_nodes: int = 1000) -> DataFrame:
+def link_components(tables: Tables, nodes: DataFrame, link: Linker, shard_nodes: int = 1000, chunk: int | None = None) -> DataFrame:
     """``nodes(comp, node, payload)``, one row per node, to ``(id, component)`` for every linked node."""
+    chunk = chunk or CHUNK
     nodes = tables.write(nodes)
     size = nodes.groupBy("comp").agg(F.count("*").alias("n")).where("n > 1")
     total, most = size.agg(F.sum("n"), F.max("n")).first()
     if not total:
         return tables.spark.createDataFrame([], "id long, component long")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    chunks = F.ceil(F.col("n") / chunk).cast("int")
     dealt = nodes.join(size, "comp").withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     shards = max(1, math.ceil(total / shard_nodes))
     edges = tables.write(_run(dealt.select(F.xxhash64("comp", "chunk").alias("grp"), "node", F.col("node").alias("label"), F.lit(False).alias("fixed"), "payload"), shards, link))
-    if most > CHUNK:
-        for _ in range(2):  # the parts' first nodes, then again what the first round has merged
+    if most > chunk:
+        for turn in range(2):  # the parts' first nodes, then again what the first turn has merged
             label = connected_components(tables, edges).withColumnRenamed("id", "node")
             hot = dealt.where("chunks > 1").join(label, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-            heads = hot.where("node = label").withColumn("grp", F.xxhash64("comp", F.pmod(F.xxhash64(F.col("label") + F.lit(_)), F.ceil(F.col("n") / (64 * CHUNK)).cast("int"))))
+            heads = hot.where("node = label").withColumn("grp", F.xxhash64("comp", F.pmod(F.xxhash64(F.col("label") + F.lit(turn)), F.ceil(F.col("n") / chunk).cast("int"))))
             more = _run(heads.select("grp", "node", F.col("node").alias("label"), F.lit(False).alias("fixed"), "payload"), shards, link)
             edges = tables.write(edges.unionAll(more))
         label = connected_components(tables, edges).withColumnRenamed("id", "node")
@@ -84,7 +87,7 @@ def link_components(tables: Tables, nodes: DataFrame, link: Linker, shard_nodes:
         largest = parts.groupBy("comp").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
         hot = hot.join(largest, "comp")
         rest = hot.where("label <> main")
-        blocks = rest.groupBy("comp").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks"))
+        blocks = rest.groupBy("comp").agg(F.ceil(F.count("*") / chunk).cast("int").alias("blocks"))
         every = hot.join(blocks, "comp").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         outside = rest.join(blocks, "comp").withColumn("block", F.pmod(F.hash("node"), F.col("blocks"))).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         pick = lambda df, fixed: df.select(F.xxhash64("comp", "chunk", "block").alias("grp"), "node", "label", F.lit(fixed).alias("fixed"), "payload")

@@ -66,55 +66,98 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
     return DEN * common >= NUM * (len(x) + len(y) - common)
 
 
-class PrefixIndex:
-    """Inverted index of the sets' prefixes in the hash order of one seed."""
-
-    def __init__(self, sets: list[np.ndarray], seed: int):
-        parts = []
-        for s in sets:
-            p = int(prefix(np.int64(len(s))))
-            order = splitmix(s ^ np.uint64(seed))
-            parts.append(np.partition(order, p - 1)[:p] if p < len(order) else order)
+class TokenIndex:
+    """Inverted index of token lists, without tokens that one list alone has."""
+
+    def __init__(self, parts: list[np.ndarray]):
         size = np.array([len(p) for p in parts])
-        owner = np.repeat(np.arange(len(sets)), size)
+        owner = np.repeat(np.arange(len(parts)), size)
         _, group, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         useful = count[group] > 1
         owner, group = owner[useful], group[useful]
         order = np.argsort(group, kind="stable")
         self.owner, self.group = owner[order], group
-        self.first = np.cumsum(count * (count > 1)) - count * (count > 1)
-        self.count = count
-        self.cut = np.searchsorted(owner, np.arange(len(sets) + 1))
-        self.n = len(sets)
+        self.count = count * (count > 1)
+        self.first = np.cumsum(self.count) - self.count
+        self.cut = np.searchsorted(owner, np.arange(len(parts) + 1))
+        self.n = len(parts)
 
     def common(self, i: int) -> np.ndarray:
-        """Prefix tokens that each set shares with set i."""
+        """How many tokens each list shares with list i."""
         g = self.group[self.cut[i]:self.cut[i + 1]]
         n = self.count[g]
         at = np.repeat(self.first[g] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return np.bincount(self.owner[at], minlength=self.n)
 
 
+def prefixes(sets: list[np.ndarray], seed: int) -> list[np.ndarray]:
+    """The sets' prefixes in the hash order of one seed."""
+    parts = []
+    for s in sets:
+        p = int(prefix(np.int64(len(s))))
+        order = splitmix(s ^ np.uint64(seed))
+        parts.append(np.partition(order, p - 1)[:p] if p < len(order) else order)
+    return parts
+
+
+def shared_with(sets: list[np.ndarray], i: int) -> np.ndarray:
+    """How many tokens each set has in common with set i."""
+    size = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+    cum = np.concatenate([[0], np.cumsum(sets[i][at] == flat)])
+    ends = np.cumsum(size)
+    return cum[ends] - cum[ends - size]
+
+
+def central(sets: list[np.ndarray], most: int = 4) -> np.ndarray:
+    """Sets whose tokens are the commonest in the group: likely partners of many."""
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    size = np.array([len(s) for s in sets])
+    cum = np.concatenate([[0], np.cumsum(count[place])])
+    ends = np.cumsum(size)
+    return np.argsort(-(cum[ends] - cum[ends - size]) / size, kind="stable")[:most]
+
+
 def link_sets(payloads, roots, fixed):
+    """Spanning links of a group of candidates.
+
+    The few most central sets are compared with all; what they join needs no further
+    look within that part. Any other link has an end outside the largest part, so
+    only sets there look up the partners that every filter leaves them."""
     sets = shingle_sets([bytes(p) for p in payloads])
     size = np.array([len(s) for s in sets])
     if len(sets) == 2:
         return [(0, 1)] if roots[0] != roots[1] and linked(*sets) else []
-    orders = [PrefixIndex(sets, seed) for seed in (0x1234567, 0x89ABCDEF01)]
     union, out = Union(roots), []
-    before = np.arange(len(sets))
-    for i in range(1, len(sets)):
-        a, b = (o.common(i) for o in orders)
-        near = np.flatnonzero((a > 0) & (b > 0) & (before < i) & (DEN * size >= NUM * size[i]) & (NUM * size <= DEN * size[i]))
-        if fixed is not None:
-            near = near[fixed[near] | fixed[i]]
-        near = near[np.argsort(-(a + b)[near], kind="stable")]
-        while len(near := near[union.root[near] != union.root[i]]):
-            j = int(near[0])
-            if linked(sets[i], sets[j]):
-                union.join(i, j)
-                out.append((i, j))
-            near = near[1:]
+    allowed = np.ones(len(sets), dtype=bool) if fixed is None else fixed
+
+    def join(i, j):
+        union.join(i, j)
+        out.append((i, j))
+
+    for i in central(sets).tolist():
+        common = shared_with(sets, i)
+        near = np.flatnonzero((DEN * common >= NUM * (size + size[i] - common)) & (allowed | allowed[i]))
+        for j in near.tolist():
+            if union.root[j] != union.root[i]:
+                join(i, j)
+    names, count = np.unique(union.root, return_counts=True)
+    rest = np.flatnonzero(union.root != names[count.argmax()])
+    if not len(rest):
+        return out
+    orders = [TokenIndex(prefixes(sets, seed)) for seed in (0x1234567, 0x89ABCDEF01)]
+    whole = TokenIndex(sets)
+    for i in rest.tolist():
+        near = (DEN * size >= NUM * size[i]) & (NUM * size <= DEN * size[i]) & (union.root != union.root[i]) & (allowed | allowed[i])
+        for order in orders:
+            if near.any():
+                near &= order.common(i) > 0
+        if near.any():
+            common = whole.common(i)
+            for j in np.flatnonzero(near & (DEN * common >= NUM * (size + size[i] - common))).tolist():
+                if union.root[j] != union.root[i]:
+                    join(i, j)
     return out
 
 
