@@ -131,7 +131,7 @@ def dedup(embeddings: DataFrame, threshold: float = 0.95, recall: float = 0.998,
                                      "edge": np.concatenate([np.zeros(len(got[0]), bool), np.ones(len(got[2]), bool)])}))
         return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "edge": np.zeros(0, bool)})
 
-    found = tables.write(work.groupBy("shard").applyInPandas(verify, "a long, b long, edge boolean"))
+    found = tables.write(work.repartition(shards, "shard").groupBy("shard").applyInPandas(verify, "a long, b long, edge boolean"))
     links = found.where("NOT edge").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("links"))
     comp = connected_components(tables, found.where("edge").select("a", "b")).select(F.col("id").alias("rep"), "component")
     known = tables.write(distinct.join(links, "rep", "left").join(comp, "rep", "left").select(
