@@ -22,8 +22,8 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import read_table, slices, texts_of
 
 #: Bounds of the fitted sample and of its terms.
-PER_CLASS, TERMS = 2000, 2000
+PER_CLASS, TERMS = 2000, 1000
+#: Least phi coefficient of a term and the classes, and least multiple of its standard error.
+LEAST_PHI, ERRORS = 0.15, 4.0
 NEIGHBOURS, BLOCK = 15, 64
 PREFIXES = (4, 5, 6, 7)
-CACHE_WORDS = 300_000
 WORD = re.compile(r"\w+")
 
 
@@ -43,31 +44,45 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def terms_of_chunk(chunk: str) -> list[str]:
-    out = []
-    for w in WORD.findall(chunk):
-        out.append(w)
-        out.extend(w[:k] + "*" for k in PREFIXES if len(w) > k)
+def _inside(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def terms_of(text: str) -> Counter:
+    """Every term of a text and how often it occurs: its words, and the first letters of
+    each longer word, marked with a star."""
+    out: Counter = Counter()
+    for w in WORD.findall(text.lower()):
+        out[w] += 1
+        for k in PREFIXES:
+            if len(w) > k:
+                out[w[:k] + "*"] += 1
     return out
 
 
-class TermReader(dict):
-    """White-space chunk to the ids of its known terms; a bounded cache."""
+class TermReader:
+    """Finds a fixed vocabulary in texts with one automaton, as :func:`terms_of` would."""
 
     def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, chunk):
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        got = self[chunk] = tuple(i for t in terms_of_chunk(chunk) if (i := self.vocabulary.get(t)) is not None)
-        return got
+        keys: dict[str, list[int]] = {}
+        for t, i in vocabulary.items():
+            keys.setdefault(t.rstrip("*"), [-1, -1])[t.endswith("*")] = i
+        self.found = ahocorasick.Automaton()
+        for k, (whole, start) in keys.items():
+            self.found.add_word(k, (whole, start, len(k)))
+        self.found.make_automaton()
+        self.any = bool(keys)
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        c = Counter(chain.from_iterable(filter(None, map(self.__getitem__, text.lower().split()))))
-        n = len(c)
-        return np.fromiter(c.keys(), np.int64, n), np.fromiter(c.values(), np.float64, n)
+        c: dict[int, int] = {}
+        if self.any and text:
+            low = text.lower() + " "
+            for end, (whole, start, n) in self.found.iter(low):
+                if end < n or not _inside(low[end - n]):
+                    i = start if _inside(low[end + 1]) else whole
+                    if i >= 0:
+                        c[i] = c.get(i, 0) + 1
+        return np.fromiter(c.keys(), np.int64, len(c)), np.fromiter(c.values(), np.float64, len(c))
 
 
 class BlockMaxIndex:
@@ -174,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model | fl
     def words(batches):
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            got = [sorted(Counter(chain.from_iterable(map(terms_of_chunk, t.lower().split()))).items()) for t in texts]
+            got = [sorted(terms_of(t).items()) for t in texts]
             size = np.array([len(g) for g in got], dtype=np.int64)
             rep = pa.array(np.repeat(np.arange(len(got)), size))
             yield pa.RecordBatch.from_arrays(
@@ -189,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model | fl
     gap = has1 / F.lit(n1) - has0 / F.lit(n0)
     spread = (has1 + has0) / F.lit(n0 + n1)
     power = F.abs(gap) / F.sqrt(spread * (1 - spread) + F.lit(1e-9))
-    chosen = rows.groupBy("term").agg((has1 + has0).alias("df"), power.alias("power")).where("df >= 3 AND power > 0.08")
+    chosen = rows.groupBy("term").agg((has1 + has0).alias("df"), power.alias("power")).where(
+        f"df >= 3 AND power > {max(LEAST_PHI, ERRORS / math.sqrt(n0 + n1))}")
     terms = [r["term"] for r in chosen.orderBy(F.desc("power"), "term").limit(TERMS).collect()]
     vocabulary = {t: i for i, t in enumerate(terms)}
     table = spark.createDataFrame(list(vocabulary.items()) or [("", -1)], "term string, id long")
