@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import Tables, bloom_filter, bloom_holds, list_column, slices, splitmix, texts_of
@@ -37,7 +37,7 @@ from riskframe.llm.suffix_array import permuted_lcp, suffix_array
 
 MATCH, GRAM = 200, 32
 CROWD = 16_384
-SHARD_BYTES = 3_000_000
+SHARD_BYTES = 2_000_000
 PIECE = 1_000_000
 #: An anchor's place: first start and number of starts, in one number.
 COUNT_BITS = 9
@@ -77,8 +77,10 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def anchor_table(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_id, n_bytes, text_sha256, gram, segment, place)``; the arrays hold an
-    entry per anchor: its gram's hash, its segment's hash and its place in the text."""
+    """``(doc_id, text_id, n_bytes, text_sha256, gram, segment, place, times)``; the arrays
+    hold an entry per anchor: its gram's hash, its segment's hash, its place in the text,
+    and how often the segment occurs in the slice of texts that a task had at hand, told
+    at its first occurrence there (0 at the others)."""
     def run(batches):
         for batch in slices(batches):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
@@ -90,25 +92,47 @@ def anchor_table(docs: DataFrame) -> DataFrame:
                 places.append(start << COUNT_BITS | n)
             count = np.array([len(g) for g in grams])
             seg = np.array(segments, dtype=np.uint64).view(np.int64)
+            _, first, often = np.unique(seg, return_index=True, return_counts=True)
+            times = np.zeros(len(seg), dtype=np.int32)
+            times[first] = often
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_id"), pa.array([len(t) for t in texts], type=pa.int64()),
                  pa.array([hashlib.sha256(t).hexdigest() for t in texts]), list_column(np.concatenate(grams).view(np.int64), count),
-                 list_column(seg, count), list_column(np.concatenate(places), count)],
-                names=["doc_id", "text_id", "n_bytes", "text_sha256", "gram", "segment", "place"])
+                 list_column(seg, count), list_column(np.concatenate(places), count), list_column(times, count)],
+                names=["doc_id", "text_id", "n_bytes", "text_sha256", "gram", "segment", "place", "times"])
     return texts_of(docs).select("doc_id", F.xxhash64("text").alias("text_id"), "text").mapInArrow(
-        run, "doc_id long, text_id long, n_bytes long, text_sha256 string, gram array<long>, segment array<long>, place array<long>")
+        run, "doc_id long, text_id long, n_bytes long, text_sha256 string, gram array<long>, segment array<long>, "
+             "place array<long>, times array<int>")
 
 
-def repeated_anchors(table: DataFrame) -> DataFrame:
-    """``(gram, segment, text_id, place, first, many)`` of anchors whose gram occurs again:
-    ``first`` marks one occurrence of each segment, ``many`` segments with several."""
-    each = table.select("text_id", F.explode(F.arrays_zip("gram", "segment", "place")).alias("a")).select(
-        F.col("a.gram").alias("gram"), F.col("a.segment").alias("segment"), "text_id", F.col("a.place").alias("place"))
-    gram = Window.partitionBy("gram")
-    part = Window.partitionBy("gram", "segment")
-    each = each.withColumn("n", F.count("*").over(gram)).where("n > 1")
-    return each.withColumn("many", F.count("*").over(part) > 1).withColumn(
-        "first", F.row_number().over(part.orderBy("text_id", "place")) == 1).drop("n")
+def anchors_passing(table: DataFrame, column: str, bloom: np.ndarray, first_only: bool) -> DataFrame:
+    """A row ``(gram, segment, place, times, text_id)`` per anchor whose ``column`` passes the
+    filter, of each slice's segments only the first occurrence if asked."""
+    shared = table.sparkSession.sparkContext.broadcast(bloom)
+    names = ["gram", "segment", "place", "times"]
+
+    def run(batches):
+        for batch in batches:
+            flat = {c: batch.column(c).flatten().to_numpy() for c in names}
+            keep = bloom_holds(shared.value, flat[column])
+            if first_only:
+                keep &= flat["times"] > 0
+            size = np.diff(batch.column("gram").offsets.to_numpy())
+            ids = np.repeat(batch.column("text_id").to_numpy(), size)
+            yield pa.RecordBatch.from_arrays([*(pa.array(flat[c][keep]) for c in names), pa.array(ids[keep])], names=[*names, "text_id"])
+    return table.select(*names, "text_id").mapInArrow(run, "gram long, segment long, place long, times int, text_id long")
+
+
+def wanted_segments(tables: Tables, table: DataFrame) -> DataFrame:
+    """``(gram, segment, text_id, place, many)``: one occurrence of each segment whose gram
+    occurs again; ``many`` if the segment itself does. Counts have map-side combine, and a
+    hot gram is only a skewed side of a join."""
+    entry = F.explode(F.arrays_zip("gram", "times")).alias("a")
+    counted = table.select(entry).groupBy(F.col("a.gram").alias("gram")).agg(F.sum("a.times").alias("n"))
+    again = tables.write(counted.where("n > 1").select("gram"))
+    each = anchors_passing(table, "gram", bloom_filter(again, "gram"), True).join(again, "gram", "left_semi")
+    one = each.groupBy("segment").agg(F.first("gram").alias("gram"), F.sum("times").alias("n"), F.min(F.struct("text_id", "place")).alias("at"))
+    return one.select("gram", "segment", "at.text_id", "at.place", (F.col("n") > 1).alias("many"))
 
 
 def texts_by_id(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
@@ -184,8 +208,7 @@ def repeats(docs: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     """(anchor table, ``(text_id, runs array<struct<start, stop>>)``): the byte ranges of
     each text that repeated strings cover."""
     table = tables.write(anchor_table(docs))
-    found = tables.write(repeated_anchors(table))
-    wanted = found.where("first").drop("first")
+    wanted = tables.write(wanted_segments(tables, table))
     crowded = tables.write(wanted.groupBy("gram").agg(F.count("*").alias("n")).where(f"n > {CROWD}").select("gram", F.lit(True).alias("crowded")))
     wanted = wanted.join(crowded, "gram", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
     need = wanted.agg(F.sum(F.when(F.col("crowded"), F.col("place").bitwiseAND((1 << COUNT_BITS) - 1) * (MATCH + 1)).otherwise(
@@ -194,7 +217,8 @@ def repeats(docs: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     texts = texts_by_id(docs, bloom_filter(wanted.select("text_id").distinct(), "text_id"))
     hits = segments_of(texts, wanted, shards).groupBy("shard").applyInArrow(match_shard, "segment long, start long, stop long")
     hits = tables.write(hits)
-    runs = found.select("segment", "text_id", F.shiftright("place", COUNT_BITS).alias("at")).distinct().join(hits, "segment").select(
+    places = anchors_passing(table, "segment", bloom_filter(hits.select("segment").distinct(), "segment"), False)
+    runs = places.select("segment", "text_id", F.shiftright("place", COUNT_BITS).alias("at")).join(hits, "segment").select(
         "text_id", F.struct((F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("stop") + MATCH - 1).alias("stop")).alias("run"))
     runs = runs.groupBy("text_id").agg(F.array_sort(F.collect_set("run")).alias("runs"))
     return table, tables.write(runs)
