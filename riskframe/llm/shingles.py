@@ -34,7 +34,7 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     count = np.array([len(r) for r in rows], dtype=np.int64)
     h = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(rows)), dtype=np.uint64, count=int(count.sum()))
     gram = h.copy()
-    for k in range(1, WORDS):
+    for k in range(1, min(WORDS, len(h))):
         gram[:len(h) - k] = gram[:len(h) - k] * np.uint64(0x9E3779B97F4A7C15) + h[k:]
     gram = splitmix(gram)
     out, at = [], 0

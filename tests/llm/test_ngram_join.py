@@ -84,3 +84,12 @@ def test_linker_finds_every_link(seed):
     sets, n = shingle_sets(texts), len(texts)
     want = components(n, [(i, j) for j in range(n) for i in range(j) if N.linked(sets[i], sets[j])])
     assert components(n, N.link_sets(texts, np.arange(n), None)) == want
+
+
+@pytest.mark.parametrize("words", range(1, 6))
+def test_tables_of_one_short_text(make_docs, words):
+    """A slice may hold fewer words than a shingle in all."""
+    text = " ".join("abcde"[:words])
+    assert len(shingle_sets([text.encode()])[0]) == 1
+    assert result(make_docs([(7, text)])) == [(7, 1, 7)]
+    assert result(make_docs([(7, text), (8, text.upper())])) == [(7, 1, 7), (8, 1, 7)]
