@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskframe.llm import (
+    alignment,
     bpe,
+    centroids,
     chat_format,
     embedding_dedup,
     exact_dedup,
     line_dedup,
     ngram_join,
     packing,
+    pii,
     quality,
     suffix_dedup,
     toxicity,
@@ -72,9 +75,22 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.dedup(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_columns(pii.find(read_table(spark, sf_dir, "documents")))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(read_table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_packing, op3_toxicity, op4_chat_format, op5_suffix_dedup, op6_exact_dedup, op7_line_dedup, op8_bpe,
-    op9_quality, op10_embedding_dedup)}
+    op9_quality, op10_embedding_dedup, op11_centroid_clustering, op12_pii, op13_token_alignment)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-SQL = {"op4_chat_format": chat_format.SQL, "op6_exact_dedup": exact_dedup.SQL}
+SQL = {"op4_chat_format": chat_format.SQL, "op6_exact_dedup": exact_dedup.SQL, "op11_centroid_clustering": centroids.sql()}
