@@ -88,7 +88,7 @@ def test_query_rows(make_docs):
         assert [found[i][f"n_{k}"] for k in P.KINDS] == [sum(s[1] == n for s in base) for n in range(4)]
         assert found[i].base_sha256 == hashlib.sha256(P.written(base).encode()).hexdigest()
         assert found[i].spans == P.written(P.all_spans(t or "", base))
-    assert found[3].spans == "email:4:26,email:31:37" and (found[3].n_email, found[3].n_all_email) == (1, 2)
+    assert found[3].spans == "email:4:27,email:32:38" and (found[3].n_email, found[3].n_all_email) == (1, 2)
     assert P.digest_columns(P.find(docs)).count() == 7
     assert P.find(docs.where("false")).count() == 0
     values = {r.doc_id: r["values"] for r in P.find(docs).collect()}
