@@ -28,6 +28,7 @@ referenced twice is planned, and scanned, twice).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -98,11 +99,15 @@ def attach_values(df: DataFrame, values: dict[str, object]) -> DataFrame:
 
 def _coarse(x: Column) -> Column:
     """Order-preserving coarse bucket, never null: NULL first, then -inf, finite values
-    by ``asinh``, +inf, NaN last."""
+    by ``asinh``, +inf, NaN last. ``asinh`` is odd here and finite for every double: it is
+    taken of the size, where it is ``log(2x)`` to the last bit above 1e8 (Spark's own sums
+    ``x`` and ``sqrt(x * x + 1)``, which cancels below zero and overflows above 1e154)."""
     inf = float("inf")
+    size = F.abs(x)
+    grid = F.when(size < 1e8, F.asinh(size)).otherwise(F.log(size) + math.log(2.0)) * L1_RES
     return (F.when(x.isNull(), F.lit(-(1 << 40))).when(F.isnan(x), F.lit(1 << 40))
             .when(x == inf, F.lit(1 << 39)).when(x == -inf, F.lit(-(1 << 39)))
-            .otherwise(F.floor(F.asinh(x) * L1_RES))).cast("long")
+            .otherwise(F.floor(F.when(x < 0, -grid).otherwise(grid)))).cast("long")
 
 
 def _level1(df: DataFrame, keys: Sequence[str], lead, sums: dict[str, Column],

@@ -63,15 +63,17 @@ def test_smote_points_on_segments(spark, sf_dir):
         assert ok, r
 
 
-def test_exact_knn_chunked_matches_brute_force(spark):
+def test_exact_knn_chunked_matches_brute_force(spark, monkeypatch):
     import numpy as np
 
+    from riskframe.operators import sampling
     from riskframe.operators.sampling import exact_knn
     rng = np.random.default_rng(3)
     pts = rng.normal(size=(120, 3))
     df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "k long, a double, b double, c double")
-    for bound in (1000, 25):                         # one chunk, and several chunks
-        got = {(r.k, r.nb_rank): r.nb_key for r in exact_knn(df, "k", ["a", "b", "c"], 3, max_broadcast_rows=bound).collect()}
+    for bound in (1000, 25):                         # one cell, and several cells
+        monkeypatch.setattr(sampling, "KNN_CELL", bound)
+        got = {(r.k, r.nb_rank): r.nb_key for r in exact_knn(df, "k", ["a", "b", "c"], 3).collect()}
         for i in range(120):
             d = ((pts - pts[i]) ** 2).sum(1)
             d[i] = np.inf

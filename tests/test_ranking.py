@@ -114,3 +114,37 @@ def test_rank_below_global(spark):
     cuts = R.local_frame(spark, [(0, 250)], "cut_idx int, k long")
     got = R.rank_below(df, [], ["k"], cuts, known_range=(0, 3000))
     assert sorted(r.k for r in got.where("cut_idx = 0").collect()) == list(range(250))
+
+
+def _wide(n=3000):
+    """Values over all sizes of a double, both signs, and a dense band of large negative ones."""
+    rng = np.random.default_rng(5)
+    size = 10.0 ** rng.uniform(-300, 308, n // 2)
+    edge = [0.0, -0.0, 1e8, -1e8, np.nextafter(1e8, 0), -np.nextafter(1e8, 0), 1e-300, -1e-300, 1.7e308, -1.7e308, np.inf, -np.inf, -1e9, -1e200]
+    rows = [*(size * rng.choice([-1, 1], n // 2)), *rng.uniform(-5e8, -5e6, n - n // 2), *edge, float("nan")]
+    return [*map(float, rows), None, None]
+
+
+def test_coarse_buckets_keep_the_order(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(_wide())], "k long, x double")
+    got = df.select("k", "x", R._coarse(F.col("x")).alias("b")).orderBy("x").collect()
+    assert all(a.b <= b.b for a, b in zip(got, got[1:]))
+    assert len({r.b for r in got}) > 1000
+
+
+def test_ranks_and_quantiles_of_negative_values(spark):
+    vals = _wide()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "k long, x double")
+    want = {r.k: r.n - 1 for r in df.select("k", F.row_number().over(Window.orderBy("x", "k")).alias("n")).collect()}
+    assert {r.k: r.row_rank for r in R.with_row_rank(df, [], ["x", "k"]).collect()} == want
+    money = df.where("x between -5e8 and -5e6")
+    qs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    right = money.agg(F.percentile("x", F.array(*map(F.lit, qs))).alias("p")).first().p
+    got = {r.q: r.quantile for r in R.quantile_table(money, ["x"], qs).collect()}
+    assert [got[q] for q in qs] == pytest.approx(right, rel=1e-14)
+
+
+def test_running_totals_of_negated_scores(spark):
+    df = spark.createDataFrame([(float(-v), 1) for v in range(10_000_000, 1_000_000_000, 3_300_000)], "s double, c int")
+    got = [r.cum_c for r in R.running_totals(df, [], "s", ["c"]).orderBy("s").collect()]
+    assert got == list(range(1, df.count() + 1))
