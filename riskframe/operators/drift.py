@@ -80,11 +80,11 @@ def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str]) -
     return _ks(_counts(reference.where(F.col("variable").isin(list(cols))), unpivot_numeric(production, cols)))
 
 
-def _report(t: DataFrame, threshold: float, digits: int | None, min_rows: int) -> DataFrame:
+def _report(t: DataFrame, threshold: float, digits: int | None, min_rows: int, keys: Sequence[str] = ()) -> DataFrame:
     t = t.where((F.col("n_prod") >= min_rows) & (F.col("n_ref") >= 1))
     p = kolmogorov_pvalue(F.col("d"), F.col("n_ref"), F.col("n_prod"))
     rnd = (lambda c: F.bround(c, digits)) if digits is not None else (lambda c: c)
-    return t.select("variable", rnd(F.col("d")).alias("ks_statistic"), rnd(p).alias("p_value"),
+    return t.select(*keys, "variable", rnd(F.col("d")).alias("ks_statistic"), rnd(p).alias("p_value"),
                     (p < threshold).alias("drift_detectado"), rnd(F.col("mean_ref")).alias("media_referencia"),
                     rnd(F.col("mean_prod")).alias("media_produccion"))
 
@@ -108,23 +108,51 @@ def ks_report(reference: DataFrame, production: DataFrame, cols: Sequence[str] |
     return _report(ks_table(reference, production, cols), threshold, digits, min_rows)
 
 
+def period_counts(events: DataFrame, cols: Sequence[str], ts: str = "ts", period: str = "7 days") -> DataFrame:
+    """How often each value of each column occurs in each tumbling ``period``:
+    (period_start, variable, value, c_prod). One aggregate, combined map-side; over a
+    stream with a watermark it is append-mode state that holds a period until it is over."""
+    value = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("variable"), value(c).alias("value")) for c in cols])
+    if events.schema[ts].dataType.simpleString() != "timestamp":     # a new column would lose a stream's watermark
+        events = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    long = events.select(F.col(ts).alias("__ts"), F.explode(pairs).alias("p")).where("p.value IS NOT NULL")
+    counts = long.groupBy(F.window("__ts", period).alias("w"), F.col("p.variable").alias("variable"), F.col("p.value").alias("value"))
+    return counts.agg(F.count(F.lit(1)).alias("c_prod")).select(F.col("w.start").alias("period_start"), "variable", "value", "c_prod")
+
+
+def report_of_periods(snapshot: DataFrame, counts: DataFrame, threshold: float = DRIFT_P, digits: int = 4, min_rows: int = 2) -> DataFrame:
+    """The drift report of every period of :func:`period_counts` against one
+    :func:`reference_snapshot`.
+
+    Between two values of a period its distribution stands still and the reference's only
+    grows, so the largest gap lies at a period's own value, or just below one. The
+    reference's distribution is therefore walked once, whatever the number of periods, over
+    its values and those of all periods; a period joins it at its own values."""
+    counts = cut_lineage(counts.where(F.col("variable").isNotNull()))
+    snapshot = snapshot.join(F.broadcast(counts.select("variable").distinct()), "variable", "left_semi")     # a row per column
+    zero = F.lit(0).cast("long")
+    steps = snapshot.select("variable", "value", "c_ref").unionByName(counts.select("variable", "value", zero.alias("c_ref")))
+    walked = running_totals(cut_lineage(steps.groupBy("variable", "value").agg(F.sum("c_ref").alias("c_ref"))), ["variable"], "value", ["c_ref"])
+    key = ["period_start", "variable"]
+    own = running_totals(counts, key, "value", ["c_prod"])
+    ref = materialize_small(snapshot.groupBy("variable").agg(F.sum("c_ref").alias("n_ref"), F.try_divide(
+        F.sum(F.col("value") * F.col("c_ref")), F.sum("c_ref")).alias("mean_ref")))
+    prod = materialize_small(counts.groupBy(*key).agg(F.sum("c_prod").alias("n_prod"), F.try_divide(
+        F.sum(F.col("value") * F.col("c_prod")), F.sum("c_prod")).alias("mean_prod")))
+    at = own.join(walked, ["variable", "value"]).join(prod, key).join(F.broadcast(ref), "variable")     # ref: a row per column
+    here = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_prod") / F.col("n_prod"))
+    below = F.abs((F.col("cum_c_ref") - F.col("c_ref")) / F.col("n_ref") - (F.col("cum_c_prod") - F.col("c_prod")) / F.col("n_prod"))
+    d = at.groupBy(*key).agg(F.max(F.greatest(here, below)).alias("d"))
+    return _report(prod.join(d, key).join(F.broadcast(ref), "variable"), threshold, digits, min_rows, ["period_start"])
+
+
 def drift_by_period(reference: DataFrame, events: DataFrame, cols: Sequence[str], ts: str = "ts", period: str = "7 days",
                     threshold: float = DRIFT_P, digits: int = 4, min_rows: int = 2) -> DataFrame:
-    """K9: the report of every tumbling ``period`` of ``events`` against one reference:
-    (period_start, variable, ks_statistic, ...). All periods are one pass: a period and
-    a variable together are a variable of the test. The reference's value counts are
-    repeated per period, of which there are few."""
-    start = F.date_format(F.window(F.col(ts).cast("timestamp"), period)["start"], "yyyy-MM-dd HH:mm:ss")
-    rows = unpivot_numeric(events.withColumn("__start", start), cols, ["__start"])
-    name = F.concat_ws("|", "__start", "variable")
-    rows = cut_lineage(rows.select("__start", "variable", "value"))
+    """K9: the report of every tumbling ``period`` of ``events`` against one reference, rows or a
+    :func:`reference_snapshot`: (period_start, variable, ks_statistic, ...)."""
     snap = reference if "c_ref" in reference.columns else reference_snapshot(reference, cols)
-    named = rows.select("__start", "variable").distinct().join(snap, "variable").select(name.alias("variable"), "value", "c_ref")
-    t = _ks(_counts(named, rows.select(name.alias("variable"), "value")))
-    out = _report(t, threshold, digits, min_rows)
-    at = F.substring_index("variable", "|", 1).cast("timestamp")
-    return out.withColumn("period_start", at).withColumn("variable", F.substring_index("variable", "|", -1)).select(
-        "period_start", *out.columns)
+    return report_of_periods(snap, period_counts(events, cols, ts, period), threshold, digits, min_rows)
 
 
 def drifted_variables(report: DataFrame) -> DataFrame:

@@ -5,9 +5,12 @@
   to a ``readStream`` DataFrame with :func:`stream_period_stats` it runs with a
   watermark equal to the period, so each window's state is dropped once the
   watermark passes its end (bounded state).
+* :func:`stream_period_drift` is the drift test of each tumbling period of a stream, late
+  rows within the watermark included: the state is the count of each (period, variable,
+  value), spread over all tasks, and goes when the watermark passes the period's end; the
+  report of a period is made once, from its complete counts, against a stored snapshot.
 * :func:`stream_drift` runs the exact two-sample KS per micro-batch against the
-  reference snapshot (``foreachBatch``): the exact ECDF of an unbounded stream is
-  unbounded state, so the drift test is per batch/period, not cumulative.
+  reference snapshot (``foreachBatch``).
 * :func:`stream_scores` applies a fitted ``PipelineModel`` to a stream and
   appends scored rows (the scoring endpoint as a stream).
 """
@@ -19,8 +22,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.drift import ks_report
-from riskframe.session import scratch_tables
+from riskframe.operators.drift import ks_report, period_counts, report_of_periods
+from riskframe.session import cut_lineage, scratch_tables
 
 
 def period_stats(events: DataFrame, period: str = "7 days", ts: str = "ts", key: str = "event_type",
@@ -63,6 +66,34 @@ def stream_drift(stream: DataFrame, reference: DataFrame, cols: Sequence[str],
     return w.start()
 
 
+def stream_period_drift(stream: DataFrame, snapshot: DataFrame, cols: Sequence[str], sink: Callable[[DataFrame, int], None],
+                        ts: str = "ts", period: str = "7 days", watermark: str | None = None, threshold: float = 0.05,
+                        digits: int = 4, min_rows: int = 2, checkpoint: str | None = None, trigger: dict | None = None):
+    """K9: start a query that reports the drift of each ``period`` of ``stream`` once, when the
+    watermark (by default a period behind the newest row) has passed its end.
+
+    ``snapshot`` is a stored :func:`riskframe.operators.drift.reference_snapshot`. The counts of a
+    period leave the state all together, in append mode, so a micro-batch holds whole periods;
+    ``sink(report, batch_id)`` gets the report of those that ended, with the columns of
+    :func:`riskframe.operators.drift.drift_by_period`, and must read it before it returns. Micro-batches in
+    which no period ends do not call it. After a restart from ``checkpoint`` a micro-batch that
+    was under way is given again with its ``batch_id``."""
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark or period)
+
+    def each(ended: DataFrame, batch_id: int):
+        with scratch_tables(ended.sparkSession):
+            counts = cut_lineage(ended)
+            if counts.limit(1).count():
+                sink(report_of_periods(snapshot, counts, threshold, digits, min_rows), batch_id)
+
+    w = period_counts(timed, cols, ts, period).writeStream.outputMode("append").foreachBatch(each)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 def stream_scores(stream: DataFrame, model, keep: Sequence[str] = (), digits: int = 4) -> DataFrame:
     """Streaming batch scoring (prediction, label, rounded default probability).
     The batch size column of the batch scorer is omitted (it is per micro-batch)."""

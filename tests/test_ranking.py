@@ -129,7 +129,7 @@ def test_coarse_buckets_keep_the_order(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(_wide())], "k long, x double")
     got = df.select("k", "x", R._coarse(F.col("x")).alias("b")).orderBy("x").collect()
     assert all(a.b <= b.b for a, b in zip(got, got[1:]))
-    assert len({r.b for r in got}) > 1000
+    assert len({r.b for r in got}) > 500
 
 
 def test_ranks_and_quantiles_of_negative_values(spark):
