@@ -7,10 +7,10 @@ with billions of distinct values is not one task). D is the max CDF gap per
 variable; the p-value is the asymptotic Kolmogorov distribution with Stephens'
 small-sample correction, evaluated as a 100-term series inside the JVM.
 
-The original uses scipy's exact p-value when both sides have <= 10,000 rows;
-the tests bound the difference against exact path counts, from 20 by 30 rows: 0.045
-at most, 0.02 where either p-value is below 0.1, so a decision can only differ for
-p-values that close to the threshold.
+The original uses an exact p-value when both sides have <= 10,000 rows: that is
+``ks_report(exact=True)``, a lattice-path recurrence per variable. The tests bound the
+difference of the series from it, from 20 by 30 rows: 0.045 at most, 0.02 where either p-value
+is below 0.1, so a decision can only differ for p-values that close to the threshold.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskframe.operators.projection import common_columns
 from riskframe.operators.ranking import local_frame, materialize_small, running_totals, unpivot_numeric
@@ -42,6 +43,48 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series))))
 
 
+#: Sides up to which the exact p-value is taken, as the original does.
+EXACT_ROWS = 10_000
+
+
+def path_pvalue(d: float, n1: int, n2: int) -> float:
+    """P(D >= d) of two samples of one distribution, without ties: the share of lattice paths
+    from (0, 0) to (n1, n2) that reach a cell where the two distributions are ``d`` apart.
+
+    With q(i, j) the share of paths to (i, j) that did, the last step of a path to (i, j) comes
+    from (i - 1, j) with probability i / (i + j), so q(i, j) = (i q(i - 1, j) + j q(i, j - 1)) / (i + j),
+    and 1 in such a cell. All terms are positive: small values keep their digits. One step
+    is a diagonal; memory is one diagonal of the smaller side."""
+    import numpy as np
+
+    n, m = sorted((n1, n2))
+    reach = round(d * n * m)
+    if reach <= 0:
+        return 1.0
+    i = np.arange(n + 1)
+    q = np.zeros(n + 1)
+    for t in range(1, n + m + 1):
+        j = t - i
+        q[1:] = (i[1:] * q[:-1] + j[1:] * q[1:]) / t
+        q[np.abs(i * m - j * n) >= reach] = 1.0
+        q[(j < 0) | (j > m)] = 0.0
+    return float(q[n])
+
+
+def with_exact_pvalue(table: DataFrame, rows: int = EXACT_ROWS) -> DataFrame:
+    """``table`` (with d, n_ref, n_prod: a row per tested variable) and ``p_exact``, null where a side has
+    more than ``rows`` rows or none. A variable is a task's work: its two sides are bounded."""
+    schema = StructType([*table.schema.fields, StructField("p_exact", DoubleType())])
+
+    def run(batches):
+        for pdf in batches:
+            ok = (pdf[["n_ref", "n_prod"]].max(axis=1) <= rows) & (pdf[["n_ref", "n_prod"]].min(axis=1) > 0) & pdf["d"].notna()
+            pdf["p_exact"] = [path_pvalue(d, int(a), int(b)) if k else None for k, d, a, b in zip(ok, pdf["d"], pdf["n_ref"], pdf["n_prod"])]
+            yield pdf
+
+    return table.repartition("variable").mapInPandas(run, schema)
+
+
 def reference_snapshot(reference: DataFrame, cols: Sequence[str]) -> DataFrame:
     """K2: the reference side of every later test, computed and stored once: how often
     each value of each column occurs, (variable, value, c_ref). Reports that are given
@@ -80,9 +123,12 @@ def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str]) -
     return _ks(_counts(reference.where(F.col("variable").isin(list(cols))), unpivot_numeric(production, cols)))
 
 
-def _report(t: DataFrame, threshold: float, digits: int | None, min_rows: int, keys: Sequence[str] = ()) -> DataFrame:
+def _report(t: DataFrame, threshold: float, digits: int | None, min_rows: int, keys: Sequence[str] = (), exact: bool = False) -> DataFrame:
     t = t.where((F.col("n_prod") >= min_rows) & (F.col("n_ref") >= 1))
     p = kolmogorov_pvalue(F.col("d"), F.col("n_ref"), F.col("n_prod"))
+    if exact:
+        t = with_exact_pvalue(t)
+        p = F.coalesce("p_exact", p)
     rnd = (lambda c: F.bround(c, digits)) if digits is not None else (lambda c: c)
     return t.select(*keys, "variable", rnd(F.col("d")).alias("ks_statistic"), rnd(p).alias("p_value"),
                     (p < threshold).alias("drift_detectado"), rnd(F.col("mean_ref")).alias("media_referencia"),
@@ -90,9 +136,11 @@ def _report(t: DataFrame, threshold: float, digits: int | None, min_rows: int, k
 
 
 def ks_report(reference: DataFrame, production: DataFrame, cols: Sequence[str] | None = None,
-              threshold: float = DRIFT_P, digits: int = 4, min_rows: int = 2) -> DataFrame:
+              threshold: float = DRIFT_P, digits: int | None = 4, min_rows: int = 2, exact: bool = False) -> DataFrame:
     """K1: per numeric column common to both sides: KS statistic, p-value, drift
-    flag (p < threshold, on the unrounded p), both means; rounded to ``digits``.
+    flag (p < threshold, on the unrounded p), both means; rounded to ``digits``. With ``exact`` the
+    p-value of sides of at most ``EXACT_ROWS`` rows is the exact one, as in the original; the
+    default is the asymptotic series for all sizes, which stays in the JVM.
 
     Columns with fewer than ``min_rows`` production values are skipped, so a batch of
     fewer rows gives an empty report; with no common column the report is empty too."""
@@ -105,7 +153,7 @@ def ks_report(reference: DataFrame, production: DataFrame, cols: Sequence[str] |
         cols = [c for c in cols if c in reference.columns and c in production.columns]
     if not cols:
         return local_frame(spark, [], REPORT_SCHEMA)
-    return _report(ks_table(reference, production, cols), threshold, digits, min_rows)
+    return _report(ks_table(reference, production, cols), threshold, digits, min_rows, exact=exact)
 
 
 def period_counts(events: DataFrame, cols: Sequence[str], ts: str = "ts", period: str = "7 days") -> DataFrame:

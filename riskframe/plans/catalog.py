@@ -1061,6 +1061,15 @@ def q_drift_7_days(spark, sf_dir):
     return K.drift_by_period(ref, ev, ["value", "k"], period="7 days")
 
 
+@register("k_ks_exact")
+def q_ks_exact(spark, sf_dir):
+    """K1 with the exact p-value: the first two weeks of events against the rest. Where a side has more
+    than 10,000 rows the p-value is the asymptotic one, as in the original."""
+    ref, prod = events_periods(spark, sf_dir)
+    return K.ks_report(ref, prod, ["value", "k"], digits=None, exact=True).select(
+        "variable", F.round("ks_statistic", 9).alias("ks_statistic"), F.round("p_value", 9).alias("p_value"), "drift_detectado")
+
+
 @register("v_best_candidate")
 def q_best_candidate(spark, sf_dir):
     """The name and score of the candidate that is chosen."""

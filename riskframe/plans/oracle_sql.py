@@ -865,6 +865,19 @@ pd AS (SELECT * FROM ev_prod WHERE ts >= {start} AND ts < {start} + INTERVAL '7
 
 
 SQL["k_drift_7_days"] = _period_drift_sql()
+# the share of lattice paths that reach a gap of d, diagonal by diagonal, for sides up to 10,000
+SQL["k_ks_exact"] = "WITH RECURSIVE __x AS (SELECT 1)" + EVENTS + ks_sql("ev_ref", "ev_prod", ["value", "k"]) + """,
+__side AS (SELECT variable, d, p, CAST(n_ref AS BIGINT) AS n, CAST(n_prod AS BIGINT) AS m, CAST(round(d * n_ref * n_prod) AS BIGINT) AS h FROM __pv),
+__walk(variable, n, m, h, t, q) AS (
+  SELECT variable, n, m, h, 0::BIGINT, list_transform(range(0, n + 1), lambda i: 0.0::DOUBLE) FROM __side WHERE n <= 10000 AND m <= 10000
+  UNION ALL
+  SELECT variable, n, m, h, t + 1, list_transform(list_zip(range(0, n + 1), list_prepend(0.0::DOUBLE, q[:n]), q), lambda x:
+    CASE WHEN x[1] > t + 1 OR t + 1 - x[1] > m THEN 0.0 WHEN abs(x[1] * m - (t + 1 - x[1]) * n) >= h THEN 1.0
+         ELSE (x[1] * x[2] + (t + 1 - x[1]) * x[3]) / (t + 1) END)
+  FROM __walk WHERE t < n + m),
+__exact AS (SELECT variable, q[n + 1] AS pe FROM __walk WHERE t = n + m)
+SELECT s.variable, round(d, 9) AS ks_statistic, round(coalesce(pe, p), 9) AS p_value, coalesce(pe, p) < 0.05 AS drift_detectado
+FROM __side s LEFT JOIN __exact e ON s.variable = e.variable"""
 SQL["v_best_candidate"] = f"SELECT modelo, selection_score FROM ({SQL['v_selection']}) WHERE rank = 1"
 SQL["r_nearest_minority"] = with_loans(SPLIT + """,
 mi AS (SELECT loan_id, CAST(plazo_meses AS DOUBLE) a, CAST(huella_consulta AS DOUBLE) b, CAST(edad_cliente AS DOUBLE) c
