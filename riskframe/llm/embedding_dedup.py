@@ -56,6 +56,8 @@ def link_block(ids, times, x, codes, table, cross, threshold):
     """Links of one block: (vector, links) sums and forest edges. ``cross`` is None, or which
     of two blocks each row is in; then only pairs across them count."""
     x = x.astype(np.float64)
+    # a power of two off each vector changes no cosine, and squares neither overflow nor vanish
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     norm = np.sqrt((x * x).sum(axis=1))
     links = np.zeros(len(ids), dtype=np.int64)
     parts_a, parts_b = [], []

@@ -271,6 +271,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs``, every column kept, with repeated strings cut from ``text`` and ``n_chars`` to
     match."""
     _, runs = repeats(docs, Tables(docs.sparkSession))
-    out = docs.join(runs.withColumnRenamed("text_id", "runs_of"), F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("runs_of"), "left")
-    out = out.withColumn("text", F.pandas_udf(without_runs, "string")("text", "runs")).drop("runs", "runs_of")
+    runs = runs.select(F.col("text_id").alias("__runs_of"), F.col("runs").alias("__runs"))
+    out = docs.join(runs, F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__runs_of"), "left")
+    out = out.withColumn("text", F.pandas_udf(without_runs, "string")("text", "__runs")).drop("__runs", "__runs_of")
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

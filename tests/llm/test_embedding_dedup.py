@@ -65,3 +65,12 @@ def test_plan_reaches_the_recall_asked_for():
         bits, tables = E.plan_tables(n, 0.95, 0.998)
         same = (1 - np.arccos(0.95) / np.pi) ** bits
         assert 1 - (1 - same) ** tables >= 0.998
+
+
+def test_very_large_and_very_small_vectors_keep_their_links(spark):
+    x = np.random.default_rng(4).normal(size=8)
+    rows = [(i, [float(v) for v in x * scale + (i % 2) * 0.01 * scale]) for i, scale in enumerate([1.0, 1e160, 1e-170, 3e300, 1e-300, 1e150])]
+    rows += [(10, [float(v) for v in -x * 1e160])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.dedup(df, recall=0.99999).collect()}
+    assert got == {**{i: (5, 0) for i in range(6)}, 10: (0, 10)}

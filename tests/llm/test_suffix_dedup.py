@@ -118,3 +118,9 @@ def test_cut_texts(make_docs):
     for (d, t), raw, f in zip(rows, texts, flags):
         want = None if t is None else bytes(b for b, x in zip(raw, f) if not x).decode(errors="ignore")
         assert got[d] == want
+
+
+def test_columns_of_any_name_are_kept(make_docs):
+    docs = make_docs([(1, "a" * 450), (2, "b")]).selectExpr("*", "7 AS runs", "8 AS runs_of", "9 AS text_id")
+    out = {r.doc_id: r for r in D.drop_repeats(docs).collect()}
+    assert out[1].text == "" and out[2].text == "b" and all((r.runs, r.runs_of, r.text_id) == (7, 8, 9) for r in out.values())
