@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import col_of, hash_order, md5_order
-from riskframe.operators.ranking import attach, rank_below, with_row_rank
+from riskframe.operators.ranking import attach, materialize_small, rank_below, with_row_rank
 
 HASH_RANGE = (-9.223372036854776e18, 9.223372036854776e18)
 MD5_RANGE = (0.0, 4294967296.0)
@@ -85,6 +85,85 @@ def stratified_kfold(df: DataFrame, target: str, key: str, k: int = 5, seed: int
         o, "__r", "__start")
 
 
+def _split_order(key: str, seed: int, order: str):
+    """(order value of a row in a split, as a function of the split's id; its range)."""
+    if order == "md5":
+        return lambda split: md5_order(key, seed, split), MD5_RANGE
+    return lambda split: F.xxhash64(F.col(key), F.lit(seed), split.cast("int")), HASH_RANGE
+
+
+def _split_ids(n_splits: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(n_splits - 1))
+
+
+def split_bounds(df: DataFrame, key: str, n_splits: int, order, known_range: tuple[float, float],
+                 ranks: Sequence[int], n: int) -> DataFrame:
+    """Per split (``__s``) the order value ``__o<i>`` and the key ``__k<i>`` of the row at the
+    i-th of ``ranks`` (0-based, below ``n``): ``n_splits * len(ranks)`` values, whatever the
+    size of the table.
+
+    One aggregate counts rows per (split, bucket) in about ``sqrt(n)`` equal buckets of the
+    known range; only the buckets that hold a wanted rank are read again and windowed, each
+    of about ``sqrt(n)`` rows. Buckets and window tasks so grow alike."""
+    parts = math.isqrt(n) + 1
+    lo, hi = known_range
+    rows = df.select(key, F.explode(_split_ids(n_splits)).alias("__s")).withColumn("__o", order(F.col("__s")))
+    place = F.floor((F.col("__o").cast("double") - lo) / (hi - lo) * parts)
+    rows = rows.withColumn("__b", F.least(place, F.lit(parts - 1)).cast("long"))
+    table = materialize_small(rows.groupBy("__s", "__b").agg(F.count(F.lit(1)).alias("__n")))
+    w = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)   # buckets, not rows
+    off = table.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    holds = F.filter(F.array(*[F.lit(k).cast("long") for k in ranks]),
+                     lambda k: (k >= F.col("__off")) & (k < F.col("__off") + F.col("__n")))
+    wanted = off.select(F.col("__s").alias("__s2"), F.col("__b").alias("__b2"), "__off", holds.alias("__ks")).where(
+        F.size("__ks") > 0)
+    # at most splits x ranks buckets hold a wanted rank: a proven bound
+    near = rows.join(F.broadcast(wanted), (F.col("__s") == F.col("__s2")) & (F.col("__b") == F.col("__b2")))
+    pos = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__o", key)) - 1 + F.col("__off")
+    found = near.withColumn("__r", pos.cast("long")).where(F.array_contains("__ks", F.col("__r")))
+    at = lambda k, c: F.first(F.when(F.col("__r") == k, F.col(c)), ignorenulls=True)
+    return materialize_small(found.groupBy("__s").agg(
+        *[e for i, k in enumerate(ranks) for e in (at(k, "__o").alias(f"__o{i}"), at(k, key).alias(f"__k{i}"))]))
+
+
+def _passed(o: Column, key: Column, bound, n_bounds: int) -> Column:
+    """How many bounds the row (order value ``o``, ``key``) has reached; a null key comes first."""
+    total = F.lit(0)
+    for i in range(n_bounds):
+        bo, bk = bound(f"__o{i}"), bound(f"__k{i}")
+        total = total + ((o > bo) | ((o == bo) & F.coalesce(key >= bk, bk.isNull()))).cast("int")
+    return total
+
+
+def _split_cuts(df, key, n_splits, test_size, seed, order, fractions):
+    """(order function, bounds per split, number of bounds, training sizes) of the splits of ``df``."""
+    n = df.count()
+    n_test = math.ceil(n * test_size)
+    sizes = train_size_grid(n - n_test, fractions)
+    ranks = [k for k in [n_test, *[n_test + m for m in sizes]] if k < n]     # a rank of n has no row
+    fn, rng = _split_order(key, seed, order)
+    bounds = split_bounds(df, key, n_splits, fn, rng, ranks, n) if ranks else None
+    return fn, bounds, len(ranks), sizes
+
+
+def split_members(df: DataFrame, key: str, n_splits: int = 50, test_size: float = 0.2, seed: int = 123,
+                  order: str = "md5", train_fractions: Sequence[float] = (), out: str = "member") -> DataFrame:
+    """R5 and R6 without a row per split: ``out`` is an array with one number per split, 0
+    for a test row and ``i + 1`` for a training row whose smallest nested training subset is
+    ``i`` (``len(train_size_grid)`` or more: in no subset).
+
+    A row compares its own order values with the bounds of :func:`split_bounds`, one row of
+    ``n_splits`` structs: rows are neither expanded nor shuffled."""
+    fn, bounds, m, _ = _split_cuts(df, key, n_splits, test_size, seed, order, train_fractions)
+    if bounds is None:
+        return df.withColumn(out, F.transform(_split_ids(n_splits), lambda s: F.lit(0)))
+    one = bounds.agg(F.array_sort(F.collect_list(F.struct("__s", *[c for c in bounds.columns if c != "__s"]))).alias("b"))
+    packed = attach(df, one.withColumnRenamed("b", "__bounds"))
+    orders = F.transform(_split_ids(n_splits), fn)
+    return packed.withColumn(out, F.zip_with(
+        orders, "__bounds", lambda o, b: _passed(o, F.col(key), lambda c: b[c], m))).drop("__bounds")
+
+
 def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float = 0.2, seed: int = 123,
                    order: str = "md5", train_fractions: Sequence[float] | None = None) -> DataFrame:
     """R5 (+ R6): ``n_splits`` independent random train/test splits (sklearn
@@ -93,30 +172,22 @@ def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float
     smallest nested training subset holding the row (the first
     ``int(frac * n_train)`` training rows of that split's permutation).
 
-    The split ids are generated in each task (``explode``); membership comes
-    from :func:`rank_below`, so the 50x expanded rows are never shuffled -- only
-    the boundary buckets of each split are."""
-    ex = df.withColumn("split_id", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
-    if order == "md5":
-        ex, rng = ex.withColumn("__ord", md5_order(key, seed, F.col("split_id"))), MD5_RANGE
-    else:
-        ex, rng = ex.withColumn("__ord", F.xxhash64(F.col(key), F.lit(seed), F.col("split_id"))), HASH_RANGE
+    The split ids are generated in each task; a row compares its order value with the
+    bounds of its split (:func:`split_bounds`, a row per split), so the expanded rows are
+    never shuffled."""
     fracs = list(train_fractions or [])
-
-    def cuts(sizes):       # per split: n_test, then n_test + int(frac * n_train) (distinct, > 0, ascending)
-        n_test = F.ceil(F.col("n") * test_size).cast("long")
-        n_train = F.col("n") - n_test
-        grid = F.array_sort(F.filter(F.array_distinct(F.array(
-            *[F.floor(F.lit(float(f)) * n_train).cast("long") for f in fracs])), lambda x: x > 0)) \
-            if fracs else F.array().cast("array<long>")
-        ks = F.concat(F.array(n_test), F.transform(grid, lambda m: n_test + m))
-        return sizes.select("split_id", F.posexplode(ks).alias("cut_idx", "k"))
-
-    flagged = rank_below(ex, ["split_id"], ["__ord", key], cuts, "__c", rng)
-    out = flagged.withColumn("role", F.when(F.col("__c") == 0, "test").otherwise("train"))
+    fn, bounds, m, sizes = _split_cuts(df, key, n_splits, test_size, seed, order, fracs)
+    ex = df.withColumn("split_id", F.explode(_split_ids(n_splits)))
+    if bounds is None:
+        flagged = ex.withColumn("__c", F.lit(0))
+    else:
+        cuts = F.broadcast(bounds.withColumnRenamed("__s", "split_id"))        # a row per split: proven bound
+        flagged = ex.withColumn("__o", fn(F.col("split_id"))).join(cuts, "split_id").withColumn(
+            "__c", _passed(F.col("__o"), F.col(key), F.col, m))
+    out = flagged.select(*df.columns, "split_id", F.when(F.col("__c") == 0, "test").otherwise("train").alias("role"), "__c")
     if fracs:
-        out = out.withColumn("size_idx", F.when(F.col("__c") >= 1, F.col("__c") - 1))
-    return out.drop("__ord", "__c")
+        out = out.withColumn("size_idx", F.when(F.col("__c").between(1, len(sizes)), F.col("__c") - 1))
+    return out.drop("__c")
 
 
 def train_size_grid(n_train: int, fractions: Sequence[float]) -> list[int]:

