@@ -1130,15 +1130,15 @@ def q_model_checks(spark, sf_dir):
     """M2-M7: every candidate fitted with SMOTE and scored on the test rows: rows scored,
     probabilities outside [0, 1] or not adding up to 1, and predictions that are not the
     likelier class."""
-    from riskframe.operators.models import CANDIDATES, fit_candidate
+    from riskframe.operators.models import CANDIDATES, encode_training, fit_encoded
     from riskframe.plans.training import score_rows
 
     train, test = train_rows(spark, sf_dir), test_rows(spark, sf_dir)
     ratio = A.class_ratio(train, P.TARGET).first()["ratio"]
+    prep, enc = encode_training(train, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES, P.TARGET, use_smote=True, key=P.KEY)
     out = None
     for name in CANDIDATES:
-        model = fit_candidate(train, name, P.NUMERIC_FEATURES, P.CATEGORICAL_FEATURES, P.TARGET, use_smote=True, key=P.KEY,
-                              scale_pos_weight=ratio if name == "xgboost" else None)
+        model = fit_encoded(prep, enc, name, scale_pos_weight=ratio if name == "xgboost" else None)
         s = score_rows(model, test)
         p0, p1 = F.col("p_mora"), F.col("p_pago")
         odd = (p0 < 0) | (p1 < 0) | (F.abs(p0 + p1 - 1) > 1e-9)
