@@ -95,12 +95,32 @@ def reference_snapshot(reference: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _counts(reference: DataFrame, production: DataFrame) -> DataFrame:
     """(variable, value, c_ref, c_prod) of a snapshot and long production rows. One
     shuffle; it is read three times (range, bucket offsets, CDF walk), so it is written."""
+    if "vkey" in reference.columns:
+        return cut_lineage(stored_counts(reference, production))
     zero = F.lit(0).cast("long")
     both = reference.select("variable", "value", "c_ref", zero.alias("c_prod")).unionByName(
         production.select("variable", "value", zero.alias("c_ref"), F.lit(1).cast("long").alias("c_prod")))
     return cut_lineage(both.groupBy("variable", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_prod").alias("c_prod")))
 
 
+def value_key(value) -> Column:
+    """A value as text, by which stored snapshots are bucketed: two doubles have the same one
+    only if they are equal. (The planner wraps a join key of type double, which hides
+    bucketing by it.)"""
+    return (F.col(value) + F.lit(0.0)).cast("string")         # -0.0 is 0.0
+
+
+def stored_counts(reference: DataFrame, production: DataFrame) -> DataFrame:
+    """The counts of a stored snapshot (bucketed by variable and ``vkey``) and of long production
+    rows: only the production counts are shuffled."""
+    seen = production.withColumn("vkey", value_key("value")).groupBy("variable", "vkey").agg(
+        (F.first("value") + F.lit(0.0)).alias("__v"), F.count(F.lit(1)).alias("c_prod"))
+    both = reference.select("variable", "vkey", "value", "c_ref").join(seen, ["variable", "vkey"], "full")
+    zero = F.lit(0).cast("long")
+    return both.select("variable", F.coalesce("value", "__v").alias("value"), F.coalesce("c_ref", zero).alias("c_ref"),
+                       F.coalesce("c_prod", zero).alias("c_prod"))
+
+
 def _ks(counts: DataFrame) -> DataFrame:
     """(variable, d, n_ref, n_prod, mean_ref, mean_prod) of a counts table."""
     sides = materialize_small(counts.groupBy("variable").agg(
@@ -117,8 +137,8 @@ def _ks(counts: DataFrame) -> DataFrame:
 def ks_table(reference: DataFrame, production: DataFrame, cols: Sequence[str]) -> DataFrame:
     """K1 core: (variable, d, n_ref, n_prod, mean_ref, mean_prod) for ``cols``
     present on both sides, nulls/NaN dropped per column. ``reference`` may be a
-    :func:`reference_snapshot`."""
-    if set(reference.columns) != {"variable", "value", "c_ref"}:
+    :func:`reference_snapshot`, or a stored one (:mod:`riskframe.sources.snapshots`)."""
+    if set(reference.columns) - {"vkey"} != {"variable", "value", "c_ref"}:
         reference = unpivot_numeric(reference, cols).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("c_ref"))
     return _ks(_counts(reference.where(F.col("variable").isin(list(cols))), unpivot_numeric(production, cols)))
 
@@ -145,7 +165,10 @@ def ks_report(reference: DataFrame, production: DataFrame, cols: Sequence[str] |
     Columns with fewer than ``min_rows`` production values are skipped, so a batch of
     fewer rows gives an empty report; with no common column the report is empty too."""
     spark = reference.sparkSession
-    if cols is None:
+    if cols is None and "c_ref" in reference.columns:           # a snapshot: a name per column of the reference
+        names = {r["variable"] for r in reference.select("variable").distinct().collect()}
+        cols = [c for c in common_columns(production, production, "numeric") if c in names]
+    elif cols is None:
         cols = common_columns(reference, production, "numeric")
     elif "c_ref" in reference.columns:
         cols = [c for c in cols if c in production.columns]

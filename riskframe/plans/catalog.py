@@ -833,12 +833,24 @@ def q_prediction_mix(spark, sf_dir):
     return Q.value_counts(prod, ["etiqueta"]).select(F.col("value").alias("etiqueta"), "count")
 
 
+def stored_reference(spark, sf_dir):
+    """K2: the training rows' snapshot, stored as a version and opened again by its folder."""
+    import uuid
+
+    from riskframe.session import checkpoint_dir
+    from riskframe.sources.snapshots import open_snapshot, save_snapshot
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/riskframe-snapshots/{uuid.uuid4().hex}"
+    save_snapshot(train_rows(spark, sf_dir).select(*DRIFT_COLUMNS), DRIFT_COLUMNS, root)
+    return open_snapshot(spark, root)
+
+
 @register("k_monitoring_cycle")
 def q_monitoring_cycle(spark, sf_dir):
     """K7: sample -> score -> drift -> report with the overall status attached."""
     from riskframe.plans.monitoring import monitoring_cycle
 
-    res = monitoring_cycle(train_rows(spark, sf_dir), test_rows(spark, sf_dir), P.KEY, DRIFT_COLUMNS)
+    res = monitoring_cycle(stored_reference(spark, sf_dir), test_rows(spark, sf_dir), P.KEY, DRIFT_COLUMNS)
     return res["report"].select("variable", "ks_statistic", "p_value", "drift_detectado", "n_muestra", "hay_drift")
 
 
@@ -1068,16 +1080,24 @@ def q_reference_snapshot(spark, sf_dir):
                                         F.min("value").alias("lo"), F.max("value").alias("hi"))
 
 
+@register("k_stored_snapshot")
+def q_stored_snapshot(spark, sf_dir):
+    """K2 + K1: the drift report against the stored snapshot, which does not read the
+    training rows."""
+    prod = R.sample_n(test_rows(spark, sf_dir).select(P.KEY, *DRIFT_COLUMNS), P.KEY, 0.1, 50, SEED, order="md5")
+    return K.ks_report(stored_reference(spark, sf_dir), prod, DRIFT_COLUMNS)
+
+
 @register("k_batch_status")
 def q_batch_status(spark, sf_dir):
     """K8: status of four batches: whole, one row, without common columns, and no row."""
-    train, test = train_rows(spark, sf_dir).select(*DRIFT_COLUMNS), test_rows(spark, sf_dir)
+    reference, test = stored_reference(spark, sf_dir), test_rows(spark, sf_dir)
     batch = test.where(F.col("tipo_laboral") == "Independiente").select(*DRIFT_COLUMNS)
     cases = [("independientes", batch), ("one row", test.where(F.col(P.KEY) == test.agg(F.min(P.KEY)).scalar()).select(*DRIFT_COLUMNS)),
              ("other columns", test.select(F.col("plazo_meses").alias("x"))), ("no row", batch.where(F.lit(False)))]
     out = None
     for name, b in cases:
-        row = K.batch_status(train, b).select(F.lit(name).alias("batch"), "*")
+        row = K.batch_status(reference, b).select(F.lit(name).alias("batch"), "*")
         out = row if out is None else out.unionByName(row)
     return out
 

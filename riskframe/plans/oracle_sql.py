@@ -903,3 +903,4 @@ UNION ALL SELECT 0, true, n1 - n0 FROM c""")
 SQL["m_model_checks"] = with_loans(SPLIT + """
 SELECT modelo, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_odd, CAST(0 AS BIGINT) AS n_off
 FROM test, (VALUES ('logreg'), ('random_forest'), ('gradient_boosting'), ('xgboost')) v(modelo) GROUP BY modelo""")
+SQL["k_stored_snapshot"] = SQL["k_ks_report"]
