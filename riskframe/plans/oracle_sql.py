@@ -904,3 +904,23 @@ SQL["m_model_checks"] = with_loans(SPLIT + """
 SELECT modelo, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_odd, CAST(0 AS BIGINT) AS n_off
 FROM test, (VALUES ('logreg'), ('random_forest'), ('gradient_boosting'), ('xgboost')) v(modelo) GROUP BY modelo""")
 SQL["k_stored_snapshot"] = SQL["k_ks_report"]
+SQL["m_boosting_root"] = with_loans(SPLIT + """
+, cells AS (
+  SELECT j, variable, v, sum(CAST(w * (0.5 - y) AS DOUBLE)) AS g, sum(CAST(w * 0.25 AS DOUBLE)) AS h FROM (
+    SELECT 0 AS j, 'plazo_meses' AS variable, CAST(plazo_meses AS DOUBLE) AS v, Pago_atiempo AS y,
+           CASE WHEN Pago_atiempo = 1 THEN 2.0 ELSE 1.0 END AS w FROM train WHERE edad_cliente IS NOT NULL
+    UNION ALL
+    SELECT 1, 'huella_consulta', CAST(huella_consulta AS DOUBLE), Pago_atiempo,
+           CASE WHEN Pago_atiempo = 1 THEN 2.0 ELSE 1.0 END FROM train WHERE edad_cliente IS NOT NULL
+    UNION ALL
+    SELECT 2, 'edad_cliente', CAST(edad_cliente AS DOUBLE), Pago_atiempo,
+           CASE WHEN Pago_atiempo = 1 THEN 2.0 ELSE 1.0 END FROM train WHERE edad_cliente IS NOT NULL)
+  GROUP BY j, variable, v),
+sides AS (
+  SELECT j, variable, v, sum(g) OVER below AS gl, sum(h) OVER below AS hl,
+         sum(g) OVER (PARTITION BY j) AS g, sum(h) OVER (PARTITION BY j) AS h
+  FROM cells WINDOW below AS (PARTITION BY j ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT variable, round(v, 6) AS threshold, round(-0.3 * gl / hl, 6) AS value_left,
+       round(-0.3 * (g - gl) / (h - hl), 6) AS value_right
+FROM sides WHERE hl >= 1 AND h - hl >= 1
+ORDER BY gl * gl / hl + (g - gl) * (g - gl) / (h - hl) - g * g / h DESC, j, v LIMIT 1""")

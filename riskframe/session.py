@@ -112,3 +112,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     _WRITTEN.setdefault(id(df.sparkSession), []).append(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_lineage(df: DataFrame) -> None:
+    """Delete the one table that ``df``, a result of :func:`cut_lineage`, reads."""
+    spark = df.sparkSession
+    names = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+    written = _WRITTEN.get(id(spark), [])
+    gone = [p for p in written if p.rsplit("/", 1)[-1] in names]
+    _delete(spark, gone)
+    for p in gone:
+        written.remove(p)
