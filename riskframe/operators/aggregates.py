@@ -28,55 +28,87 @@ def pairwise_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(var_a, var_b, corr): Pearson r of each pair over the rows where both are
     present (pandas' pairwise-complete ``corr``).
 
-    Each task reduces its rows to the pairwise moment matrices with numpy
-    (count, sums, sums of squares and cross products under the pairwise
-    presence mask: four small Gram products per Arrow batch) and emits one row
-    per pair; a tiny ``groupBy(pair)`` sums the tasks. Values are centred by
-    the fitted column means, so the moment formula does not cancel on large
-    money values. A column that is constant over a pair's rows (its least and largest
+    A task keeps per pair the count, both means, both sums of squared deviations and the
+    co-moment over the rows where both are present, each Arrow batch centred by the pair's own
+    means, and adds batches by the merge formula for centred moments. It emits one row per pair;
+    the rows of the tasks are merged by the same formula in the JVM. A mean is kept as an
+    offset from a value of the pair, which keeps the digits that a large mean would lose. No sum of large
+    squares is ever taken, so nothing cancels, wherever the values of a pair lie, and no pass
+    for means comes first. A column that is constant over a pair's rows (its least and largest
     value there are equal) gives NaN, as in pandas (Spark's ``corr`` raises under
-    ANSI there)."""
+    ANSI there), and so does one with an infinite value there."""
     import numpy as np
     import pandas as pd
 
     names = sorted({c for p in pairs for c in p})
     idx = {c: i for i, c in enumerate(names)}
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first().asDict()  # fitted
-    cen = df.select(*[(F.col(c).cast("double") - F.lit(means[c] if means[c] is not None else 0.0)).alias(f"v{i}")
-                      for i, c in enumerate(names)])
+    wide = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(names)])
     pi = np.array([idx[a] for a, _ in pairs], dtype=int)
     pj = np.array([idx[b] for _, b in pairs], dtype=int)
+    of_j = {int(j): np.flatnonzero(pj == j) for j in np.unique(pj)}
+
+    def centred(values, there, n, base):
+        """(mean, deviations) of the offsets from ``base`` per column over the rows ``there``,
+        the mean's own rounding taken out."""
+        off = np.where(there, values - base, 0.0)
+        mean = off.sum(axis=0) / n
+        dev = np.where(there, off - mean, 0.0)
+        rest = dev.sum(axis=0) / n
+        return mean + rest, np.where(there, dev - rest, 0.0)
 
     def moments(batches):
-        k = len(names)
-        n, sx, sxx, sxy = (np.zeros((k, k)) for _ in range(4))
-        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)   # [i, j]: of x_i where x_j is present
+        n, bx, by, mx, my, vx, vy, cxy = (np.zeros(len(pi)) for _ in range(8))
+        lx, ly = np.full(len(pi), np.inf), np.full(len(pi), np.inf)
+        hx, hy = -lx, -ly
         for pdf in batches:
             x = pdf.to_numpy(dtype=float)
+            if not len(x):
+                continue
             m = ~np.isnan(x)
-            x0, mf = np.where(m, x, 0.0), m.astype(float)
-            n += mf.T @ mf
-            sx += x0.T @ mf            # sx[i, j]: sum of x_i where x_i and x_j are present
-            sxx += (x0 * x0).T @ mf
-            sxy += x0.T @ x0
-            for j in range(k):
-                both = m & m[:, j:j + 1]
-                if len(x):
-                    low[:, j] = np.minimum(low[:, j], np.where(both, x, np.inf).min(axis=0))
-                    high[:, j] = np.maximum(high[:, j], np.where(both, x, -np.inf).max(axis=0))
-        yield pd.DataFrame({"p": np.arange(len(pi)), "n": n[pi, pj], "sx": sx[pi, pj], "sy": sx[pj, pi],
-                            "sxx": sxx[pi, pj], "syy": sxx[pj, pi], "sxy": sxy[pi, pj], "lx": low[pi, pj],
-                            "hx": high[pi, pj], "ly": low[pj, pi], "hy": high[pj, pi]})
-
-    parts = cen.mapInPandas(moments, "p long, n double, sx double, sy double, sxx double, syy double, sxy double, "
-                           "lx double, hx double, ly double, hy double")
-    g = parts.groupBy("p").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
+            for j, at in of_j.items():
+                both = m[:, pi[at]] & m[:, j:j + 1]
+                a, b = x[:, pi[at]], np.broadcast_to(x[:, j:j + 1], both.shape)
+                new = both.sum(axis=0)
+                fresh, first = (n[at] == 0) & (new > 0), both.argmax(axis=0)
+                for base, v in ((bx, a), (by, b)):
+                    base[at[fresh]] = v[first[fresh], np.flatnonzero(fresh)]
+                with np.errstate(invalid="ignore"):
+                    (ma, da), (mb, db) = (centred(v, both, np.maximum(new, 1), base[at]) for v, base in ((a, bx), (b, by)))
+                    total = np.maximum(n[at] + new, 1)
+                    dx, dy, w = ma - mx[at], mb - my[at], n[at] * new / total
+                    vx[at] += (da * da).sum(axis=0) + dx * dx * w
+                    vy[at] += (db * db).sum(axis=0) + dy * dy * w
+                    cxy[at] += (da * db).sum(axis=0) + dx * dy * w
+                    mx[at] += dx * new / total
+                    my[at] += dy * new / total
+                n[at] += new
+                for low, high, v in ((lx, hx, a), (ly, hy, b)):
+                    low[at] = np.minimum(low[at], np.where(both, v, np.inf).min(axis=0))
+                    high[at] = np.maximum(high[at], np.where(both, v, -np.inf).max(axis=0))
+        yield pd.DataFrame({"p": np.arange(len(pi)), "n": n, "bx": bx, "by": by, "mx": mx, "my": my, "vx": vx, "vy": vy, "cxy": cxy,
+                            "lx": lx, "hx": hx, "ly": ly, "hy": hy})
+
+    fields = ("n", "bx", "by", "mx", "my", "vx", "vy", "cxy")
+    parts = wide.mapInPandas(moments, "p long, n double, bx double, by double, mx double, my double, vx double, vy double, cxy double, "
+                             "lx double, hx double, ly double, hy double")
+
+    def merge(a, b):
+        total = F.greatest(a["n"] + b["n"], F.lit(1.0))
+        base = {c: F.when(a["n"] == 0, b[c]).otherwise(a[c]) for c in ("bx", "by")}
+        dx, dy = ((b[f"b{v}"] - base[f"b{v}"]) + (b[f"m{v}"] - a[f"m{v}"]) for v in "xy")
+        w = a["n"] * b["n"] / total
+        return F.struct((a["n"] + b["n"]).alias("n"), *[base[c].alias(c) for c in base], (a["mx"] + dx * b["n"] / total).alias("mx"),
+                        (a["my"] + dy * b["n"] / total).alias("my"), (a["vx"] + b["vx"] + dx * dx * w).alias("vx"),
+                        (a["vy"] + b["vy"] + dy * dy * w).alias("vy"), (a["cxy"] + b["cxy"] + dx * dy * w).alias("cxy"))
+
+    # a pair has one row per task, merged in a fixed order
+    g = parts.groupBy("p").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("tasks"),
                                *[F.min(c).alias(c) for c in ("lx", "ly")], *[F.max(c).alias(c) for c in ("hx", "hy")])
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    vx, vy = F.col("sxx") - sx * sx / n, F.col("syy") - sy * sy / n
-    cxy = F.col("sxy") - sx * sy / n
+    g = g.withColumn("t", F.aggregate("tasks", F.struct(*[F.lit(0.0).alias(c) for c in fields]), merge))
+    n, vx, vy, cxy = (F.col(f"t.{c}") for c in ("n", "vx", "vy", "cxy"))
+    odd = F.isnan(vx) | F.isnan(vy) | F.isnan(cxy) | (vx <= 0) | (vy <= 0)
     r = (F.when(n < 2, F.lit(None).cast("double"))
-         .when((F.col("lx") >= F.col("hx")) | (F.col("ly") >= F.col("hy")) | (vx <= 0) | (vy <= 0), F.lit(float("nan")))
+         .when((F.col("lx") >= F.col("hx")) | (F.col("ly") >= F.col("hy")) | odd, F.lit(float("nan")))
          .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cxy / F.sqrt(vx * vy)))))
     names_tbl = local_frame(df.sparkSession, [(k, a, b) for k, (a, b) in enumerate(pairs)],
                             "p long, var_a string, var_b string")
