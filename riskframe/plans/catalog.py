@@ -1021,7 +1021,7 @@ def q_full_refresh(spark, sf_dir):
     IO.full_refresh(loans.select("loan_id", "plazo_meses", "Pago_atiempo"), table)
     IO.full_refresh(loans.where(F.col("tipo_laboral") == "Empleado").select("loan_id", "plazo_meses", "Pago_atiempo"), table)
     out = cut_lineage(IO.scan(spark, table, ["loan_id", "Pago_atiempo"]))
-    spark.sql(f"DROP TABLE {table}")
+    IO.drop_refreshed(spark, table)
     return out
 
 

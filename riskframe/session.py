@@ -70,7 +70,8 @@ def generation(spark: SparkSession) -> tuple[int, int]:
     return id(spark), _GENERATION.get(id(spark), 0)
 
 
-def _delete(spark: SparkSession, paths: list[str]) -> None:
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete files or folders through the Hadoop FileSystem."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
@@ -78,13 +79,21 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return [f.getPath().toString() for f in found]
+
+
 def release_tables(spark: SparkSession) -> int:
     """Delete the lineage tables this session wrote with :func:`cut_lineage`
     (through the Hadoop FileSystem of the checkpoint folder). Call it once the
     DataFrames that read them are no longer needed; returns how many were removed."""
     paths = _WRITTEN.pop(id(spark), [])
     _GENERATION[id(spark)] = _GENERATION.get(id(spark), 0) + 1
-    _delete(spark, paths)
+    delete_paths(spark, paths)
     return len(paths)
 
 
@@ -96,7 +105,7 @@ def scratch_tables(spark: SparkSession):
         yield
     finally:
         written = _WRITTEN.get(id(spark), [])
-        _delete(spark, written[before:])
+        delete_paths(spark, written[before:])
         del written[before:]
 
 
@@ -120,6 +129,6 @@ def drop_lineage(df: DataFrame) -> None:
     names = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
     written = _WRITTEN.get(id(spark), [])
     gone = [p for p in written if p.rsplit("/", 1)[-1] in names]
-    _delete(spark, gone)
+    delete_paths(spark, gone)
     for p in gone:
         written.remove(p)

@@ -7,10 +7,14 @@ executors and nothing passes through the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from riskframe.session import delete_paths, list_folder
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -56,14 +60,58 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def full_refresh(df: DataFrame, table: str, fmt: str = "parquet") -> int:
-    """Truncate-and-replace a catalog table and return its row count.
+def _versions(spark: SparkSession, table: str) -> str:
+    """The folder beside a table's database that holds the versions of a refreshed table."""
+    db, _, name = table.replace("`", "").rpartition(".")
+    home = spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/_versions_{name}"
+
 
-    The count is read back from the written table, so it is a cheap metadata-
-    assisted scan rather than a second evaluation of ``df``'s lineage.
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").select("data_type")
+    return rows.first()[0]
+
+
+def full_refresh(df: DataFrame, table: str, fmt: str = "parquet") -> int:
+    """Replace all rows of a catalog table and return its row count.
+
+    The rows are written to a new folder first; only when they are whole does the table's
+    location change, in one step of the catalog. A load that fails leaves the old rows, a
+    reader sees the old rows or the new ones, and a query planned before the swap can
+    still finish: the version before is kept until the next refresh. ``df`` may read
+    the table itself.
+
+    Defined cases: one refresh of a table at a time (older versions and left-overs of
+    failed loads are deleted); other columns, types or another format need a new catalog entry,
+    so there, and there alone, the table is away between two catalog steps. The count is
+    read back from the written files. :func:`drop_refreshed` drops a table with its versions.
     """
-    df.write.mode("overwrite").format(fmt).saveAsTable(table)
-    return df.sparkSession.table(table).count()
+    spark = df.sparkSession
+    home = _versions(spark, table)
+    folder = f"{home}/{uuid.uuid4().hex}"
+    df.write.format(fmt).save(folder)
+    n = spark.read.schema(df.schema).format(fmt).load(folder).count()
+    before = None
+    if spark.catalog.tableExists(table):
+        before = _location(spark, table)
+        about = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Provider'").first()["data_type"]
+        if about.lower() == fmt.lower() and spark.table(table).schema.simpleString() == df.schema.simpleString():
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        else:
+            spark.sql(f"DROP TABLE {table}")
+            spark.catalog.createTable(table, path=folder, source=fmt, schema=df.schema)
+    else:
+        spark.catalog.createTable(table, path=folder, source=fmt, schema=df.schema)
+    keep = {folder.rsplit("/", 1)[-1], (before or "").rsplit("/", 1)[-1]}
+    delete_paths(spark, [p for p in list_folder(spark, home) if p.rsplit("/", 1)[-1] not in keep])
+    return n
+
+
+def drop_refreshed(spark: SparkSession, table: str) -> None:
+    """Drop a table of :func:`full_refresh` and delete its versions."""
+    home = _versions(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    delete_paths(spark, [home])
 
 
 def write_metrics(df: DataFrame, path: str) -> None:

@@ -2,7 +2,9 @@
 
 import json
 import os
+import uuid
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +37,59 @@ def test_full_refresh_and_namespace(spark, sf_dir, tmp_path):
     assert IO.full_refresh(df.limit(10), "riskframe_test.loans") == 10   # replaced, not appended
 
 
+def test_refresh_is_atomic(spark):
+    """A failing load leaves the old rows; a query planned before the swap still has its rows."""
+    IO.ensure_namespace(spark, "riskframe_test")
+    table = f"riskframe_test.t_{uuid.uuid4().hex}"
+    try:
+        IO.full_refresh(spark.range(5), table)
+        bad = spark.range(100, 0, -1, 4).select(F.when(F.col("id") == 7, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("long").alias("id"))
+        with pytest.raises(Exception, match="no"):
+            IO.full_refresh(bad, table)
+        assert sorted(r.id for r in spark.table(table).collect()) == list(range(5))
+        planned = spark.table(table)
+        planned._jdf.queryExecution().executedPlan()
+        assert IO.full_refresh(spark.range(10, 13), table) == 3
+        assert sorted(r.id for r in planned.collect()) == list(range(5))
+        assert sorted(r.id for r in spark.table(table).collect()) == [10, 11, 12]
+        # from the table itself, and with another column
+        assert IO.full_refresh(spark.table(table).where("id > 10"), table) == 2
+        assert IO.full_refresh(spark.table(table).withColumn("b", F.col("id") * 2), table) == 2
+        assert sorted(tuple(r) for r in spark.table(table).collect()) == [(11, 22), (12, 24)]
+        home = IO._versions(spark, table)
+        assert len(IO.list_folder(spark, home)) == 2      # the rows now and those before
+    finally:
+        IO.drop_refreshed(spark, table)
+    assert not spark.catalog.tableExists(table)
+
+
+def test_readers_during_a_load_see_a_whole_version(spark):
+    """While one thread loads other rows, every count is the old or the new one."""
+    import threading
+
+    IO.ensure_namespace(spark, "riskframe_test")
+    table = f"riskframe_test.t_{uuid.uuid4().hex}"
+    IO.full_refresh(spark.range(10), table)
+    errors, done = [], threading.Event()
+
+    def load():
+        try:
+            IO.full_refresh(spark.range(0, 2000, 1, 40).repartition(40), table)
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+        finally:
+            done.set()
+
+    t = threading.Thread(target=load)
+    t.start()
+    seen = set()
+    while not done.is_set():
+        seen.add(spark.table(table).selectExpr("id + 1 AS id").count())
+    t.join()
+    IO.drop_refreshed(spark, table)
+    assert not errors and seen <= {10, 2000}
+
+
 def test_metrics_json_and_run_log(spark, tmp_path):
     m = spark.range(1).select(F.lit(0.5).alias("recall"), F.lit(0.7).alias("roc_auc"))
     IO.write_metrics(m, str(tmp_path / "metrics"))
