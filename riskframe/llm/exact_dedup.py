@@ -2,12 +2,13 @@
 
 The index is a table bucketed and sorted by digest. A batch is reduced to digests,
 pre-aggregated to one row per digest, compared with the index by a sort-merge
-anti-join, and what is new is appended.
+anti-join, and what is new is appended. How many buckets there are follows from the
+rows expected when the index is made, and is read back from the table afterwards.
 
 Defined cases: a null text counts as empty, so null and empty texts are equal;
 rows without an id are ignored; repeated rows are copies of each other (of equal
 ids the group size counts each row, and every such row carries the decision of
-its id); an empty batch appends nothing; columns other than the id and the text
+its id); an empty batch appends nothing; texts of any length are digested whole; columns other than the id and the text
 are not read.
 """
 
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import Tables, texts_of
 
+#: Digests that a bucket of a new index is meant for; least and most buckets (the most that Spark allows by default).
+DIGESTS, LEAST_BUCKETS, MOST_BUCKETS = 4_000_000, 64, 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -34,17 +37,24 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 class DigestIndex:
-    """A table ``(digest, keep_id, group_size)``, bucketed and sorted by digest."""
+    """A table ``(digest, keep_id, group_size)``, bucketed and sorted by digest. ``buckets``
+    is for an index still to be made; without it, its expected rows decide."""
 
-    def __init__(self, spark: SparkSession, table: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, table: str, buckets: int | None = None):
         self.spark, self.table, self.buckets = spark, table, buckets
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
 
-    def create(self) -> None:
+    def create(self, expected: int = 0) -> None:
+        buckets = self.buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-expected // DIGESTS)))
         empty = self.spark.createDataFrame([], "digest string, keep_id long, group_size long")
-        empty.write.bucketBy(self.buckets, "digest").sortBy("digest").format("parquet").saveAsTable(self.table)
+        empty.write.bucketBy(buckets, "digest").sortBy("digest").format("parquet").saveAsTable(self.table)
+
+    def stored_buckets(self) -> int:
+        """How many buckets the table was made with, by this session or another."""
+        about = self.spark.sql(f"DESCRIBE FORMATTED {self.table}")
+        return int(about.where("col_name = 'Num Buckets'").first()["data_type"])
 
     def unseen(self, groups: DataFrame) -> DataFrame:
         """Rows of ``groups`` whose digest the index lacks (sort-merge anti-join)."""
@@ -55,8 +65,9 @@ class DigestIndex:
         """Add the digests of ``batch(doc_id, digest)`` that are new. Within the batch the
         largest id of a digest stays; a text already in the index stays there."""
         groups = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        new = self.unseen(groups).repartition(self.buckets, "digest").select("digest", "keep_id", "group_size")
-        new.write.bucketBy(self.buckets, "digest").sortBy("digest").format("parquet").mode("append").saveAsTable(self.table)
+        buckets = self.stored_buckets()
+        new = self.unseen(groups).repartition(buckets, "digest").select("digest", "keep_id", "group_size")
+        new.write.bucketBy(buckets, "digest").sortBy("digest").format("parquet").mode("append").saveAsTable(self.table)
 
     def decide(self, batch: DataFrame) -> DataFrame:
         """Per row of an appended batch: which id stays for its text. The rows join the
@@ -76,9 +87,9 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     tables = Tables(spark)
     own = index is None
     index = index or DigestIndex(spark, f"riskframe_digests_{uuid.uuid4().hex}")
-    if not index.exists():
-        index.create()
     batch = tables.write(digests(docs))
+    if not index.exists():
+        index.create(batch.count())
     index.append(batch)
     out = index.decide(batch)
     if own:

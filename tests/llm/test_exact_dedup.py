@@ -23,6 +23,23 @@ def test_new_data_meets_the_stored_index(make_docs, spark):
     index.drop()
 
 
+def test_buckets_follow_the_rows_expected_and_stay(make_docs, spark, monkeypatch):
+    monkeypatch.setattr(X, "DIGESTS", 2)
+    monkeypatch.setattr(X, "LEAST_BUCKETS", 3)
+    index = X.DigestIndex(spark, "digest_index_sized")
+    docs = make_docs([(i, f"text {i % 13} " * (1 + 20_000 * (i == 5))) for i in range(20)])
+    try:
+        got = X.exact_dedup(docs, index).collect()
+        assert index.stored_buckets() == 10
+        assert {r.doc_id: r.keep_id for r in got} == {i: i if i == 5 else (i + 13 if i < 7 and i != 5 else i) for i in range(20)}
+        later = X.DigestIndex(spark, "digest_index_sized")      # as another session opens it
+        again = X.exact_dedup(make_docs([(100, "TEXT 1 "), (101, "new")]), later).collect()
+        assert {r.doc_id: r.keep_id for r in again} == {100: 14, 101: 101}
+        assert later.stored_buckets() == 10
+    finally:
+        index.drop()
+
+
 def test_clashing_columns(make_docs):
     docs = make_docs(["a", "a"]).selectExpr("*", "1 AS digest", "2 AS keep_id", "3 AS group_size", "4 AS kept")
     assert sorted(r.kept for r in X.exact_dedup(docs).collect()) == [False, True]
