@@ -10,7 +10,8 @@ repeatable, and nothing is sampled approximately.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,30 +86,90 @@ def stratified_kfold(df: DataFrame, target: str, key: str, k: int = 5, seed: int
         o, "__r", "__start")
 
 
-def _split_order(key: str, seed: int, order: str):
-    """(order value of a row in a split, as a function of the split's id; its range)."""
-    if order == "md5":
-        return lambda split: md5_order(key, seed, split), MD5_RANGE
-    return lambda split: F.xxhash64(F.col(key), F.lit(seed), split.cast("int")), HASH_RANGE
+@dataclass(frozen=True)
+class _SplitOrder:
+    """The order values of a row in the splits: ``lead`` is what they share (made once per row),
+    ``value(lead, split)`` the value in a split, ``number(value)`` its place in ``span`` and
+    ``bound(x)`` the smallest value at or above the number ``x``."""
+
+    lead: Column
+    value: Callable[[Column, Column], Column]
+    number: Callable[[Column], Column]
+    bound: Callable[[float], object]
+    span: tuple[float, float]
+
+
+def _split_order(key: str, seed: int, order: str) -> _SplitOrder:
+    if order == "md5":         # the eight hex digits themselves: they sort as the number of md5_order does
+        return _SplitOrder(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))),
+                           lambda lead, split: F.substring(F.md5(F.concat_ws("|", lead, split.cast("string"))), 1, 8),
+                           lambda v: F.conv(v, 16, 10).cast("long"), lambda x: f"{min(max(math.ceil(x), 0), 2 ** 32 - 1):08x}", MD5_RANGE)
+    return _SplitOrder(F.col(key), lambda lead, split: F.xxhash64(lead, F.lit(seed), split.cast("int")), lambda v: v,
+                       lambda x: min(max(math.ceil(x), -2 ** 63), 2 ** 63 - 1), HASH_RANGE)
 
 
 def _split_ids(n_splits: int) -> Column:
     return F.sequence(F.lit(0), F.lit(n_splits - 1))
 
 
-def split_bounds(df: DataFrame, key: str, n_splits: int, order, known_range: tuple[float, float],
-                 ranks: Sequence[int], n: int) -> DataFrame:
+#: Half the width of the range that a rank is looked for in, in standard deviations of its place.
+RANK_SIGMAS = 6.0
+
+
+def _near_ranks(ranks: Sequence[int], n: int, order: _SplitOrder) -> list:
+    """Ascending order values: between the 1st and the 2nd, the 3rd and the 4th, ... the ranks
+    are expected, as far as order values are spread evenly."""
+    lo, hi = order.span
+    spans = []
+    for k in sorted(ranks):
+        u = (k + 0.5) / n
+        half = RANK_SIGMAS * math.sqrt(u * (1 - u) / n) + 2.0 / n
+        if spans and u - half <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], u + half)
+        else:
+            spans.append([u - half, u + half])
+    return [order.bound(lo + x * (hi - lo)) for span in spans for x in span]
+
+
+def split_bounds(df: DataFrame, key: str, n_splits: int, order: _SplitOrder, ranks: Sequence[int], n: int) -> DataFrame:
     """Per split (``__s``) the order value ``__o<i>`` and the key ``__k<i>`` of the row at the
     i-th of ``ranks`` (0-based, below ``n``): ``n_splits * len(ranks)`` values, whatever the
     size of the table.
 
+    One pass: rows between the ranges of :func:`_near_ranks` are only counted, those inside (some
+    multiples of ``sqrt(n)`` a split) come out with their order value and are walked. If a
+    rank lies in no range, as many rows of one key can bring about, it is looked for in buckets."""
+    rows = df.select(key, order.lead.alias("__lead")).select(key, "__lead", F.explode(_split_ids(n_splits)).alias("__s")).select(
+        key, "__s", order.value(F.col("__lead"), F.col("__s")).alias("__o"))
+    edges = _near_ranks(ranks, n, order)
+    place = F.lit(0)
+    for e in edges:
+        place = place + (F.col("__o") >= F.lit(e)).cast("int")
+    inside = F.col("__p") % 2 == 1
+    seen = rows.withColumn("__p", place).select("__s", "__p", F.when(inside, F.col("__o")).alias("__o"),
+                                                F.when(inside, F.col(key)).alias(key))
+    table = materialize_small(seen.groupBy("__s", "__p", "__o", key).agg(F.count(F.lit(1)).alias("__n")))
+    w = Window.partitionBy("__s").orderBy("__p", "__o", key).rowsBetween(Window.unboundedPreceding, -1)
+    walked = table.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    holds = lambda k: (F.col("__off") <= k) & (k < F.col("__off") + F.col("__n"))       # noqa: E731
+    found = materialize_small(walked.groupBy("__s").agg(
+        *[e for i, k in enumerate(ranks) for e in (F.max(F.when(holds(k), F.col("__o"))).alias(f"__o{i}"),
+                                                   F.first(F.when(holds(k), F.struct(key)), ignorenulls=True)[key].alias(f"__k{i}"))]))
+    missed = F.lit(False)
+    for i in range(len(ranks)):
+        missed = missed | F.col(f"__o{i}").isNull()
+    return found if found.where(missed).isEmpty() else _bounds_by_buckets(rows, key, order, ranks, n)
+
+
+def _bounds_by_buckets(rows: DataFrame, key: str, order: _SplitOrder, ranks: Sequence[int], n: int) -> DataFrame:
+    """:func:`split_bounds` for order values of any spread, of ``rows`` (key, ``__s``, ``__o``).
+
     One aggregate counts rows per (split, bucket) in about ``sqrt(n)`` equal buckets of the
     known range; only the buckets that hold a wanted rank are read again and windowed, each
     of about ``sqrt(n)`` rows. Buckets and window tasks so grow alike."""
     parts = math.isqrt(n) + 1
-    lo, hi = known_range
-    rows = df.select(key, F.explode(_split_ids(n_splits)).alias("__s")).withColumn("__o", order(F.col("__s")))
-    place = F.floor((F.col("__o").cast("double") - lo) / (hi - lo) * parts)
+    lo, hi = order.span
+    place = F.floor((order.number(F.col("__o")).cast("double") - lo) / (hi - lo) * parts)
     rows = rows.withColumn("__b", F.least(place, F.lit(parts - 1)).cast("long"))
     table = materialize_small(rows.groupBy("__s", "__b").agg(F.count(F.lit(1)).alias("__n")))
     w = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)   # buckets, not rows
@@ -136,14 +197,14 @@ def _passed(o: Column, key: Column, bound, n_bounds: int) -> Column:
 
 
 def _split_cuts(df, key, n_splits, test_size, seed, order, fractions):
-    """(order function, bounds per split, number of bounds, training sizes) of the splits of ``df``."""
+    """(order, bounds per split, number of bounds, training sizes) of the splits of ``df``."""
     n = df.count()
     n_test = math.ceil(n * test_size)
     sizes = train_size_grid(n - n_test, fractions)
     ranks = [k for k in [n_test, *[n_test + m for m in sizes]] if k < n]     # a rank of n has no row
-    fn, rng = _split_order(key, seed, order)
-    bounds = split_bounds(df, key, n_splits, fn, rng, ranks, n) if ranks else None
-    return fn, bounds, len(ranks), sizes
+    by = _split_order(key, seed, order)
+    bounds = split_bounds(df, key, n_splits, by, ranks, n) if ranks else None
+    return by, bounds, len(ranks), sizes
 
 
 def split_members(df: DataFrame, key: str, n_splits: int = 50, test_size: float = 0.2, seed: int = 123,
@@ -154,14 +215,14 @@ def split_members(df: DataFrame, key: str, n_splits: int = 50, test_size: float
 
     A row compares its own order values with the bounds of :func:`split_bounds`, one row of
     ``n_splits`` structs: rows are neither expanded nor shuffled."""
-    fn, bounds, m, _ = _split_cuts(df, key, n_splits, test_size, seed, order, train_fractions)
+    by, bounds, m, _ = _split_cuts(df, key, n_splits, test_size, seed, order, train_fractions)
     if bounds is None:
         return df.withColumn(out, F.transform(_split_ids(n_splits), lambda s: F.lit(0)))
     one = bounds.agg(F.array_sort(F.collect_list(F.struct("__s", *[c for c in bounds.columns if c != "__s"]))).alias("b"))
-    packed = attach(df, one.withColumnRenamed("b", "__bounds"))
-    orders = F.transform(_split_ids(n_splits), fn)
+    packed = attach(df.withColumn("__lead", by.lead), one.withColumnRenamed("b", "__bounds"))
+    orders = F.transform(_split_ids(n_splits), lambda s: by.value(F.col("__lead"), s))
     return packed.withColumn(out, F.zip_with(
-        orders, "__bounds", lambda o, b: _passed(o, F.col(key), lambda c: b[c], m))).drop("__bounds")
+        orders, "__bounds", lambda o, b: _passed(o, F.col(key), lambda c: b[c], m))).drop("__bounds", "__lead")
 
 
 def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float = 0.2, seed: int = 123,
@@ -176,13 +237,13 @@ def shuffle_splits(df: DataFrame, key: str, n_splits: int = 50, test_size: float
     bounds of its split (:func:`split_bounds`, a row per split), so the expanded rows are
     never shuffled."""
     fracs = list(train_fractions or [])
-    fn, bounds, m, sizes = _split_cuts(df, key, n_splits, test_size, seed, order, fracs)
-    ex = df.withColumn("split_id", F.explode(_split_ids(n_splits)))
+    by, bounds, m, sizes = _split_cuts(df, key, n_splits, test_size, seed, order, fracs)
+    ex = df.withColumn("__lead", by.lead).withColumn("split_id", F.explode(_split_ids(n_splits)))
     if bounds is None:
         flagged = ex.withColumn("__c", F.lit(0))
     else:
         cuts = F.broadcast(bounds.withColumnRenamed("__s", "split_id"))        # a row per split: proven bound
-        flagged = ex.withColumn("__o", fn(F.col("split_id"))).join(cuts, "split_id").withColumn(
+        flagged = ex.withColumn("__o", by.value(F.col("__lead"), F.col("split_id"))).join(cuts, "split_id").withColumn(
             "__c", _passed(F.col("__o"), F.col(key), F.col, m))
     out = flagged.select(*df.columns, "split_id", F.when(F.col("__c") == 0, "test").otherwise("train").alias("role"), "__c")
     if fracs:

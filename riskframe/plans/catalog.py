@@ -518,9 +518,9 @@ def q_stratified_kfold(spark, sf_dir):
 FRACTIONS = (0.1, 0.325, 0.55, 0.775, 1.0)
 
 
-def _shuffle(spark, sf_dir):
-    return R.shuffle_splits(train_rows(spark, sf_dir).select(P.KEY, P.TARGET, *P.NUMERIC_FEATURES, "tipo_laboral"),
-                            P.KEY, 50, 0.2, 123, order="md5", train_fractions=FRACTIONS)
+def _shuffle(spark, sf_dir, prepare=lambda rows: rows):
+    rows = train_rows(spark, sf_dir).select(P.KEY, P.TARGET, *P.NUMERIC_FEATURES, "tipo_laboral")
+    return R.shuffle_splits(prepare(rows), P.KEY, 50, 0.2, 123, order="md5", train_fractions=FRACTIONS)
 
 
 @register("r_shuffle_splits")
@@ -656,7 +656,7 @@ def q_learning_curve(spark, sf_dir):
     One pass over the expanded split rows: counts per (split, role, size) -- a
     50 x 7 table -- from which both curves are derived."""
     sizes = _sizes(spark, sf_dir)
-    sp = rule_classifier(_shuffle(spark, sf_dir))
+    sp = _shuffle(spark, sf_dir, lambda rows: rule_classifier(rows).select(P.KEY, P.TARGET, "prediction"))   # once per row
     y0, p0 = F.col(P.TARGET) == 0, F.col("prediction") == 0
     cnt = materialize_small(sp.groupBy("split_id", "role", "size_idx").agg(
         F.sum(F.when(y0 & p0, 1).otherwise(0)).alias("tp"), F.sum(F.when(y0, 1).otherwise(0)).alias("pos")))
