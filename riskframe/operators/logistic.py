@@ -37,6 +37,8 @@ from riskframe.operators.sampling import split_members, train_size_grid
 
 #: A fit is done when no score equation is off by more than this times its number of rows.
 TOLERANCE = 1e-10
+#: The one fit that all others start from needs no more than this.
+START_TOLERANCE = 1e-7
 MAX_STEPS = 60
 
 _SUMS = "fit int, part int, sums array<double>"
@@ -70,9 +72,12 @@ def _design(x, n_num, mean, scale):
     return z
 
 
-def _per_task(rows: DataFrame, n_fits: int, width: int, add, choose) -> DataFrame:
+def _per_task(rows: DataFrame, n_fits: int, width: int, add, choose, only: Sequence[int] | None = None) -> DataFrame:
     """One row per (task, fit): ``add(fit, y, x)`` summed over the batches of the task.
-    ``choose(member, fit)`` gives the rows of the fit. The last number is the seconds spent."""
+    ``choose(member, fit)`` gives the rows of the fit; fits not among ``only`` stay zero. The last
+    number is the seconds spent."""
+    wanted = range(n_fits) if only is None else only
+
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
@@ -84,7 +89,7 @@ def _per_task(rows: DataFrame, n_fits: int, width: int, add, choose) -> DataFram
                 continue
             seen = True
             y, x, member = _arrays(batch)
-            for f in range(n_fits):
+            for f in wanted:
                 t0 = time.perf_counter()
                 rows_of = choose(member, f)
                 got = add(f, y[rows_of], x[rows_of])
@@ -137,7 +142,7 @@ def _held_out(size_count: int):
     return lambda member, f: member[:, f // size_count] == 0
 
 
-def _scales(rows: DataFrame, n_fits: int, sizes: int, n_num: int) -> dict[int, dict]:
+def _scales(rows: DataFrame, n_fits: int, choose, n_num: int) -> dict[int, dict]:
     """Per fit: rows of each class and, per numeric column, mean and population deviation.
     Deviations are taken around the mean of the whole table, so that large values with a
     small spread do not cancel."""
@@ -150,7 +155,7 @@ def _scales(rows: DataFrame, n_fits: int, sizes: int, n_num: int) -> dict[int, d
         v = np.where(there, v, 0.0)
         return np.concatenate([[np.sum(y == 0), np.sum(y == 1)], there.sum(axis=0), v.sum(axis=0), (v * v).sum(axis=0)])
 
-    merged = _merge_tasks(_per_task(rows, n_fits, 2 + 3 * n_num, add, _training(sizes)), n_fits)
+    merged = _merge_tasks(_per_task(rows, n_fits, 2 + 3 * n_num, add, choose), n_fits)
     out = {}
     for r in merged.groupBy("fit").applyInPandas(_total, "fit int, sums array<double>").collect():   # a row per fit
         s = np.array(r["sums"])
@@ -170,21 +175,48 @@ def _total(group):
     return pd.DataFrame({"fit": [int(group["fit"].iloc[0])], "sums": [np.sum(np.stack(group["sums"].to_list()), axis=0)]})
 
 
+def _started(fits: dict[int, dict], pilot: dict, n_num: int) -> None:
+    """Coefficients to start from: those of ``pilot``, turned to each fit's own scaling."""
+    for fit in fits.values():
+        if not fit["done"]:
+            beta = pilot["beta"].copy()
+            beta[0] += np.sum(beta[1:n_num + 1] * (fit["mean"] - pilot["mean"]) / pilot["scale"])
+            beta[1:n_num + 1] *= fit["scale"] / pilot["scale"]
+            fit["beta"] = beta
+            fit["seconds"] += pilot["seconds"] / len(fits)
+
+
 def fit_logistic_grid(rows: DataFrame, n_splits: int, sizes: int, n_num: int, width: int) -> dict[int, dict]:
     """Newton steps for all ``n_splits * sizes`` fits at once over ``rows`` of
     :func:`encode_rows` (``width`` features, the first ``n_num`` numeric).
 
+    One fit of all rows comes first, and the others start from it: they are near it, so that
+    they need few steps, each of which costs as much as ``n_splits * sizes`` of its own.
+
     Per fit: ``beta`` (intercept first), ``mean``, ``scale``, ``n0``, ``n1``, ``score`` (the
     largest score equation at ``beta``), ``steps``, ``seconds`` (task seconds) and
     ``done``. A step that raises the loss is halved. Raises if a fit is not done after
     ``MAX_STEPS`` passes."""
-    n_fits, d = n_splits * sizes, width + 1
-    fits = _scales(rows, n_fits, sizes, n_num)
-    for fit in fits.values():
+    every = lambda member, f: np.ones(len(member), dtype=bool)       # noqa: E731
+    pilot = _newton(rows, _new_fits(_scales(rows, 1, every, n_num), width), every, n_num, width, START_TOLERANCE, strict=False)
+    fits = _new_fits(_scales(rows, n_splits * sizes, _training(sizes), n_num), width)
+    if 0 in pilot and pilot[0]["done"] and np.isfinite(pilot[0]["beta"]).all():
+        _started(fits, pilot[0], n_num)
+    return _newton(rows, fits, _training(sizes), n_num, width, TOLERANCE)
+
+
+def _new_fits(scales: dict[int, dict], width: int) -> dict[int, dict]:
+    for fit in scales.values():
         one_class = not fit["n0"] or not fit["n1"]
-        fit.update(beta=np.zeros(d), at=None, loss=math.inf, score=0.0, steps=0, done=one_class)
+        fit.update(beta=np.zeros(width + 1), at=None, loss=math.inf, score=0.0, steps=0, done=one_class)
         if one_class:
             fit["beta"][0] = math.inf if fit["n1"] else -math.inf
+    return scales
+
+
+def _newton(rows: DataFrame, fits: dict[int, dict], choose, n_num: int, width: int, tolerance: float, strict: bool = True) -> dict[int, dict]:
+    """Steps until no fit has a score equation off by more than ``tolerance`` times its rows."""
+    n_fits, d = len(fits), width + 1
     upper = np.triu_indices(d)
     for _ in range(MAX_STEPS):
         todo = {f: fit for f, fit in fits.items() if not fit["done"]}
@@ -193,8 +225,8 @@ def fit_logistic_grid(rows: DataFrame, n_splits: int, sizes: int, n_num: int, wi
         state = {f: {k: fit[k] for k in ("beta", "at", "loss", "mean", "scale", "n0", "n1")} for f, fit in todo.items()}
 
         def add(f, y, x):
-            s = state.get(f)
-            if s is None or not len(y):
+            s = state[f]
+            if not len(y):
                 return None
             z = _design(x, n_num, s["mean"], s["scale"])
             eta = z @ s["beta"]
@@ -224,16 +256,16 @@ def fit_logistic_grid(rows: DataFrame, n_splits: int, sizes: int, n_num: int, wi
             return pd.DataFrame({"fit": [f], "at": [beta], "beta": [beta + step], "loss": [loss],
                                  "score": [float(np.max(np.abs(gradient)))], "seconds": [sums[-1]]})
 
-        sums = _merge_tasks(_per_task(rows, n_fits, 1 + d + len(upper[0]), add, _training(sizes)), n_fits)
+        sums = _merge_tasks(_per_task(rows, n_fits, 1 + d + len(upper[0]), add, choose, sorted(todo)), n_fits)
         live = sums.where(F.col("fit").isin(list(todo)))
         schema = "fit int, at array<double>, beta array<double>, loss double, score double, seconds double"
         for r in live.groupBy("fit").applyInPandas(solve, schema).collect():       # a row per fit
             fit = fits[r["fit"]]
-            done = r["score"] <= TOLERANCE * (fit["n0"] + fit["n1"])
+            done = r["score"] <= tolerance * (fit["n0"] + fit["n1"])
             fit.update(at=np.array(r["at"]), beta=np.array(r["at"] if done else r["beta"]), loss=r["loss"],
                        score=r["score"], steps=fit["steps"] + 1, seconds=fit["seconds"] + r["seconds"], done=done)
     unfinished = [f for f, fit in fits.items() if not fit["done"]]
-    if unfinished:
+    if unfinished and strict:
         raise ArithmeticError(f"{len(unfinished)} fits do not meet their score equations after {MAX_STEPS} steps")
     return fits
 

@@ -115,3 +115,18 @@ def test_members_are_ranks(spark, n):
             assert got[k][s] == want
             role = "test" if place < 0 else "train"
             assert expanded[k, s] == (role, want - 1 if 1 <= want <= len(grid) else None)
+
+
+def test_fits_start_from_the_fit_of_all_rows(spark, monkeypatch):
+    """The passes over all fits, the costly ones, are fewer than from coefficients of zero, with the same end."""
+    rng = np.random.default_rng(9)
+    rows = [(k, int(1.5 * a - 2.0 * b + rng.logistic() > 2.0), float(a), float(5 + 3 * b), 7.0, "pq"[k % 2])
+            for k, (a, b) in enumerate(rng.normal(size=(6000, 2)))]
+    df = local_frame(spark, rows, SCHEMA)
+    enc = L.encode_rows(split_members(df, "k", 2, train_fractions=FRACTIONS), ["a", "b", "c"], {"g": ["p", "q"]}, "y").persist()
+    fits = L.fit_logistic_grid(enc, 2, 3, 3, 5)
+    monkeypatch.setattr(L, "_started", lambda *_: None)
+    cold = L.fit_logistic_grid(enc, 2, 3, 3, 5)
+    for f in cold:
+        assert fits[f]["done"] and np.allclose(fits[f]["beta"], cold[f]["beta"], atol=1e-7)
+    assert max(f["steps"] for f in fits.values()) < max(f["steps"] for f in cold.values())
