@@ -263,8 +263,15 @@ STATUS = {"small": "Muestra insuficiente para análisis de drift (mínimo 2 regi
 def batch_status(reference: DataFrame, batch: DataFrame, threshold: float = DRIFT_P, min_rows: int = 2) -> DataFrame:
     """K8: one row (status, hay_drift, n_variables) for a batch. Too small a batch is
     told first, then a batch without common numeric columns, then the verdict."""
-    rows = batch.agg(F.count(F.lit(1))).scalar()
-    report = check_batch(reference, batch, threshold, min_rows)
+    numeric = common_columns(batch, batch, "numeric")
+    value = lambda c: F.col(c).cast("double")             # noqa: E731
+    seen = batch.agg(F.count(F.lit(1)).alias("n"), *[
+        F.count(F.when(~F.isnan(value(c)), value(c))).alias(f"n{i}") for i, c in enumerate(numeric)]).first()
+    enough = [c for i, c in enumerate(numeric) if seen[f"n{i}"] >= min_rows]
+    rows = F.lit(seen["n"])
+    # a column of fewer values is in no report, so the reference is only walked for the others
+    report = check_batch(reference, batch.select(*enough), threshold, min_rows) if enough else local_frame(
+        reference.sparkSession, [], REPORT_SCHEMA)
     one = report.agg(F.count(F.lit(1)).alias("n_variables"), F.coalesce(F.bool_or("drift_detectado"), F.lit(False)).alias("hay_drift"))
     status = (F.when(rows < min_rows, STATUS["small"]).when(F.col("n_variables") == 0, STATUS["schema"])
               .when(F.col("hay_drift"), STATUS["drift"]).otherwise(STATUS["none"]))

@@ -110,6 +110,20 @@ def test_batch_status_texts(spark):
     assert said(far.select(F.col("x").alias("z"))) == (K.STATUS["schema"], False, 0)
 
 
+def test_batch_status_walks_the_reference_only_for_columns_of_enough_values(spark, monkeypatch):
+    ref = spark.createDataFrame([(float(i), float(i)) for i in range(60)], "x double, y double")
+    batch = spark.createDataFrame([(float(i + 500), 3.0 if i == 0 else None if i % 2 else float("nan")) for i in range(60)], "x double, y double")
+    walked = []
+    plain = K.ks_table
+    monkeypatch.setattr(K, "ks_table", lambda r, p, cols: walked.append(list(cols)) or plain(r, p, cols))
+    said = lambda r, b: tuple(K.batch_status(r, b).first())
+    for r in (ref, K.reference_snapshot(ref, ["x", "y"])):
+        assert said(r, batch.limit(1)) == (K.STATUS["small"], False, 0)
+        assert said(r, batch.where("false")) == (K.STATUS["small"], False, 0)
+        assert walked == []
+        assert said(r, batch) == (K.STATUS["drift"], True, 1) and walked.pop() == ["x"]
+
+
 def test_knn_is_exact_over_many_cells(spark, monkeypatch):
     monkeypatch.setattr(S, "KNN_CELL", 15)
     rng = np.random.default_rng(1)
