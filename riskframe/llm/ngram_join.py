@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import Tables, bloom_filter, bloom_holds, connected_components, find_roots, slices, splitmix, texts_of
-from riskframe.llm.linking import Union, link_components
+from riskframe.llm.linking import Union, link_components, one_by_one
 from riskframe.llm.shingles import set_keys, shingle_sets
 
 #: Similarity as a fraction.
@@ -285,7 +285,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     near = tables.write(connected_components(tables, meetings(packed)).select(F.col("id").alias("node"), F.col("component").alias("comp")))
     texts = texts_by_set(docs, bloom_filter(near, "node")).join(near, "node").groupBy("node").agg(
         F.first("comp").alias("comp"), F.first("payload").alias("payload"))
-    links = link_components(tables, texts.select("comp", "node", "payload"), link_sets)
+    links = link_components(tables, texts.select("comp", "node", "payload"), one_by_one(link_sets))
     known = tables.write(sets.join(links, sets["node"] == links["id"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component")))
     least = known.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
